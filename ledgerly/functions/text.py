@@ -75,12 +75,12 @@ SPAN_RE = r"(\d{2}/\d{2}/\d{4})-(\d{2}/\d{2}/\d{4})"
 def span_start(c) -> Column:
     """First date of a ``dd/mm/yyyy-dd/mm/yyyy`` span, null when absent or invalid."""
     s = F.regexp_extract(_c(c), SPAN_RE, 1)
-    return F.when(s != "", F.try_to_date(s, F.lit("dd/MM/yyyy")))
+    return F.when(s != "", F.try_to_date(s, "dd/MM/yyyy"))
 
 
 def span_end(c) -> Column:
     s = F.regexp_extract(_c(c), SPAN_RE, 2)
-    return F.when(s != "", F.try_to_date(s, F.lit("dd/MM/yyyy")))
+    return F.when(s != "", F.try_to_date(s, "dd/MM/yyyy"))
 
 
 def parse_money_text(c) -> Column:
@@ -111,10 +111,10 @@ def parse_date_text(c) -> Column:
     bm = F.lpad(F.regexp_extract(s, r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{2,4})", 2), 2, "0")
     by = F.regexp_extract(s, r"^(\d{1,2})[/\-](\d{1,2})[/\-](\d{2,4})", 3)
     by = F.when(F.length(by) == 2, F.concat(F.lit("20"), by)).otherwise(by)
-    brd = F.when(br != "", F.try_to_date(F.concat_ws("-", by, bm, bd), F.lit("yyyy-MM-dd")))
+    brd = F.when(br != "", F.try_to_date(F.concat_ws("-", by, bm, bd), "yyyy-MM-dd"))
     iso = F.regexp_extract(s, r"^(\d{4})[/\-](\d{1,2})[/\-](\d{1,2})", 0)
     iy = F.regexp_extract(s, r"^(\d{4})[/\-](\d{1,2})[/\-](\d{1,2})", 1)
     im = F.lpad(F.regexp_extract(s, r"^(\d{4})[/\-](\d{1,2})[/\-](\d{1,2})", 2), 2, "0")
     idd = F.lpad(F.regexp_extract(s, r"^(\d{4})[/\-](\d{1,2})[/\-](\d{1,2})", 3), 2, "0")
-    isod = F.when(iso != "", F.try_to_date(F.concat_ws("-", iy, im, idd), F.lit("yyyy-MM-dd")))
+    isod = F.when(iso != "", F.try_to_date(F.concat_ws("-", iy, im, idd), "yyyy-MM-dd"))
     return F.coalesce(serial, brd, isod)

@@ -97,3 +97,128 @@ def alloc_three_tier(spark, d):
                     F.coalesce("paid", F.lit(False)).alias("is_paid"),
                     round2("value").alias("alloc_value"), round2("base").alias("alloc_base"),
                     "pay_date", "is_socio")
+
+
+@register("equal_split", sql="""
+WITH b AS (SELECT DISTINCT o_custkey AS cust_key, CAST(date_trunc('month', o_orderdate) AS DATE) AS plan_month,
+                  o_orderkey FROM orders),
+n AS (SELECT cust_key, plan_month, count(DISTINCT o_orderkey) AS n FROM b GROUP BY 1, 2),
+t AS (SELECT o.o_custkey AS cust_key, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS plan_month,
+             sum(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS total
+      FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey GROUP BY 1, 2)
+SELECT b.cust_key, b.plan_month, b.o_orderkey, n.n AS bookings_in_key,
+       floor(coalesce(CAST(t.total AS DOUBLE) / n.n, 0.0) * 100 + 0.5) / 100 AS value_per_booking
+FROM b JOIN n USING (cust_key, plan_month) LEFT JOIN t USING (cust_key, plan_month)
+""")
+def equal_split(spark, d):
+    """AL-6 (with AL-3): a customer-month's paid total over its distinct orders."""
+    o = tpch.table(spark, d, "orders").select(
+        F.col("o_custkey").alias("cust_key"),
+        F.trunc(F.to_date("o_orderdate"), "MM").alias("plan_month"), "o_orderkey")
+    pays = tpch.sale_items(spark, d).select("cust_key", "plan_month", "value")
+    out = A.equal_split(o, pays, ["cust_key", "plan_month"], "o_orderkey", "value")
+    return out.select("cust_key", "plan_month", "o_orderkey", "bookings_in_key",
+                      round2("value_per_booking").alias("value_per_booking"))
+
+
+# Fixed values for the test mapping of AL-5: a five-row price list at three
+# times the reference's list, so unit prices of line items reach both bands.
+TEST_PRICES = [("INDIVIDUAL", 2160.0), ("DUPLA", 1290.0), ("TRIO", 1185.0),
+               ("GRUPO", 1005.0), ("GRUPO", 735.0)]
+# Keyword rules of the test mapping (first match wins).
+PLAN_KEYWORDS = [("widget", "INDIVIDUAL"), ("gear", "TRIO")]
+
+
+@register("infer_plan", sql="""
+WITH li AS (SELECT l.l_orderkey, l.l_linenumber, l.l_partkey, l.l_suppkey,
+                   l.l_extendedprice / l.l_quantity AS v, p.p_name
+            FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
+prices(ord, ptype, base) AS (VALUES (0, 'INDIVIDUAL', 2160.0), (1, 'DUPLA', 1290.0), (2, 'TRIO', 1185.0),
+                                    (3, 'GRUPO', 1005.0), (4, 'GRUPO', 735.0))
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, floor(v * 100 + 0.5) / 100 AS unit_price,
+       COALESCE(CASE WHEN p_name ILIKE '%widget%' THEN 'INDIVIDUAL' WHEN p_name ILIKE '%gear%' THEN 'TRIO' END,
+                (SELECT ptype FROM prices
+                 WHERE v >= 50 AND ((v / base >= 0.15 AND v / base <= 1.05)
+                                    OR (v / (2.0 * base) >= 0.85 AND v / (2.0 * base) <= 1.15))
+                 ORDER BY CASE WHEN v / base <= 1.05 THEN 1 ELSE 2 END,
+                          abs(round(v / (CASE WHEN v / base > 1.3 THEN 2.0 ELSE 1.0 END * base) * 20)
+                              - v / (CASE WHEN v / base > 1.3 THEN 2.0 ELSE 1.0 END * base) * 20),
+                          ord
+                 LIMIT 1),
+                'OUTRO') AS plan_type
+FROM li
+""")
+def infer_plan(spark, d):
+    """CL-3 with AL-5: keyword type, else the type inferred from price, else a default."""
+    from ledgerly.operators.common import when_chain
+    li = tpch.table(spark, d, "lineitem")
+    p = tpch.table(spark, d, "part").select("p_partkey", "p_name")
+    x = li.join(p, li.l_partkey == p.p_partkey, "inner") \
+          .withColumn("v", F.col("l_extendedprice") / F.col("l_quantity"))
+    kw = when_chain([(F.contains(F.lower("p_name"), F.lit(w)), t) for w, t in PLAN_KEYWORDS])
+    t = F.coalesce(kw, A.infer_plan("v", TEST_PRICES), F.lit("OUTRO"))
+    return x.select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                    round2("v").alias("unit_price"), t.alias("plan_type"))
+
+
+def _span_text_sql():
+    return """CASE WHEN o_orderpriority = '3-MEDIUM'
+                THEN 'Mensalidade ' || ['janeiro','fevereiro','março','abril','maio','junho','julho',
+                     'agosto','setembro','outubro','novembro','dezembro'][month(o_orderdate)]
+                     || ' ' || strftime(o_orderdate, '%y')
+              WHEN o_orderpriority = '5-LOW' THEN 'Avulso'
+              WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'Plano 31/02/' || strftime(o_orderdate, '%Y')
+                     || '-' || strftime(o_orderdate, '%d/%m/%Y')
+              ELSE 'Plano ' || strftime(o_orderdate, '%d/%m/%Y') || '-'
+                     || strftime(o_orderdate + INTERVAL (CAST(floor(o_totalprice) AS BIGINT) % 40) DAY, '%d/%m/%Y')
+         END"""
+
+
+def span_text(col_date="o_orderdate"):
+    """The test descriptions: a month name, a span, an invalid span, or nothing."""
+    from ledgerly.functions.dates import MONTH_NAMES_PT
+    d = F.col(col_date)
+    names = F.array(*[F.lit(m) for m in MONTH_NAMES_PT])
+    return (F.when(F.col("o_orderpriority") == "3-MEDIUM",
+                   F.concat(F.lit("Mensalidade "), F.element_at(names, F.month(d)), F.lit(" "),
+                            F.date_format(d, "yy")))
+             .when(F.col("o_orderpriority") == "5-LOW", F.lit("Avulso"))
+             .when(F.col("o_orderpriority") == "4-NOT SPECIFIED",
+                   F.concat(F.lit("Plano 31/02/"), F.date_format(d, "yyyy"), F.lit("-"),
+                            F.date_format(d, "dd/MM/yyyy")))
+             .otherwise(F.concat(F.lit("Plano "), F.date_format(d, "dd/MM/yyyy"), F.lit("-"),
+                                 F.date_format(F.date_add(F.to_date(d),
+                                                          (F.floor("o_totalprice") % 40).cast("int")),
+                                               "dd/MM/yyyy"))))
+
+
+@register("full_month", sql=f"""
+WITH t AS (SELECT o_orderkey, o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)) AS v, {_span_text_sql()} AS txt
+           FROM orders),
+p AS (SELECT *, CASE WHEN regexp_matches(txt, '\\d{{2}}/\\d{{2}}/\\d{{4}}-\\d{{2}}/\\d{{2}}/\\d{{4}}')
+                     THEN try_strptime(regexp_extract(txt, '(\\d{{2}}/\\d{{2}}/\\d{{4}})-(\\d{{2}}/\\d{{2}}/\\d{{4}})', 1), '%d/%m/%Y')::DATE END AS s,
+                CASE WHEN regexp_matches(txt, '\\d{{2}}/\\d{{2}}/\\d{{4}}-\\d{{2}}/\\d{{2}}/\\d{{4}}')
+                     THEN try_strptime(regexp_extract(txt, '(\\d{{2}}/\\d{{2}}/\\d{{4}})-(\\d{{2}}/\\d{{2}}/\\d{{4}})', 2), '%d/%m/%Y')::DATE END AS e,
+                CASE WHEN regexp_matches(lower(txt), '(janeiro|fevereiro|março|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro) \\d{{2}}')
+                     THEN make_date(2000 + CAST(regexp_extract(lower(txt), '(janeiro|fevereiro|março|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro) (\\d{{2}})', 2) AS INTEGER),
+                                    list_position(['janeiro','fevereiro','março','abril','maio','junho','julho','agosto','setembro','outubro','novembro','dezembro'],
+                                                  replace(regexp_extract(lower(txt), '(janeiro|fevereiro|março|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro) (\\d{{2}})', 1), 'marco', 'março')),
+                                    1) END AS nm
+      FROM t),
+q AS (SELECT *, CAST(v * 100 AS BIGINT) AS cents, day(last_day(s)) AS dim,
+             greatest(datediff('day', s, e) + 1, 1) AS span FROM p)
+SELECT o_orderkey,
+       coalesce(s, nm, CAST(date_trunc('month', o_orderdate) AS DATE)) AS item_start,
+       coalesce(e, last_day(nm), last_day(CAST(o_orderdate AS DATE))) AS item_end,
+       CAST(date_trunc('month', coalesce(s, nm, CAST(date_trunc('month', o_orderdate) AS DATE))) AS DATE) AS plan_month,
+       CASE WHEN s IS NOT NULL AND e IS NOT NULL
+            THEN sign(cents) * ((abs(cents) * dim * 2 + span) // (2 * span)) / 100.0
+            ELSE CAST(v AS DOUBLE) END AS full_value
+FROM q
+""")
+def full_month(spark, d):
+    """AL-7 and AL-8 with CA-3: the period a payment covers and its full-month value."""
+    o = tpch.table(spark, d, "orders").withColumn("txt", span_text())
+    o = A.item_period(o, "txt", "o_orderdate", "o_orderdate")
+    return o.select("o_orderkey", "item_start", "item_end", "plan_month",
+                    A.to_full_month(F.col("o_totalprice"), "txt").cast("double").alias("full_value"))

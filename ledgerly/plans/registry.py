@@ -28,4 +28,5 @@ def load_all() -> None:
     """Import every plan module so that its queries register."""
     from ledgerly.plans import (  # noqa: F401
         q_alloc,
+        q_joins,
     )
