@@ -29,4 +29,5 @@ def load_all() -> None:
     from ledgerly.plans import (  # noqa: F401
         q_alloc,
         q_joins,
+        q_agg,
     )
