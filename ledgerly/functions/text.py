@@ -72,15 +72,51 @@ def group_or_null(c, pattern: str, idx: int = 1) -> Column:
 SPAN_RE = r"(\d{2}/\d{2}/\d{4})-(\d{2}/\d{2}/\d{4})"
 
 
+def make_date_or_null(y: Column, m: Column, d: Column) -> Column:
+    """``make_date`` that gives null for impossible dates (31/02) without
+    raising: the day is checked against the month's length first."""
+    ok_m = (m >= 1) & (m <= 12) & (y >= 1)
+    first = F.when(ok_m, F.make_date(y, m, F.lit(1)))
+    ok = ok_m & (d >= 1) & (d <= F.dayofmonth(F.last_day(first)))
+    return F.when(ok, F.make_date(y, m, d))
+
+
+def parse_dmy(s: Column) -> Column:
+    """``dd/mm/yyyy`` text -> DATE, null when empty or impossible."""
+    ok = s.rlike(r"^\d{2}/\d{2}/\d{4}$")
+    d = F.when(ok, F.substring(s, 1, 2).cast("int"))
+    m = F.when(ok, F.substring(s, 4, 2).cast("int"))
+    y = F.when(ok, F.substring(s, 7, 4).cast("int"))
+    return make_date_or_null(y, m, d)
+
+
+def with_span(df, text: str, start: str = "span_start", end: str = "span_end"):
+    """Add the two dates of a ``dd/mm/yyyy-dd/mm/yyyy`` span as columns.
+
+    Built in steps (raw text, then numbers, then dates) so each regex runs
+    once per row instead of once per use inside a CASE expression.
+    """
+    out = df.withColumn("__sp1", F.regexp_extract(_c(text), SPAN_RE, 1)) \
+            .withColumn("__sp2", F.regexp_extract(_c(text), SPAN_RE, 2))
+    for raw, tag in (("__sp1", "a"), ("__sp2", "b")):
+        # the regex guarantees digits, so a plain cast is safe once non-empty
+        # (a failing try_cast costs an exception per row)
+        has = F.col(raw) != ""
+        out = out.withColumn(f"__d{tag}", F.when(has, F.substring(raw, 1, 2).cast("int"))) \
+                 .withColumn(f"__m{tag}", F.when(has, F.substring(raw, 4, 2).cast("int"))) \
+                 .withColumn(f"__y{tag}", F.when(has, F.substring(raw, 7, 4).cast("int")))
+    out = out.withColumn(start, make_date_or_null(F.col("__ya"), F.col("__ma"), F.col("__da"))) \
+             .withColumn(end, make_date_or_null(F.col("__yb"), F.col("__mb"), F.col("__db")))
+    return out.drop("__sp1", "__sp2", "__da", "__ma", "__ya", "__db", "__mb", "__yb")
+
+
 def span_start(c) -> Column:
     """First date of a ``dd/mm/yyyy-dd/mm/yyyy`` span, null when absent or invalid."""
-    s = F.regexp_extract(_c(c), SPAN_RE, 1)
-    return F.when(s != "", F.try_to_date(s, "dd/MM/yyyy"))
+    return parse_dmy(F.regexp_extract(_c(c), SPAN_RE, 1))
 
 
 def span_end(c) -> Column:
-    s = F.regexp_extract(_c(c), SPAN_RE, 2)
-    return F.when(s != "", F.try_to_date(s, "dd/MM/yyyy"))
+    return parse_dmy(F.regexp_extract(_c(c), SPAN_RE, 2))
 
 
 def parse_money_text(c) -> Column:

@@ -136,22 +136,28 @@ def equal_split(bookings: DataFrame, payments: DataFrame, keys: Sequence[str],
                    .withColumnRenamed("__n", "bookings_in_key")
 
 
-def to_full_month(value, span_text) -> Column:
+def full_month_value(value, start, end) -> Column:
     """AL-7: value x days in the span's month / days covered, at least one day,
-    rounded half away from zero to cents. Rows without a valid span keep value.
+    rounded half away from zero to cents; rows without both span dates keep
+    the value. ``start``/``end`` come from :func:`ledgerly.functions.text.with_span`.
 
     Computed on integer cents so the rounding is exact.
     """
     v = F.col(value) if isinstance(value, str) else value
-    start = T.span_start(span_text)
-    end = T.span_end(span_text)
-    dim = F.dayofmonth(F.last_day(start)).cast("bigint")
-    span = F.greatest(F.datediff(end, start) + 1, F.lit(1)).cast("bigint")
+    s, e = F.col(start), F.col(end)
+    dim = F.dayofmonth(F.last_day(s)).cast("bigint")
+    span = F.greatest(F.datediff(e, s) + 1, F.lit(1)).cast("bigint")
     cents = (v.cast(MONEY) * 100).cast("bigint")
     num = F.abs(cents) * dim * 2 + span
     q = F.floor(num / (span * 2)).cast("bigint")  # exact: operands are bigints < 2^53
     rounded = (F.signum(cents).cast("bigint") * q).cast("decimal(20,0)") / 100
-    return F.when(start.isNotNull() & end.isNotNull(), rounded.cast(MONEY)).otherwise(v.cast(MONEY))
+    return F.when(s.isNotNull() & e.isNotNull(), rounded.cast(MONEY)).otherwise(v.cast(MONEY))
+
+
+def to_full_month(df: DataFrame, value: str, text: str, out: str = "full_value") -> DataFrame:
+    """AL-7 on a DataFrame: parse the span of ``text`` and add ``out``."""
+    return T.with_span(df, text, "__fs", "__fe") \
+            .withColumn(out, full_month_value(value, "__fs", "__fe")).drop("__fs", "__fe")
 
 
 # Month names written in sale lines (with the plain spelling of março).
@@ -160,26 +166,31 @@ MONTH_WORDS = [("janeiro", 1), ("fevereiro", 2), ("março", 3), ("marco", 3), ("
                ("outubro", 10), ("novembro", 11), ("dezembro", 12)]
 
 
+MONTH_WORD_RE = "(" + "|".join(w for w, _ in MONTH_WORDS) + r") (\d{2})"
+
+
 def named_month(text) -> Column:
-    """First ``<month name> <yy>`` in the text -> first day of that month, else null."""
+    """The first ``<month name> <yy>`` in the text -> first day of that month, else null.
+
+    One regex with an alternation plus a literal map lookup, so the
+    expression stays small enough for whole-stage codegen.
+    """
     t = F.lower(F.col(text) if isinstance(text, str) else text)
-    out = None
-    for word, m in MONTH_WORDS:
-        yy = F.regexp_extract(t, word + r" (\d{2})", 1)
-        d = F.when(yy != "", F.make_date(F.concat(F.lit("20"), yy).cast("int"), F.lit(m), F.lit(1)))
-        out = d if out is None else F.coalesce(out, d)
-    return out
+    name = F.regexp_extract(t, MONTH_WORD_RE, 1)
+    yy = F.regexp_extract(t, MONTH_WORD_RE, 2)
+    m = F.element_at(F.create_map(*[x for w, n in MONTH_WORDS for x in (F.lit(w), F.lit(n))]), name)
+    return F.when(name != "", F.make_date(F.concat(F.lit("20"), yy).cast("int"), m, F.lit(1)))
 
 
 def item_period(df: DataFrame, text: str, pay_date: str, sale_date: str) -> DataFrame:
     """AL-8: the period an item pays for: the span in its text, else a
     ``<month> <yy>`` name, else the month of payment (or sale)."""
     fallback = F.trunc(F.to_date(F.coalesce(F.col(pay_date), F.col(sale_date).cast("timestamp_ntz"))), "MM")
-    nm = named_month(text)
-    start = F.coalesce(T.span_start(text), nm, fallback)
-    end = F.coalesce(T.span_end(text), F.last_day(nm), F.last_day(fallback))
-    return df.withColumn("item_start", start).withColumn("item_end", end) \
-             .withColumn("plan_month", F.trunc("item_start", "MM"))
+    out = (T.with_span(df, text, "__ss", "__se")
+             .withColumn("__nm", named_month(text)).withColumn("__fb", fallback))
+    out = out.withColumn("item_start", F.coalesce("__ss", "__nm", "__fb")) \
+             .withColumn("item_end", F.coalesce(F.col("__se"), F.last_day("__nm"), F.last_day("__fb")))
+    return out.withColumn("plan_month", F.trunc("item_start", "MM")).drop("__ss", "__se", "__nm", "__fb")
 
 
 def infer_plan(value, prices: Sequence[tuple], low: float = 50.0,

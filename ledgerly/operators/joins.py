@@ -120,13 +120,18 @@ def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_te
 
     keys = facts.select(ncode(fact_code).alias("__code"), ntext(fact_text).alias("__text"),
                         F.to_date(fact_date).alias("__d")).distinct()
-    c = costs.select(ncode(cost_code).alias("__ccode"), ntext(cost_text).alias("__ctext"),
-                     F.col(start).alias("__s"), F.col(end).alias("__e"), F.col(ordinal).alias("__ord"))
+    # Rows sharing a match key and a validity range collapse to their lowest
+    # ordinal first (exact: the winner over a set of equal ranges is its
+    # minimum), so a popular name meets a handful of ranges, not every row.
+    c_code = costs.groupBy(ncode(cost_code).alias("__ccode"), F.col(start).alias("__s"),
+                           F.col(end).alias("__e")).agg(F.min(ordinal).alias("__ord"))
+    c_text = costs.groupBy(ntext(cost_text).alias("__ctext"), F.col(start).alias("__s"),
+                           F.col(end).alias("__e")).agg(F.min(ordinal).alias("__ord"))
     in_range = (F.col("__s").isNull() | (F.col("__d") >= F.col("__s"))) & \
                (F.col("__e").isNull() | (F.col("__d") <= F.col("__e")))
-    by_code = keys.join(c, keys.__code == c.__ccode, "inner").where(in_range) \
+    by_code = keys.join(c_code, keys.__code == c_code.__ccode, "inner").where(in_range) \
                   .select("__code", "__text", "__d", "__ord")
-    by_text = keys.join(c, keys.__text == c.__ctext, "inner").where(in_range) \
+    by_text = keys.join(c_text, keys.__text == c_text.__ctext, "inner").where(in_range) \
                   .select("__code", "__text", "__d", "__ord")
     win = by_code.unionByName(by_text).groupBy("__code", "__text", "__d").agg(F.min("__ord").alias("__ord"))
     win = win.join(costs.select(F.col(ordinal).alias("__ord"), *cost_cols), "__ord", "left")
@@ -189,11 +194,13 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
     long_b = fb.where(F.size("__bw") >= n_words) \
                .select("__b", F.array_join(F.slice("__bw", 1, n_words), " ").alias("__key"))
     short_b = fb.where(F.size("__bw") < n_words).select("__b", "__fb")
-    aw = F.split("__fa", " ")
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size(aw) - n_words + 1, F.lit(1))),
-                        lambda i: F.array_join(F.slice(aw, i, n_words), " "))
-    keys = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
-    cand = keys.join(long_b, "__key", "inner").select("__a", "__b").distinct()
+    # the word array is computed once per text; each key is a slice of it
+    aw = fa.select("__a", F.split("__fa", " ").alias("__aw"))
+    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("__aw") - n_words + 1, F.lit(1))),
+                        lambda i: F.array_join(F.slice(F.col("__aw"), i, n_words), " "))
+    # keys are distinct per text by construction, so (a, b) candidates are too
+    keys = aw.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
+    cand = keys.join(long_b, "__key", "inner").select("__a", "__b")
     hits = cand.join(fa, "__a").join(fb.select("__b", "__fb"), "__b") \
                .where(F.contains(F.col("__fa"), F.col("__fb"))).select("__a", "__b")
     short_hits = fa.join(F.broadcast(short_b), F.contains(F.col("__fa"), F.col("__fb")), "inner") \

@@ -220,5 +220,6 @@ def full_month(spark, d):
     """AL-7 and AL-8 with CA-3: the period a payment covers and its full-month value."""
     o = tpch.table(spark, d, "orders").withColumn("txt", span_text())
     o = A.item_period(o, "txt", "o_orderdate", "o_orderdate")
+    o = A.to_full_month(o, "o_totalprice", "txt")
     return o.select("o_orderkey", "item_start", "item_end", "plan_month",
-                    A.to_full_month(F.col("o_totalprice"), "txt").cast("double").alias("full_value"))
+                    F.col("full_value").cast("double").alias("full_value"))
