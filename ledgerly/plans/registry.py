@@ -30,4 +30,5 @@ def load_all() -> None:
         q_alloc,
         q_joins,
         q_agg,
+        q_reports,
     )
