@@ -223,3 +223,87 @@ def full_month(spark, d):
     o = A.to_full_month(o, "o_totalprice", "txt")
     return o.select("o_orderkey", "item_start", "item_end", "plan_month",
                     F.col("full_value").cast("double").alias("full_value"))
+
+
+SQL_COMMISSION = f"""
+WITH {SQL_SLOTS}, {SQL_ITEMS}, {SQL_ALLOC_PAIRS},
+bk AS (SELECT o_orderkey AS booking_id, o_custkey AS cust_key, CAST(o_orderdate AS DATE) AS booking_date,
+              CAST(date_trunc('month', o_orderdate) AS DATE) AS plan_month, o_orderpriority AS slot,
+              CASE o_orderstatus WHEN 'F' THEN 'R' WHEN 'O' THEN 'N' ELSE 'A' END AS slot_type,
+              'prof ' || o_orderpriority AS professor FROM orders),
+fb AS (SELECT bk.booking_id, bk.booking_date, bk.professor, bk.cust_key, bk.slot,
+              coalesce(a.v / nullif(a.bookings_count, 0), 0.0) AS bv,
+              coalesce(a.b / nullif(a.bookings_count, 0), 0.0) AS cb,
+              coalesce(a.paid, false) AS is_paid, a.pay_date
+       FROM bk LEFT JOIN alloc a ON a.cust_key = bk.cust_key AND a.plan_month = bk.plan_month
+                               AND a.slot = bk.slot AND a.slot_type = bk.slot_type),
+li AS (SELECT row_number() OVER () AS rid, o.o_custkey AS cust_key, CAST(l.l_shipdate AS DATE) AS ship_date,
+              l.l_shipdate AS pay_date, CAST(date_trunc('month', l.l_shipdate) AS DATE) AS m,
+              CAST(l.l_extendedprice AS DECIMAL(18,2)) AS v,
+              CASE WHEN l.l_discount > 0.08
+                   THEN CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 + CAST(l.l_tax AS DECIMAL(18,2)))
+                   ELSE CAST(l.l_extendedprice AS DECIMAL(18,2)) END AS b,
+              l.l_linestatus = 'F' AS paid
+       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+un AS (SELECT * FROM li WHERE NOT EXISTS (SELECT 1 FROM slots s WHERE s.cust_key = li.cust_key AND s.plan_month = li.m)),
+nb AS (SELECT un.*, bk.professor,
+              row_number() OVER (PARTITION BY un.rid ORDER BY abs(datediff('day', bk.booking_date, un.ship_date)),
+                                 bk.booking_date, bk.booking_id) AS rn
+       FROM un LEFT JOIN bk ON bk.cust_key = un.cust_key)
+SELECT booking_id, booking_date, 'clase_colectiva' AS booking_type, professor, cust_key,
+       floor(bv * 1.0 * 100 + 0.5) / 100 AS booking_value, floor(cb * 1.0 * 100 + 0.5) / 100 AS commission_base,
+       is_paid, pay_date
+FROM fb WHERE NOT (isodow(booking_date) = 6 AND slot = '1-URGENT')
+UNION ALL
+SELECT booking_id, booking_date, 'clase_colectiva', professor, cust_key,
+       floor(bv * 0.5 * 100 + 0.5) / 100, floor(cb * 0.5 * 100 + 0.5) / 100, is_paid, pay_date
+FROM fb WHERE isodow(booking_date) = 6 AND slot = '1-URGENT'
+UNION ALL
+SELECT booking_id, booking_date, 'clase_colectiva', 'prof partner', cust_key,
+       floor(bv * 0.5 * 100 + 0.5) / 100, floor(cb * 0.5 * 100 + 0.5) / 100, is_paid, pay_date
+FROM fb WHERE isodow(booking_date) = 6 AND slot = '1-URGENT'
+UNION ALL
+SELECT CAST(NULL AS BIGINT), ship_date, 'unallocated_payment', coalesce(professor, 'Sem professor'), cust_key,
+       floor(CAST(v AS DOUBLE) * 100 + 0.5) / 100, floor(CAST(b AS DOUBLE) * 100 + 0.5) / 100, paid, pay_date
+FROM nb WHERE rn = 1
+"""
+
+
+@register("commission_detail", sql=SQL_COMMISSION)
+def commission_detail(spark, d):
+    """RP-1: one row per booking (value spread from its slot's allocation, AL-3),
+    Saturday urgent bookings split with a partner (ST-5), and every payment
+    whose customer-month has no slot as its own row labelled by the nearest
+    booking of the customer (AL-4 with JN-9 and JN-10); sentinel otherwise."""
+    from ledgerly.functions import dates as Dt
+    from ledgerly.operators import joins as J
+    a = alloc_slots(spark, d)
+    bk = tpch.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("booking_id"), F.col("o_custkey").alias("cust_key"),
+        F.to_date("o_orderdate").alias("booking_date"),
+        F.trunc(F.to_date("o_orderdate"), "MM").alias("plan_month"),
+        F.col("o_orderpriority").alias("slot"), tpch.slot_class().alias("slot_type"),
+        F.concat(F.lit("prof "), F.col("o_orderpriority")).alias("professor"))
+    fb = bk.join(a, ["cust_key", "plan_month", "slot", "slot_type"], "left")
+    fb = A.spread(fb, "value", "bookings_count", "booking_value")
+    fb = A.spread(fb, "base", "bookings_count", "commission_base")
+    fb = fb.select("booking_id", "booking_date", F.lit("clase_colectiva").alias("booking_type"), "professor",
+                   "cust_key", "slot", "booking_value", "commission_base",
+                   F.coalesce("paid", F.lit(False)).alias("is_paid"), "pay_date")
+    split = (Dt.isodow("booking_date") == 6) & (F.col("slot") == "1-URGENT")
+    fb = A.share_split(fb, split, "professor", "prof partner", ["booking_value", "commission_base"]).drop("slot")
+
+    items = tpch.sale_items(spark, d, preaggregate=False)
+    slot_keys = bk.select("cust_key", "plan_month").distinct()
+    un = items.join(slot_keys, ["cust_key", "plan_month"], "left_anti") \
+              .withColumn("ship_date", F.to_date("pay_date"))
+    un = J.nearest(un, bk, ["cust_key"], "ship_date", "booking_date", ["professor"], "booking_id")
+    un = un.select(F.lit(None).cast("bigint").alias("booking_id"), F.col("ship_date").alias("booking_date"),
+                   F.lit("unallocated_payment").alias("booking_type"),
+                   F.coalesce("professor", F.lit("Sem professor")).alias("professor"), "cust_key",
+                   F.col("value").cast("double").alias("booking_value"),
+                   F.col("base").cast("double").alias("commission_base"),
+                   F.col("paid").alias("is_paid"), "pay_date")
+    out = fb.unionByName(un)
+    return out.withColumn("booking_value", round2("booking_value")) \
+              .withColumn("commission_base", round2("commission_base"))
