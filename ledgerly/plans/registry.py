@@ -31,4 +31,5 @@ def load_all() -> None:
         q_joins,
         q_agg,
         q_reports,
+        q_filters,
     )
