@@ -60,7 +60,9 @@ def test_schedule_stream(spark):
     d = tempfile.mkdtemp(prefix="ledgerly-stream-in-")
     _write(d, "a.csv", CSV1)
     out = tempfile.mkdtemp(prefix="ledgerly-stream-out-") + "/sched"
-    q = start_schedule_stream(spark, d, out, "acq", name="sched_test")
+    # a stream resumes from its checkpoint, so each test run takes a new query name
+    name = "sched_test_" + os.path.basename(d).replace("-", "_")
+    q = start_schedule_stream(spark, d, out, "acq", name=name)
     try:
         q.processAllAvailable()
     finally:
