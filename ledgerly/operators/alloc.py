@@ -70,44 +70,61 @@ def allocate(slots: DataFrame, items: DataFrame, keys: Sequence[str], slot_cols:
     if date_col:
         aggs.append(F.max(date_col).alias(date_col))
     aggs += [F.bool_or(f).alias(f) for f in flags]
-    grp = items.groupBy(*keys, F.col(item_type).alias("__itype"), *carry).agg(*aggs)
-
-    # 2. slot coverage (JN-6) and the three weight sums (WN-1).
-    item_types = grp.select(*keys, F.col("__itype").alias(slot_type)).distinct() \
-                    .withColumn("__covered", F.lit(True))
-    s = slots.join(item_types, keys + [slot_type], "left") \
-             .withColumn("__covered", F.coalesce("__covered", F.lit(False)))
+    grp = items.groupBy(*keys, F.col(item_type).alias("__type"), *carry).agg(*aggs)
+
+    # 2. slots and item groups in one frame, hash-partitioned once by the key.
+    #    Every later step (windows by key and by key+type, the pair join, the
+    #    final aggregate) is clustered by a superset of the key, so it reuses
+    #    this partitioning instead of shuffling again.
+    s_cols = [F.col(c) for c in slot_cols]
+    u = slots.select(*keys, F.col(slot_type).alias("__type"), F.lit(0).alias("__kind"),
+                     F.col(weight).cast("bigint").alias("__w"),
+                     F.struct(*s_cols).alias("__slot"), F.lit(None).alias("__item"))
+    item_struct = F.struct(*[F.col(c) for c in carry + list(measures)
+                             + ([date_col] if date_col else []) + list(flags)])
+    g = grp.select(*keys, "__type", F.lit(1).alias("__kind"), F.lit(None).cast("bigint").alias("__w"),
+                   F.lit(None).cast(u.schema["__slot"].dataType).alias("__slot"), item_struct.alias("__item"))
+    u = u.withColumn("__item", F.lit(None).cast(g.schema["__item"].dataType))
+    u = u.unionByName(g).repartition(*keys)
     by_key = Window.partitionBy(*keys)
-    s = (s.withColumn("__w_type", F.sum(weight).over(Window.partitionBy(*keys, slot_type)))
-          .withColumn("__w_total", F.sum(weight).over(by_key))
-          .withColumn("__w_unc", F.sum(F.when(~F.col("__covered"), F.col(weight))
+    by_type = Window.partitionBy(*keys, "__type")
+    is_slot = F.col("__kind") == 0
+    u = (u.withColumn("__w_total", F.sum("__w").over(by_key))
+          .withColumn("__has_slot", F.max(is_slot).over(by_type))            # WN-2 / JN-6
+          .withColumn("__has_item", F.max(~is_slot).over(by_type))
+          .withColumn("__w_type", F.sum("__w").over(by_type))                # WN-1
+          .withColumn("__w_unc", F.sum(F.when(is_slot & ~F.col("__has_item"), F.col("__w"))
                                         .otherwise(F.lit(0))).over(by_key)))
 
-    # 3. does the item's type have a slot of its own (WN-2 as an existence join)?
-    slot_types = slots.select(*keys, F.col(slot_type).alias("__itype")).distinct() \
-                      .withColumn("__has_match", F.lit(True))
-    g = grp.join(slot_types, keys + ["__itype"], "left") \
-           .withColumn("__has_match", F.coalesce("__has_match", F.lit(False)))
-
-    # 4. pairs of one key (JN-7) and the tiered share.
-    p = s.join(g, keys, "inner")
-    w = F.col(weight)
-    share_den = (F.when(F.col("__has_match"),
-                        F.when(F.col("__itype") == F.col(slot_type), F.col("__w_type")))
-                 .when(F.col("__w_unc") > 0,
-                       F.when(~F.col("__covered"), F.col("__w_unc")))
-                 .otherwise(F.col("__w_total")))
-    p = p.withColumn("__den", share_den)
+    # 3. pairs of one key (JN-7). A key's item groups are at most
+    #    (item types x carried values), so each slot row takes them as a
+    #    small array from a whole-key window and explodes it: no self-join,
+    #    and the union above is computed once.
+    info = F.when(~is_slot, F.struct(F.col("__type").alias("t"), F.col("__has_slot").alias("hm"),
+                                     F.col("__item").alias("i")))
+    u = u.withColumn("__items", F.collect_list(info).over(by_key))
+    p = (u.where(is_slot)
+          .select(*keys, F.col("__type").alias("__stype"), "__w", "__slot", "__w_total", "__w_type",
+                  "__w_unc", F.col("__has_item").alias("__covered"), F.explode("__items").alias("__x"))
+          .select("*", F.col("__x.t").alias("__itype"), F.col("__x.hm").alias("__has_match"),
+                  F.col("__x.i").alias("__item"))
+          .drop("__x"))
+    den = (F.when(F.col("__has_match"),
+                  F.when(F.col("__itype") == F.col("__stype"), F.col("__w_type")))
+            .when(F.col("__w_unc") > 0, F.when(~F.col("__covered"), F.col("__w_unc")))
+            .otherwise(F.col("__w_total")))
+    p = p.withColumn("__den", den)
     out_aggs = []
     for m in measures:
         alloc = F.when(F.col("__den").isNotNull(),
-                       F.col(m).cast("double") * w / F.col("__den")).otherwise(F.lit(0.0))
+                       F.col(f"__item.{m}").cast("double") * F.col("__w") / F.col("__den")).otherwise(F.lit(0.0))
         out_aggs.append(F.sum(alloc).alias(m))
     if date_col:
-        out_aggs.append(F.max(F.when(F.col("__den").isNotNull() & (F.col(measures[0]) > 0),
-                                     F.col(date_col))).alias(date_col))
-    out_aggs += [F.bool_or(f).alias(f) for f in flags]
-    return p.groupBy(*keys, *slot_cols, *carry).agg(*out_aggs)
+        out_aggs.append(F.max(F.when(F.col("__den").isNotNull() & (F.col(f"__item.{measures[0]}") > 0),
+                                     F.col(f"__item.{date_col}"))).alias(date_col))
+    out_aggs += [F.bool_or(F.col(f"__item.{f}")).alias(f) for f in flags]
+    grouped = [F.col(f"__slot.{c}").alias(c) for c in slot_cols] + [F.col(f"__item.{c}").alias(c) for c in carry]
+    return p.groupBy(*keys, *grouped).agg(*out_aggs)
 
 
 def spread(df: DataFrame, value: str, count: str, out: str) -> DataFrame:
