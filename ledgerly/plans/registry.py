@@ -32,4 +32,5 @@ def load_all() -> None:
         q_agg,
         q_reports,
         q_filters,
+        q_estimates,
     )
