@@ -33,4 +33,5 @@ def load_all() -> None:
         q_reports,
         q_filters,
         q_estimates,
+        q_projection,
     )
