@@ -194,3 +194,56 @@ def first_per(spark, d):
     best = F.min(F.struct(F.col("o_orderdate"), F.col("o_orderkey")))
     return o.groupBy("o_custkey").agg(best.alias("b")).select(
         "o_custkey", F.col("b.o_orderkey").alias("first_order"), F.to_date("b.o_orderdate").alias("first_date"))
+
+
+@register("override_overlay", sql="""
+WITH base AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS due, CAST(o_totalprice AS DECIMAL(18,2)) AS amount,
+                     o_orderpriority AS name, o_orderstatus AS st, o_orderdate, o_totalprice FROM orders),
+v1 AS (SELECT id AS k, o_orderdate + INTERVAL 1 DAY AS ts, name = '1-URGENT' AS is_deleted,
+              CASE WHEN name = '2-HIGH' THEN amount * 2 END AS custom_amount,
+              CASE WHEN name = '3-MEDIUM' THEN due + 40 END AS custom_due, CAST(NULL AS VARCHAR) AS custom_name
+       FROM base WHERE st = 'P'),
+v2 AS (SELECT id AS k, o_orderdate + INTERVAL 2 DAY AS ts, name = '2-HIGH' AS is_deleted,
+              CAST(NULL AS DECIMAL(18,2)) AS custom_amount, CAST(NULL AS DATE) AS custom_due,
+              CASE WHEN name = '4-NOT SPECIFIED' THEN 'renamed' END AS custom_name
+       FROM base WHERE st = 'P' AND (name = '4-NOT SPECIFIED' OR (name = '2-HIGH' AND o_totalprice > 200000))),
+u AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2),
+m AS (SELECT k, arg_max(custom_amount, ts) FILTER (WHERE custom_amount IS NOT NULL) AS custom_amount,
+             arg_max(custom_due, ts) FILTER (WHERE custom_due IS NOT NULL) AS custom_due,
+             arg_max(custom_name, ts) FILTER (WHERE custom_name IS NOT NULL) AS custom_name,
+             arg_max(is_deleted, ts) AS is_deleted
+      FROM u GROUP BY k)
+SELECT b.id, coalesce(m.custom_due, b.due) AS due,
+       CAST(date_trunc('month', coalesce(m.custom_due, b.due)) AS DATE) AS month,
+       CAST(coalesce(m.custom_amount, b.amount) AS DOUBLE) AS amount, coalesce(m.custom_name, b.name) AS name
+FROM base b LEFT JOIN m ON m.k = b.id WHERE NOT coalesce(m.is_deleted, false)
+UNION ALL
+SELECT -id, due, CAST(date_trunc('month', due) AS DATE), 100.0, 'manual' FROM base WHERE st = 'P' AND name = '5-LOW'
+""")
+def override_overlay(spark, d):
+    """JN-13 with SK-4: two override versions merged per key (latest per column,
+    tombstones keep the rest), overlaid on ledger rows, manual rows appended."""
+    o = table(spark, d, "orders")
+    base = o.select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("due"),
+                    money("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("name"))
+    p = o.where(F.col("o_orderstatus") == "P")
+    pri = F.col("o_orderpriority")
+    v1 = p.select(F.col("o_orderkey").alias("k"), (F.col("o_orderdate") + F.expr("interval 1 day")).alias("ts"),
+                  (pri == "1-URGENT").alias("is_deleted"),
+                  F.when(pri == "2-HIGH", money("o_totalprice") * 2).alias("custom_amount"),
+                  F.when(pri == "3-MEDIUM", F.date_add(F.to_date("o_orderdate"), 40)).alias("custom_due"),
+                  F.lit(None).cast("string").alias("custom_name"))
+    v2 = p.where((pri == "4-NOT SPECIFIED") | ((pri == "2-HIGH") & (F.col("o_totalprice") > 200000))) \
+          .select(F.col("o_orderkey").alias("k"), (F.col("o_orderdate") + F.expr("interval 2 days")).alias("ts"),
+                  (pri == "2-HIGH").alias("is_deleted"), F.lit(None).cast("decimal(29,2)").alias("custom_amount"),
+                  F.lit(None).cast("date").alias("custom_due"),
+                  F.when(pri == "4-NOT SPECIFIED", F.lit("renamed")).alias("custom_name"))
+    merged = J.merge_overrides(v1, v2, "k", "ts", ["custom_amount", "custom_due", "custom_name"]) \
+              .withColumn("is_manual", F.lit(False))
+    manual = p.where(pri == "5-LOW").select((-F.col("o_orderkey")).alias("id"), F.to_date("o_orderdate").alias("due"),
+                                           F.lit(100).cast("decimal(18,2)").alias("amount"), F.lit("manual").alias("name"))
+    out = J.apply_overrides(base, merged.withColumnRenamed("k", "id"), "id",
+                            {"amount": "custom_amount", "due": "custom_due", "name": "custom_name"},
+                            "is_deleted", "is_manual", manual_rows=manual)
+    return out.select("id", "due", F.trunc("due", "MM").alias("month"), F.col("amount").cast("double").alias("amount"),
+                      "name")
