@@ -235,3 +235,38 @@ def month_spine(df: DataFrame, end_month, n: int, keys_df: DataFrame | None = No
         base = keys_df.select("*", seq.alias("month"))
         on = ["month"] + list(keys_df.columns)
     return base.join(df, on, "left")
+
+
+# The date and time tokens a sale line may carry (overlapping matches).
+DATE_TOKEN_RE = r"(?=(\d{2}/\d{2}/\d{4}))"
+TIME_TOKEN_RE = r"(?=(\d{2}:\d{2}))"
+
+
+def match_payments(bookings: DataFrame, items: DataFrame, pays: DataFrame, b_id: str, b_cust: str, b_date: str,
+                   b_time: str, i_key: str, i_cust: str, i_text: str, i_paydate: str, i_value: str,
+                   p_booking: str, p_date: str, p_amount: str) -> DataFrame:
+    """JN-4: (booking, item) pairs of the same customer where the item text
+    holds the booking's ``dd/mm/yyyy`` date **and** its ``HH:MM`` time, **or**
+    a payment row of the booking has the item's pay date and amount.
+
+    Plan: instead of testing every booking of a customer against every item
+    (``LIKE`` under ``OR``), the text branch extracts every date and time
+    token of the item text (overlapping matches, so containment is exact)
+    and equi-joins on (customer, date, time); the payment branch equi-joins
+    items to payments on (date, amount) and then to the booking on
+    (booking, customer). The union is made distinct.
+    """
+    b = bookings.select(F.col(b_id).alias("__b"), F.col(b_cust).alias("__c"),
+                        F.date_format(F.col(b_date), "dd/MM/yyyy").alias("__dt"), F.col(b_time).alias("__tm"))
+    t = items.select(F.col(i_key).alias("__i"), F.col(i_cust).alias("__c"), F.col(i_text).alias("__txt"))
+    t = t.select("__i", "__c", "__txt",
+                 F.explode(F.array_distinct(F.regexp_extract_all("__txt", F.lit(DATE_TOKEN_RE), 1))).alias("__dt"))
+    t = t.select("__i", "__c", "__dt",
+                 F.explode(F.array_distinct(F.regexp_extract_all("__txt", F.lit(TIME_TOKEN_RE), 1))).alias("__tm"))
+    by_text = t.join(b, ["__c", "__dt", "__tm"]).select("__b", "__i", "__c")
+    iv = items.select(F.col(i_key).alias("__i"), F.col(i_cust).alias("__c"), F.col(i_paydate).alias("__pd"),
+                      F.col(i_value).alias("__v"))
+    pv = pays.select(F.col(p_booking).alias("__b"), F.col(p_date).alias("__pd"), F.col(p_amount).alias("__v"))
+    by_pay = iv.join(pv, ["__pd", "__v"]).join(b.select("__b", "__c"), ["__b", "__c"]).select("__b", "__i", "__c")
+    return by_text.unionByName(by_pay).distinct() \
+                  .select(F.col("__b").alias(b_id), F.col("__i").alias(i_key), F.col("__c").alias(i_cust))

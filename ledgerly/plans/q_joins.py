@@ -247,3 +247,41 @@ def override_overlay(spark, d):
                             "is_deleted", "is_manual", manual_rows=manual)
     return out.select("id", "due", F.trunc("due", "MM").alias("month"), F.col("amount").cast("double").alias("amount"),
                       "name")
+
+
+@register("match_either", sql="""
+WITH bk AS (SELECT o_orderkey AS booking_id, o_custkey AS cust_key, CAST(o_orderdate AS DATE) AS bdate,
+                   lpad(CAST(7 + o_orderkey % 14 AS VARCHAR), 2, '0') || ':00' AS btime FROM orders),
+it AS (SELECT l.l_orderkey * 100 + l.l_linenumber AS item_key, o.o_custkey AS cust_key, l.l_shipdate AS pay_date,
+              l.l_extendedprice AS value,
+              CASE l.l_returnflag
+                   WHEN 'N' THEN 'Aula ' || strftime(o.o_orderdate, '%d/%m/%Y') || ' ' || lpad(CAST(7 + o.o_orderkey % 14 AS VARCHAR), 2, '0') || ':00'
+                   WHEN 'A' THEN 'Aula ' || strftime(o.o_orderdate, '%d/%m/%Y') ELSE 'Pacote' END AS txt
+       FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+pay AS (SELECT l_orderkey AS booking_id, l_shipdate AS payment_date, l_extendedprice AS amount
+        FROM lineitem WHERE l_returnflag = 'R')
+SELECT DISTINCT bk.booking_id, it.item_key, it.cust_key
+FROM bk JOIN it ON it.cust_key = bk.cust_key
+WHERE (it.txt LIKE '%' || strftime(bk.bdate, '%d/%m/%Y') || '%' AND it.txt LIKE '%' || bk.btime || '%')
+   OR EXISTS (SELECT 1 FROM pay WHERE pay.booking_id = bk.booking_id AND pay.payment_date = it.pay_date
+              AND pay.amount = it.value)
+""")
+def match_either(spark, d):
+    """JN-4: single-lesson payments matched to bookings by date-and-time text or by a payment row."""
+    o = table(spark, d, "orders")
+    btime = F.concat(F.lpad((F.lit(7) + F.col("o_orderkey") % 14).cast("string"), 2, "0"), F.lit(":00"))
+    bk = o.select(F.col("o_orderkey").alias("booking_id"), F.col("o_custkey").alias("cust_key"),
+                  F.to_date("o_orderdate").alias("bdate"), btime.alias("btime"))
+    li = table(spark, d, "lineitem")
+    x = li.join(o.select("o_orderkey", "o_custkey", "o_orderdate"), li.l_orderkey == o.o_orderkey)
+    dtxt = F.date_format("o_orderdate", "dd/MM/yyyy")
+    txt = F.when(F.col("l_returnflag") == "N", F.concat(F.lit("Aula "), dtxt, F.lit(" "), btime)) \
+           .when(F.col("l_returnflag") == "A", F.concat(F.lit("Aula "), dtxt)).otherwise(F.lit("Pacote"))
+    it = x.select((F.col("l_orderkey") * 100 + F.col("l_linenumber")).alias("item_key"),
+                  F.col("o_custkey").alias("cust_key"), F.col("l_shipdate").alias("pay_date"),
+                  F.col("l_extendedprice").alias("value"), txt.alias("txt"))
+    pay = li.where(F.col("l_returnflag") == "R").select(F.col("l_orderkey").alias("booking_id"),
+                                                        F.col("l_shipdate").alias("payment_date"),
+                                                        F.col("l_extendedprice").alias("amount"))
+    return J.match_payments(bk, it, pay, "booking_id", "cust_key", "bdate", "btime", "item_key", "cust_key", "txt",
+                            "pay_date", "value", "booking_id", "payment_date", "amount")
