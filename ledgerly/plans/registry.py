@@ -34,4 +34,5 @@ def load_all() -> None:
         q_filters,
         q_estimates,
         q_projection,
+        q_dashboard,
     )
