@@ -35,4 +35,5 @@ def load_all() -> None:
         q_estimates,
         q_projection,
         q_dashboard,
+        q_more,
     )
