@@ -200,3 +200,160 @@ def court_occupancy(spark, d):
     j = p.join(cal, "month")
     return j.select("month", "court", "productive", "maintenance",
                     round2(F.col("productive") * 100.0 / F.col("open_hours")).alias("occupancy_pct"))
+
+
+@register("operations_kpis", sql="""
+WITH l AS (SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS month, o.o_custkey,
+                  CAST(l.l_extendedprice AS DECIMAL(18,2)) AS gross,
+                  CAST(l.l_extendedprice AS DECIMAL(18,2)) * CAST(l.l_discount AS DECIMAL(18,2)) AS disc
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+k AS (SELECT month, sum(gross - disc) AS revenue, sum(disc) AS discount, sum(gross) AS gross,
+             count(DISTINCT o_custkey) AS payers FROM l GROUP BY 1),
+h AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, count(*) AS hours FROM orders
+      WHERE o_orderstatus <> 'P' GROUP BY 1)
+SELECT k.month, CAST(k.revenue AS DOUBLE) AS revenue, CAST(k.discount AS DOUBLE) AS discount,
+       floor(coalesce(CAST(k.discount AS DOUBLE) * 100 / CAST(k.gross AS DOUBLE), 0.0) * 100 + 0.5) / 100 AS discount_share,
+       k.payers, floor(coalesce(CAST(k.revenue AS DOUBLE) / k.payers, 0.0) * 100 + 0.5) / 100 AS ticket,
+       coalesce(h.hours, 0) AS productive_hours
+FROM k LEFT JOIN h USING (month)
+""")
+def operations_kpis(spark, d):
+    """RP-4 (AG-16, AG-7, FL-8): revenue, discount, payers, ticket and productive hours per month."""
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders")
+    x = li.join(o.select("o_orderkey", "o_custkey"), li.l_orderkey == o.o_orderkey).select(
+        F.trunc(F.to_date("l_shipdate"), "MM").alias("month"), "o_custkey", money("l_extendedprice").alias("gross"),
+        (money("l_extendedprice") * money("l_discount")).alias("disc"))
+    k = x.groupBy("month").agg(F.sum(F.col("gross") - F.col("disc")).alias("revenue"), F.sum("disc").alias("discount"),
+                               F.sum("gross").alias("gross"), F.countDistinct("o_custkey").alias("payers"))
+    h = o.where(F.col("o_orderstatus") != "P").groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month")) \
+         .agg(F.count(F.lit(1)).alias("hours"))
+    j = k.join(h, "month", "left")
+    return j.select("month", F.col("revenue").cast("double").alias("revenue"),
+                    F.col("discount").cast("double").alias("discount"),
+                    round2(F.coalesce(F.try_divide(F.col("discount").cast("double") * 100, F.col("gross").cast("double")),
+                                      F.lit(0.0))).alias("discount_share"),
+                    "payers",
+                    round2(F.coalesce(F.try_divide(F.col("revenue").cast("double"), F.col("payers")), F.lit(0.0)))
+                    .alias("ticket"),
+                    F.coalesce("hours", F.lit(0)).cast("bigint").alias("productive_hours"))
+
+
+# Fixed values of the test mapping: date-effective monthly targets (from, to, class, target).
+GOAL_TARGETS = [("1995-01-01", "1997-12-31", "lesson", "400000.00"), ("1998-01-01", None, "lesson", "500000.00"),
+                ("1995-01-01", None, "other", "900000.00")]
+GOAL_RULES = [("lesson", ("any", [("contains", "p_name", "gear"), ("contains", "p_name", "widget")]))]
+
+
+@register("goals", sql="""
+WITH a AS (SELECT CAST(date_trunc('month', l.l_shipdate) AS DATE) AS month,
+                  CASE WHEN contains(lower(p.p_name), 'gear') OR contains(lower(p.p_name), 'widget') THEN 'lesson' ELSE 'other' END AS cls,
+                  sum(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS actual
+           FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey GROUP BY 1, 2),
+m AS (SELECT DISTINCT month FROM a),
+t(s, e, cls, target) AS (VALUES (DATE '1995-01-01', DATE '1997-12-31', 'lesson', 400000.00),
+                                (DATE '1998-01-01', NULL, 'lesson', 500000.00),
+                                (DATE '1995-01-01', NULL, 'other', 900000.00)),
+mt AS (SELECT m.month, t.cls, t.target FROM m JOIN t ON t.s <= m.month AND (t.e IS NULL OR t.e >= m.month))
+SELECT mt.month, mt.cls, CAST(mt.target AS DOUBLE) AS target, CAST(coalesce(a.actual, 0) AS DOUBLE) AS actual,
+       floor(CAST(coalesce(a.actual, 0) AS DOUBLE) * 100 / CAST(mt.target AS DOUBLE) * 100 + 0.5) / 100 AS pct,
+       CAST(mt.target - coalesce(a.actual, 0) AS DOUBLE) AS gap
+FROM mt LEFT JOIN a USING (month, cls)
+""")
+def goals(spark, d):
+    """RP-12 (CL-7, JN-16): monthly actuals by class against date-effective targets; percent and gap."""
+    li = table(spark, d, "lineitem")
+    p = table(spark, d, "part")
+    a = li.join(p, li.l_partkey == p.p_partkey).groupBy(
+        F.trunc(F.to_date("l_shipdate"), "MM").alias("month"), R.revenue_class(GOAL_RULES, "other").alias("cls")) \
+        .agg(F.sum(money("l_extendedprice")).alias("actual"))
+    t = rule_table(spark, GOAL_TARGETS, "s string, e string, cls string, target string") \
+        .select(F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"), "cls",
+                F.col("target").cast("decimal(18,2)").alias("target"))
+    m = a.select("month").distinct()
+    mt = m.join(F.broadcast(t), (F.col("s") <= F.col("month")) & (F.col("e").isNull() | (F.col("e") >= F.col("month"))))
+    j = mt.select("month", "cls", "target").join(a, ["month", "cls"], "left")
+    act = F.coalesce("actual", F.lit(0).cast("decimal(18,2)"))
+    return j.select("month", "cls", F.col("target").cast("double").alias("target"), act.cast("double").alias("actual"),
+                    round2(act.cast("double") * 100 / F.col("target").cast("double")).alias("pct"),
+                    (F.col("target") - act).cast("double").alias("gap"))
+
+
+# Fixed values of the test mapping: planned hourly rate per order priority.
+PLAN_RATES = [("1-URGENT", "25000.00"), ("2-HIGH", "24000.00"), ("3-MEDIUM", "23000.00"),
+              ("4-NOT SPECIFIED", "22000.00"), ("5-LOW", "21000.00")]
+
+
+@register("hourly_rate_vs_plan", sql="""
+WITH x AS (SELECT o.o_orderpriority AS type, o.o_orderkey, CAST(l.l_extendedprice AS DECIMAL(18,2)) AS gross,
+                  CAST(l.l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l.l_discount AS DECIMAL(18,2))) AS net
+           FROM lineitem l JOIN orders o ON o.o_orderkey = l.l_orderkey),
+g AS (SELECT type, count(DISTINCT o_orderkey) AS hours, sum(gross) AS gross, sum(net) AS net FROM x GROUP BY ROLLUP (type)),
+p(type, plan) AS (VALUES ('1-URGENT', 25000.00), ('2-HIGH', 24000.00), ('3-MEDIUM', 23000.00),
+                         ('4-NOT SPECIFIED', 22000.00), ('5-LOW', 21000.00))
+SELECT coalesce(g.type, 'TOTAL') AS type, g.hours,
+       floor(CAST(g.gross AS DOUBLE) / g.hours * 100 + 0.5) / 100 AS gross_rate,
+       floor(CAST(g.net AS DOUBLE) / g.hours * 100 + 0.5) / 100 AS net_rate,
+       CAST(p.plan AS DOUBLE) AS plan_rate,
+       floor((CAST(g.net AS DOUBLE) / g.hours - CAST(p.plan AS DOUBLE)) * 100 / CAST(p.plan AS DOUBLE) * 100 + 0.5) / 100 AS diff_pct
+FROM g LEFT JOIN p ON p.type = g.type
+""")
+def hourly_rate_vs_plan(spark, d):
+    """RP-9 (JN-16, AG-14): gross and net revenue per hour by type against plan, with a weighted total row."""
+    li = table(spark, d, "lineitem")
+    o = table(spark, d, "orders").select("o_orderkey", F.col("o_orderpriority").alias("type"))
+    x = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "type", "o_orderkey", money("l_extendedprice").alias("gross"),
+        (money("l_extendedprice") * (F.lit(1) - money("l_discount"))).alias("net"))
+    g = x.rollup("type").agg(F.countDistinct("o_orderkey").alias("hours"), F.sum("gross").alias("gross"),
+                             F.sum("net").alias("net"))
+    plan = rule_table(spark, PLAN_RATES, "ptype string, plan string") \
+        .select("ptype", F.col("plan").cast("decimal(18,2)").alias("plan"))
+    j = g.join(plan, g.type == plan.ptype, "left")
+    net_rate = F.col("net").cast("double") / F.col("hours")
+    plan_d = F.col("plan").cast("double")
+    return j.select(F.coalesce("type", F.lit("TOTAL")).alias("type"), "hours",
+                    round2(F.col("gross").cast("double") / F.col("hours")).alias("gross_rate"),
+                    round2(net_rate).alias("net_rate"), plan_d.alias("plan_rate"),
+                    round2((net_rate - plan_d) * 100 / plan_d).alias("diff_pct"))
+
+
+@register("mix_history", sql="""
+WITH x AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS month, o_orderpriority AS type, count(*) AS hours,
+                  sum(CAST(o_totalprice AS DECIMAL(18,2))) AS revenue
+           FROM orders GROUP BY 1, 2)
+SELECT month, type, hours,
+       floor(coalesce(hours * 100.0 / sum(hours) OVER (PARTITION BY month), 0.0) * 100 + 0.5) / 100 AS share_pct,
+       floor(CAST(revenue AS DOUBLE) / hours * 100 + 0.5) / 100 AS rate
+FROM x
+""")
+def mix_history(spark, d):
+    """RP-10 (JN-17, AG-15, AG-14): each month's hour mix by type and revenue per hour."""
+    o = table(spark, d, "orders")
+    x = o.groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month"), F.col("o_orderpriority").alias("type")) \
+         .agg(F.count(F.lit(1)).alias("hours"), F.sum(money("o_totalprice")).alias("revenue"))
+    x = G.share(x, "hours", ["month"], "share")
+    return x.select("month", "type", "hours", round2("share").alias("share_pct"),
+                    round2(F.col("revenue").cast("double") / F.col("hours")).alias("rate"))
+
+
+# Fixed values of the test mapping: statement exclusion rules (column, value, from date or none).
+EXCLUSIONS = [("o_orderpriority", "5-LOW", None, None), ("o_orderstatus", "P", "1998-01-01", "due")]
+
+
+@register("expense_lines", sql="""
+WITH x AS (SELECT CAST(o_orderdate AS DATE) AS due, o_orderpriority, o_orderstatus, CAST(o_totalprice AS DECIMAL(18,2)) AS v
+           FROM orders WHERE o_orderstatus <> 'F')
+SELECT CAST(date_trunc('month', due) AS DATE) AS month, count(*) AS n, CAST(sum(v) AS DOUBLE) AS value
+FROM x
+WHERE NOT (coalesce(o_orderpriority = '5-LOW', false) OR (coalesce(o_orderstatus = 'P', false) AND due >= DATE '1998-01-01'))
+GROUP BY 1
+""")
+def expense_lines(spark, d):
+    """FL-9: expense lines of the statement after the exclusion rules (one of them dated)."""
+    from ledgerly.operators.filters import expense_lines as excl
+    o = table(spark, d, "orders").where(F.col("o_orderstatus") != "F") \
+        .withColumn("due", F.to_date("o_orderdate"))
+    x = excl(o, EXCLUSIONS)
+    return x.groupBy(F.trunc("due", "MM").alias("month")).agg(F.count(F.lit(1)).alias("n"),
+                                                             F.sum(money("o_totalprice")).cast("double").alias("value"))
