@@ -357,3 +357,124 @@ def expense_lines(spark, d):
     x = excl(o, EXCLUSIONS)
     return x.groupBy(F.trunc("due", "MM").alias("month")).agg(F.count(F.lit(1)).alias("n"),
                                                              F.sum(money("o_totalprice")).cast("double").alias("value"))
+
+
+# Fixed values of the test mapping for RP-20 / JN-20: report month, as-of day,
+# commission items (day 20 and month end) and overrides of computed items.
+PAY_MONTH, PAY_AS_OF = "1998-08-01", "1998-08-15"
+ITEM_OVERRIDES = [(3, 1, True, None), (7, 2, False, "1234.56")]
+
+
+def commission_items(spark, d):
+    """Computed commission instalments per nation: period 1 due on day 20,
+    period 2 at month end (10% of finished order value, scaled)."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    m = F.lit(PAY_MONTH).cast("date")
+    x = o.join(c, o.o_custkey == c.c_custkey).where(
+        (F.col("o_orderstatus") == "F") & (F.col("o_orderdate") >= m) & (F.col("o_orderdate") < F.add_months(m, 1)))
+    period = F.when(F.dayofmonth("o_orderdate") <= 20, 1).otherwise(2)
+    g = x.groupBy(F.col("c_nationkey").alias("nation"), period.alias("period")).agg(
+        F.sum(money("o_totalprice") * F.lit("0.002").cast("decimal(4,3)")).alias("amount"))
+    due = F.when(F.col("period") == 1, F.date_add(m, 19)).otherwise(F.last_day(m))
+    return g.withColumn("due", due)
+
+
+@register("override_items", sql=f"""
+WITH x AS (SELECT c.c_nationkey AS nation, CASE WHEN day(o.o_orderdate) <= 20 THEN 1 ELSE 2 END AS period,
+                  CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.002 AS v
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+           WHERE o.o_orderstatus = 'F' AND o.o_orderdate >= DATE '{PAY_MONTH}' AND o.o_orderdate < DATE '{PAY_MONTH}' + INTERVAL 1 MONTH),
+g AS (SELECT nation, period, sum(v) AS amount FROM x GROUP BY 1, 2),
+ov(nation, period, is_deleted, amount) AS (VALUES (3, 1, true, NULL), (7, 2, false, 1234.56))
+SELECT g.nation, g.period,
+       CAST(CASE WHEN coalesce(ov.is_deleted, false) THEN 0 ELSE round(coalesce(ov.amount, g.amount), 2) END AS DOUBLE) AS amount
+FROM g LEFT JOIN ov ON ov.nation = g.nation AND ov.period = g.period
+""")
+def override_items(spark, d):
+    """JN-20: computed commission instalments overridden by key; a deleted item counts 0."""
+    g = commission_items(spark, d)
+    ov = rule_table(spark, ITEM_OVERRIDES, "nation int, period int, is_deleted boolean, amount string") \
+        .select(F.col("nation").alias("ov_nation"), F.col("period").alias("ov_period"), "is_deleted",
+                F.col("amount").cast("decimal(18,2)").alias("ov_amount"))
+    j = g.join(F.broadcast(ov), (g.nation == F.col("ov_nation")) & (g.period == F.col("ov_period")), "left")
+    amt = F.when(F.coalesce("is_deleted", F.lit(False)), F.lit(0.0)) \
+           .otherwise(F.round(F.coalesce(F.col("ov_amount"), F.col("amount")), 2).cast("double"))
+    return j.select("nation", "period", amt.alias("amount"))
+
+
+@register("payables", sql=f"""
+WITH l AS (SELECT 'ledger' AS source, o_orderkey AS ref, CAST(o_orderdate AS DATE) + 30 AS due,
+                  CAST(CAST(o_totalprice AS DECIMAL(18,2)) * 0.02 AS DOUBLE) AS amount
+           FROM orders WHERE o_orderstatus <> 'F'),
+lb AS (SELECT *, CASE WHEN due < DATE '{PAY_AS_OF}' THEN 'overdue'
+                      WHEN due >= DATE '{PAY_AS_OF}' AND due <= last_day(DATE '{PAY_MONTH}') THEN 'upcoming' END AS bucket FROM l),
+x AS (SELECT c.c_nationkey AS nation, CASE WHEN day(o.o_orderdate) <= 20 THEN 1 ELSE 2 END AS period,
+             CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.002 AS v
+      FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey
+      WHERE o.o_orderstatus = 'F' AND o.o_orderdate >= DATE '{PAY_MONTH}' AND o.o_orderdate < DATE '{PAY_MONTH}' + INTERVAL 1 MONTH),
+ci AS (SELECT 'commission' AS source, CAST(nation * 10 + period AS BIGINT) AS ref,
+              CASE WHEN period = 1 THEN DATE '{PAY_MONTH}' + 19 ELSE last_day(DATE '{PAY_MONTH}') END AS due,
+              CAST(round(sum(v), 2) AS DOUBLE) AS amount
+       FROM x GROUP BY nation, period)
+SELECT source, ref, due, amount, bucket FROM lb WHERE bucket IS NOT NULL
+UNION ALL
+SELECT source, ref, due, amount, CASE WHEN due < DATE '{PAY_AS_OF}' THEN 'overdue' ELSE 'upcoming' END FROM ci
+""")
+def payables(spark, d):
+    """RP-20 (FL-10, SO-4): unpaid ledger items overdue or due this month at the
+    as-of date, with the month's commission instalments merged in date order."""
+    from ledgerly.operators.filters import due_buckets
+    from ledgerly.operators.setops import merge_ordered
+    o = table(spark, d, "orders").where(F.col("o_orderstatus") != "F")
+    led = o.select(F.lit("ledger").alias("source"), F.col("o_orderkey").alias("ref"),
+                   F.date_add(F.to_date("o_orderdate"), 30).alias("due"),
+                   (money("o_totalprice") * F.lit("0.02").cast("decimal(3,2)")).cast("double").alias("amount"),
+                   F.lit(False).alias("paid"))
+    led = due_buckets(led, "due", "paid", PAY_AS_OF, PAY_MONTH).drop("paid")
+    ci = commission_items(spark, d)
+    a = F.lit(PAY_AS_OF).cast("date")
+    ci = ci.select(F.lit("commission").alias("source"), (F.col("nation") * 10 + F.col("period")).cast("bigint").alias("ref"),
+                   "due", F.round("amount", 2).cast("double").alias("amount"),
+                   F.when(F.col("due") < a, "overdue").otherwise("upcoming").alias("bucket"))
+    return merge_ordered(led, ci, [F.col("due"), F.col("source"), F.col("ref")])
+
+
+@register("provision", sql="""
+WITH o AS (SELECT c.c_nationkey AS nation, CAST(o.o_orderdate AS DATE) AS day, o.o_orderstatus AS st,
+                  CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 AS v
+           FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+g AS (SELECT nation,
+             sum(CASE WHEN st = 'O' AND day >= DATE '1998-07-01' AND day < DATE '1998-08-01' THEN v ELSE 0 END) AS base,
+             sum(CASE WHEN st = 'O' AND day >= DATE '1998-08-01' AND day < DATE '1998-09-01' THEN v ELSE 0 END) AS scheduled,
+             sum(CASE WHEN day >= DATE '1998-08-01' AND day < DATE '1998-09-01' THEN v ELSE 0 END) AS sales,
+             sum(CASE WHEN st = 'F' AND day >= DATE '1998-08-01' AND day < DATE '1998-09-01' THEN v ELSE 0 END) AS tuition,
+             sum(CASE WHEN st = 'F' AND day >= DATE '1998-08-01' AND day <= DATE '1998-08-10' THEN v ELSE 0 END) AS received
+      FROM o GROUP BY 1)
+SELECT nation, CAST(greatest(0, sales - tuition) AS DOUBLE) AS variable_revenue, CAST(received AS DOUBLE) AS received_to_date,
+       floor((CAST(greatest(base - scheduled, 0) AS DOUBLE) + CAST(base AS DOUBLE) * 0.10) / 22 * 100 + 0.5) / 100 AS provision_per_day
+FROM g
+""")
+def provision(spark, d):
+    """AG-32 / AG-33: variable revenue (sales less tuition, floored), received so far,
+    and the daily expense provision (gap to the base month plus a safety share, over the remaining days)."""
+    o = table(spark, d, "orders")
+    c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
+    x = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("c_nationkey").alias("nation"), F.to_date("o_orderdate").alias("day"), F.col("o_orderstatus").alias("st"),
+        (money("o_totalprice") * F.lit("0.02").cast("decimal(3,2)")).alias("v"))
+    z = F.lit(0).cast("decimal(18,4)")
+
+    def between(lo, hi_excl):
+        return (F.col("day") >= F.lit(lo).cast("date")) & (F.col("day") < F.lit(hi_excl).cast("date"))
+    g = x.groupBy("nation").agg(
+        F.sum(F.when((F.col("st") == "O") & between("1998-07-01", "1998-08-01"), F.col("v")).otherwise(z)).alias("base"),
+        F.sum(F.when((F.col("st") == "O") & between("1998-08-01", "1998-09-01"), F.col("v")).otherwise(z)).alias("scheduled"),
+        F.sum(F.when(between("1998-08-01", "1998-09-01"), F.col("v")).otherwise(z)).alias("sales"),
+        F.sum(F.when((F.col("st") == "F") & between("1998-08-01", "1998-09-01"), F.col("v")).otherwise(z)).alias("tuition"),
+        F.sum(F.when((F.col("st") == "F") & between("1998-08-01", "1998-08-11"), F.col("v")).otherwise(z)).alias("received"))
+    days_left = F.lit(22)  # 10 August to 31 August, as-of day included
+    prov = G.provision((F.col("base") - F.col("scheduled")).cast("double"), F.col("base").cast("double"), 0.10, days_left)
+    return g.select("nation", F.greatest(F.lit(0).cast("decimal(18,4)"), F.col("sales") - F.col("tuition"))
+                    .cast("double").alias("variable_revenue"),
+                    F.col("received").cast("double").alias("received_to_date"), round2(prov).alias("provision_per_day"))
