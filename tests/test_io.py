@@ -69,3 +69,11 @@ def test_schedule_stream(spark):
         q.stop()
     got = sorted((str(r.release_date), r.value) for r in spark.read.parquet(out).collect())
     assert got == [("2026-07-05", 1244.56), ("2026-08-01", 5.0)]
+
+
+def test_monthly_report_writes_each_report(spark):
+    from ledgerly.plans.report import monthly_report
+    out = tempfile.mkdtemp(prefix="ledgerly-report-")
+    paths = monthly_report(spark, "/root/testdata/sf0.001", out, ["operations_kpis", "goals", "payables"])
+    for p in paths.values():
+        assert spark.read.parquet(p).count() > 0
