@@ -123,17 +123,18 @@ def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_te
     # Rows sharing a match key and a validity range collapse to their lowest
     # ordinal first (exact: the winner over a set of equal ranges is its
     # minimum), so a popular name meets a handful of ranges, not every row.
-    c_code = costs.groupBy(ncode(cost_code).alias("__ccode"), F.col(start).alias("__s"),
+    c_code = costs.groupBy(F.lit("c").alias("__kind"), ncode(cost_code).alias("__m"), F.col(start).alias("__s"),
                            F.col(end).alias("__e")).agg(F.min(ordinal).alias("__ord"))
-    c_text = costs.groupBy(ntext(cost_text).alias("__ctext"), F.col(start).alias("__s"),
+    c_text = costs.groupBy(F.lit("t").alias("__kind"), ntext(cost_text).alias("__m"), F.col(start).alias("__s"),
                            F.col(end).alias("__e")).agg(F.min(ordinal).alias("__ord"))
+    # Both match rules in one equi-join: each fact key appears once per rule.
+    k2 = keys.select("*", F.explode(F.array(F.struct(F.lit("c").alias("k"), F.col("__code").alias("m")),
+                                            F.struct(F.lit("t").alias("k"), F.col("__text").alias("m")))).alias("__x")) \
+             .select("__code", "__text", "__d", F.col("__x.k").alias("__kind"), F.col("__x.m").alias("__m"))
     in_range = (F.col("__s").isNull() | (F.col("__d") >= F.col("__s"))) & \
                (F.col("__e").isNull() | (F.col("__d") <= F.col("__e")))
-    by_code = keys.join(c_code, keys.__code == c_code.__ccode, "inner").where(in_range) \
-                  .select("__code", "__text", "__d", "__ord")
-    by_text = keys.join(c_text, keys.__text == c_text.__ctext, "inner").where(in_range) \
-                  .select("__code", "__text", "__d", "__ord")
-    win = by_code.unionByName(by_text).groupBy("__code", "__text", "__d").agg(F.min("__ord").alias("__ord"))
+    hits = k2.join(c_code.unionByName(c_text), ["__kind", "__m"], "inner").where(in_range)
+    win = hits.groupBy("__code", "__text", "__d").agg(F.min("__ord").alias("__ord"))
     win = win.join(costs.select(F.col(ordinal).alias("__ord"), *cost_cols), "__ord", "left")
     f = facts.withColumn("__code", ncode(fact_code)).withColumn("__text", ntext(fact_text)) \
              .withColumn("__d", F.to_date(fact_date))
