@@ -177,36 +177,45 @@ def merge_overrides(current: DataFrame, delta: DataFrame, key: str, ts: str,
     return u.groupBy(key).agg(*aggs)
 
 
-def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str, b_text: str,
-                  n_words: int = 3) -> DataFrame:
-    """JN-5: pairs ``(a_id, b_id)`` where b's folded text is inside a's folded text.
-
-    Texts are compared lower-cased with whitespace runs collapsed. Plan: each
-    b text is keyed by its first ``n_words`` words; each a text emits the
-    distinct ``n_words``-word keys of its positions as (a_id, key) rows, so
-    the text itself is not copied per position; the equi-join on the key
-    gives candidate pairs, which are verified with ``contains`` on the whole
-    folded texts. B texts of fewer words are matched through a broadcast of
-    those short texts alone. Whole texts are used; nothing is truncated.
+def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str, b_text: str) -> DataFrame:
+    """JN-5: pairs ``(a_id, b_id)`` where b's folded text is a substring of a's
+    folded text (lower case, whitespace runs collapsed) — plain substring
+    semantics, like ``ILIKE '%' || b || '%'``.
+
+    Plan (all equi-joins, exact):
+
+    * b of three or more words: its interior words sit between two spaces, so
+      each is a whole token of any text that contains b. b is keyed by its
+      longest interior word; a emits its distinct tokens. Candidates are
+      verified with ``contains`` on the whole texts.
+    * shorter b (one or two words): keyed by its first three characters (or
+      by itself when shorter); a emits its distinct substrings of one to
+      three characters. This branch runs only when such b texts exist.
+
+    Only ids travel through the candidate joins; each text is joined back
+    once for verification. Whole texts are used; nothing is truncated.
     """
     fa = a.select(F.col(a_id).alias("__a"), T.fold_spaces(a_text).alias("__fa"))
     fb = b.select(F.col(b_id).alias("__b"), T.fold_spaces(b_text).alias("__fb")) \
           .where(F.length("__fb") > 0).withColumn("__bw", F.split("__fb", " "))
-    long_b = fb.where(F.size("__bw") >= n_words) \
-               .select("__b", F.array_join(F.slice("__bw", 1, n_words), " ").alias("__key"))
-    short_b = fb.where(F.size("__bw") < n_words).select("__b", "__fb")
-    # the word array is computed once per text; each key is a slice of it
-    aw = fa.select("__a", F.split("__fa", " ").alias("__aw"))
-    grams = F.transform(F.sequence(F.lit(1), F.greatest(F.size("__aw") - n_words + 1, F.lit(1))),
-                        lambda i: F.array_join(F.slice(F.col("__aw"), i, n_words), " "))
-    # keys are distinct per text by construction, so (a, b) candidates are too
-    keys = aw.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
-    cand = keys.join(long_b, "__key", "inner").select("__a", "__b")
+    interior = F.slice("__bw", 2, F.size("__bw") - 2)
+    longest = F.array_max(F.transform(interior, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    long_b = fb.where(F.size("__bw") >= 3).select("__b", longest.alias("__key"))
+    tokens = fa.select("__a", F.explode(F.array_distinct(F.split("__fa", " "))).alias("__key"))
+    cand = tokens.join(long_b, "__key", "inner").select("__a", "__b")
+
+    short_b = fb.where(F.size("__bw") < 3)
+    if short_b.limit(1).count() > 0:  # decided on the small side only
+        skey = F.substring("__fb", 1, 3)
+        sb = short_b.select("__b", skey.alias("__key"))
+        n = F.length("__fa")
+        grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.transform(
+            F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring("__fa", i, k))))
+        subs = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
+        cand = cand.unionByName(subs.join(sb, "__key", "inner").select("__a", "__b"))
     hits = cand.join(fa, "__a").join(fb.select("__b", "__fb"), "__b") \
                .where(F.contains(F.col("__fa"), F.col("__fb"))).select("__a", "__b")
-    short_hits = fa.join(F.broadcast(short_b), F.contains(F.col("__fa"), F.col("__fb")), "inner") \
-                   .select("__a", "__b")
-    return hits.unionByName(short_hits).select(F.col("__a").alias(a_id), F.col("__b").alias(b_id))
+    return hits.select(F.col("__a").alias(a_id), F.col("__b").alias(b_id))
 
 
 def fuzzy_contains(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:

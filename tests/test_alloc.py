@@ -30,3 +30,17 @@ def test_share_split_keeps_totals(spark):
     out = A.share_split(df, F.col("c"), "p", "z", ["v"])
     rows = sorted((r.p, r.v) for r in out.collect())
     assert rows == [("a", 5.0), ("b", 5.0), ("z", 5.0)]
+
+
+def test_contains_join_substring_semantics(spark):
+    from ledgerly.operators.joins import contains_join
+    a = spark.createDataFrame([(1, "xthe Cat  sat on the mat"), (2, "the cat satisfied"), (3, "abc"),
+                               (4, "nothing here")], "id int, t string")
+    b = spark.createDataFrame([(10, "the cat sat"), (11, "cat sat"), (12, "b"), (13, "at on the m"),
+                               (14, "zzz")], "bid int, bt string")
+    got = sorted((r.id, r.bid) for r in contains_join(a, "id", "t", b, "bid", "bt").collect())
+    want = sorted((i, j) for i, t in [(1, "xthe cat sat on the mat"), (2, "the cat satisfied"), (3, "abc"),
+                                      (4, "nothing here")]
+                  for j, u in [(10, "the cat sat"), (11, "cat sat"), (12, "b"), (13, "at on the m"), (14, "zzz")]
+                  if u in t)
+    assert got == want
