@@ -98,7 +98,7 @@ FROM ledger WHERE flow IS NOT NULL GROUP BY 1, 2, 3
 def cash_pivot(spark, d):
     """AG-12: the cash-flow long form pivoted to one column per month of the year."""
     x = ledger(spark, d).where(F.col("flow").isNotNull()) \
-        .withColumn("year", F.year("month")) \
+        .withColumn("year", F.year("month").cast("bigint")) \
         .withColumn("mcol", F.concat(F.lit("m"), F.lpad(F.month("month").cast("string"), 2, "0")))
     p = G.pivot_months(x, ["year", "flow", "category"], "mcol", "value", MONTH_COLS)
     return p.select("year", "flow", "category", *[F.col(m).cast("double").alias(m) for m in MONTH_COLS])
@@ -443,7 +443,7 @@ def open_hours(spark, d):
 WITH e AS (SELECT user_id, dayofweek(ts) AS dow, hour(ts) AS h,
                   dayofweek(ts) BETWEEN 1 AND 5 AND hour(ts) BETWEEN 10 AND 15 AS off_peak FROM events),
 s AS (SELECT user_id, count(*) AS n_slots FROM (SELECT DISTINCT user_id, dow, h FROM e) GROUP BY 1),
-o AS (SELECT user_id, count(*) AS n_events, sum(CASE WHEN off_peak THEN 1 ELSE 0 END) AS n_off_peak FROM e GROUP BY 1)
+o AS (SELECT user_id, count(*) AS n_events, CAST(sum(CASE WHEN off_peak THEN 1 ELSE 0 END) AS BIGINT) AS n_off_peak FROM e GROUP BY 1)
 SELECT o.user_id, s.n_slots, CASE WHEN s.n_slots = 2 THEN 0.05 WHEN s.n_slots >= 3 THEN 0.07 ELSE 0.0 END::DOUBLE AS freq_discount,
        o.n_events, o.n_off_peak
 FROM o JOIN s USING (user_id)

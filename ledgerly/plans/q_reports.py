@@ -137,7 +137,7 @@ h AS (SELECT month, sum(CASE WHEN dayofweek(day) IN (0, 6) THEN 11.0 ELSE 15.0 E
 SELECT m.month, m.hours, m.units, h.open_hours, greatest(m.units, 4) * h.open_hours AS capacity,
        floor(coalesce(m.hours * 100.0 / (greatest(m.units, 4) * h.open_hours), 0.0) * 100 + 0.5) / 100 AS occupancy_pct,
        greatest(0.0, greatest(m.units, 4) * h.open_hours - m.hours) AS free_hours,
-       m.hours - m.maint_hours AS productive_hours
+       CAST(m.hours - m.maint_hours AS BIGINT) AS productive_hours
 FROM m JOIN h USING (month)
 """)
 def capacity(spark, d):
