@@ -36,4 +36,5 @@ def load_all() -> None:
         q_projection,
         q_dashboard,
         q_more,
+        q_extra,
     )
