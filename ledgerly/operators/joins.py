@@ -185,9 +185,11 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
     Plan (all equi-joins, exact):
 
     * b of three or more words: its interior words sit between two spaces, so
-      each is a whole token of any text that contains b. b is keyed by its
-      longest interior word; a emits its distinct tokens. Candidates are
-      verified with ``contains`` on the whole texts.
+      each is a whole token of any text that contains b, and two adjacent
+      interior words are adjacent tokens there. b of four or more words is
+      keyed by its longest interior word pair; b of three words by its
+      middle word; a emits its distinct tokens and token pairs. Candidates
+      are verified with ``contains`` on the whole texts.
     * shorter b (one or two words): keyed by its first three characters (or
       by itself when shorter); a emits its distinct substrings of one to
       three characters. This branch runs only when such b texts exist.
@@ -199,10 +201,24 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
     fb = b.select(F.col(b_id).alias("__b"), T.fold_spaces(b_text).alias("__fb")) \
           .where(F.length("__fb") > 0).withColumn("__bw", F.split("__fb", " "))
     interior = F.slice("__bw", 2, F.size("__bw") - 2)
-    longest = F.array_max(F.transform(interior, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    long_b = fb.where(F.size("__bw") >= 3).select("__b", longest.alias("__key"))
-    tokens = fa.select("__a", F.explode(F.array_distinct(F.split("__fa", " "))).alias("__key"))
-    cand = tokens.join(long_b, "__key", "inner").select("__a", "__b")
+    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(interior) - 1, F.lit(1))),
+                        lambda i: F.concat_ws(" ", F.try_element_at(interior, i), F.try_element_at(interior, i + 1)))
+    longest_pair = F.array_max(F.transform(pairs, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    b3 = fb.where(F.size("__bw") == 3).select("__b", F.element_at("__bw", 2).alias("__key"))
+    b4 = fb.where(F.size("__bw") >= 4).select("__b", longest_pair.alias("__key"))
+    aw = fa.select("__a", F.split("__fa", " ").alias("__aw"))
+    # a emits only the key kinds some b uses (decided on the small side)
+    kinds = []
+    if b3.limit(1).count() > 0:
+        kinds.append(F.col("__aw"))
+    if b4.limit(1).count() > 0:
+        kinds.append(F.transform(F.arrays_zip(F.col("__aw"), F.slice("__aw", 2, F.greatest(F.size("__aw") - 1, F.lit(1)))),
+                                 lambda z: F.concat_ws(" ", z["__aw"], z["1"])))
+    cand = None
+    if kinds:
+        grams = kinds[0] if len(kinds) == 1 else F.array_union(kinds[0], kinds[1])
+        tokens = aw.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
+        cand = tokens.join(b3.unionByName(b4), "__key", "inner").select("__a", "__b")
 
     short_b = fb.where(F.size("__bw") < 3)
     if short_b.limit(1).count() > 0:  # decided on the small side only
@@ -212,7 +228,11 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
         grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.transform(
             F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring("__fa", i, k))))
         subs = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
-        cand = cand.unionByName(subs.join(sb, "__key", "inner").select("__a", "__b"))
+        short_cand = subs.join(sb, "__key", "inner").select("__a", "__b")
+        cand = short_cand if cand is None else cand.unionByName(short_cand)
+    if cand is None:
+        return a.sparkSession.createDataFrame([], f"{a_id} {a.schema[a_id].dataType.simpleString()}, "
+                                                  f"{b_id} {b.schema[b_id].dataType.simpleString()}")
     hits = cand.join(fa, "__a").join(fb.select("__b", "__fb"), "__b") \
                .where(F.contains(F.col("__fa"), F.col("__fb"))).select("__a", "__b")
     return hits.select(F.col("__a").alias(a_id), F.col("__b").alias(b_id))
