@@ -100,3 +100,37 @@ def test_infer_plan_bands(spark):
     rows = [(720.0,), (40.0,), (1440.0,), (335.0,)]
     got = one(spark, A.infer_plan("v", prices), rows, "v double")
     assert got[0] == "INDIVIDUAL" and got[1] is None and got[2] == "INDIVIDUAL" and got[3] == "GRUPO"
+
+
+def test_refund_null_type_passes_and_null_key_never_matches(spark):
+    """coalesce(type,'') <> 'refund' keeps null; N5: a null key never survives NOT IN."""
+    from ledgerly.operators import filters as FL
+    from ledgerly.operators import joins as J
+    df = spark.createDataFrame([(1, False, False, None, 5.0, "Aulas", None), (2, False, False, "refund", 5.0, "Aulas", None),
+                                (3, False, False, "sale", 0.0, "Aulas", None), (4, False, False, "sale", 5.0, "Bar", None)],
+                               "k int, ic boolean, sc boolean, t string, v double, c string, s string")
+    kept = [r.k for r in FL.valid_items(df, "ic", "sc", "t", "v", "c", ["Aulas"], "s", "X").collect()]
+    assert kept == [1]
+    items = spark.createDataFrame([(1,), (None,), (3,)], "k int")
+    used = spark.createDataFrame([(3,)], "k int")
+    assert sorted(r.k for r in J.unused(items, "k", used).collect()) == [1]
+
+
+def test_nearest_ties_go_to_earlier_date_then_lower_id(spark):
+    from ledgerly.operators import joins as J
+    a = spark.createDataFrame([(1, dt.date(2024, 1, 10)), (2, dt.date(2024, 1, 1))], "c int, d date")
+    b = spark.createDataFrame([(1, dt.date(2024, 1, 8), 7, "x"), (1, dt.date(2024, 1, 12), 5, "y"),
+                               (1, dt.date(2024, 1, 8), 6, "z")], "c int, bd date, id int, lbl string")
+    got = {r.c: (r.lbl, r.nearest_days) for r in J.nearest(a, b, ["c"], "d", "bd", ["lbl"], "id").collect()}
+    assert got[1] == ("z", 2) and got[2] == (None, None)
+
+
+def test_bracket_rate_continuity_at_edges(spark):
+    from ledgerly.plans.q_reports import BRACKETS
+    def eff(r):
+        for hi, rate, ded in BRACKETS:
+            if hi is None or r <= hi:
+                return rate if r <= BRACKETS[0][0] else (r * rate - ded) / r
+    for edge in (180000.0, 360000.0, 720000.0):
+        assert abs(eff(edge) - eff(edge + 0.01)) < 1e-6
+    assert eff(1800000.01) < eff(1800000.0) and eff(3600000.01) < eff(3600000.0)

@@ -74,6 +74,7 @@ def test_schedule_stream(spark):
 def test_monthly_report_writes_each_report(spark):
     from ledgerly.plans.report import monthly_report
     out = tempfile.mkdtemp(prefix="ledgerly-report-")
-    paths = monthly_report(spark, "/root/testdata/sf0.001", out, ["operations_kpis", "goals", "payables"])
+    paths = monthly_report(spark, "/root/testdata/sf0.001", out,
+                           ["operations_kpis", "goals", "payables", "commission_dashboard", "paid_dashboard"])
     for p in paths.values():
         assert spark.read.parquet(p).count() > 0
