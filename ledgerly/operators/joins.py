@@ -177,6 +177,10 @@ def merge_overrides(current: DataFrame, delta: DataFrame, key: str, ts: str,
     return u.groupBy(key).agg(*aggs)
 
 
+# A token pair starting at a token boundary (overlapping matches).
+PAIR_RE = r"(?<![^ ])(?=([^ ]+ [^ ]+))"
+
+
 def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str, b_text: str) -> DataFrame:
     """JN-5: pairs ``(a_id, b_id)`` where b's folded text is a substring of a's
     folded text (lower case, whitespace runs collapsed) — plain substring
@@ -206,35 +210,36 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
     longest_pair = F.array_max(F.transform(pairs, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
     b3 = fb.where(F.size("__bw") == 3).select("__b", F.element_at("__bw", 2).alias("__key"))
     b4 = fb.where(F.size("__bw") >= 4).select("__b", longest_pair.alias("__key"))
-    aw = fa.select("__a", F.split("__fa", " ").alias("__aw"))
-    # a emits only the key kinds some b uses (decided on the small side)
+    # which key kinds are in use: one small aggregate over the pattern side
+    flags = fb.agg(F.max(F.size("__bw") == 3).alias("k3"), F.max(F.size("__bw") >= 4).alias("k4"),
+                   F.max(F.size("__bw") < 3).alias("ks")).first()
     kinds = []
-    if b3.limit(1).count() > 0:
-        kinds.append(F.col("__aw"))
-    if b4.limit(1).count() > 0:
-        kinds.append(F.transform(F.arrays_zip(F.col("__aw"), F.slice("__aw", 2, F.greatest(F.size("__aw") - 1, F.lit(1)))),
-                                 lambda z: F.concat_ws(" ", z["__aw"], z["1"])))
+    if flags["k3"]:
+        kinds.append(F.split("__fa", " "))
+    if flags["k4"]:
+        # every adjacent token pair, as overlapping regex matches (one native call per text)
+        kinds.append(F.regexp_extract_all("__fa", F.lit(PAIR_RE), 1))
     cand = None
     if kinds:
-        grams = kinds[0] if len(kinds) == 1 else F.array_union(kinds[0], kinds[1])
-        tokens = aw.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
+        grams = kinds[0] if len(kinds) == 1 else F.concat(kinds[0], kinds[1])
+        tokens = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
         cand = tokens.join(b3.unionByName(b4), "__key", "inner").select("__a", "__b")
 
-    short_b = fb.where(F.size("__bw") < 3)
-    if short_b.limit(1).count() > 0:  # decided on the small side only
+    if flags["ks"]:
+        short_b = fb.where(F.size("__bw") < 3)
         skey = F.substring("__fb", 1, 3)
         sb = short_b.select("__b", skey.alias("__key"))
-        n = F.length("__fa")
-        grams = F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3)), lambda k: F.transform(
-            F.sequence(F.lit(1), F.greatest(n - k + 1, F.lit(1))), lambda i: F.substring("__fa", i, k))))
+        grams = F.concat(*[F.regexp_extract_all("__fa", F.lit("(?s)(?=(.{%d}))" % k), 1) for k in (1, 2, 3)])
         subs = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
         short_cand = subs.join(sb, "__key", "inner").select("__a", "__b")
         cand = short_cand if cand is None else cand.unionByName(short_cand)
     if cand is None:
         return a.sparkSession.createDataFrame([], f"{a_id} {a.schema[a_id].dataType.simpleString()}, "
                                                   f"{b_id} {b.schema[b_id].dataType.simpleString()}")
-    hits = cand.join(fa, "__a").join(fb.select("__b", "__fb"), "__b") \
-               .where(F.contains(F.col("__fa"), F.col("__fb"))).select("__a", "__b")
+    # verification folds only the candidate texts (joined back by id)
+    raw = a.select(F.col(a_id).alias("__a"), F.col(a_text).alias("__raw"))
+    hits = cand.join(raw, "__a").join(fb.select("__b", "__fb"), "__b") \
+               .where(F.contains(T.fold_spaces("__raw"), F.col("__fb"))).select("__a", "__b")
     return hits.select(F.col("__a").alias(a_id), F.col("__b").alias(b_id))
 
 
