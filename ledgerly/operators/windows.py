@@ -92,8 +92,9 @@ def open_hours(cal: DataFrame, schedule: Sequence[tuple], month: str = "month")
 
 
 def month_progress(cal: DataFrame, as_of, weight: Column, month: str = "month") -> DataFrame:
-    """CA-5: elapsed and remaining weight of each month at ``as_of`` (days up
-    to and including ``as_of`` count as elapsed)."""
-    a = F.lit(as_of).cast("date")
-    return cal.groupBy(month).agg(F.sum(F.when(F.col("day") <= a, weight).otherwise(F.lit(0.0))).alias("elapsed"),
-                                  F.sum(F.when(F.col("day") > a, weight).otherwise(F.lit(0.0))).alias("remaining"))
+    """CA-5: elapsed and remaining weight of each month at ``as_of`` (a date,
+    or a Column per month; days before ``as_of`` are elapsed, the as-of day
+    and later remain, as in the daily model)."""
+    a = as_of if isinstance(as_of, Column) else F.lit(as_of).cast("date")
+    return cal.groupBy(month).agg(F.sum(F.when(F.col("day") < a, weight).otherwise(F.lit(0.0))).alias("elapsed"),
+                                  F.sum(F.when(F.col("day") >= a, weight).otherwise(F.lit(0.0))).alias("remaining"))

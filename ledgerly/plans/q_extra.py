@@ -143,3 +143,46 @@ def first_event(spark, d):
     """WN-9: each user's first event under a total order (time, then id)."""
     e = table(spark, d, "events").select("user_id", "event_id", "ts", "event_type")
     return W.first_row(e, ["user_id"], [F.col("ts"), F.col("event_id")])
+
+
+@register("month_progress", sql="""
+WITH m AS (SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE) AS month FROM orders),
+c AS (SELECT month, CAST(unnest(generate_series(month, last_day(month), INTERVAL 1 DAY)) AS DATE) AS day FROM m)
+SELECT month, sum(CASE WHEN day < month + 14 THEN (CASE WHEN dayofweek(day) = 0 THEN 0.5 ELSE 1.0 END) ELSE 0.0 END)::DOUBLE AS elapsed,
+       sum(CASE WHEN day >= month + 14 THEN (CASE WHEN dayofweek(day) = 0 THEN 0.5 ELSE 1.0 END) ELSE 0.0 END)::DOUBLE AS remaining
+FROM c GROUP BY 1
+""")
+def month_progress(spark, d):
+    """CA-5 (with CA-6): elapsed and remaining weekday weight of each month at its 15th day."""
+    from ledgerly.plans.q_projection import DOW_WEIGHTS
+    months = table(spark, d, "orders").select(F.trunc(F.to_date("o_orderdate"), "MM").alias("month")).distinct()
+    cal = W.calendar(months)
+    w = F.element_at(F.array(*[F.lit(x) for x in DOW_WEIGHTS]), F.dayofweek("day"))
+    return W.month_progress(cal, F.date_add(F.col("month"), 14), w)
+
+
+@register("future_plan", sql="""
+WITH t AS (SELECT CASE WHEN o_orderstatus <> 'P' THEN o_orderkey END AS ref,
+                  CASE WHEN o_orderpriority = '3-MEDIUM'
+                       THEN 'Mensalidade ' || ['janeiro','fevereiro','março','abril','maio','junho','julho',
+                            'agosto','setembro','outubro','novembro','dezembro'][month(o_orderdate)] || ' ' || strftime(o_orderdate, '%y')
+                       ELSE 'Plano' END AS txt,
+                  CAST(o_totalprice AS DECIMAL(18,2)) AS v
+           FROM orders)
+SELECT regexp_extract(lower(txt), '(janeiro|fevereiro|março|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro)', 1) AS month_name,
+       count(*) AS n, CAST(sum(v) AS DOUBLE) AS value
+FROM t WHERE ref IS NULL AND regexp_matches(txt, '(?i)(janeiro|fevereiro|março|marco|abril|maio|junho|julho|agosto|setembro|outubro|novembro|dezembro)')
+GROUP BY 1
+""")
+def future_plan(spark, d):
+    """FL-11: plan lines with no booking reference that name a month (per month name)."""
+    from ledgerly.operators.alloc import MONTH_WORDS
+    from ledgerly.plans.q_alloc import span_text
+    o = table(spark, d, "orders")
+    t = o.select(F.when(F.col("o_orderstatus") != "P", F.col("o_orderkey")).alias("ref"),
+                 F.when(F.col("o_orderpriority") == "3-MEDIUM", span_text()).otherwise(F.lit("Plano")).alias("txt"),
+                 money("o_totalprice").alias("v"))
+    words = [w for w, _ in MONTH_WORDS]
+    x = FL.future_plan(t, "ref", "txt", words)
+    name = F.regexp_extract(F.lower("txt"), "(" + "|".join(words) + ")", 1)
+    return x.groupBy(name.alias("month_name")).agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("value"))
