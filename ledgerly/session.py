@@ -42,21 +42,26 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
-                 target_partition_bytes: int = 256 << 20) -> dict:
+                 bytes_per_shuffle_partition: int = 1 << 30, max_shuffle_partitions: int = 50_000) -> dict:
     """Settings for a cluster run sized from the input volume.
 
-    Shuffle width is chosen so each shuffle partition starts near
-    ``target_partition_bytes`` (AQE coalesces small ones and splits skewed
-    ones), and never below two waves of the cluster's cores.
+    Shuffle width starts near one partition per ``bytes_per_shuffle_partition``
+    of input (shuffled data is smaller than the scan after pruning and partial
+    aggregation), at least two waves of the cluster's cores and at most
+    ``max_shuffle_partitions`` so map x reduce block counts stay manageable;
+    AQE then coalesces small partitions and splits skewed ones. Scan splits
+    are 512 MB so a 100 TB scan is ~200k tasks.
     """
     cores = executors * cores_per_executor
-    parts = max(2 * cores, input_bytes // target_partition_bytes)
+    parts = min(max(2 * cores, input_bytes // bytes_per_shuffle_partition), max_shuffle_partitions)
     return {
         "spark.sql.shuffle.partitions": str(int(parts)),
-        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(512 << 20),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(512 << 20),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(target_partition_bytes * 2),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(1 << 30),
         # broadcast only what Spark has measured below this size
         "spark.sql.autoBroadcastJoinThreshold": str(64 << 20),
     }
