@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from ledgerly.functions.num import MONEY, money
 from ledgerly.operators import joins as J
 from ledgerly.operators.common import rule_table
-from ledgerly.plans import tpch
 from ledgerly.plans.registry import register
 from ledgerly.sources.tables import table
 
