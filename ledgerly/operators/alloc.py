@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ledgerly.functions import text as T
 from ledgerly.functions.num import MONEY
+from ledgerly.operators.common import checked_broadcast
 
 
 def with_weight(slots: DataFrame, type_col: str, weights: DataFrame,
@@ -34,7 +35,7 @@ def with_weight(slots: DataFrame, type_col: str, weights: DataFrame,
     multiplied by the slot's booking count."""
     w = weights.withColumnRenamed(weights.columns[0], "__wtype") \
                .withColumnRenamed(weights.columns[1], "__wval")
-    out = slots.join(F.broadcast(w), F.col(type_col) == F.col("__wtype"), "left")
+    out = slots.join(checked_broadcast(w), F.col(type_col) == F.col("__wtype"), "left")
     base = F.col("__wval")
     if default_weight is not None:
         base = F.coalesce(base, F.lit(default_weight))

@@ -23,6 +23,17 @@ def rule_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataF
     return F.broadcast(spark.createDataFrame(list(rows), schema))
 
 
+def fits_broadcast(df: DataFrame, max_rows: int = MAX_RULE_ROWS) -> bool:
+    """Size check of a small side: reads at most ``max_rows + 1`` rows of it."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def checked_broadcast(df: DataFrame, max_rows: int = MAX_RULE_ROWS) -> DataFrame:
+    """Broadcast hint only when the frame is proven small; otherwise the
+    frame is returned as is and Catalyst plans a shuffle join."""
+    return F.broadcast(df) if fits_broadcast(df, max_rows) else df
+
+
 def as_rule_table(spark: SparkSession, rules, schema: str) -> DataFrame:
     """Accept either a DataFrame (trusted caller) or a list of tuples."""
     if isinstance(rules, DataFrame):

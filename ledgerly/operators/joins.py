@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerly.functions import text as T
+from ledgerly.operators.common import fits_broadcast
 
 
 def with_exists(a: DataFrame, b: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
@@ -243,17 +244,32 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
     return hits.select(F.col("__a").alias(a_id), F.col("__b").alias(b_id))
 
 
-def fuzzy_contains(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:
+def fuzzy_contains(a: DataFrame, a_name: str, b: DataFrame, b_name: str,
+                   a_id: str | None = None, b_id: str | None = None) -> DataFrame:
     """JN-14: two-way containment of accent- and case-folded names.
 
-    ``b`` is a small list (people, rule names): broadcast, with a nested
-    loop on ``contains`` both ways. Empty names never match.
+    ``b`` is normally a short list (people, rule names): when its size is
+    proven small it is broadcast and matched with a nested loop on
+    ``contains`` both ways. Beyond that bound the exact keyed containment
+    join runs in both directions instead (``a_id``/``b_id`` identify rows).
+    Empty names never match.
     """
     fa = a.withColumn("__na", T.norm_name(a_name))
     fb = b.withColumn("__nb", T.norm_name(b_name))
-    cond = (F.length("__na") > 0) & (F.length("__nb") > 0) & \
-           (F.contains(F.col("__na"), F.col("__nb")) | F.contains(F.col("__nb"), F.col("__na")))
-    return fa.join(F.broadcast(fb), cond, "inner").drop("__na", "__nb")
+    if fits_broadcast(fb):
+        cond = (F.length("__na") > 0) & (F.length("__nb") > 0) & \
+               (F.contains(F.col("__na"), F.col("__nb")) | F.contains(F.col("__nb"), F.col("__na")))
+        return fa.join(F.broadcast(fb), cond, "inner").drop("__na", "__nb")
+    if a_id is None or b_id is None:
+        raise ValueError("fuzzy_contains on a large name list needs a_id and b_id")
+    xa = fa.where(F.length("__na") > 0).select(F.col(a_id).alias("__ia"), "__na")
+    xb = fb.where(F.length("__nb") > 0).select(F.col(b_id).alias("__ib"), "__nb")
+    # contains_join folds case and whitespace runs; names are already upper-cased,
+    # accent-free and trimmed, so only runs of inner spaces could differ
+    ab = contains_join(xa, "__ia", "__na", xb, "__ib", "__nb")
+    ba = contains_join(xb, "__ib", "__nb", xa, "__ia", "__na")
+    pairs = ab.unionByName(ba.select("__ia", "__ib")).distinct()
+    return pairs.join(a, pairs.__ia == a[a_id]).join(b, pairs.__ib == b[b_id]).drop("__ia", "__ib")
 
 
 def month_spine(df: DataFrame, end_month, n: int, keys_df: DataFrame | None = None) -> DataFrame:

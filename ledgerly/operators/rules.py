@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
 from ledgerly.functions import text as T
-from ledgerly.operators.common import MAX_RULE_ROWS, when_chain
+from ledgerly.operators.common import MAX_RULE_ROWS, checked_broadcast, fits_broadcast, when_chain
 
 
 def _low(col: str) -> Column:
@@ -72,11 +72,19 @@ def classify_by_table(df: DataFrame, text_col: str, rules: DataFrame, key_cols:
     lowest-priority pattern contained in ``text_col``. ``rules`` must be a
     size-checked parameter table (see ``rule_table``); it is broadcast and the
     winner per row is picked with ``min_by`` over the row's ``key_cols``."""
-    r = F.broadcast(rules.select(F.col("priority").alias("__p"), F.lower("pattern").alias("__pat"),
-                                 F.col("label").alias("__l")))
-    hit = df.select(*key_cols, F.lower(F.col(text_col)).alias("__t")) \
-            .join(r, F.contains(F.col("__t"), F.col("__pat")), "inner") \
-            .groupBy(*key_cols).agg(F.min_by("__l", F.col("__p")).alias(out))
+    r = rules.select(F.col("priority").alias("__p"), F.lower("pattern").alias("__pat"), F.col("label").alias("__l"))
+    if fits_broadcast(r):
+        hit = df.select(*key_cols, F.lower(F.col(text_col)).alias("__t")) \
+                .join(F.broadcast(r), F.contains(F.col("__t"), F.col("__pat")), "inner") \
+                .groupBy(*key_cols).agg(F.min_by("__l", F.col("__p")).alias(out))
+    else:
+        # too many patterns to broadcast: the keyed containment join (exact)
+        from ledgerly.operators.joins import contains_join
+        texts = df.select(F.struct(*key_cols).alias("__rid"), F.lower(F.col(text_col)).alias("__t"))
+        pats = r.select(F.struct("__p", "__l").alias("__pid"), "__pat")
+        pairs = contains_join(texts, "__rid", "__t", pats, "__pid", "__pat")
+        hit = pairs.groupBy("__rid").agg(F.min_by(F.col("__pid.__l"), F.col("__pid.__p")).alias(out)) \
+                   .select(*[F.col("__rid")[k].alias(k) for k in key_cols], out)
     res = df.join(hit, list(key_cols), "left")
     if default is not None:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
@@ -309,6 +317,6 @@ def fee_rate(method: str, rates: Sequence[tuple] = FEE_RATES) -> Column:
 
 def rate_for(df: DataFrame, rates: DataFrame, person: str, default: float) -> DataFrame:
     """CL-20: commission rate per person (left join), default rate otherwise."""
-    r = F.broadcast(rates.select(F.col(rates.columns[0]).alias("__p"), F.col(rates.columns[1]).alias("rate")))
+    r = checked_broadcast(rates.select(F.col(rates.columns[0]).alias("__p"), F.col(rates.columns[1]).alias("rate")))
     return df.join(r, F.col(person) == F.col("__p"), "left") \
              .withColumn("rate", F.coalesce(F.col("rate"), F.lit(default))).drop("__p")

@@ -111,3 +111,24 @@ def test_unallocated_are_the_complement(spark):
         F.col("o_custkey").alias("c"), F.trunc(F.to_date("l_shipdate"), "MM").alias("m"))
     slots = o.select(F.col("o_custkey").alias("c"), F.trunc(F.to_date("o_orderdate"), "MM").alias("m")).distinct()
     assert n_un == x.join(slots, ["c", "m"], "left_anti").count()
+
+
+def test_large_side_fallbacks_match_broadcast_paths(spark, monkeypatch):
+    """Beyond the broadcast bound the keyed joins must give the same answer."""
+    from ledgerly.operators import joins as JJ
+    from ledgerly.operators import rules as RR
+    a = spark.createDataFrame([(1, "Ana Lúcia Souza"), (2, "joão"), (3, "Professor Nation_1"), (4, "")],
+                              "id int, name string")
+    b = spark.createDataFrame([(10, "ANA LUCIA"), (11, "João Pedro Alves"), (12, "nation_1"), (13, "x")],
+                              "bid int, bname string")
+    small = sorted((r.id, r.bid) for r in JJ.fuzzy_contains(a, "name", b, "bname", "id", "bid").collect())
+    monkeypatch.setattr(JJ, "fits_broadcast", lambda df, max_rows=0: False)
+    large = sorted((r.id, r.bid) for r in JJ.fuzzy_contains(a, "name", b, "bname", "id", "bid").collect())
+    assert small == large == [(1, 10), (2, 11), (3, 12)]
+
+    rules = spark.createDataFrame([(1, "lúcia", "L"), (2, "nation", "N"), (0, "ana", "A")],
+                                  "priority int, pattern string, label string")
+    want = sorted((r.id, r.lbl) for r in RR.classify_by_table(a, "name", rules, ["id"], "lbl", "none").collect())
+    monkeypatch.setattr(RR, "fits_broadcast", lambda df, max_rows=0: False)
+    got = sorted((r.id, r.lbl) for r in RR.classify_by_table(a, "name", rules, ["id"], "lbl", "none").collect())
+    assert got == want == [(1, "A"), (2, "none"), (3, "N"), (4, "none")]
