@@ -36,6 +36,11 @@ def month_offset_end(c, n: int) -> Column:
     return F.last_day(F.add_months(month_start(c), n))
 
 
+def days_back(d, n: int = 30) -> Column:
+    """CA-7: the date ``n`` days before ``d``."""
+    return F.date_sub(F.to_date(_c(d)), n)
+
+
 def in_month(d, month) -> Column:
     """Half-open month test on the raw date column so pushdown survives."""
     m = month_start(month)

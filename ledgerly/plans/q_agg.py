@@ -174,7 +174,7 @@ SELECT day, event_type, target_pct, n, floor(share * 100 + 0.5) / 100 AS share_p
 FROM j
 """)
 def mix_vs_target(spark, d):
-    """JN-16 with AG-15 and CL-11: daily event mix against target shares, banded."""
+    """RP-8 (JN-16, AG-15, CL-11): daily event mix against target shares, banded."""
     e = table(spark, d, "events").select(F.to_date("ts").alias("day"), "event_type")
     c = e.groupBy("day", "event_type").agg(F.count(F.lit(1)).alias("n"))
     targets = F.array(*[F.struct(F.lit(t).alias("event_type"), F.lit(p).alias("target_pct"))
@@ -491,7 +491,7 @@ SELECT 'bank' AS source, event_id AS ref, CAST(ts AS DATE) AS day,
 FROM events WHERE event_type IN ('purchase', 'error')
 """)
 def audit_list(spark, d):
-    """ST-3 with PJ-3 and SO-3: paid ledger and bank movements in one list, newest and largest first."""
+    """RP-17 (ST-3, PJ-3, SO-3): paid ledger and bank movements in one list, newest and largest first."""
     from ledgerly.operators.setops import audit_union
     o = table(spark, d, "orders").where(F.col("o_orderstatus").isin("F", "O")) \
         .select(F.lit("ledger").alias("source"), F.col("o_orderkey").alias("ref"),

@@ -285,6 +285,8 @@ def commission_detail(spark, d):
         F.trunc(F.to_date("o_orderdate"), "MM").alias("plan_month"),
         F.col("o_orderpriority").alias("slot"), tpch.slot_class().alias("slot_type"),
         F.concat(F.lit("prof "), F.col("o_orderpriority")).alias("professor"))
+    # JN-8: left join on computed keys with plain equality, so a null key never
+    # matches (N4)
     fb = bk.join(a, ["cust_key", "plan_month", "slot", "slot_type"], "left")
     fb = A.spread(fb, "value", "bookings_count", "booking_value")
     fb = A.spread(fb, "base", "bookings_count", "commission_base")
@@ -302,6 +304,7 @@ def commission_detail(spark, d):
     # kept like a materialised CTE so the lines are read and filtered once
     un = un.persist(StorageLevel.MEMORY_AND_DISK)
     un = J.nearest(un, bk, ["cust_key"], "ship_date", "booking_date", ["professor"], "booking_id")
+    # PJ-2: constant filler columns so the unallocated rows union with the bookings
     un = un.select(F.lit(None).cast("bigint").alias("booking_id"), F.col("ship_date").alias("booking_date"),
                    F.lit("unallocated_payment").alias("booking_type"),
                    F.coalesce("professor", F.lit("Sem professor")).alias("professor"), "cust_key",

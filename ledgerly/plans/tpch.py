@@ -8,7 +8,11 @@ once so every query reads it the same way:
   order status through a class map;
 * a *sale item* is a line item of the customer's order, paid in its ship
   month, typed by its return flag; ``l_linestatus = 'F'`` means paid and a
-  discount above 8% marks a member line (commission base = gross with tax);
+  discount above 8% marks a member line (commission base = gross with tax:
+  the PJ-1 gross/net choice);
+* items reach their customer through the order (JN-1 bridge join, JN-3
+  chain); slots are counted by several computed keys (AG-3) and carry the
+  customer's segment through a left join (JN-2);
 * an *event* is a booking of a user at ``ts``.
 """
 

@@ -16,13 +16,19 @@ from ledgerly.functions import text as T
 
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None,
-               where: Column | None = None, fmt: str = "parquet") -> DataFrame:
-    """SR-1 / SR-2: a table with a column list and a predicate; both reach the scan."""
+               where: Column | None = None, fmt: str = "parquet", order: Sequence[Column] | None = None,
+               limit: int | None = None) -> DataFrame:
+    """SR-1 / SR-2: a table with a column list and a predicate; both reach the
+    scan. SO-5 / SO-7: an order and a limit, only where the report asks for one."""
     df = spark.read.format(fmt).load(path)
     if cols:
         df = df.select(*cols)
     if where is not None:
         df = df.where(where)
+    if order:
+        df = df.orderBy(*order)
+    if limit is not None:
+        df = df.limit(limit)
     return df
 
 

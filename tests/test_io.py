@@ -78,3 +78,13 @@ def test_monthly_report_writes_each_report(spark):
                            ["operations_kpis", "goals", "payables", "commission_dashboard", "paid_dashboard"])
     for p in paths.values():
         assert spark.read.parquet(p).count() > 0
+
+
+def test_read_table_prunes_and_pushes_down(spark):
+    from pyspark.sql import functions as F
+    df = io.read_table(spark, "/root/testdata/sf0.001/orders.parquet", ["o_orderkey", "o_orderdate"],
+                       F.col("o_orderkey") < 100, order=[F.col("o_orderkey").desc()], limit=5)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [IsNotNull(o_orderkey), LessThan(o_orderkey,100)]" in plan
+    assert "o_totalprice" not in plan.split("ReadSchema")[1].split("\n")[0]
+    assert [r.o_orderkey for r in df.collect()] == sorted([r.o_orderkey for r in df.collect()], reverse=True)
