@@ -60,3 +60,47 @@ def test_commission_detail_on_domain_fixtures(spark):
     ])
     un = [r for r in rows if r.booking_type == "unallocated_payment"][0]
     assert un.participant_name == "Alice E." and un.booking_date == dt.date(2026, 7, 2)
+
+
+def test_commission_detail_tiers_payment_match_member_and_null_teacher(spark):
+    participants = spark.createDataFrame(
+        [(1, "C1", "Alice Example"), (2, "C1", "Alice Example"), (3, "C1", "Alice Example"),
+         (4, "C2", "Bruno Sample"), (5, "C2", "Bruno Sample"), (6, "C3", "Carla Tester")],
+        "booking_id bigint, customer_code string, participant_name string")
+    bookings = spark.createDataFrame([
+        (1, dt.date(2026, 7, 6), "18:00", "ACTIVE", "clase_colectiva", "Turma (2 / 4) Prof: Dan", "c", "r"),
+        (2, dt.date(2026, 7, 8), "10:00", "ACTIVE", "clase_colectiva", "Dupla (1 / 2) Prof: Fay", "c", "r"),
+        (3, dt.date(2026, 7, 20), "18:00", "ACTIVE", "clase_colectiva", "Turma (2 / 4)", "c", "r"),
+        (4, dt.date(2026, 7, 7), "08:00", "ACTIVE", "clase_colectiva", "Turma (3 / 6) Prof: Ian", "c", "r"),
+        (5, dt.date(2026, 7, 9), "08:00", "ACTIVE", "clase_colectiva", "Dupla (2 / 2) Prof: Jo", "c", "r"),
+        (6, dt.date(2026, 7, 9), "11:00", "ACTIVE", "clase_suelta", "Aula Prof: Kim", "c", "r"),
+    ], "booking_id bigint, booking_date date, start_time string, status string, booking_type string, "
+       "description string, venue string, resource_name string")
+    booking_payments = spark.createDataFrame([(6, dt.datetime(2026, 7, 9, 11, 30), Decimal("90.00"))],
+                                             "booking_id bigint, payment_date timestamp, amount decimal(18,2)")
+    sales = spark.createDataFrame([
+        ("V1", "C1", True, False, "sale", dt.datetime(2026, 7, 2, 10), dt.date(2026, 7, 1)),
+        ("V2", "C2", True, False, "sale", dt.datetime(2026, 7, 3, 10), dt.date(2026, 7, 3)),
+        ("V3", "C3", True, False, "sale", dt.datetime(2026, 7, 9, 11, 30), dt.date(2026, 7, 9)),
+    ], "external_id string, customer_code string, paid boolean, is_canceled boolean, tipo string, "
+       "pay_date timestamp, data_venda date")
+    items = spark.createDataFrame([
+        ("I1", "V1", "Plano TRIO julho 26", "Aulas", None, Decimal("200.00"), None, False),
+        ("I2", "V1", "Mensalidade GRUPO julho 26 Sócio", "Aulas", None, Decimal("100.00"), Decimal("150.00"), False),
+        ("I3", "V2", "Mensalidade GRUPO julho 26", "Aulas", None, Decimal("335.00"), None, False),
+        ("I4", "V2", "Mensalidade DUPLA julho 26", "Aulas", None, Decimal("430.00"), None, False),
+        ("I5", "V2", "Plano INDIVIDUAL julho 26", "Aulas", None, Decimal("720.00"), None, False),
+        ("I6", "V3", "Aula particular", "Aulas", None, Decimal("90.00"), None, False),
+    ], "item_key string, venda_external_id string, description string, categoria string, subcategoria string, "
+       "valor_faturamento decimal(18,2), valor_bruto decimal(18,2), is_canceled boolean")
+    clients = spark.createDataFrame([("C1", "Alice E.")], "customer_code string, name string")
+    rules = CommissionRules(member_patterns=["Sócio"])
+    rows = commission_detail(participants, bookings, booking_payments, sales, items, clients, rules).collect()
+    got = {r.booking_id: (r.professor, round(r.booking_value, 2), round(r.booking_commission_base, 2)) for r in rows}
+    assert got[1] == ("Dan", 50.0, 75.0)            # tier a, GRUPO shared with the teacher-less slot; member base
+    assert got[3] == ("Sem professor", 0.0, 0.0)    # null teacher never joins its slot (N4)
+    assert got[2] == ("Fay", 200.0, 200.0)          # tier b: TRIO has no slot, DUPLA slot is uncovered
+    assert got[4] == ("Ian", round(335 + 720 * 335 / 765, 2), round(335 + 720 * 335 / 765, 2))  # tier c
+    assert got[5] == ("Jo", round(430 + 720 * 430 / 765, 2), round(430 + 720 * 430 / 765, 2))
+    assert got[6] == ("Kim", 90.0, 90.0)            # matched through the booking payment row
+    assert not [r for r in rows if r.booking_type == "unallocated_payment"]
