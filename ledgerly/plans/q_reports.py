@@ -182,26 +182,30 @@ def statement_base(spark, d):
         "nation", "month", *[F.coalesce(F.col(k), z).alias(k) for k in ("gross", "commission", "opex")])
 
 
-def bracket_tax(df, base: str = "base"):
+def bracket_tax(df, base: str = "base", keys=("nation",), month: str = "month", brackets=None,
+                income_share: float = INCOME_TAX_SHARE):
     """RP-15: trailing-12 base (WN-5 rule, counting spine months) and the
-    progressive bracket tax split 4% / 96%."""
-    w_all = Window.partitionBy("nation").orderBy("month").rowsBetween(Window.unboundedPreceding, -1)
-    w_12 = Window.partitionBy("nation").orderBy("month").rowsBetween(-12, -1)
+    progressive bracket tax split 4% / 96%. ``df`` holds one row per key and
+    month (a spine)."""
+    brackets = brackets or BRACKETS
+    w_all = Window.partitionBy(*keys).orderBy(month).rowsBetween(Window.unboundedPreceding, -1)
+    w_12 = Window.partitionBy(*keys).orderBy(month).rowsBetween(-12, -1)
     n_prior = F.count(F.lit(1)).over(w_all)
     rbt = (F.when(n_prior == 0, F.col(base).cast("double") * 12)
             .when(n_prior < 12, F.sum(base).over(w_all).cast("double") / n_prior * 12)
             .otherwise(F.sum(base).over(w_12).cast("double")))
     x = df.withColumn("rbt12", rbt)
     r = F.col("rbt12")
-    nominal = F.lit(BRACKETS[-1][1])
-    deduct = F.lit(BRACKETS[-1][2])
-    for hi, rate, ded in reversed(BRACKETS[:-1]):
+    nominal = F.lit(brackets[-1][1])
+    deduct = F.lit(brackets[-1][2])
+    for hi, rate, ded in reversed(brackets[:-1]):
         nominal = F.when(r <= hi, F.lit(rate)).otherwise(nominal)
         deduct = F.when(r <= hi, F.lit(ded)).otherwise(deduct)
-    eff = F.when(r <= BRACKETS[0][0], nominal).otherwise((r * nominal - deduct) / r)
+    eff = F.when(r <= brackets[0][0], nominal).otherwise((r * nominal - deduct) / r)
     total = F.col(base).cast("double") * F.greatest(F.lit(0.0), eff)
-    return x.withColumn("eff_rate", eff).withColumn("ir", round2(total * INCOME_TAX_SHARE)) \
-            .withColumn("taxes", round2(total * OTHER_TAX_SHARE))
+    return x.withColumn("eff_rate", eff).withColumn("ir", round2(total * income_share)) \
+            .withColumn("taxes", round2(total * (1.0 - income_share) if income_share != INCOME_TAX_SHARE
+                                        else total * OTHER_TAX_SHARE))
 
 
 SQL_STATEMENT = """
