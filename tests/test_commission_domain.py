@@ -104,3 +104,34 @@ def test_commission_detail_tiers_payment_match_member_and_null_teacher(spark):
     assert got[5] == ("Jo", round(430 + 720 * 430 / 765, 2), round(430 + 720 * 430 / 765, 2))
     assert got[6] == ("Kim", 90.0, 90.0)            # matched through the booking payment row
     assert not [r for r in rows if r.booking_type == "unallocated_payment"]
+
+
+def test_dashboard_paid_pending_vouchers_and_balance(spark):
+    from ledgerly.plans.dashboard import DashboardRules, commission_dashboard
+    detail = spark.createDataFrame([
+        (1, dt.date(2026, 7, 6), "18:00", "clase_colectiva", "Turma (1 / 4)", "Dan", "Alice Example",
+         150.0, 0.0, False, True, dt.datetime(2026, 7, 2)),
+        (2, dt.date(2026, 7, 22), "18:00", "clase_colectiva", "Turma (1 / 4)", "Dan", "Alice Example",
+         150.0, 200.0, True, True, dt.datetime(2026, 7, 2)),
+        (3, dt.date(2026, 7, 8), "11:00", "clase_colectiva", "Dupla (1 / 2)", "Dan", "Bruno Sample",
+         0.0, 0.0, False, False, None),
+        (4, dt.date(2026, 7, 15), "11:00", "clase_colectiva", "Dupla (1 / 2)", "Dan", "Bruno Sample",
+         0.0, 0.0, False, False, None),
+    ], "booking_id bigint, booking_date date, start_time string, booking_type string, description string, "
+       "professor string, participant_name string, booking_value double, booking_commission_base double, "
+       "is_socio_benefit boolean, is_paid boolean, pay_date timestamp")
+    vouchers = spark.createDataFrame([
+        ("Voucher INTENSIVÃO - 4 aulas - dan", 400.0, dt.datetime(2026, 7, 25), "Carla"),
+        ("Voucher INTENSIVÃO - 4 aulas - Dan ANULADO", 300.0, dt.datetime(2026, 7, 25), "Dora"),
+    ], "description string, total double, pay_date timestamp, customer_name string")
+    payouts = spark.createDataFrame([("Dan", Decimal("20.00"))], "professor string, amount decimal(18,2)")
+    students, summary = commission_dashboard(detail, vouchers, payouts, "2026-07-01", DashboardRules(rate=0.10))
+    s = summary.collect()[0]
+    assert s.paid_billed == 700.0 and s.paid_base == 750.0       # 150 + 150 + voucher 400; base 150 + 200 + 400
+    assert s.p1_billed == 150.0 and s.p2_billed == 550.0          # class day 6 | class day 22, voucher day 25
+    # pending: one DUPLA slot on Wednesdays at 11:00 (5 Wednesdays in July 2026), 2 bookings:
+    # 2/5 x 430, off-peak (weekday, 10..15h) so 12% off instead of a frequency discount
+    assert s.pending_billed == round(2 / 5 * 430 * 0.88, 2)
+    assert s.commission == 75.0 and s.balance == 55.0
+    st = {(x.student, x.status) for x in students.collect()}
+    assert ("Bruno Sample", "pending") in st and ("Carla (voucher)", "paid") in st
