@@ -28,12 +28,12 @@ def test_income_and_cash_flow_statements(spark):
         (dt.date(2026, 7, 12), True, "expense", Decimal("70.00"), "Comissão professores", "Operação", "x", None),
         (dt.date(2026, 7, 13), True, "revenue", Decimal("900.00"), "Vendas", "Operação", "x", None),
         (dt.date(2026, 7, 14), True, "expense", Decimal("30.00"), "Equipamento", "Investimentos", "x", None),
-        (dt.date(2026, 7, 15), False, "expense", Decimal("40.00"), "Limpeza", "Operação", "Kawane", None),
+        (dt.date(2026, 7, 15), False, "expense", Decimal("40.00"), "Limpeza", "Operação", "Zeta Payroll", None),
     ], "due_date date, paid boolean, transaction_type string, amount decimal(18,2), category_name string, "
        "cost_center_descricao string, name string, description string")
     payments = spark.createDataFrame([(dt.datetime(2026, 7, 3), "Cartão Débito", Decimal("1000.00"))],
                                      "payment_date timestamp, pay_method string, amount decimal(18,2)")
-    r = FinanceRules(text_exclusions=[("kawane", "2026-07-01")], teacher_rates=[("Eve", 0.2)],
+    r = FinanceRules(text_exclusions=[("zeta payroll", "2026-07-01")], teacher_rates=[("Eve", 0.2)],
                      accruals=[("staff", "2026-07-16", None, "3100.00")])
     st = {(str(x.month), x.line): x.value for x in
           income_statement(items, detail, ledger, costs, payments, "2026-06-01", "2026-08-01", r).collect()}
@@ -42,7 +42,7 @@ def test_income_and_cash_flow_statements(spark):
     assert st[("2026-07-01", "cogs")] == 15.0                 # code '0012' = '12', 10 x 1.50; 'Mensalidade' no cost
     assert st[("2026-07-01", "commission")] == 60.0           # 300 x 10% + 150 x 20%
     assert st[("2026-07-01", "energy")] == 100.0
-    assert st[("2026-07-01", "operating_expenses")] == 50.0 + 1600.0   # Kawane and commissions excluded; accrual 16/31
+    assert st[("2026-07-01", "operating_expenses")] == 50.0 + 1600.0   # payee exclusion and commissions excluded; accrual 16/31
     assert st[("2026-07-01", "fees")] == 9.9
     assert st[("2026-08-01", "cogs")] == 2.0                  # quantity 0 counts as 1, August price
     # first month: trailing base = 12 x base; (1440 x 12 = 17280) <= 180000 -> 6%
