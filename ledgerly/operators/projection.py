@@ -44,7 +44,8 @@ def split_by_plan(total: Column, planned_t: Column, planned_v: Column, default_s
     return r2(total * share), r2(total * (F.lit(1.0) - share))
 
 
-def month_projection(entities: DataFrame, key: str, p: ProjectionParams = ProjectionParams()) -> DataFrame:
+def month_projection(entities: DataFrame, key: str, p: ProjectionParams = ProjectionParams(),
+                     static_hours: str | None = None) -> DataFrame:
     """RP-19: fold each entity's months.
 
     ``entities`` columns: ``key``, ``base_tuition``, ``other_base``,
@@ -65,7 +66,10 @@ def month_projection(entities: DataFrame, key: str, p: ProjectionParams = Projec
         fo = acc["fo"] * F.lit(p.occupancy_growth)
         tuition = r2(F.col("base_tuition") * f)
         td0, td30 = r2(tuition * F.col("r0")), r2(tuition * F.col("r30"))
-        free = F.greatest(F.lit(0.0), m["open_hours"] * F.lit(float(p.courts)) - F.col("fixed_hours") * f)
+        cap = m["open_hours"] * F.lit(float(p.courts))
+        if static_hours:
+            cap = cap - F.col(static_hours)          # maintenance and single lessons do not grow
+        free = F.greatest(F.lit(0.0), cap - F.col("fixed_hours") * f)
         occ = F.least(F.lit(p.occupancy_cap), F.lit(p.occupancy) * fo)
         var = r2(free * occ * F.lit(p.ticket) + F.col("other_base") * f)
         vd0, vd30 = r2(var * F.col("r0")), r2(var * F.col("r30"))
