@@ -79,3 +79,69 @@ def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame,
     arr = m.agg(F.array_sort(F.collect_list("m")).alias("months")).withColumn("club", F.lit(1))
     ent = one.join(arr, "club")
     return P.month_projection(ent, "club", p, static_hours="static_hours").drop("club")
+
+
+# Weekday weights of the daily model (Sunday first).
+DOW_WEIGHTS = [0.5, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0]
+
+
+def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str, opening: float,
+                 d30_remaining: float, d0_expected: float, commission_p1: float, commission_p2: float,
+                 pace: float = 1.0, card_fee: float = 0.025, day_provision: float = 0.0,
+                 period_cut: int = 20) -> DataFrame:
+    """RP-18 for the club: one row per day from ``as_of`` to the month end.
+
+    Receipts: the imported schedule's releases of the day when the month has
+    any, else the month's remaining 30-day money spread by weekday weight over
+    the remaining days (WN-8, CA-5); plus expected same-day sales by weight
+    and pace; the as-of day nets what was already received. Outflows: daily
+    provision and fees, ledger items due that day, overdue items (FL-10) on
+    the as-of day, commission for the first period on ``period_cut`` and for
+    the second on the last day. Running balance from ``opening`` (WN-4).
+    """
+    spark = ledger.sparkSession
+    m = F.lit(month).cast("date")
+    a = F.lit(as_of).cast("date")
+    warr = F.array(*[F.lit(x) for x in DOW_WEIGHTS])
+    weight = lambda c: F.element_at(warr, F.dayofweek(c))
+    all_days = F.sequence(m, F.last_day(m))
+    total_w = F.aggregate(F.transform(all_days, weight), F.lit(0.0), lambda x, y: x + y)
+    rem_w = F.greatest(F.aggregate(F.transform(all_days, lambda c: F.when(c >= a, weight(c)).otherwise(F.lit(0.0))),
+                                   F.lit(0.0), lambda x, y: x + y), F.lit(1.0))
+    days = spark.range(1).select(F.explode(F.sequence(a, F.last_day(m))).alias("day"), total_w.alias("total_w"),
+                                 rem_w.alias("rem_w")).withColumn("w", weight(F.col("day")))
+    z = F.lit(0).cast("decimal(18,2)")
+    sched = schedule.where(D.in_month("release_date", m)).groupBy(F.col("release_date").alias("day")) \
+                    .agg(F.sum(money("value")).cast("double").alias("imported"))
+    has_imp = schedule.where(D.in_month("release_date", m)).limit(1).count() > 0
+    inv = F.col("cost_center_descricao") == INVESTMENT_CENTRE
+    unpaid = ledger.where(~F.col("paid") & (F.col("transaction_type") != "revenue"))
+    due = unpaid.groupBy(F.col("due_date").alias("day")).agg(
+        F.sum(F.when(~inv, money("amount")).otherwise(z)).cast("double").alias("ops"),
+        F.sum(F.when(inv, money("amount")).otherwise(z)).cast("double").alias("inv"))
+    over = unpaid.where(F.col("due_date") < a).agg(
+        F.sum(F.when(~inv, money("amount")).otherwise(z)).cast("double").alias("over_ops"),
+        F.sum(F.when(inv, money("amount")).otherwise(z)).cast("double").alias("over_inv"))
+    got = ledger.where(F.col("paid") & (F.col("transaction_type") == "revenue") & (F.col("due_date") == a)) \
+                .agg(F.sum(money("amount")).cast("double").alias("received"))
+    x = days.join(sched, "day", "left").join(due, "day", "left") \
+            .join(over.withColumn("day", a), "day", "left").join(got.withColumn("day", a), "day", "left")
+    r2 = P.r2
+    block1 = F.coalesce("imported", F.lit(0.0)) if has_imp else r2(F.lit(float(d30_remaining)) * (F.col("w") / F.col("rem_w")))
+    block2 = r2(F.lit(float(d0_expected)) * F.col("w") / F.col("total_w") * F.lit(float(pace)))
+    first = F.col("day") == a
+    raw = r2(block1 + block2)
+    inflow = F.when(first, r2(F.greatest(F.lit(0.0), raw - r2(F.coalesce("received", F.lit(0.0)))))).otherwise(raw)
+    last = F.col("day") == F.last_day("day")
+    start_day = int(as_of[-2:])
+    comm = F.when(F.dayofmonth("day") == period_cut, F.lit(float(commission_p1) if start_day <= period_cut else 0.0)) \
+            .otherwise(F.lit(0.0)) \
+        + F.when(last, F.lit(float(commission_p2) + (float(commission_p1) if start_day > period_cut else 0.0))) \
+           .otherwise(F.lit(0.0))
+    out_ops = r2(r2(F.lit(float(day_provision)) + r2(block1 * F.lit(card_fee))) + F.coalesce("ops", F.lit(0.0))
+                 + F.when(first, F.coalesce("over_ops", F.lit(0.0))).otherwise(F.lit(0.0)) + comm)
+    out_inv = r2(F.coalesce("inv", F.lit(0.0)) + F.when(first, F.coalesce("over_inv", F.lit(0.0))).otherwise(F.lit(0.0)))
+    y = x.select("day", inflow.alias("inflow"), out_ops.alias("outflow_ops"), out_inv.alias("outflow_inv"),
+                 F.lit(1).alias("__k"), F.lit(float(opening)).alias("opening"))
+    y = y.withColumn("receipts", F.col("inflow")).withColumn("outflows", F.col("outflow_ops") + F.col("outflow_inv"))
+    return P.daily_projection(y, "__k", "opening").drop("__k", "receipts", "outflows")

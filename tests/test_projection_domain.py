@@ -32,3 +32,25 @@ def test_project_months_first_month_by_hand(spark):
     assert abs(first.net - 10371.57) < 0.011
     assert abs(first.final - 20371.57) < 0.011
     assert rows[1].initial == first.final   # next month opens where this one closed
+
+
+def test_project_days_balance_and_first_day_items(spark):
+    from ledgerly.plans.projection_domain import project_days
+    ledger = spark.createDataFrame([
+        (dt.date(2026, 8, 5), False, "expense", Decimal("100"), "Operação"),      # overdue -> first day
+        (dt.date(2026, 8, 12), False, "expense", Decimal("40"), "Investimentos"),
+        (dt.date(2026, 8, 10), True, "revenue", Decimal("30"), "Operação"),       # received on the as-of day
+    ], "due_date date, paid boolean, transaction_type string, amount decimal(18,2), cost_center_descricao string")
+    schedule = spark.createDataFrame([], "release_date date, value decimal(18,2)")
+    rows = project_days(ledger, schedule, "2026-08-01", "2026-08-10", 1000.0, d30_remaining=2200.0,
+                        d0_expected=0.0, commission_p1=50.0, commission_p2=70.0, card_fee=0.0).collect()
+    assert len(rows) == 22 and str(rows[0].day) == "2026-08-10"
+    # remaining weight: 22 days from the 10th, 3 Sundays at 0.5 -> 20.5
+    first = rows[0]
+    assert abs(first.inflow - (round(2200 * 1.0 / 20.5, 2) - 30.0)) < 0.011
+    assert first.outflow_ops == 100.0
+    d20 = [r for r in rows if r.day == dt.date(2026, 8, 20)][0]
+    assert d20.outflow_ops == 50.0
+    last = rows[-1]
+    assert last.outflow_ops == 70.0
+    assert abs(last.closing - (1000.0 + sum(r.net for r in rows))) < 0.01
