@@ -303,9 +303,9 @@ def match_payments(bookings: DataFrame, items: DataFrame, pays: DataFrame, b_id:
     Plan: instead of testing every booking of a customer against every item
     (``LIKE`` under ``OR``), the text branch extracts every date and time
     token of the item text (overlapping matches, so containment is exact)
-    and equi-joins on (customer, date, time); the payment branch equi-joins
-    items to payments on (date, amount) and then to the booking on
-    (booking, customer). The union is made distinct.
+    and equi-joins on (customer, date, time); the payment branch gives each
+    payment its booking's customer and equi-joins items on (customer, date,
+    amount). The union is made distinct.
     """
     b = bookings.select(F.col(b_id).alias("__b"), F.col(b_cust).alias("__c"),
                         F.date_format(F.col(b_date), "dd/MM/yyyy").alias("__dt"), F.col(b_time).alias("__tm"))
@@ -317,7 +317,11 @@ def match_payments(bookings: DataFrame, items: DataFrame, pays: DataFrame, b_id:
     by_text = t.join(b, ["__c", "__dt", "__tm"]).select("__b", "__i", "__c")
     iv = items.select(F.col(i_key).alias("__i"), F.col(i_cust).alias("__c"), F.col(i_paydate).alias("__pd"),
                       F.col(i_value).alias("__v"))
-    pv = pays.select(F.col(p_booking).alias("__b"), F.col(p_date).alias("__pd"), F.col(p_amount).alias("__v"))
-    by_pay = iv.join(pv, ["__pd", "__v"]).join(b.select("__b", "__c"), ["__b", "__c"]).select("__b", "__i", "__c")
+    # payments take their booking's customer first, so the item join is on
+    # (customer, date, amount): items of the same price on the same day from
+    # different customers never pair up
+    pv = pays.select(F.col(p_booking).alias("__b"), F.col(p_date).alias("__pd"), F.col(p_amount).alias("__v")) \
+             .join(b.select("__b", "__c"), "__b")
+    by_pay = iv.join(pv, ["__c", "__pd", "__v"]).select("__b", "__i", "__c")
     return by_text.unionByName(by_pay).distinct() \
                   .select(F.col("__b").alias(b_id), F.col("__i").alias(i_key), F.col("__c").alias(i_cust))
