@@ -69,8 +69,8 @@ def parse_schedule_lines(lines: DataFrame, date_aliases: Sequence[str] = DATE_AL
     heads = heads.select("file", "hpos", idx_d.alias("di"), idx_v.alias("vi"))
     body = lines.join(heads, "file").where(F.col("pos") > F.col("hpos"))
     raw = F.split(F.col("line"), sep)
-    out = body.select("file", F.element_at(raw, F.col("di") + 1).alias("d_txt"),
-                      F.element_at(raw, F.col("vi") + 1).alias("v_txt"))
+    out = body.select("file", F.try_element_at(raw, F.col("di") + 1).alias("d_txt"),
+                      F.try_element_at(raw, F.col("vi") + 1).alias("v_txt"))
     out = out.select("file", T.parse_date_text("d_txt").alias("release_date"),
                      T.parse_money_text("v_txt").alias("value"))
     return out.where(F.col("release_date").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))

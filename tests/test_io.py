@@ -88,3 +88,15 @@ def test_read_table_prunes_and_pushes_down(spark):
     assert "PushedFilters: [IsNotNull(o_orderkey), LessThan(o_orderkey,100)]" in plan
     assert "o_totalprice" not in plan.split("ReadSchema")[1].split("\n")[0]
     assert [r.o_orderkey for r in df.collect()] == sorted([r.o_orderkey for r in df.collect()], reverse=True)
+
+
+def test_schedule_header_must_be_in_the_first_rows(spark):
+    d = tempfile.mkdtemp(prefix="ledgerly-hdr-")
+    late = "\n".join(["x"] * 16) + "\nData;Valor\n05/07/2026;10,00\n"
+    _write(d, "late.csv", late)
+    _write(d, "ok.csv", "titulo\nValor;Data\n1.234,50;2026-07-06\n;2026-07-07\nabc;2026-07-08\n")
+    rows = io.ingest_schedule(spark, d + "/*.csv", "acq")
+    got = sorted((str(r.release_date), r.value) for r in rows.collect())
+    # the late header (row 17) is not found; columns are found by position in any order;
+    # empty and non-numeric values are skipped
+    assert got == [("2026-07-06", 1234.5)]
