@@ -66,7 +66,7 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
 
     pend = d.where(~F.col("is_paid") & D.in_month("booking_date", m)).select(
         F.struct("professor", "participant_name").alias("student"), "booking_id", "booking_date",
-        F.split("start_time", ":").getItem(0).cast("int").alias("hour"), "description", "booking_type",
+        F.split("start_time", ":").getItem(0).try_cast("int").alias("hour"), "description", "booking_type",
         F.col("is_socio_benefit").alias("is_socio"), F.col("booking_commission_base").alias("commission_base"))
     _, per_s = X.estimate_pending(pend)
     pend_rows = per_s.select(F.col("student.professor").alias("professor"),

@@ -17,7 +17,7 @@ def event_bookings(spark, d):
     free, member words and an ``(1 / m)`` capacity), signups are single lessons,
     values above 300 are member bookings, purchases are paid."""
     e = table(spark, d, "events")
-    k = F.get_json_object("props", "$.k").cast("int")
+    k = F.get_json_object("props", "$.k").try_cast("int")
     word = (F.when(k < 10, "Aula KIDS ").when(k < 15, "Aula BABY ").when(k < 20, "REPOSIÇÃO ")
              .when(k < 25, "Aula SÓCIO ").otherwise("Aula "))
     desc = F.concat(word, F.lit("(1 / "), (k % 5 + 1).cast("string"), F.lit(")"))
