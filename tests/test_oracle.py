@@ -6,11 +6,13 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from ledgerly.plans import registry
 from ledgerly.sources.tables import TABLES
 
 SF = "/root/testdata/sf0.001"
-QUERIES = E.queries()
-ORACLES = E.oracle_sql()
+registry.load_all()
+QUERIES = registry.QUERIES
+ORACLES = registry.ORACLES
 
 
 def _norm(v):
