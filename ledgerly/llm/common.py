@@ -47,15 +47,17 @@ def word_count(text: Column) -> Column:
         F.length(flat) - F.length(F.replace(flat, F.lit(" "), F.lit(""))) + 1).cast("long")
 
 
-def dense_names(values: DataFrame, sort_cols: list[str], keep: list[str], label: str) -> DataFrame:
-    """Integer names 0..n-1 for distinct rows, in the sort order of ``sort_cols``.
-
-    The rows are range-partitioned and sorted in place; a row's name is its
-    partition's offset plus its place, so no task sees more than one range and
-    only one row per partition meets in the offsets' window. Returns ``keep``
-    and ``name``. Names depend on the values alone, not on the partitioning.
+def dense_names(values: DataFrame, by: list[str], then: list[str], keep: list[str], label: str) -> DataFrame:
+    """Integer names 0..n-1 for distinct rows, in the order of ``by`` and ``then``.
+
+    The rows are dealt by ranges of ``by`` and sorted in place; a row's name is
+    its partition's offset plus its place, so no task sees more than one range
+    and only one row per partition meets in the offsets' window. The driver
+    sees a sample of ``by``, which should be short and tell most rows apart.
+    Returns ``keep`` and ``name``. Names depend on the values alone, not on the
+    partitioning.
     """
-    ranged = values.repartitionByRange(*sort_cols).sortWithinPartitions(*sort_cols)
+    ranged = values.repartitionByRange(*by).sortWithinPartitions(*by, *then)
     placed = written(ranged.select(*keep, F.monotonically_increasing_id().alias("_at")), label)
     placed = placed.select(*keep, F.shiftright("_at", 33).alias("_part"), F.col("_at").bitwiseAND((1 << 33) - 1).alias("_place"))
     sizes = placed.groupBy("_part").agg(F.count("*").alias("_n"))

@@ -1,7 +1,8 @@
 """Exact dedup by deterministic block naming (DataFrame functions only).
 
 A text is cut into blocks of a fixed number of characters. The distinct blocks
-of all texts are sorted and their ranks are their integer names. Then, round by
+of all texts are sorted, by digest and then by the block itself, and their ranks
+are their integer names. Then, round by
 round, adjacent names are paired, the distinct pairs are sorted and named again,
 until one name is left for each document. Two texts share (rounds, name) exactly
 when they are equal: every name stands for one string, so nothing can collide.
@@ -35,13 +36,15 @@ DIGESTS = (("md5", lambda c: F.unhex(F.md5(c))), ("sha256", lambda c: F.unhex(F.
 def block_names(docs: DataFrame, text_col: str, block_chars: int):
     """Names of all distinct blocks: (digest function, table of digest and name).
 
-    The naming itself compares whole blocks. Digests only carry a row to the
-    name of its block, after a count has shown that no two blocks share one.
+    The naming itself compares whole blocks; digests come first in the order
+    only to deal the blocks out evenly, whatever they have in common. Rows find
+    the name of their block by its digest, after a count has shown that no two
+    blocks share one.
     """
     blocks = blocks_of(normalised(F.col(text_col)), block_chars)
     for label, digest in DIGESTS:
         distinct = docs.select(F.explode(blocks).alias("block")).distinct()
-        names = dense_names(distinct.withColumn("digest", digest(F.col("block"))), ["block"], ["digest"], f"blocks-{label}")
+        names = dense_names(distinct.withColumn("digest", digest(F.col("block"))), ["digest"], ["block"], ["digest"], f"blocks-{label}")
         if names.groupBy("digest").count().filter("count > 1").isEmpty():
             return digest, names
     raise ValueError("different blocks share every digest")
@@ -66,7 +69,7 @@ def name_texts(docs: DataFrame, id_col: str, text_col: str, block_chars: int) ->
                  .agg(F.max(F.when(even, F.col("name"))).alias("a"),
                       F.coalesce(F.max(F.when(~even, F.col("name"))), F.lit(-1)).alias("b")))
         pairs = written(pairs, f"pairs{k}")
-        named = dense_names(pairs.select("a", "b").distinct(), ["a", "b"], ["a", "b"], f"names{k}")
+        named = dense_names(pairs.select("a", "b").distinct(), ["a", "b"], [], ["a", "b"], f"names{k}")
         rest = written(pairs.join(named, ["a", "b"])
                        .select("rid", F.ceil(F.col("n") / 2).cast("int").alias("n"), "pos", "name"), f"round{k}")
         done = done.unionAll(rest.filter("n = 1").select("rid", F.lit(k).alias("rounds"), "name"))
