@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerly.llm.common import written
+
 #: Fixed values of the format.
 VERSION, END, GZIP = b"WARC/1.1\r\n", b"\r\n\r\n", b"\x1f\x8b\x08"
 START = re.compile(rb"WARC/1\.[01]\r\n|\x1f\x8b\x08")
@@ -68,7 +70,8 @@ def with_revisits(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, p
     digest = F.unhex(F.sha1("payload"))
     firsts = (rows.filter(F.length("payload") >= min_bytes).groupBy(digest.alias("sha"))
               .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("sha", "first"))
-    joined = rows.withColumn("sha", digest).join(firsts, "sha", "left")
+    # as a table its size is known: few copies are broadcast, and payloads then stay where they are read
+    joined = rows.withColumn("sha", digest).join(written(firsts, "firsts"), "sha", "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.length("payload") >= min_bytes)
     return joined.select("page_id", "url", F.length("payload").cast("long").alias("size"), "sha",
                          F.when(again, F.col("first")).alias("refers_to"),
