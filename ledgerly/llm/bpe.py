@@ -23,7 +23,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ledgerly.llm.pieces import gather, rounds, split_pieces
+from ledgerly.llm.pieces import Units, gather, rounds
 
 #: Unicode white space and the pattern that splits text before merging.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -50,11 +50,11 @@ def byte_of_char() -> dict[str, int]:
 class ByteBpe:
     """A byte-level BPE vocabulary read from a tokenizers file.
 
-    The first ``most`` pieces of text are remembered with their ids, later ones
-    in a memo that is dropped when it is full, so memory stays bounded.
+    The first ``most`` words are remembered with their ids, so memory stays
+    bounded; later ones are encoded anew in every round that they occur in.
     """
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 700_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         to_byte = byte_of_char()
@@ -63,6 +63,7 @@ class ByteBpe:
         as_bytes = {token: bytes(to_byte[c] for c in token) for token in vocab if token not in self.special}
         self.text = {i: content.encode() for content, i in self.special.items()} | {vocab[t]: b for t, b in as_bytes.items()}
         self.size = {i: len(b) for i, b in self.text.items()}
+        self.most, self.pairs, self.words, self.edges = most, {}, {}, ({}, {})
         self.rank, self.parts, self.made = {}, {}, {}
         for rank, merge in enumerate(spec["model"]["merges"]):
             left, right = merge.split(" ") if isinstance(merge, str) else merge
@@ -81,7 +82,6 @@ class ByteBpe:
         self.splits = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
         self.splitter = Tokenizer.from_file(path).pre_tokenizer
         self.to_byte = to_byte
-        self.most, self.pairs, self.words, self.pieces, self.late = most, {}, {}, {}, {}
         top = max(self.text)
         in_order = [self.text.get(i, b"") for i in range(top + 1)]
         self.blob = np.frombuffer(b"".join(in_order), dtype=np.uint8)
@@ -91,11 +91,14 @@ class ByteBpe:
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """The tokens at one end of ``token`` while it is built, from the whole on, each with the rank of the merge that ends it."""
-        out, until = [(token, float("inf"))], float("inf")
-        while token in self.parts:
-            until = self.made[token]
-            token = self.parts[token][side]
-            out.append((token, until))
+        out = self.edges[side].get(token)
+        if out is None:
+            out, part, until = [(token, float("inf"))], token, float("inf")
+            while part in self.parts:
+                until = self.made[part]
+                part = self.parts[part][side]
+                out.append((part, until))
+            self.edges[side][token] = out
         return out
 
     def _crossed(self, left: int, right: int, before: float) -> bool:
@@ -116,25 +119,22 @@ class ByteBpe:
         return self._whole(left) and self._whole(right) and not self._crossed(left, right, self.made[token])
 
     def may_follow(self, left: int, right: int) -> bool:
-        found = self.pairs.get((left, right))
-        if found is None:
-            if len(self.pairs) > self.most:
-                self.pairs.clear()
-            found = self.pairs[left, right] = not self._crossed(left, right, float("inf"))
-        return found
-
-    def last_tokens(self, word: str) -> list[int | None]:
-        """The unique last token of every prefix of ``word`` (its bytes as Latin-1 characters); None before the first byte."""
-        last: list[int | None] = [None] * (len(word) + 1)
+        return not self._crossed(left, right, float("inf"))
+
+    def last_tokens(self, word: str) -> list[int]:
+        """The unique last token of every prefix of ``word`` (its bytes as Latin-1 characters); -1 where none is known yet."""
+        last = [-1] * (len(word) + 1)
         size, pairs = self.size, self.pairs
         for at, token in self.automaton.iter(word):
-            if last[at + 1] is None:
+            if last[at + 1] < 0:
                 start = at + 1 - size[token]
                 if start:
-                    before = last[start]
-                    follows = pairs.get((before, token))
+                    pair = last[start] << 32 | token
+                    follows = pairs.get(pair)
                     if follows is None:
-                        follows = before is not None and self.may_follow(before, token)
+                        if len(pairs) >= self.most:
+                            pairs.clear()
+                        follows = pairs[pair] = self.may_follow(last[start], token)
                     if not follows:
                         continue
                 last[at + 1] = token
@@ -151,33 +151,27 @@ class ByteBpe:
         return ids[::-1]
 
     def _words(self, piece: str) -> list[str]:
-        """The piece's words, bytes as Latin-1 characters."""
         if max(piece) < LATE:
-            return [w.encode().decode("latin-1") for w in WORDS.findall(piece)]
-        return ["".join(chr(self.to_byte[c]) for c in w) for w, _ in self.splitter.pre_tokenize_str(piece)]
-
-    def _piece(self, piece: str) -> bytes:
-        """Packed ids of one piece, remembered."""
-        ids, words = [], self.words
-        for w in self._words(piece):
-            found = words.get(w)
-            if found is None:
-                found = self.encode_word(w)
-                if len(words) < self.most:
-                    words[w] = found
-            ids += found
-        memo = self.pieces if len(self.pieces) < self.most else self.late
-        if len(memo) >= self.most:
-            memo.clear()
-        packed = memo[piece] = struct.pack(f"<{len(ids)}{self.code}", *ids)
+            return WORDS.findall(piece)
+        return [bytes(self.to_byte[c] for c in w).decode() for w, _ in self.splitter.pre_tokenize_str(piece)]
+
+    def _word(self, word: str, memo: dict[str, bytes]) -> bytes:
+        """Packed ids of one word, kept in the lasting memo while that has room and else in ``memo``."""
+        ids = self.encode_word(word.encode().decode("latin-1"))
+        packed = struct.pack(f"<{len(ids)}{self.code}", *ids)
+        (self.words if len(self.words) < self.most else memo)[word] = packed
         return packed
 
-    def _ids(self, piece: str) -> bytes:
-        return self.pieces.get(piece) or self.late.get(piece) or self._piece(piece)
+    def _ids(self, piece: str, space: str, memo: dict[str, bytes]) -> bytes:
+        """Packed ids of a piece after ``space``."""
+        words = self._words(space + piece) if space + piece else []
+        lasting, round_ = self.words.get, memo.get
+        return b"".join([lasting(w) or round_(w) or self._word(w, memo) for w in words])
 
     def _plain(self, text: str) -> bytes:
         """Packed ids of a text without special tokens."""
-        return b"".join(map(self._ids, PIECES.findall(text)))
+        memo: dict[str, bytes] = {}
+        return b"".join([self._ids(p, "", memo) for p in PIECES.findall(text)])
 
     def encode(self, text: str) -> bytes:
         """Packed little-endian ids of ``dtype``; special tokens' strings give their ids."""
@@ -198,13 +192,15 @@ class ByteBpe:
             for special in self.special:
                 odd = pc.or_(odd, pc.match_substring(some, special))
             odd = odd.to_numpy(zero_copy_only=False)
-            pieces, codes, before = split_pieces(pc.if_else(pa.array(odd), "", some))
-            firsts, inverse = np.unique(codes[before[:-1]], return_inverse=True)  # of each text, without a space before it
-            values = [self._ids(" " + p) for p in pieces] + [self._ids(pieces[k]) if pieces[k] else b"" for k in firsts]
-            codes = codes.astype(np.int64)
-            codes[before[:-1]] = len(pieces) + inverse
-            ids, ends = gather(values, codes, self.dtype)
-            cuts = np.append(0, ends)[before].tolist()
+            units, memo = Units(pc.if_else(pa.array(odd), "", some)), {}
+            lasting = self.words.get
+            values = [lasting(" " + h) or self._ids(h, " ", memo) for h in units.heads] + [self._ids(t, "", memo) for t in units.tails]
+            firsts, inverse = np.unique(units.codes[units.before[:-1], 0], return_inverse=True)  # of each text, without a space before it
+            codes = units.codes
+            codes[units.before[:-1], 0] = len(values) + inverse
+            values += [self._ids(units.heads[k], "", memo) for k in firsts]
+            ids, ends = gather(values, codes.ravel(), self.dtype)
+            cuts = np.append(0, ends[1::2])[units.before].tolist()
             for k, (a, b) in enumerate(zip(cuts, cuts[1:])):
                 yield np.frombuffer(self.encode(some[k].as_py()), dtype=self.dtype) if odd[k] else ids[a:b]
 

@@ -23,21 +23,22 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ledgerly.llm.common import written
-from ledgerly.llm.pieces import gather, rounds, split_pieces
+from ledgerly.llm.pieces import Units, gather, rounds
 
-#: Most pieces that go to the tokenizer as one text, and the word between them.
+#: Most words that go to the tokenizer as one text, and the word between them.
 JOINED, MARK = 2_000, "\x00"
 
 
 class PieceEncoder:
-    """Encodes texts by their white-space-separated pieces; each distinct piece of a round goes to the tokenizer once.
+    """Encodes texts by the words of their space-separated pieces; each distinct word of a round goes to the tokenizer once.
 
-    For tokenizers that drop white space and never join what it separates. The
-    first ``most`` pieces are remembered, later ones for one round only, so
-    memory stays bounded.
+    For tokenizers that lower case, drop white space, never join what it
+    separates, and cut between letters and punctuation. The first ``most``
+    words are remembered, later ones for one round only, so memory stays
+    bounded.
     """
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -45,7 +46,7 @@ class PieceEncoder:
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
         self.mark = self._ids(MARK)
-        self.most, self.memo = most, {}
+        self.most, self.memo = most, {"": b""}
 
     def _ids(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype=self.dtype)
@@ -66,13 +67,15 @@ class PieceEncoder:
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as packed integers of ``dtype``; null is empty."""
         for some in rounds(texts):
-            pieces, codes, before = split_pieces(pc.replace_substring(some, "\n", " "))
-            found = list(map(self.memo.get, pieces))
-            late = self._new([p for p, f in zip(pieces, found) if f is None])
-            if len(self.memo) < self.most:
-                self.memo.update(late)
-            ids, ends = gather([late[p] if f is None else f for p, f in zip(pieces, found)], codes, self.dtype)
-            packed, cuts = ids.tobytes(), (np.append(0, ends)[before] * self.dtype.itemsize).tolist()
+            units = Units(pc.replace_substring(some, "\n", " "), lower=True)
+            words, memo = units.heads + units.tails, self.memo
+            found = list(map(memo.get, words))
+            late = self._new([w for w in dict.fromkeys(words) if w not in memo])
+            if len(memo) < self.most:
+                memo.update(late)
+            ids, ends = gather([late[w] if f is None else f for w, f in zip(words, found)], units.codes.ravel(), self.dtype)
+            ends = np.append(0, ends[1::2])[units.before]
+            packed, cuts = ids.tobytes(), (ends * self.dtype.itemsize).tolist()
             yield from (packed[a:b] for a, b in zip(cuts, cuts[1:]))
 
 
