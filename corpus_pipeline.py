@@ -41,8 +41,8 @@ def stage_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens and ids (packed little-endian 32-bit integers) of every document that the mix holds."""
-    ids = bpe.encode_column(F.col("text"), public_tokenizers.path("byte_bpe_50k.json"))
-    return docs.select("doc_id", "source", ids.alias("ids")).select(
+    ids = bpe.encode_documents(docs.select("doc_id", "source", "text"), public_tokenizers.path("byte_bpe_50k.json"))
+    return ids.select(
         "doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 

@@ -19,8 +19,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from ledgerly.llm.pieces import Units, gather, rounds
@@ -32,6 +33,8 @@ WORDS = regex.compile(rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPAC
 PIECES = regex.compile(rf"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
 #: From this character on, the library's own splitter is asked, as tables of letters differ with their Unicode version.
 LATE = "\u0530"
+#: Most pairs of tokens whose test is remembered.
+PAIRS = 300_000
 #: The same white space before a space, for RE2.
 ODD_SPACE = "[" + "".join(f"\\x{{{ord(c):x}}}" if c != "-" else c for c in SPACE) + "] "
 
@@ -54,7 +57,7 @@ class ByteBpe:
     bounded; later ones are encoded anew in every round that they occur in.
     """
 
-    def __init__(self, path: str, most: int = 700_000):
+    def __init__(self, path: str, most: int = 600_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         to_byte = byte_of_char()
@@ -132,7 +135,7 @@ class ByteBpe:
                     pair = last[start] << 32 | token
                     follows = pairs.get(pair)
                     if follows is None:
-                        if len(pairs) >= self.most:
+                        if len(pairs) >= PAIRS:
                             pairs.clear()
                         follows = pairs[pair] = self.may_follow(last[start], token)
                     if not follows:
@@ -222,13 +225,34 @@ def vocabulary(path: str) -> ByteBpe:
     return _loaded[path]
 
 
-def encode_column(text: Column, path: str) -> Column:
-    """The ids of a text as packed little-endian 32-bit integers; null is empty."""
-    @F.arrow_udf("binary")
-    def ids(texts: pa.Array) -> pa.Array:
+def encode_documents(docs: DataFrame, path: str, text_col: str = "text", ids_col: str = "ids",
+                     decoded_col: str | None = None) -> DataFrame:
+    """``docs`` with ``ids_col`` in place of the text: its ids as packed little-endian 32-bit integers.
+
+    With ``decoded_col``, also the text that these ids decode to. A null or
+    empty text has no ids. Other columns are kept (those named like the new
+    ones are replaced) and repeated rows stay. Rows leave a task a round of
+    texts at a time. An empty table gives no rows. ``path`` is a byte-level
+    tokenizers file, the same on all machines.
+    """
+    new = [ids_col] + [decoded_col] * (decoded_col is not None)
+    kept = [c for c in docs.columns if c not in (text_col, *new)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = vocabulary(path)
-        return pa.array([i.astype("<u4").tobytes() for i in bpe.encode_all(texts)], pa.binary())
-    return ids(text)
+        for batch in batches:
+            at, texts = 0, batch.column(text_col)
+            for some in rounds(texts):
+                ids = list(bpe.encode_all(some))
+                columns = [batch.column(c).slice(at, len(some)) for c in kept] + [
+                    pa.array([i.astype("<u4").tobytes() for i in ids], pa.binary())]
+                if decoded_col is not None:
+                    columns.append(pa.array([bpe.decode(i) for i in ids], pa.string()))
+                yield pa.RecordBatch.from_arrays(columns, [*kept, *new])
+                at += len(some)
+    kinds = T.StructType([docs.schema[c] for c in kept] + [T.StructField(ids_col, T.BinaryType())]
+                         + [T.StructField(c, T.StringType()) for c in new[1:]])
+    return docs.select(*[F.col(f"`{c}`") for c in (*kept, text_col)]).mapInArrow(run, kinds)
 
 
 def decode_column(ids: Column, path: str) -> Column:

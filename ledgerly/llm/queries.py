@@ -64,8 +64,7 @@ def op7_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents encoded to token ids and decoded again."""
     path = public_tokenizers.path("byte_bpe_50k.json")
-    coded = table(spark, sf_dir, "documents").select("doc_id", bpe.encode_column(F.col("text"), path).alias("ids"))
-    both = coded.select("doc_id", "ids", bpe.decode_column(F.col("ids"), path).alias("decoded"))
+    both = bpe.encode_documents(table(spark, sf_dir, "documents").select("doc_id", "text"), path, decoded_col="decoded")
     return both.select("doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
                        F.sha2("decoded", 256).alias("decoded_sha256"))
 
