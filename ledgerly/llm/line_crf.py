@@ -45,16 +45,9 @@ def word_hashes(flat: np.ndarray, at: np.ndarray, ends: np.ndarray) -> np.ndarra
     return (sums[ends] - sums[at]) * powers(inverse, len(flat))[at]
 
 
-def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(features, lengths in bytes, number of lines of each text) over the lines of all texts, in order.
-
-    A text without line breaks, an empty one too, is one line. The columns are
-    the line's own features, the same of the previous and of the next line of
-    the text (zeros at its ends), and a constant.
-    """
-    flat = np.frombuffer(b"\n".join(texts) + b"\n", dtype=np.uint8)
+def own_features(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(features, lengths in bytes) of some lines, each with its line break."""
     breaks = np.flatnonzero(flat == 10)
-    counts = np.fromiter((t.count(b"\n") + 1 for t in texts), dtype=np.int64, count=len(texts))
     starts = np.concatenate([[0], breaks[:-1] + 1])
     sizes = breaks - starts
     blank = CLASSES[BLANK][flat]
@@ -62,6 +55,7 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     begins[0], begins[1:] = 1 - blank[0], (1 - blank[1:]) & blank[:-1]
     last = np.empty_like(blank)  # last byte of a word
     last[-1], last[:-1] = 0, (1 - blank[:-1]) & blank[1:]
+
     def total(flags):
         sums = np.concatenate([[0], np.cumsum(flags, dtype=np.int64)])
         return (sums[breaks] - sums[starts]).astype(np.float64)
@@ -80,6 +74,25 @@ def line_features(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarra
     own = np.stack([per[LETTER] / n, per[UPPER] / ascii_letters, per[DIGIT] / n, per[BLANK] / n, per[MARK] / n,
                     per[SYMBOL] / n, per[BANG] / n, np.minimum((sizes - per[BLANK]) / w / 20, 2), odd_end / w,
                     total(twin) / n, total(again) / (words + 4), np.log1p(sizes) / 8, (sizes == 0) * 1.0], axis=1)
+    return own, sizes
+
+
+def line_features(texts: list[bytes], step: int = 1 << 21) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(features, lengths in bytes, number of lines of each text) over the lines of all texts, in order.
+
+    A text without line breaks, an empty one too, is one line. The columns are
+    the line's own features, the same of the previous and of the next line of
+    the text (zeros at its ends), and a constant. About ``step`` bytes, or one
+    longer line, are looked at at a time.
+    """
+    flat = b"\n".join(texts) + b"\n"
+    counts = np.fromiter((t.count(b"\n") + 1 for t in texts), dtype=np.int64, count=len(texts))
+    found, at = [], 0
+    while at < len(flat):
+        stop = flat.rfind(b"\n", at, at + step) + 1 or flat.index(b"\n", at) + 1
+        found.append(own_features(np.frombuffer(flat, dtype=np.uint8, count=stop - at, offset=at)))
+        at = stop
+    own, sizes = (np.concatenate(x) for x in zip(*found))
     first = np.zeros(len(sizes), dtype=bool)
     first[np.cumsum(counts) - counts] = True
     before, after = np.zeros_like(own), np.zeros_like(own)
@@ -210,7 +223,7 @@ class LineCrf:
         return np.concatenate(out) if out else np.empty(0)
 
 
-def chunks(texts: list[bytes], most: int = 1 << 24) -> Iterator[list[bytes]]:
+def chunks(texts: list[bytes], most: int = 1 << 22) -> Iterator[list[bytes]]:
     """Runs of texts of at most ``most`` bytes, or one longer text."""
     held, n = [], 0
     for t in texts:
