@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerly.functions import num as N
+
 
 def with_total(df: DataFrame, keys: Sequence[str], aggs: Sequence[Column],
                total_label: str = "TOTAL") -> DataFrame:
@@ -105,10 +107,12 @@ def latest(df: DataFrame, key: str, value: str, ts: str) -> DataFrame:
 
 def investment_balance(df: DataFrame, keys: Sequence[str], date: str, value: str, opening,
                        start, end) -> DataFrame:
-    """AG-27: opening balance plus signed movements from ``start`` to ``end``."""
+    """AG-27: opening balance plus signed movements from ``start`` to ``end``;
+    a key without a movement in between keeps its opening."""
     d = F.col(date)
-    m = df.where((d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date")))
-    return m.groupBy(*keys).agg((F.lit(opening).cast("decimal(18,2)") + F.sum(value)).alias("balance"))
+    inside = (d >= F.lit(start).cast("date")) & (d <= F.lit(end).cast("date"))
+    moved = F.coalesce(F.sum(F.when(inside, F.col(value))), F.lit(0).cast("decimal(18,2)"))
+    return df.groupBy(*keys).agg((F.lit(opening).cast("decimal(18,2)") + moved).alias("balance"))
 
 
 def capacity(hours: Column, n_units: Column, floor: int) -> Column:
@@ -116,7 +120,8 @@ def capacity(hours: Column, n_units: Column, floor: int) -> Column:
     return F.greatest(n_units, F.lit(floor)) * hours
 
 
-def provision(gap: Column, base: Column, rate: float, days: Column) -> Column:
-    """AG-33: gap to the base month (not below zero) plus a safety share, per day."""
-    return F.try_divide((F.greatest(gap, F.lit(0)) + base * F.lit(rate)).cast("double"),
-                        days.cast("double"))
+def provision(gap: Column, scheduled: Column, rate: float, days: Column) -> Column:
+    """AG-33: gap to the base month (not below zero) plus a safety share of the
+    scheduled amount and that gap, in cents, spread over the days of the month."""
+    gap = F.greatest(gap, F.lit(0.0))
+    return F.try_divide(N.round2(gap + (scheduled + gap) * F.lit(rate)), days.cast("double"))

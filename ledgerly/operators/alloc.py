@@ -77,6 +77,9 @@ def allocate(slots: DataFrame, items: DataFrame, keys: Sequence[str], slot_cols:
     #    Every later step (windows by key and by key+type, the pair join, the
     #    final aggregate) is clustered by a superset of the key, so it reuses
     #    this partitioning instead of shuffling again.
+    # null keys never meet
+    for k in keys:
+        slots, grp = slots.where(F.col(k).isNotNull()), grp.where(F.col(k).isNotNull())
     s_cols = [F.col(c) for c in slot_cols]
     u = slots.select(*keys, F.col(slot_type).alias("__type"), F.lit(0).alias("__kind"),
                      F.col(weight).cast("bigint").alias("__w"),

@@ -8,24 +8,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A rule or parameter table is written by a person (price lists, keyword rules,
-# rates). Anything larger is data and must go through a shuffle join instead.
+# rates). Anything larger is data and goes through a shuffle join instead.
 MAX_RULE_ROWS = 10_000
+MAX_RULE_BYTES = 8 << 20
 
 
 def rule_table(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
-    """A small parameter table, hinted for broadcast.
+    """A parameter table, hinted for broadcast while it is proven small.
 
     The bound is checked on the driver-side list, so the broadcast can never
-    grow with the fact tables.
+    grow with the fact tables; a longer list is a plain table.
     """
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError(f"rule table has {len(rows)} rows; limit is {MAX_RULE_ROWS}")
-    return F.broadcast(spark.createDataFrame(list(rows), schema))
+    table = spark.createDataFrame(list(rows), schema)
+    small = len(rows) <= MAX_RULE_ROWS and sum(len(repr(r)) for r in rows) <= MAX_RULE_BYTES
+    return F.broadcast(table) if small else table
 
 
 def fits_broadcast(df: DataFrame, max_rows: int = MAX_RULE_ROWS) -> bool:
-    """Size check of a small side: reads at most ``max_rows + 1`` rows of it."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Size check of a small side, rows and bytes: reads at most ``max_rows + 1`` rows of it."""
+    n, size = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()
+    return n <= max_rows and (size or 0) <= MAX_RULE_BYTES
 
 
 def checked_broadcast(df: DataFrame, max_rows: int = MAX_RULE_ROWS) -> DataFrame:

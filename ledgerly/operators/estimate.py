@@ -24,6 +24,12 @@ EXACT = "decimal(24,6)"
 
 def _prepared(b: DataFrame) -> DataFrame:
     price = R.price_for("description", "booking_type")
+    # a slot is keyed by its start time; a missing time is midnight
+    if "start_time" in b.columns:
+        b = b.withColumn("start_time", F.coalesce("start_time", F.lit("00:00"))) \
+             .withColumn("hour", F.coalesce(F.split("start_time", ":").getItem(0).try_cast("int"), F.lit(0)))
+    else:
+        b = b.withColumn("start_time", F.coalesce(F.col("hour"), F.lit(0)).cast("string"))
     return (b.withColumn("month", F.trunc("booking_date", "MM"))
              .withColumn("dow", D.js_dow("booking_date"))
              .withColumn("is_free", R.is_free("description", "booking_type"))
@@ -33,7 +39,7 @@ def _prepared(b: DataFrame) -> DataFrame:
 def estimate_pending(bookings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """AL-9: expected value of unpaid bookings per student and month.
 
-    Free bookings are worth 0. The rest form slots (weekday, hour, price
+    Free bookings are worth 0. The rest form slots (weekday, start time, price
     category); a monthly slot is worth ``n / weekday occurrences x price``, a
     single-lesson slot ``n x price``; an off-peak slot takes 12% off
     **instead of** the frequency discount (2 slots 5%, 3+ 7%). Each booking
@@ -45,7 +51,7 @@ def estimate_pending(bookings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     b = _prepared(bookings)
     paying = b.where(~F.col("is_free"))
-    slots = paying.groupBy("student", "month", "dow", "hour", F.col("price.category").alias("category"),
+    slots = paying.groupBy("student", "month", "dow", "start_time", "hour", F.col("price.category").alias("category"),
                            F.col("price.price").alias("unit_price"),
                            F.col("price.is_monthly").alias("is_monthly")) \
                   .agg(F.count(F.lit(1)).alias("n"))
@@ -62,8 +68,8 @@ def estimate_pending(bookings: DataFrame) -> tuple[DataFrame, DataFrame]:
     # sums run on 6-decimal values so they do not depend on addition order
     s = s.withColumn("slot_value_dec", F.col("slot_value").cast(EXACT))
     per_b = b.withColumn("category", F.col("price.category")) \
-             .join(s.select("student", "month", "dow", "hour", "category", "per_booking"),
-                   on=["student", "month", "dow", "hour", "category"], how="left")
+             .join(s.select("student", "month", "dow", "start_time", "category", "per_booking"),
+                   on=["student", "month", "dow", "start_time", "category"], how="left")
     est = F.when(F.col("is_free"), F.lit(0.0)).otherwise(F.col("per_booking"))
     cb_col = F.col("commission_base") if "commission_base" in bookings.columns else F.lit(None)
     per_b = per_b.withColumn("estimated_value", est) \
@@ -106,7 +112,7 @@ def recurring_price(bookings: DataFrame, history: DataFrame, ts_order: str = "bo
     ``history`` = (student, latest_sum) from AG-21. A student with history
     takes that sum when positive (none otherwise). A new student takes the
     package price of the category of their earliest paying slot for 1, 2 or
-    3+ distinct (weekday, hour) slots, less the strongest discount of any
+    3+ distinct (weekday, start time) slots, less the strongest discount of any
     booking (member 50% over off-peak 12%, CL-14)."""
     b = _prepared(bookings).where(F.col("booking_type") != "clase_suelta")
     d = F.upper(F.coalesce(F.col("description"), F.lit("")))
@@ -116,10 +122,10 @@ def recurring_price(bookings: DataFrame, history: DataFrame, ts_order: str = "bo
     flags = b.groupBy("student").agg(F.bool_or("__member").alias("has_member"),
                                      F.bool_or("__off").alias("has_off_peak"))
     paying = b.where(~F.col("is_free"))
-    nsl = paying.select("student", "dow", "hour").distinct().groupBy("student") \
+    nsl = paying.select("student", "dow", "start_time").distinct().groupBy("student") \
                 .agg(F.count(F.lit(1)).alias("n_slots"))
     main = paying.groupBy("student").agg(F.min_by(F.col("price.category"),
-                                                  F.struct("booking_date", "hour", ts_order)).alias("main_category"))
+                                                  F.struct("booking_date", "start_time", ts_order)).alias("main_category"))
     new = nsl.join(main, "student").join(flags, "student")
     rate = R.discount_rate(F.col("has_member"), F.col("has_off_peak"))
     new = new.withColumn("package_price", package_price("main_category", "n_slots") * (F.lit(1.0) - rate))

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerly.functions import text as T
-from ledgerly.operators.common import fits_broadcast
 
 
 def with_exists(a: DataFrame, b: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
@@ -73,11 +72,14 @@ def nearest(a: DataFrame, b: DataFrame, on: Sequence[str], a_date: str, b_date:
     on = list(on)
     best = F.min(F.struct(F.col(b_order).alias("__o"),
                           *[F.col(c).alias(c) for c in b_cols]))
-    cand = (b.select(*on, F.to_date(b_date).alias("__d"), b_order, *b_cols)
+    # null keys never match (N4): they stay out of the calendar, whose window
+    # would put them all in one task, and come back through the left join
+    known = F.forall(F.array(*[F.col(k).isNotNull() for k in on]), lambda x: x) & F.col("__d").isNotNull()
+    cand = (b.select(*on, F.to_date(b_date).alias("__d"), b_order, *b_cols).where(known)
              .groupBy(*on, "__d").agg(best.alias("__best"))
              .select(*on, "__d", F.lit(0).alias("__kind"),
                      F.struct(F.col("__d").alias("d"), F.col("__best").alias("b")).alias("__c")))
-    qs = (a.select(*on, F.to_date(a_date).alias("__d")).distinct()
+    qs = (a.select(*on, F.to_date(a_date).alias("__d")).where(known).distinct()
            .select(*on, "__d", F.lit(1).alias("__kind"), F.lit(None).cast(cand.schema["__c"].dataType).alias("__c")))
     u = cand.unionByName(qs)
     w = Window.partitionBy(*on).orderBy("__d", "__kind")
@@ -103,8 +105,9 @@ def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_te
     """JN-12: effective-dated lookup with two match rules.
 
     A cost row matches a fact when its code equals the fact's code once
-    leading zeros are dropped, **or** its normalised text equals the fact's
-    normalised text, and the fact's date is within ``[start, end]`` (open
+    spaces around it and leading zeros are dropped, **or** its normalised text
+    equals the fact's normalised text (null and empty codes and texts match
+    nothing), and the fact's date is within ``[start, end]`` (open
     ends allowed). The cost row with the lowest ``ordinal`` wins.
 
     Plan: the facts are reduced to distinct (code, text, date) first; the
@@ -114,10 +117,10 @@ def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_te
     number of fact rows.
     """
     def ncode(c):
-        return F.regexp_replace(F.col(c).cast("string"), "^0+", "")
+        return F.nullif(F.regexp_replace(F.trim(F.col(c).cast("string")), "^0+", ""), F.lit(""))
 
     def ntext(c):
-        return T.norm_name(T.squeeze_spaces(F.col(c)))
+        return F.nullif(T.norm_name(T.squeeze_spaces(F.col(c))), F.lit(""))
 
     keys = facts.select(ncode(fact_code).alias("__code"), ntext(fact_text).alias("__text"),
                         F.to_date(fact_date).alias("__d")).distinct()
@@ -131,7 +134,8 @@ def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_te
     # Both match rules in one equi-join: each fact key appears once per rule.
     k2 = keys.select("*", F.explode(F.array(F.struct(F.lit("c").alias("k"), F.col("__code").alias("m")),
                                             F.struct(F.lit("t").alias("k"), F.col("__text").alias("m")))).alias("__x")) \
-             .select("__code", "__text", "__d", F.col("__x.k").alias("__kind"), F.col("__x.m").alias("__m"))
+             .select("__code", "__text", "__d", F.col("__x.k").alias("__kind"), F.col("__x.m").alias("__m")) \
+             .where(F.col("__m").isNotNull())
     in_range = (F.col("__s").isNull() | (F.col("__d") >= F.col("__s"))) & \
                (F.col("__e").isNull() | (F.col("__d") <= F.col("__e")))
     hits = k2.join(c_code.unionByName(c_text), ["__kind", "__m"], "inner").where(in_range)
@@ -139,8 +143,12 @@ def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_te
     win = win.join(costs.select(F.col(ordinal).alias("__ord"), *cost_cols), "__ord", "left")
     f = facts.withColumn("__code", ncode(fact_code)).withColumn("__text", ntext(fact_text)) \
              .withColumn("__d", F.to_date(fact_date))
-    return f.join(win, ["__code", "__text", "__d"], "left") \
-            .withColumnRenamed("__ord", "cost_ordinal").drop("__code", "__text", "__d")
+    # a fact that lacks one of the three still finds its winner by the others
+    win = win.withColumnsRenamed({"__code": "__wcode", "__text": "__wtext", "__d": "__wd"})
+    same = F.col("__code").eqNullSafe(F.col("__wcode")) & F.col("__text").eqNullSafe(F.col("__wtext")) & \
+        F.col("__d").eqNullSafe(F.col("__wd"))
+    return f.join(win, same, "left") \
+            .withColumnRenamed("__ord", "cost_ordinal").drop("__code", "__text", "__d", "__wcode", "__wtext", "__wd")
 
 
 def apply_overrides(base: DataFrame, ov: DataFrame, key: str, fields: dict[str, str],
@@ -149,11 +157,14 @@ def apply_overrides(base: DataFrame, ov: DataFrame, key: str, fields: dict[str,
 
     ``fields`` maps base column -> override column; a non-null override value
     replaces the base value; rows whose override is a tombstone are dropped;
-    manual override rows (no base row) are appended via ``manual_rows``.
+    manual override rows (no base row) are appended via ``manual_rows``. A
+    repeated override key counts once (its largest row), so base rows never
+    fan out; ``merge_overrides`` gives one row per key.
     """
     o = ov.where(~F.coalesce(F.col(manual), F.lit(False)))
-    o = o.select(F.col(key).alias("__ok"), F.col(deleted).alias("__del"),
-                 *[F.col(v).alias(f"__ov_{k}") for k, v in fields.items()])
+    o = o.groupBy(F.col(key).alias("__ok")).agg(F.max(F.struct(
+        F.col(deleted).alias("__del"), *[F.col(v).alias(f"__ov_{k}") for k, v in fields.items()])).alias("__o")) \
+        .select("__ok", "__o.*")
     j = base.join(o, base[key] == F.col("__ok"), "left")
     for k in fields:
         j = j.withColumn(k, F.coalesce(F.col(f"__ov_{k}"), F.col(k)))
@@ -166,18 +177,22 @@ def apply_overrides(base: DataFrame, ov: DataFrame, key: str, fields: dict[str,
 
 def merge_overrides(current: DataFrame, delta: DataFrame, key: str, ts: str,
                     cols: Sequence[str], deleted: str = "is_deleted") -> DataFrame:
-    """SK-4: upsert override rows by key; the latest ``ts`` wins per column.
+    """SK-4: upsert override rows by key; the latest ``ts`` wins as a whole row.
 
-    A tombstone (``deleted`` true) keeps the other columns of the earlier
-    version. One shuffle on the key; ``max_by`` per column.
+    An edit replaces every column, so it can clear one. A tombstone
+    (``deleted`` true) carries few columns: those of the latest version that
+    was no tombstone stay. One shuffle on the key.
     """
     u = current.select(key, ts, deleted, *cols).unionByName(delta.select(key, ts, deleted, *cols))
-    aggs = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), F.col(ts))).alias(c) for c in cols]
-    aggs.append(F.max_by(F.col(deleted), F.col(ts)).alias(deleted))
-    aggs.append(F.max(ts).alias(ts))
-    return u.groupBy(key).agg(*aggs)
+    live = ~F.coalesce(F.col(deleted), F.lit(False))
+    row = F.max_by(F.struct(*cols), F.struct(live, F.col(ts))).alias("__row")
+    u = u.groupBy(key).agg(row, F.max_by(F.col(deleted), F.col(ts)).alias(deleted), F.max(ts).alias(ts))
+    return u.select(key, *[F.col("__row")[c].alias(c) for c in cols], deleted, ts)
 
 
+# Lengths of the substrings that key short texts, longest first.
+GRAMS = (8, 5, 3, 2, 1)
+
 # A token pair starting at a token boundary (overlapping matches).
 PAIR_RE = r"(?<![^ ])(?=([^ ]+ [^ ]+))"
 
@@ -195,9 +210,11 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
       keyed by its longest interior word pair; b of three words by its
       middle word; a emits its distinct tokens and token pairs. Candidates
       are verified with ``contains`` on the whole texts.
-    * shorter b (one or two words): keyed by its first three characters (or
-      by itself when shorter); a emits its distinct substrings of one to
-      three characters. This branch runs only when such b texts exist.
+    * shorter b (one or two words): keyed by one of its substrings of 1, 2, 3,
+      5 or 8 characters, the longest that fits it, and of these the one that
+      the fewest b share, so that a common first name is no hot key; a emits
+      its distinct substrings of the lengths in use. This branch runs only
+      when such b texts exist.
 
     Only ids travel through the candidate joins; each text is joined back
     once for verification. Whole texts are used; nothing is truncated.
@@ -227,10 +244,20 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
         cand = tokens.join(b3.unionByName(b4), "__key", "inner").select("__a", "__b")
 
     if flags["ks"]:
-        short_b = fb.where(F.size("__bw") < 3)
-        skey = F.substring("__fb", 1, 3)
-        sb = short_b.select("__b", skey.alias("__key"))
-        grams = F.concat(*[F.regexp_extract_all("__fa", F.lit("(?s)(?=(.{%d}))" % k), 1) for k in (1, 2, 3)])
+        def grams_of(text, k):
+            return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % k), 1)
+        fits = None
+        for k in GRAMS:
+            fits = F.when(F.length("__fb") >= k, F.lit(k)) if fits is None else fits.when(F.length("__fb") >= k, F.lit(k))
+        short_b = fb.where(F.size("__bw") < 3).withColumn("__k", fits)
+        own = None
+        for k in GRAMS:
+            own = F.when(F.col("__k") == k, grams_of("__fb", k)) if own is None else own.when(F.col("__k") == k, grams_of("__fb", k))
+        keys = short_b.select("__b", F.explode(F.array_distinct(own)).alias("__key"))
+        shared = keys.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+        sb = keys.join(shared, "__key").groupBy("__b").agg(F.min(F.struct("__n", "__key"))["__key"].alias("__key"))
+        used = [r["__k"] for r in short_b.select("__k").distinct().collect()]  # at most five lengths
+        grams = F.concat(*[grams_of("__fa", k) for k in sorted(used)])
         subs = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
         short_cand = subs.join(sb, "__key", "inner").select("__a", "__b")
         cand = short_cand if cand is None else cand.unionByName(short_cand)
@@ -244,32 +271,24 @@ def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str,
     return hits.select(F.col("__a").alias(a_id), F.col("__b").alias(b_id))
 
 
-def fuzzy_contains(a: DataFrame, a_name: str, b: DataFrame, b_name: str,
-                   a_id: str | None = None, b_id: str | None = None) -> DataFrame:
+def fuzzy_contains(a: DataFrame, a_name: str, b: DataFrame, b_name: str) -> DataFrame:
     """JN-14: two-way containment of accent- and case-folded names.
 
-    ``b`` is normally a short list (people, rule names): when its size is
-    proven small it is broadcast and matched with a nested loop on
-    ``contains`` both ways. Beyond that bound the exact keyed containment
-    join runs in both directions instead (``a_id``/``b_id`` identify rows).
-    Empty names never match.
+    One plan at every size: both sides are reduced to their distinct folded
+    names, the keyed containment join finds candidate pairs of names in both
+    directions, the names themselves are compared as they are (inner spaces
+    count), and the pairs join back to the rows of either side. Null and empty
+    names never match; repeated rows keep their repeats.
     """
-    fa = a.withColumn("__na", T.norm_name(a_name))
-    fb = b.withColumn("__nb", T.norm_name(b_name))
-    if fits_broadcast(fb):
-        cond = (F.length("__na") > 0) & (F.length("__nb") > 0) & \
-               (F.contains(F.col("__na"), F.col("__nb")) | F.contains(F.col("__nb"), F.col("__na")))
-        return fa.join(F.broadcast(fb), cond, "inner").drop("__na", "__nb")
-    if a_id is None or b_id is None:
-        raise ValueError("fuzzy_contains on a large name list needs a_id and b_id")
-    xa = fa.where(F.length("__na") > 0).select(F.col(a_id).alias("__ia"), "__na")
-    xb = fb.where(F.length("__nb") > 0).select(F.col(b_id).alias("__ib"), "__nb")
-    # contains_join folds case and whitespace runs; names are already upper-cased,
-    # accent-free and trimmed, so only runs of inner spaces could differ
-    ab = contains_join(xa, "__ia", "__na", xb, "__ib", "__nb")
-    ba = contains_join(xb, "__ib", "__nb", xa, "__ia", "__na")
-    pairs = ab.unionByName(ba.select("__ia", "__ib")).distinct()
-    return pairs.join(a, pairs.__ia == a[a_id]).join(b, pairs.__ib == b[b_id]).drop("__ia", "__ib")
+    fa = a.select(T.norm_name(a_name).alias("__na"), F.struct(*a.columns).alias("__ra"))
+    fb = b.select(T.norm_name(b_name).alias("__nb"), F.struct(*b.columns).alias("__rb"))
+    xa = fa.select("__na").where(F.length("__na") > 0).distinct()
+    xb = fb.select("__nb").where(F.length("__nb") > 0).distinct()
+    # contains_join collapses runs of spaces, so it finds at least every pair that contains as it is
+    pairs = contains_join(xa, "__na", "__na", xb, "__nb", "__nb").unionByName(
+        contains_join(xb, "__nb", "__nb", xa, "__na", "__na").select("__na", "__nb")).distinct()
+    pairs = pairs.where(F.contains(F.col("__na"), F.col("__nb")) | F.contains(F.col("__nb"), F.col("__na")))
+    return fa.join(pairs, "__na").join(fb, "__nb").select("__ra.*", "__rb.*")
 
 
 def month_spine(df: DataFrame, end_month, n: int, keys_df: DataFrame | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ condition is a small data structure (so rule sets are rows, not code):
 The list folds into one ``CASE WHEN`` (first match wins) evaluated inside
 whole-stage codegen: no join, no shuffle. Rule lists are bounded by
 ``MAX_RULE_ROWS``; data-sized label tables go through
-:func:`classify_by_table` (broadcast join on a size-checked table).
+:func:`classify_by_table` (keyed containment join).
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
 from ledgerly.functions import text as T
-from ledgerly.operators.common import MAX_RULE_ROWS, checked_broadcast, fits_broadcast, when_chain
+from ledgerly.operators.common import MAX_RULE_ROWS, checked_broadcast, when_chain
 
 
 def _low(col: str) -> Column:
@@ -69,23 +69,21 @@ def classify(rules: Sequence[tuple], default=None) -> Column:
 def classify_by_table(df: DataFrame, text_col: str, rules: DataFrame, key_cols: Sequence[str],
                       out: str, default: str | None = None) -> DataFrame:
     """Data-driven rule table ``(priority, pattern, label)``: the label of the
-    lowest-priority pattern contained in ``text_col``. ``rules`` must be a
-    size-checked parameter table (see ``rule_table``); it is broadcast and the
-    winner per row is picked with ``min_by`` over the row's ``key_cols``."""
-    r = rules.select(F.col("priority").alias("__p"), F.lower("pattern").alias("__pat"), F.col("label").alias("__l"))
-    if fits_broadcast(r):
-        hit = df.select(*key_cols, F.lower(F.col(text_col)).alias("__t")) \
-                .join(F.broadcast(r), F.contains(F.col("__t"), F.col("__pat")), "inner") \
-                .groupBy(*key_cols).agg(F.min_by("__l", F.col("__p")).alias(out))
-    else:
-        # too many patterns to broadcast: the keyed containment join (exact)
-        from ledgerly.operators.joins import contains_join
-        texts = df.select(F.struct(*key_cols).alias("__rid"), F.lower(F.col(text_col)).alias("__t"))
-        pats = r.select(F.struct("__p", "__l").alias("__pid"), "__pat")
-        pairs = contains_join(texts, "__rid", "__t", pats, "__pid", "__pat")
-        hit = pairs.groupBy("__rid").agg(F.min_by(F.col("__pid.__l"), F.col("__pid.__p")).alias(out)) \
-                   .select(*[F.col("__rid")[k].alias(k) for k in key_cols], out)
-    res = df.join(hit, list(key_cols), "left")
+    lowest-priority pattern contained in ``text_col``, case folded.
+
+    One plan at every size: the distinct texts meet the distinct patterns in
+    the keyed containment join, texts and patterns are compared as they are,
+    and the winner per text joins back to its rows. Null and empty patterns
+    match nothing; rows keep their repeats. ``key_cols`` name the row, as
+    before; the result does not depend on them."""
+    from ledgerly.operators.joins import contains_join
+    pats = rules.select(F.lower("pattern").alias("__pat"), F.col("priority").alias("p"), F.col("label").alias("l")) \
+        .where(F.length("__pat") > 0).groupBy("__pat").agg(F.min(F.struct("p", "l")).alias("__win"))
+    rows = df.withColumn("__t", F.lower(F.col(text_col)))
+    texts = rows.select("__t").where(F.col("__t").isNotNull()).distinct()
+    pairs = contains_join(texts, "__t", "__t", pats, "__pat", "__pat").where(F.contains(F.col("__t"), F.col("__pat")))
+    hit = pairs.join(pats, "__pat").groupBy("__t").agg(F.min("__win")["l"].alias(out))
+    res = rows.join(hit, "__t", "left").drop("__t")
     if default is not None:
         res = res.withColumn(out, F.coalesce(F.col(out), F.lit(default)))
     return res

@@ -99,8 +99,9 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
         .groupBy("participant_name").agg(F.min("customer_code").alias("customer_code"))
     first_pay = booking_payments.groupBy("booking_id").agg(F.min("payment_date").alias("min_payment_date"))
 
-    not_denied = ~_any("description", r.deny_patterns)
-    active = (F.col("status") == r.active_status) & F.coalesce(not_denied, F.lit(False))
+    # like NOT ILIKE, a null text drops the row
+    not_denied = F.col("description").isNotNull() & ~_any("description", r.deny_patterns)
+    active = (F.col("status") == r.active_status) & not_denied
     pb = participants.select("booking_id", "customer_code", "participant_name") \
         .join(bookings, "booking_id").where(active)
 

@@ -43,7 +43,8 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
     * pending: unpaid rows with class date in the month, estimated per
       student (AL-9);
     * per student (AG-8) and per teacher: billed, commission base, commission
-      at the rate, payouts and balance (AG-24).
+      at the rate, payouts of the month's reference period and balance
+      (AG-24); a teacher with payouts only has a row, too.
     """
     m = F.lit(month).cast("date")
     d = detail.withColumn("__val", js_or("booking_value", 0.0))
@@ -66,8 +67,8 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
 
     pend = d.where(~F.col("is_paid") & D.in_month("booking_date", m)).select(
         F.struct("professor", "participant_name").alias("student"), "booking_id", "booking_date",
-        F.split("start_time", ":").getItem(0).try_cast("int").alias("hour"), "description", "booking_type",
-        F.col("is_socio_benefit").alias("is_socio"), F.col("booking_commission_base").alias("commission_base"))
+        "start_time", "description", "booking_type", F.col("is_socio_benefit").alias("is_socio"),
+        (F.col("booking_commission_base") * mult).alias("commission_base"))
     _, per_s = X.estimate_pending(pend)
     pend_rows = per_s.select(F.col("student.professor").alias("professor"),
                              F.col("student.participant_name").alias("student"),
@@ -89,8 +90,9 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
         F.sum(F.when(~p1, F.col("base")).otherwise(0.0)).alias("p2_base"))
     pend_t = pend_rows.groupBy("professor").agg(F.sum("billed").alias("pending_billed"),
                                                 F.sum("base").alias("pending_base"))
-    out_t = payouts.groupBy("professor").agg(F.sum(F.col("amount").cast("double")).alias("paid_out"))
-    summary = paid_t.join(pend_t, "professor", "full_outer").join(out_t, "professor", "left")
+    out_t = payouts.where(D.in_month("reference_period", m)).groupBy("professor") \
+        .agg(F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("paid_out"))
+    summary = paid_t.join(pend_t, "professor", "full_outer").join(out_t, "professor", "full_outer")
     z = F.lit(0.0)
     summary = summary.select(
         "professor", *[F.round(F.coalesce(F.col(c), z), 2).alias(c) for c in

@@ -173,7 +173,9 @@ def cash_flow_statement(ledger: DataFrame, first_month: str, last_month: str,
         net = F.col(f) if net is None else net + F.col(f)
     extra = z
     for since, amount in r.extra_openings:
-        extra = extra + F.when(F.col("month") >= F.lit(since).cast("date"), F.lit(str(amount)).cast("decimal(18,2)")) \
+        # once, in its month; one from before the report opens the first month
+        at = F.greatest(F.trunc(F.lit(since).cast("date"), "MM"), F.lit(first_month).cast("date"))
+        extra = extra + F.when(F.col("month") == at, F.lit(str(amount)).cast("decimal(18,2)")) \
                          .otherwise(z)
     m = m.withColumn("net", net).withColumn("step", F.col("net") + extra) \
          .withColumn("seed", F.lit(str(r.opening)).cast("decimal(18,2)")).withColumn("__k", F.lit(1))

@@ -278,11 +278,11 @@ def in_out_net(spark, d):
 
 
 @register("investment_balance", sql="""
-SELECT user_id, CAST(1000.00 + sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2))
-                                         ELSE -CAST(value AS DECIMAL(18,2)) END) AS DOUBLE) AS balance
+SELECT user_id, CAST(1000.00 + coalesce(sum(CASE WHEN event_type = 'purchase' THEN CAST(value AS DECIMAL(18,2))
+                                                  ELSE -CAST(value AS DECIMAL(18,2)) END)
+                       FILTER (WHERE CAST(ts AS DATE) >= DATE '2024-01-05' AND CAST(ts AS DATE) <= DATE '2024-01-25'), 0) AS DOUBLE) AS balance
 FROM events
-WHERE (event_type = 'purchase' OR regexp_matches(lower(coalesce(props, '') || ' ' || event_type), 'signup|resgate'))
-  AND CAST(ts AS DATE) >= DATE '2024-01-05' AND CAST(ts AS DATE) <= DATE '2024-01-25'
+WHERE event_type = 'purchase' OR regexp_matches(lower(coalesce(props, '') || ' ' || event_type), 'signup|resgate')
 GROUP BY 1
 """)
 def investment_balance(spark, d):

@@ -23,6 +23,8 @@ def event_bookings(spark, d):
     desc = F.concat(word, F.lit("(1 / "), (k % 5 + 1).cast("string"), F.lit(")"))
     return e.select(F.col("user_id").alias("student"), F.col("event_id").alias("booking_id"),
                     F.to_date("ts").alias("booking_date"), F.hour("ts").alias("hour"),
+                    F.concat(F.lpad(F.hour("ts").cast("string"), 2, "0"), F.when(F.minute("ts") < 30, ":00").otherwise(":30"))
+                     .alias("start_time"),
                     desc.alias("description"),
                     F.when(F.col("event_type") == "signup", "clase_suelta").otherwise("clase_colectiva")
                      .alias("booking_type"),
@@ -32,6 +34,7 @@ def event_bookings(spark, d):
 SQL_EVENT_BOOKINGS = """
   eb AS (
     SELECT user_id AS student, event_id AS booking_id, CAST(ts AS DATE) AS booking_date, hour(ts) AS hour,
+           lpad(CAST(hour(ts) AS VARCHAR), 2, '0') || CASE WHEN minute(ts) < 30 THEN ':00' ELSE ':30' END AS start_time,
            CASE WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 10 THEN 'Aula KIDS '
                 WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 15 THEN 'Aula BABY '
                 WHEN CAST(json_extract(props, '$.k') AS INTEGER) < 20 THEN 'REPOSIÇÃO '
@@ -68,7 +71,7 @@ SQL_EVENT_BOOKINGS = """
 @register("estimate_pending", sql=f"""
 WITH {SQL_EVENT_BOOKINGS},
 b AS (SELECT * FROM pc WHERE event_type <> 'purchase'),
-s AS (SELECT student, month, dow, hour, category, unit_price, is_monthly, count(*) AS n
+s AS (SELECT student, month, dow, start_time, hour, category, unit_price, is_monthly, count(*) AS n
       FROM b WHERE NOT is_free GROUP BY ALL),
 ns AS (SELECT student, month, count(*) AS n_slots FROM s GROUP BY 1, 2),
 cal AS (SELECT month, dayofweek(day) AS dow, count(*) AS occ
@@ -83,7 +86,7 @@ f AS (SELECT *, CASE WHEN off THEN pro * 0.88::DOUBLE
       FROM v),
 pbk AS (SELECT b.student, b.month, b.is_socio,
                CASE WHEN b.is_free THEN 0.0 ELSE f.slot_value / f.n END AS est
-        FROM b LEFT JOIN f ON f.student = b.student AND f.month = b.month AND f.dow = b.dow AND f.hour = b.hour
+        FROM b LEFT JOIN f ON f.student = b.student AND f.month = b.month AND f.dow = b.dow AND f.start_time = b.start_time
                           AND f.category = b.category),
 per AS (SELECT student, month, count(*) AS n_bookings,
                sum(CAST(CASE WHEN is_socio THEN est * 2 ELSE est END AS DECIMAL(24,6))) AS cb,
@@ -115,8 +118,8 @@ b AS (SELECT *, (contains(upper(description), 'SÓCIO') OR contains(upper(descri
              (contains(upper(description), 'HORA LIGHT') OR (dow BETWEEN 1 AND 5 AND hour BETWEEN 10 AND 15)) AS offp
       FROM pc WHERE booking_type <> 'clase_suelta'),
 fl AS (SELECT student, bool_or(mem) AS has_member, bool_or(NOT mem AND offp) AS has_off FROM b GROUP BY 1),
-ns AS (SELECT student, count(*) AS n_slots FROM (SELECT DISTINCT student, dow, hour FROM b WHERE NOT is_free) GROUP BY 1),
-mc AS (SELECT student, arg_min(category, (booking_date, hour, booking_id)) AS main_category FROM b WHERE NOT is_free GROUP BY 1),
+ns AS (SELECT student, count(*) AS n_slots FROM (SELECT DISTINCT student, dow, start_time FROM b WHERE NOT is_free) GROUP BY 1),
+mc AS (SELECT student, arg_min(category, (booking_date, start_time, booking_id)) AS main_category FROM b WHERE NOT is_free GROUP BY 1),
 nw AS (SELECT ns.student, ns.n_slots, mc.main_category,
               CASE WHEN contains(main_category, 'Individual') THEN (CASE WHEN n_slots = 1 THEN 720.0 WHEN n_slots = 2 THEN 1296.0 ELSE 1836.0 END)
                    WHEN contains(main_category, 'Dupla') THEN (CASE WHEN n_slots = 1 THEN 430.0 WHEN n_slots = 2 THEN 774.0 ELSE 1096.50 END)

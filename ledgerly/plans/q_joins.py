@@ -207,9 +207,9 @@ v2 AS (SELECT id AS k, o_orderdate + INTERVAL 2 DAY AS ts, name = '2-HIGH' AS is
               CASE WHEN name = '4-NOT SPECIFIED' THEN 'renamed' END AS custom_name
        FROM base WHERE st = 'P' AND (name = '4-NOT SPECIFIED' OR (name = '2-HIGH' AND o_totalprice > 200000))),
 u AS (SELECT * FROM v1 UNION ALL SELECT * FROM v2),
-m AS (SELECT k, arg_max(custom_amount, ts) FILTER (WHERE custom_amount IS NOT NULL) AS custom_amount,
-             arg_max(custom_due, ts) FILTER (WHERE custom_due IS NOT NULL) AS custom_due,
-             arg_max(custom_name, ts) FILTER (WHERE custom_name IS NOT NULL) AS custom_name,
+m AS (SELECT k, arg_max_null(custom_amount, ts) FILTER (WHERE NOT is_deleted) AS custom_amount,
+             arg_max_null(custom_due, ts) FILTER (WHERE NOT is_deleted) AS custom_due,
+             arg_max_null(custom_name, ts) FILTER (WHERE NOT is_deleted) AS custom_name,
              arg_max(is_deleted, ts) AS is_deleted
       FROM u GROUP BY k)
 SELECT b.id, coalesce(m.custom_due, b.due) AS due,
@@ -220,8 +220,8 @@ UNION ALL
 SELECT -id, due, CAST(date_trunc('month', due) AS DATE), 100.0, 'manual' FROM base WHERE st = 'P' AND name = '5-LOW'
 """)
 def override_overlay(spark, d):
-    """JN-13 with SK-4: two override versions merged per key (latest per column,
-    tombstones keep the rest), overlaid on ledger rows, manual rows appended."""
+    """JN-13 with SK-4: two override versions merged per key (the latest row wins,
+    tombstones keep its columns), overlaid on ledger rows, manual rows appended."""
     o = table(spark, d, "orders")
     base = o.select(F.col("o_orderkey").alias("id"), F.to_date("o_orderdate").alias("due"),
                     money("o_totalprice").alias("amount"), F.col("o_orderpriority").alias("name"))

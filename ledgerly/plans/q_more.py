@@ -452,12 +452,12 @@ g AS (SELECT nation,
              sum(CASE WHEN st = 'F' AND day >= DATE '1998-08-01' AND day <= DATE '1998-08-10' THEN v ELSE 0 END) AS received
       FROM o GROUP BY 1)
 SELECT nation, CAST(greatest(0, sales - tuition) AS DOUBLE) AS variable_revenue, CAST(received AS DOUBLE) AS received_to_date,
-       floor((CAST(greatest(base - scheduled, 0) AS DOUBLE) + CAST(base AS DOUBLE) * 0.10) / 22 * 100 + 0.5) / 100 AS provision_per_day
-FROM g
+       floor(floor((gap + (CAST(scheduled AS DOUBLE) + gap) * 0.10::DOUBLE) * 100 + 0.5) / 100 / 31 * 100 + 0.5) / 100 AS provision_per_day
+FROM (SELECT *, CAST(greatest(base - scheduled, 0) AS DOUBLE) AS gap FROM g)
 """)
 def provision(spark, d):
     """AG-32 / AG-33: variable revenue (sales less tuition, floored), received so far,
-    and the daily expense provision (gap to the base month plus a safety share, over the remaining days)."""
+    and the daily expense provision (gap to the base month plus a safety share of scheduled and gap, over the days of the month)."""
     o = table(spark, d, "orders")
     c = table(spark, d, "customer").select("c_custkey", "c_nationkey")
     x = o.join(c, o.o_custkey == c.c_custkey).select(
@@ -473,8 +473,7 @@ def provision(spark, d):
         F.sum(F.when(between("1998-08-01", "1998-09-01"), F.col("v")).otherwise(z)).alias("sales"),
         F.sum(F.when((F.col("st") == "F") & between("1998-08-01", "1998-09-01"), F.col("v")).otherwise(z)).alias("tuition"),
         F.sum(F.when((F.col("st") == "F") & between("1998-08-01", "1998-08-11"), F.col("v")).otherwise(z)).alias("received"))
-    days_left = F.lit(22)  # 10 August to 31 August, as-of day included
-    prov = G.provision((F.col("base") - F.col("scheduled")).cast("double"), F.col("base").cast("double"), 0.10, days_left)
+    prov = G.provision((F.col("base") - F.col("scheduled")).cast("double"), F.col("scheduled").cast("double"), 0.10, F.lit(31))
     return g.select("nation", F.greatest(F.lit(0).cast("decimal(18,4)"), F.col("sales") - F.col("tuition"))
                     .cast("double").alias("variable_revenue"),
                     F.col("received").cast("double").alias("received_to_date"), round2(prov).alias("provision_per_day"))

@@ -172,10 +172,8 @@ base AS (SELECT nation,
                               AND day(day) <= {COMMISSION_CUT} THEN v * {COMMISSION_RATE} ELSE 0 END) AS DOUBLE) AS comm1,
                 CAST(sum(CASE WHEN st = 'F' AND day >= DATE '{DAILY_MONTH}' AND day <= last_day(DATE '{DAILY_MONTH}')
                               AND day(day) > {COMMISSION_CUT} THEN v * {COMMISSION_RATE} ELSE 0 END) AS DOUBLE) AS comm2,
-                CAST(sum(CASE WHEN st = 'O' AND pri <> '2-HIGH' AND day < DATE '{DAILY_AS_OF}'
-                              AND day >= DATE '{DAILY_MONTH}' - INTERVAL 1 MONTH THEN v ELSE 0 END) AS DOUBLE) AS overdue_ops,
-                CAST(sum(CASE WHEN st = 'O' AND pri = '2-HIGH' AND day < DATE '{DAILY_AS_OF}'
-                              AND day >= DATE '{DAILY_MONTH}' - INTERVAL 1 MONTH THEN v ELSE 0 END) AS DOUBLE) AS overdue_inv
+                CAST(sum(CASE WHEN st = 'O' AND pri <> '2-HIGH' AND day < DATE '{DAILY_AS_OF}' THEN v ELSE 0 END) AS DOUBLE) AS overdue_ops,
+                CAST(sum(CASE WHEN st = 'O' AND pri = '2-HIGH' AND day < DATE '{DAILY_AS_OF}' THEN v ELSE 0 END) AS DOUBLE) AS overdue_inv
          FROM o GROUP BY 1),
 imp AS (SELECT c.c_nationkey AS nation, CAST(l.l_shipdate AS DATE) AS day,
                CAST(sum(CAST(l.l_extendedprice AS DECIMAL(18,2)) * 0.02) AS DOUBLE) AS imported
@@ -237,9 +235,9 @@ def daily_projection(spark, d):
                .otherwise(z)).cast("double").alias("comm1"),
         F.sum(F.when((st == "F") & in_m & (F.dayofmonth("day") > COMMISSION_CUT), F.col("v") * rate)
                .otherwise(z)).cast("double").alias("comm2"),
-        F.sum(F.when((st == "O") & ~inv & (F.col("day") < as_of) & (F.col("day") >= F.add_months(month, -1)), F.col("v"))
+        F.sum(F.when((st == "O") & ~inv & (F.col("day") < as_of), F.col("v"))
                .otherwise(z)).cast("double").alias("overdue_ops"),
-        F.sum(F.when((st == "O") & inv & (F.col("day") < as_of) & (F.col("day") >= F.add_months(month, -1)), F.col("v"))
+        F.sum(F.when((st == "O") & inv & (F.col("day") < as_of), F.col("v"))
                .otherwise(z)).cast("double").alias("overdue_inv"))
     opening = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("nation")) \
                                          .agg(F.sum(money("c_acctbal")).cast("double").alias("opening"))

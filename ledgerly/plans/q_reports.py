@@ -338,12 +338,13 @@ WITH ledger AS (
                 WHEN '4-NOT SPECIFIED' THEN 'fco' END AS flow,
            CASE WHEN o_orderstatus = 'F' THEN CAST(o_totalprice AS DECIMAL(18,2)) ELSE -CAST(o_totalprice AS DECIMAL(18,2)) END AS value
     FROM orders),
-m AS (SELECT month, coalesce(sum(CASE WHEN flow = 'fco' THEN value END), 0) AS fco,
+sp AS (SELECT CAST(unnest(generate_series(min(month), max(month), INTERVAL 1 MONTH)) AS DATE) AS month FROM ledger WHERE flow IS NOT NULL),
+m AS (SELECT sp.month, coalesce(sum(CASE WHEN flow = 'fco' THEN value END), 0) AS fco,
              coalesce(sum(CASE WHEN flow = 'fci' THEN value END), 0) AS fci,
              coalesce(sum(CASE WHEN flow = 'fcs' THEN value END), 0) AS fcs
-      FROM ledger WHERE flow IS NOT NULL GROUP BY 1),
+      FROM sp LEFT JOIN ledger USING (month) GROUP BY 1),
 n AS (SELECT m.*, fco + fci + fcs AS net,
-             CASE WHEN month >= DATE '1998-01-01' THEN 50000.00 ELSE 0 END AS extra FROM m),
+             CASE WHEN month = DATE '1998-01-01' THEN 50000.00 ELSE 0 END AS extra FROM m),
 r AS (SELECT n.*, 100000.00 + sum(net + extra) OVER (ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
                   - (SELECT 0) AS closing0 FROM n)
 SELECT month, CAST(fco AS DOUBLE) AS fco, CAST(fci AS DOUBLE) AS fci, CAST(fcs AS DOUBLE) AS fcs, CAST(net AS DOUBLE) AS net,
@@ -351,14 +352,18 @@ SELECT month, CAST(fco AS DOUBLE) AS fco, CAST(fci AS DOUBLE) AS fci, CAST(fcs A
 FROM r
 """)
 def cash_flow_statement(spark, d):
-    """RP-13 (CL-9, PJ-3, AG-11, AG-12, WN-3): three activities per month with opening and closing cash."""
+    """RP-13 (CL-9, PJ-3, AG-11, AG-12, WN-3): three activities per month with opening and closing cash;
+    every month from the first to the last has a row, and the extra opening enters once, in its month."""
     x = ledger(spark, d).where(F.col("flow").isNotNull())
     z = F.lit(0).cast("decimal(18,2)")
     m = x.groupBy("month").agg(*[F.coalesce(F.sum(F.when(F.col("flow") == f, F.col("value"))), z).alias(f)
                                  for f in ("fco", "fci", "fcs")])
+    spine = m.agg(F.min("month").alias("lo"), F.max("month").alias("hi")) \
+        .select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month"))
+    m = spine.join(m, "month", "left").select("month", *[F.coalesce(F.col(f), z).alias(f) for f in ("fco", "fci", "fcs")])
     m = m.withColumn("net", F.col("fco") + F.col("fci") + F.col("fcs")) \
          .withColumn("seed", F.lit(OPENING_CASH).cast("decimal(18,2)")) \
-         .withColumn("step", F.col("net") + F.when(F.col("month") >= F.lit(EXTRA_FROM).cast("date"),
+         .withColumn("step", F.col("net") + F.when(F.col("month") == F.lit(EXTRA_FROM).cast("date"),
                                                      F.lit(EXTRA_OPENING).cast("decimal(18,2)")).otherwise(z)) \
          .withColumn("k", F.lit(1))
     r = W.running_balance(m, ["k"], "month", "step", "seed")

@@ -4,6 +4,8 @@ text, unallocated item labelled by the nearest group booking, share split."""
 import datetime as dt
 from decimal import Decimal
 
+from pyspark.sql import functions as F
+
 from ledgerly.plans.commission import CommissionRules, commission_detail
 
 
@@ -124,9 +126,13 @@ def test_dashboard_paid_pending_vouchers_and_balance(spark):
         ("Voucher INTENSIVÃO - 4 aulas - dan", 400.0, dt.datetime(2026, 7, 25), "Carla"),
         ("Voucher INTENSIVÃO - 4 aulas - Dan ANULADO", 300.0, dt.datetime(2026, 7, 25), "Dora"),
     ], "description string, total double, pay_date timestamp, customer_name string")
-    payouts = spark.createDataFrame([("Dan", Decimal("20.00"))], "professor string, amount decimal(18,2)")
+    payouts = spark.createDataFrame([("Dan", Decimal("20.00"), dt.date(2026, 7, 1)), ("Dan", Decimal("500.00"), dt.date(2026, 6, 1)),
+                                     ("Eva", Decimal("7.00"), dt.date(2026, 7, 1))],
+                                    "professor string, amount decimal(18,2), reference_period date")
     students, summary = commission_dashboard(detail, vouchers, payouts, "2026-07-01", DashboardRules(rate=0.10))
-    s = summary.collect()[0]
+    by = {r.professor: r for r in summary.collect()}
+    assert by["Eva"].paid_out == 7.0 and by["Eva"].balance == -7.0   # payouts only; June's payout belongs to June
+    s = by["Dan"]
     assert s.paid_billed == 700.0 and s.paid_base == 750.0       # 150 + 150 + voucher 400; base 150 + 200 + 400
     assert s.p1_billed == 150.0 and s.p2_billed == 550.0          # class day 6 | class day 22, voucher day 25
     # pending: one DUPLA slot on Wednesdays at 11:00 (5 Wednesdays in July 2026), 2 bookings:
@@ -135,3 +141,14 @@ def test_dashboard_paid_pending_vouchers_and_balance(spark):
     assert s.commission == 75.0 and s.balance == 55.0
     st = {(x.student, x.status) for x in students.collect()}
     assert ("Bruno Sample", "pending") in st and ("Carla (voucher)", "paid") in st
+
+
+def test_pending_slots_are_keyed_by_start_time_and_take_the_multiplier(spark):
+    from ledgerly.operators import estimate as X
+    rows = [(1, "a", dt.date(2026, 7, 7), "18:00"), (2, "a", dt.date(2026, 7, 7), "18:30"), (3, "b", dt.date(2026, 7, 7), None)]
+    b = spark.createDataFrame(rows, "booking_id int, student string, booking_date date, start_time string") \
+        .withColumn("description", F.lit("Turma (1 / 4)")).withColumn("booking_type", F.lit("clase_colectiva")) \
+        .withColumn("is_socio", F.lit(False)).withColumn("commission_base", F.lit(0.0))
+    _, per = X.estimate_pending(b)
+    got = {r.student: r for r in per.collect()}
+    assert got["a"].n_slots == 2 and got["b"].n_slots == 1 and got["b"].total_billed > 0

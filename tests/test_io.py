@@ -55,6 +55,15 @@ def test_merge_overrides_tombstone_keeps_fields(spark):
     assert m[2].amt == 5.0
 
 
+def test_merge_overrides_edit_clears_fields(spark):
+    cur = spark.createDataFrame([(1, 1, False, 9.0, "x")], "k int, ts int, is_deleted boolean, amt double, name string")
+    delta = spark.createDataFrame([(1, 2, False, None, "y"), (1, 3, True, None, None)], cur.schema)
+    one = J.merge_overrides(cur, delta.limit(1), "k", "ts", ["amt", "name"]).first()
+    assert one.amt is None and one.name == "y" and one.is_deleted is False
+    two = J.merge_overrides(cur, delta, "k", "ts", ["amt", "name"]).first()
+    assert two.is_deleted is True and two.amt is None and two.name == "y"
+
+
 def test_schedule_stream(spark):
     from ledgerly.streaming.ingest import start_schedule_stream
     d = tempfile.mkdtemp(prefix="ledgerly-stream-in-")

@@ -113,22 +113,75 @@ def test_unallocated_are_the_complement(spark):
     assert n_un == x.join(slots, ["c", "m"], "left_anti").count()
 
 
-def test_large_side_fallbacks_match_broadcast_paths(spark, monkeypatch):
-    """Beyond the broadcast bound the keyed joins must give the same answer."""
+def test_name_matching_does_not_depend_on_the_number_of_names(spark):
+    """JN-14 and rule tables give the same pairs for a few names and for 20,000; inner double spaces count."""
     from ledgerly.operators import joins as JJ
     from ledgerly.operators import rules as RR
-    a = spark.createDataFrame([(1, "Ana Lúcia Souza"), (2, "joão"), (3, "Professor Nation_1"), (4, "")],
-                              "id int, name string")
-    b = spark.createDataFrame([(10, "ANA LUCIA"), (11, "João Pedro Alves"), (12, "nation_1"), (13, "x")],
-                              "bid int, bname string")
-    small = sorted((r.id, r.bid) for r in JJ.fuzzy_contains(a, "name", b, "bname", "id", "bid").collect())
-    monkeypatch.setattr(JJ, "fits_broadcast", lambda df, max_rows=0: False)
-    large = sorted((r.id, r.bid) for r in JJ.fuzzy_contains(a, "name", b, "bname", "id", "bid").collect())
-    assert small == large == [(1, 10), (2, 11), (3, 12)]
-
-    rules = spark.createDataFrame([(1, "lúcia", "L"), (2, "nation", "N"), (0, "ana", "A")],
-                                  "priority int, pattern string, label string")
-    want = sorted((r.id, r.lbl) for r in RR.classify_by_table(a, "name", rules, ["id"], "lbl", "none").collect())
-    monkeypatch.setattr(RR, "fits_broadcast", lambda df, max_rows=0: False)
-    got = sorted((r.id, r.lbl) for r in RR.classify_by_table(a, "name", rules, ["id"], "lbl", "none").collect())
-    assert got == want == [(1, "A"), (2, "none"), (3, "N"), (4, "none")]
+    a = spark.createDataFrame([(1, "Ana Lúcia Souza"), (2, "joão"), (3, "Professor Nation_1"), (4, ""), (5, None),
+                               (6, "xx a b yy"), (7, "xx a  b yy"), (1, "Ana Lúcia Souza")], "id int, name string")
+    few = [(10, "ANA LUCIA"), (11, "João Pedro Alves"), (12, "nation_1"), (13, "x"), (14, "A  B"), (15, None), (16, " ")]
+    want = [(1, 10), (1, 10), (2, 11), (3, 12), (6, 13), (7, 13), (7, 14)]
+    for more in (0, 20_000):
+        b = spark.createDataFrame(few + [(100 + k, f"somebody else {k:05d}") for k in range(more)], "bid int, bname string")
+        assert sorted((r.id, r.bid) for r in JJ.fuzzy_contains(a, "name", b, "bname").collect()) == want
+        rules = spark.createDataFrame([(1, "lúcia", "L"), (2, "nation", "N"), (0, "ana", "A"), (0, "", "E"), (3, "a  b", "S")]
+                                      + [(9, f"somebody else {k:05d}", "M") for k in range(more)], "priority int, pattern string, label string")
+        got = sorted((r.id, r.lbl) for r in RR.classify_by_table(a, "name", rules, ["id"], "lbl", "none").collect())
+        assert got == [(1, "A"), (1, "A"), (2, "none"), (3, "N"), (4, "none"), (5, "none"), (6, "none"), (7, "S")]
+
+
+def test_short_names_with_a_common_first_name_are_no_hot_key(spark):
+    """JN-5 short patterns: one first name in a third of the texts and in all names still gives exactly the containing pairs."""
+    from ledgerly.operators import joins as JJ
+    names = [(k, f"maria {chr(97 + k % 26)}{chr(97 + k // 26)}lves") for k in range(200)]
+    texts = [(k, f"aula com maria {chr(97 + k % 26)}{chr(97 + k // 26)}lves no sábado" if k % 3 == 0 else f"aula {k}") for k in range(600)]
+    a = spark.createDataFrame(texts, "id int, t string")
+    b = spark.createDataFrame(names, "nid int, n string")
+    got = sorted((r.id, r.nid) for r in JJ.contains_join(a, "id", "t", b, "nid", "n").collect())
+    assert got == sorted((i, j) for i, t in texts for j, n in names if n in t)
+
+
+def test_null_keys_never_allocate(spark):
+    """AL-2 / JN-10 / JN-12: null keys meet nothing; a null code keeps its match by text; empty codes match nothing."""
+    from ledgerly.operators import joins as JJ
+    facts = spark.createDataFrame([(1, None, "ball", "2024-01-02"), (2, "000", "none", "2024-01-02"), (3, " 007", None, "2024-01-02"),
+                                   (4, None, None, "2024-01-02")], "id int, code string, txt string, d string")
+    costs = spark.createDataFrame([(1, "7", "racket", 5.0), (2, "0", "x", 6.0), (3, None, " Ball ", 7.0), (4, None, None, 8.0)],
+                                  "ord int, sku string, descr string, c double") \
+        .selectExpr("*", "cast(null as date) as s", "cast(null as date) as e")
+    got = {r.id: r.c for r in JJ.effective_lookup(facts, costs, "code", "txt", "d", "sku", "descr", "s", "e", "ord", ["c"]).collect()}
+    assert got == {1: 7.0, 2: None, 3: 5.0, 4: None}
+    a = spark.createDataFrame([(1, "k", "2024-01-03"), (2, None, "2024-01-03"), (3, "k", None)], "id int, k string, d string")
+    b = spark.createDataFrame([("k", "2024-01-01", 9), (None, "2024-01-03", 8)], "k string, bd string, v int")
+    got = {r.id: (r.v, r.nearest_days) for r in JJ.nearest(a, b, ["k"], "d", "bd", ["v"], "v").collect()}
+    assert got == {1: (9, 2), 2: (None, None), 3: (None, None)}
+
+
+def test_running_cash_takes_the_extra_opening_once(spark):
+    """RP-13: three months after the extra opening, a month without rows between them."""
+    from ledgerly.plans.finance import FinanceRules, cash_flow_statement
+    rows = [("2026-06-10", "100", "Operacional"), ("2026-08-10", "10", "Operacional")]
+    led = spark.createDataFrame([(True, d, "revenue", a, "c", f) for d, a, f in rows],
+                                "paid boolean, due_date string, transaction_type string, amount string, category_name string, "
+                                "cost_center_descricao string").withColumn("due_date", F.to_date("due_date"))
+    r = FinanceRules(opening=1000, extra_openings=[("2026-07-01", 500)])
+    _, s = cash_flow_statement(led, "2026-06-01", "2026-09-01", r)
+    got = [(str(x.month)[:7], float(x.opening), float(x.closing)) for x in s.orderBy("month").collect()]
+    net = [float(x.net) for x in s.orderBy("month").collect()]
+    assert [m for m, _, _ in got] == ["2026-06", "2026-07", "2026-08", "2026-09"]
+    assert got[1][1] - got[0][2] == 500 and got[2][1] == got[1][2] and got[3][1] == got[2][2] and net[1] == net[3] == 0
+
+
+def test_balance_keeps_keys_without_a_movement(spark):
+    from ledgerly.operators import agg as GG
+    df = spark.createDataFrame([("a", "2024-01-01", 5), ("b", "2024-02-10", 7)], "k string, d string, v int") \
+        .selectExpr("k", "cast(d as date) as d", "cast(v as decimal(18,2)) as v")
+    got = {r.k: float(r.balance) for r in GG.investment_balance(df, ["k"], "d", "v", 100, "2024-02-01", "2024-02-28").collect()}
+    assert got == {"a": 100.0, "b": 107.0}
+
+
+def test_provision_takes_safety_on_scheduled_and_gap(spark):
+    from ledgerly.operators import agg as GG
+    row = spark.range(1).select(GG.provision(F.lit(200.0), F.lit(800.0), 0.05, F.lit(30)).alias("p"),
+                                GG.provision(F.lit(-50.0), F.lit(900.0), 0.05, F.lit(30)).alias("q")).first()
+    assert row.p == 250.0 / 30 and row.q == 45.0 / 30
