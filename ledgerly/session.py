@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
+from pyspark import SparkConf, SparkContext
 from pyspark.sql import DataFrame, SparkSession
 
 # Settings that results depend on (time zone) or that the plans assume (AQE).
@@ -19,20 +20,32 @@ BASE_CONF = {
 }
 
 
+def _submitted() -> SparkConf:
+    """The settings that spark-submit has started this process with; none in a plain Python process."""
+    if "PYSPARK_GATEWAY_PORT" in os.environ:
+        SparkContext._ensure_initialized()
+    conf = SparkConf()
+    if "--master" in os.environ.get("PYSPARK_SUBMIT_ARGS", ""):
+        conf.setIfMissing("spark.master", "as submitted")
+    return conf
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "ledgerly", extra: dict | None = None) -> SparkSession:
     """Build (or reuse) a session with the library's settings.
 
-    On a cluster the master and shuffle width come from spark-submit; locally
-    they default to ``local[*]`` and 8 partitions.
+    What spark-submit or a configuration file has set for the master and the
+    shuffle width stays; only where neither names a master does it become
+    ``local[*]`` with 8 partitions.
     """
     b = SparkSession.builder.appName(app_name)
-    if master:
-        b = b.master(master)
-    elif not os.environ.get("SPARK_MASTER"):
-        b = b.master("local[*]")
-    conf = dict(BASE_CONF)
-    conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
+    given = _submitted()
+    alone = not master and not given.contains("spark.master") and SparkSession.getActiveSession() is None
+    if master or alone:
+        b = b.master(master or "local[*]")
+    conf = {k: v for k, v in BASE_CONF.items() if not given.contains(k)}
+    if shuffle_partitions or ((alone or master) and not given.contains("spark.sql.shuffle.partitions")):
+        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions or 8)
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
@@ -70,12 +83,15 @@ def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster.
 
-    Only when ``spark.checkpoint.dir`` is unset (local runs, tests) a folder
-    of our own is created and registered.
+    Only when ``spark.checkpoint.dir`` is unset in a local run (tests) a
+    folder of our own is created and registered; on a cluster such a folder
+    would be the driver's alone, so the setting is asked for.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
+    if not d and not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerly-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
