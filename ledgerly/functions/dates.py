@@ -92,5 +92,13 @@ def month_sequence(start, end) -> Column:
     return F.sequence(month_start(start), month_start(end), F.expr("interval 1 month"))
 
 
+def open_days(month, as_of) -> Column:
+    """CA-6: the days of a month that are still to come on ``as_of``: all of a
+    later month, from that day on within the month, none of an earlier one."""
+    first, last = month_start(month), F.last_day(month_start(month))
+    start = F.greatest(first, F.to_date(_c(as_of)))
+    return F.when(start <= last, F.sequence(start, last, F.expr("interval 1 day"))).otherwise(F.array().cast("array<date>"))
+
+
 def day_sequence(start, end) -> Column:
     return F.sequence(F.to_date(_c(start)), F.to_date(_c(end)), F.expr("interval 1 day"))

@@ -101,14 +101,14 @@ def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str,
     """
     spark = ledger.sparkSession
     m = F.lit(month).cast("date")
-    a = F.lit(as_of).cast("date")
+    a = F.greatest(F.lit(as_of).cast("date"), m)  # CA-6: a later month starts at day 1, an earlier one has no days left
     warr = F.array(*[F.lit(x) for x in DOW_WEIGHTS])
     weight = lambda c: F.element_at(warr, F.dayofweek(c))
     all_days = F.sequence(m, F.last_day(m))
     total_w = F.aggregate(F.transform(all_days, weight), F.lit(0.0), lambda x, y: x + y)
     rem_w = F.greatest(F.aggregate(F.transform(all_days, lambda c: F.when(c >= a, weight(c)).otherwise(F.lit(0.0))),
                                    F.lit(0.0), lambda x, y: x + y), F.lit(1.0))
-    days = spark.range(1).select(F.explode(F.sequence(a, F.last_day(m))).alias("day"), total_w.alias("total_w"),
+    days = spark.range(1).select(F.explode(D.open_days(m, F.lit(as_of))).alias("day"), total_w.alias("total_w"),
                                  rem_w.alias("rem_w")).withColumn("w", weight(F.col("day")))
     z = F.lit(0).cast("decimal(18,2)")
     sched = schedule.where(D.in_month("release_date", m)).groupBy(F.col("release_date").alias("day")) \

@@ -37,4 +37,5 @@ def load_all() -> None:
         q_dashboard,
         q_more,
         q_extra,
+        q_lists,
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerly.functions import text as T
@@ -17,9 +17,9 @@ from ledgerly.functions import text as T
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None,
                where: Column | None = None, fmt: str = "parquet", order: Sequence[Column] | None = None,
-               limit: int | None = None) -> DataFrame:
+               limit: int | None = None, offset: int = 0) -> DataFrame:
     """SR-1 / SR-2: a table with a column list and a predicate; both reach the
-    scan. SO-5 / SO-7: an order and a limit, only where the report asks for one."""
+    scan. SO-5 / SO-7: an order, an offset and a limit, only where the report asks for them."""
     df = spark.read.format(fmt).load(path)
     if cols:
         df = df.select(*cols)
@@ -27,6 +27,8 @@ def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None
         df = df.where(where)
     if order:
         df = df.orderBy(*order)
+    if offset:
+        df = df.offset(offset)
     if limit is not None:
         df = df.limit(limit)
     return df
@@ -43,32 +45,53 @@ def read_or_empty(spark: SparkSession, path: str, schema: str, fmt: str = "parqu
     return spark.read.format(fmt).schema(schema).load(path)
 
 
-# Header aliases of a receivables schedule (date and value columns).
-DATE_ALIASES = ["data", "data de liberação", "data liberacao", "vencimento", "date"]
-VALUE_ALIASES = ["valor", "valor líquido", "valor liquido", "value", "amount"]
+# Header cells of a receivables schedule's date and value columns, equal to or containing one of these.
+DATE_ALIASES = ["data", "date", "data prevista", "prevision_payment_date", "data_liberacao", "liberacao"]
+DATE_PARTS = ["data previsto", "vencimento"]
+VALUE_ALIASES = ["valor", "valor liquido", "liquido", "net_amount", "valor_recebido", "valor_pago", "valor_liquido",
+                 "valor bruto", "bruto", "gross_amount", "amount"]
+VALUE_PARTS = ["valor líq", "líquido"]
+NO_HEADER, NO_ROWS = "no date and value columns", "no row with a date and a value"
+
+
+def csv_cells(line: Column, sep: str = ";") -> Column:
+    """The cells of a CSV line: separators inside quotes do not cut, quotes around a cell go, doubled ones become one."""
+    cells = F.split(line, sep + r'(?=(?:[^"]*"[^"]*")*[^"]*$)')
+    return F.transform(cells, lambda c: F.replace(F.regexp_replace(F.trim(c), r'^"(.*)"$', "$1"), F.lit('""'), F.lit('"')))
+
+
+def _position(cells: Column, equal: Sequence[str], parts: Sequence[str]) -> Column:
+    """Place of the first cell that equals or contains an alias; null without one."""
+    def hit(c):
+        found = c.isin(list(equal))
+        for part in parts:
+            found = found | F.contains(c, F.lit(part))
+        return found
+    return F.aggregate(F.transform(cells, lambda c, i: F.when(hit(c), i)), F.lit(None).cast("int"),
+                       lambda acc, x: F.coalesce(acc, x))
+
+
+def _headers(lines: DataFrame, date_aliases, value_aliases, max_header_row: int, sep: str) -> DataFrame:
+    """Per file its first header line: file, hpos, di, vi."""
+    cells = F.transform(csv_cells(F.col("line"), sep), F.lower)
+    heads = (lines.where(F.col("pos") < max_header_row)
+                  .select("file", "pos", _position(cells, date_aliases, DATE_PARTS).alias("di"),
+                          _position(cells, value_aliases, VALUE_PARTS).alias("vi"))
+                  .where(F.col("di").isNotNull() & F.col("vi").isNotNull()))
+    return heads.groupBy("file").agg(F.min(F.struct("pos", "di", "vi")).alias("h")) \
+                .select("file", F.col("h.pos").alias("hpos"), "h.di", "h.vi")
 
 
 def parse_schedule_lines(lines: DataFrame, date_aliases: Sequence[str] = DATE_ALIASES,
                          value_aliases: Sequence[str] = VALUE_ALIASES, max_header_row: int = 15,
                          sep: str = ";") -> DataFrame:
     """SR-4 core: ``lines`` = (file, pos, line). Per file the header is the
-    first of the first ``max_header_row`` lines holding a date alias and a
-    value alias; rows after it give (date, value) by the header's column
+    first of the first ``max_header_row`` lines with a date and a value
+    column; rows after it give (date, value) by the header's column
     positions; rows whose date or value does not parse are skipped."""
-    cells = F.transform(F.split(F.col("line"), sep), lambda c: F.lower(F.trim(c)))
-    has_d = F.exists(cells, lambda c: c.isin(list(date_aliases)))
-    has_v = F.exists(cells, lambda c: c.isin(list(value_aliases)))
-    heads = (lines.where((F.col("pos") < max_header_row) & has_d & has_v)
-                  .withColumn("cells", cells)
-                  .groupBy("file").agg(F.min_by(F.struct("pos", "cells"), F.col("pos")).alias("h")))
-    heads = heads.select("file", F.col("h.pos").alias("hpos"), F.col("h.cells").alias("hcells"))
-    idx_d = F.aggregate(F.transform(F.col("hcells"), lambda c, i: F.when(c.isin(list(date_aliases)), i)),
-                        F.lit(None).cast("int"), lambda acc, x: F.coalesce(acc, x))
-    idx_v = F.aggregate(F.transform(F.col("hcells"), lambda c, i: F.when(c.isin(list(value_aliases)), i)),
-                        F.lit(None).cast("int"), lambda acc, x: F.coalesce(acc, x))
-    heads = heads.select("file", "hpos", idx_d.alias("di"), idx_v.alias("vi"))
+    heads = _headers(lines, date_aliases, value_aliases, max_header_row, sep)
     body = lines.join(heads, "file").where(F.col("pos") > F.col("hpos"))
-    raw = F.split(F.col("line"), sep)
+    raw = csv_cells(F.col("line"), sep)
     out = body.select("file", F.try_element_at(raw, F.col("di") + 1).alias("d_txt"),
                       F.try_element_at(raw, F.col("vi") + 1).alias("v_txt"))
     out = out.select("file", T.parse_date_text("d_txt").alias("release_date"),
@@ -76,16 +99,39 @@ def parse_schedule_lines(lines: DataFrame, date_aliases: Sequence[str] = DATE_AL
     return out.where(F.col("release_date").isNotNull() & F.col("value").isNotNull() & ~F.isnan("value"))
 
 
+def schedule_lines(spark: SparkSession, glob: str) -> DataFrame:
+    """Numbered lines of the schedule files: file, changed (when the file was), pos, line."""
+    files = spark.read.text(glob, wholetext=True).select(
+        "value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("changed"))
+    return files.select("file", "changed", F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
+
+
 def ingest_schedule(spark: SparkSession, glob: str, acquirer: str, **kw) -> DataFrame:
-    """SR-4: a folder of schedule CSVs -> (release_date, acquirer, value, source_file),
-    duplicate dates summed (AG-29). Each file is read whole and split into
-    numbered lines; files are processed in parallel."""
-    files = spark.read.text(glob, wholetext=True).withColumn("file", F.input_file_name())
-    lines = files.select("file", F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
+    """SR-4: schedule CSVs -> (release_date, acquirer, value, source_file).
+
+    Duplicate dates are summed within a file (AG-29). A file replaces the
+    whole months that it holds, so of several files with rows of one month the
+    newest counts (by change time, then name), whatever order they came in.
+    """
+    lines = schedule_lines(spark, glob)
     rows = parse_schedule_lines(lines, **kw)
-    return rows.groupBy("release_date").agg(F.round(F.sum("value"), 2).alias("value"),
-                                            F.min("file").alias("source_file")) \
-               .withColumn("acquirer", F.lit(acquirer))
+    month = F.trunc("release_date", "MM").alias("__m")
+    days = rows.groupBy("file", "release_date", month).agg(F.round(F.sum("value"), 2).alias("value"))
+    changed = lines.select("file", "changed").distinct()
+    newest = days.select("file", "__m").distinct().join(changed, "file").groupBy("__m") \
+                 .agg(F.max(F.struct("changed", "file"))["file"].alias("file"))
+    return days.join(newest, ["__m", "file"]).select("release_date", F.lit(acquirer).alias("acquirer"), "value",
+                                                     F.col("file").alias("source_file"))
+
+
+def rejected_files(spark: SparkSession, glob: str, max_header_row: int = 15, sep: str = ";") -> DataFrame:
+    """Files that ``ingest_schedule`` takes nothing from: file, reason."""
+    lines = schedule_lines(spark, glob)
+    heads = _headers(lines, DATE_ALIASES, VALUE_ALIASES, max_header_row, sep).select("file", F.lit(True).alias("has_header"))
+    used = parse_schedule_lines(lines, max_header_row=max_header_row, sep=sep).select("file", F.lit(True).alias("has_rows")).distinct()
+    files = lines.select("file").distinct().join(heads, "file", "left").join(used, "file", "left")
+    return files.where(F.col("has_rows").isNull()).select(
+        "file", F.when(F.col("has_header").isNull(), NO_HEADER).otherwise(NO_ROWS).alias("reason"))
 
 
 def replace_months(df: DataFrame, path: str, date_col: str, keys: Sequence[str], value: str) -> None:
@@ -112,9 +158,3 @@ def delete_where(spark: SparkSession, path: str, pred: Column, out_path: str) ->
     kept = spark.read.parquet(path).where(~F.coalesce(pred, F.lit(False)))
     kept.write.mode("overwrite").parquet(out_path)
     return spark.read.parquet(out_path)
-
-
-def latest_per_key(df: DataFrame, key: Sequence[str], ts: str) -> DataFrame:
-    """Keep the newest row per key (for re-imported schedules)."""
-    w = Window.partitionBy(*key).orderBy(F.col(ts).desc())
-    return df.withColumn("__rn", F.row_number().over(w)).where("__rn = 1").drop("__rn")

@@ -2,10 +2,11 @@
 
 The reference uploads receivables schedules one file at a time and replaces
 the months they cover. Here a folder is watched as a file stream; each
-micro-batch of new files is parsed with the batch parser and written with the
-month-replacing sink inside ``foreachBatch`` (idempotent per batch id, since
-dynamic partition overwrite rewrites whole months). The checkpoint lives in
-the shared checkpoint folder of the session.
+micro-batch of new files names the months it touches, and these are built anew
+from all files of the folder, newest first, and written with the
+month-replacing sink inside ``foreachBatch``. The result does not depend on
+how files are spread over micro-batches, and a repeated batch writes the same.
+The checkpoint lives in the shared checkpoint folder of the session.
 """
 
 from __future__ import annotations
@@ -25,9 +26,9 @@ def start_schedule_stream(spark: SparkSession, in_dir: str, out_path: str, acqui
 
     def write_batch(batch, batch_id):
         lines = batch.select("file", F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
-        rows = io.parse_schedule_lines(lines)
-        rows = rows.groupBy("release_date").agg(F.round(F.sum("value"), 2).alias("value")) \
-                   .withColumn("acquirer", F.lit(acquirer))
+        months = io.parse_schedule_lines(lines).select(F.trunc("release_date", "MM").alias("m")).distinct()
+        rows = io.ingest_schedule(spark, in_dir, acquirer).withColumn("m", F.trunc("release_date", "MM")) \
+                 .join(months, "m", "left_semi")
         io.replace_months(rows, out_path, "release_date", ["release_date", "acquirer"], "value")
 
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"

@@ -34,6 +34,24 @@ def test_ingest_and_replace_months(spark):
     assert back == [("2026-07-10", 7.5), ("2026-08-01", 5.0)]
 
 
+def test_schedule_aliases_quotes_and_replacement(spark):
+    """SR-4: quoted cells and other header names; sums stay within a file, of two files of a month the newest counts."""
+    d = tempfile.mkdtemp(prefix="ledgerly-in-")
+    _write(d, "a.csv", 'Data Prevista;"Valor Líquido; final"\n05/07/2026;"1.234,56"\n05/07/2026;1\n09/08/2026;2\n')
+    _write(d, "b.csv", "obs;net_amount;Vencimento em\nx;7;05/07/2026\n")
+    _write(d, "c.csv", "nothing;here\n1;2\n")
+    _write(d, "e.csv", "Data;Valor\nx;y\n")
+    for name, at in (("a", 1000), ("b", 2000), ("c", 2000), ("e", 2000)):
+        os.utime(os.path.join(d, name + ".csv"), (at, at))
+    got = sorted((str(r.release_date), r.value) for r in io.ingest_schedule(spark, d, "acq").collect())
+    assert got == [("2026-07-05", 7.0), ("2026-08-09", 2.0)]
+    os.utime(os.path.join(d, "a.csv"), (3000, 3000))
+    got = sorted((str(r.release_date), r.value) for r in io.ingest_schedule(spark, d, "acq").collect())
+    assert got == [("2026-07-05", 1235.56), ("2026-08-09", 2.0)]
+    bad = {os.path.basename(r.file): r.reason for r in io.rejected_files(spark, d).collect()}
+    assert bad == {"c.csv": io.NO_HEADER, "e.csv": io.NO_ROWS}
+
+
 def test_append_delete_and_optional_source(spark):
     base = tempfile.mkdtemp(prefix="ledgerly-sk-")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")

@@ -185,3 +185,11 @@ def test_provision_takes_safety_on_scheduled_and_gap(spark):
     row = spark.range(1).select(GG.provision(F.lit(200.0), F.lit(800.0), 0.05, F.lit(30)).alias("p"),
                                 GG.provision(F.lit(-50.0), F.lit(900.0), 0.05, F.lit(30)).alias("q")).first()
     assert row.p == 250.0 / 30 and row.q == 45.0 / 30
+
+
+def test_open_days_of_past_current_and_later_months(spark):
+    from ledgerly.functions import dates as D
+    rows = spark.createDataFrame([("2026-06-01",), ("2026-07-01",), ("2026-09-01",)], "m string") \
+        .select(D.open_days(F.col("m").cast("date"), F.lit("2026-07-30")).alias("days")).collect()
+    assert [[str(d) for d in r["days"][:2]] for r in rows] == [[], ["2026-07-30", "2026-07-31"], ["2026-09-01", "2026-09-02"]]
+    assert [len(r["days"]) for r in rows] == [0, 2, 30]
