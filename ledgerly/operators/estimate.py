@@ -72,9 +72,11 @@ def estimate_pending(bookings: DataFrame) -> tuple[DataFrame, DataFrame]:
                    on=["student", "month", "dow", "start_time", "category"], how="left")
     est = F.when(F.col("is_free"), F.lit(0.0)).otherwise(F.col("per_booking"))
     cb_col = F.col("commission_base") if "commission_base" in bookings.columns else F.lit(None)
+    # CL-16: a booking's own multiplier, whatever its base comes from
+    factor = F.coalesce(F.col("multiplier"), F.lit(1.0)) if "multiplier" in bookings.columns else F.lit(1.0)
     per_b = per_b.withColumn("estimated_value", est) \
-                 .withColumn("comm_base", js_or(cb_col, F.when(F.col("is_socio"), F.col("estimated_value") * 2)
-                                                       .otherwise(F.col("estimated_value"))).cast(EXACT))
+                 .withColumn("comm_base", (js_or(cb_col, F.when(F.col("is_socio"), F.col("estimated_value") * 2)
+                                                       .otherwise(F.col("estimated_value"))) * factor).cast(EXACT))
     billed = s.groupBy("student", "month").agg(F.sum("slot_value_dec").alias("total_billed"),
                                                F.max("n_slots").alias("n_slots"))
     base = per_b.groupBy("student", "month").agg(F.count(F.lit(1)).alias("n_bookings"),

@@ -44,11 +44,14 @@ def carry_forward(df: DataFrame, keys: Sequence[str], order: str, value: str, se
     return df.withColumn(out, F.lag(F.col(value), 1, seed).over(w))
 
 
-def slots_per(df: DataFrame, key: str, slot_cols: Sequence[str], out: str = "n_slots") -> DataFrame:
-    """WN-7: distinct slots per key, attached to each row (aggregate + join:
-    ``count(DISTINCT)`` is not allowed over a window)."""
-    n = df.select(key, *slot_cols).distinct().groupBy(key).agg(F.count(F.lit(1)).alias(out))
-    return df.join(n, key, "left")
+def slot_totals(df: DataFrame, key: str, slot_cols: Sequence[str], sums: dict[str, Column], out: str = "n_slots") -> DataFrame:
+    """WN-7: distinct slots per key, with sums over the key's rows.
+
+    Rows are summed per slot and the slots per key, so a hot key shuffles one
+    row per slot and task, and no join brings the count back to the rows.
+    """
+    slots = df.groupBy(key, *slot_cols).agg(*[F.sum(c).alias(n) for n, c in sums.items()])
+    return slots.groupBy(key).agg(F.count(F.lit(1)).alias(out), *[F.sum(n).alias(n) for n in sums])
 
 
 def weighted_share(df: DataFrame, keys: Sequence[str], order: str, weight: str,

@@ -26,7 +26,6 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +33,7 @@ from ledgerly.functions import dates as D
 from ledgerly.operators import alloc as A
 from ledgerly.operators import joins as J
 from ledgerly.operators import rules as R
+from ledgerly.session import cut_lineage
 
 
 @dataclass
@@ -116,14 +116,14 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
                          "booking_id", "payment_date", "amount")
     member = _any("description", r.member_patterns)
     double = _any("description", r.double_patterns)
-    lcm = m.join(lesson_items.drop("customer_code"), "item_key").join(first_pay, "booking_id", "left").select(
+    lcm = cut_lineage(m.join(lesson_items.drop("customer_code"), "item_key").join(first_pay, "booking_id", "left").select(
         "booking_id", "customer_code", "item_key",
         F.col("valor_faturamento").alias("payment_value"),
         F.when(member, F.coalesce("valor_bruto", "valor_faturamento"))
          .when(double, F.col("valor_faturamento") * 2).otherwise(F.col("valor_faturamento")).alias("payment_value_comissao"),
         (member | double).alias("is_socio"), F.col("paid").alias("is_paid"),
         F.coalesce("min_payment_date", "pay_date").alias("pay_date"),
-        _teacher(r.item_teacher_rules, None).alias("professor")).persist(StorageLevel.MEMORY_AND_DISK)
+        _teacher(r.item_teacher_rules, None).alias("professor")))
 
     # 3. resolved items: customer by participant-name containment (JN-5), flags (CL-18)
     lesson_like = _lesson_line(r)
@@ -141,7 +141,7 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
     valid = ((F.col("is_canceled") == F.lit(False)) & (F.col("sale_canceled") == F.lit(False))
              & (F.coalesce(F.col("sale_type"), F.lit("")) != "refund") & (F.col("valor_faturamento") > 0)
              & (F.col("subcategoria").isNull() | (F.col("subcategoria") != r.excluded_sub)) & lesson_like)
-    rf = rf.where(valid).persist(StorageLevel.MEMORY_AND_DISK)
+    rf = cut_lineage(rf.where(valid))  # read by several branches
 
     # 4. plan items (AL-7, AL-8, AL-5, CL-3)
     gross = F.coalesce("valor_bruto", "valor_faturamento")

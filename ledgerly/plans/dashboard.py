@@ -63,13 +63,18 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
                        .alias("student"), F.col("total").cast("double").alias("billed"),
                        F.col("total").cast("double").alias("base"),
                        D.period_of("pay_date", r.period_cut).alias("__period"), F.lit(False).alias("is_socio"))
-    all_paid = paid_rows.unionByName(v_rows)
+    # sums run on decimals, so they do not depend on addition order
+    all_paid = paid_rows.unionByName(v_rows).withColumns({c: F.col(c).cast(X.EXACT) for c in ("billed", "base")})
 
     pend = d.where(~F.col("is_paid") & D.in_month("booking_date", m)).select(
         F.struct("professor", "participant_name").alias("student"), "booking_id", "booking_date",
         "start_time", "description", "booking_type", F.col("is_socio_benefit").alias("is_socio"),
-        (F.col("booking_commission_base") * mult).alias("commission_base"))
-    _, per_s = X.estimate_pending(pend)
+        F.col("booking_commission_base").alias("commission_base"), mult.cast("double").alias("multiplier"))
+    per_b, per_s = X.estimate_pending(pend)
+    first = D.period_of("booking_date", r.period_cut) == 1
+    pend_p = per_b.where(~F.col("is_free")).groupBy(F.col("student.professor").alias("professor")).agg(*[
+        F.sum(F.when(first if p == 1 else ~first, F.col(c).cast(X.EXACT)).otherwise(F.lit(0).cast(X.EXACT))).alias(f"pending_p{p}_{n}")
+        for p in (1, 2) for n, c in (("billed", "estimated_value"), ("base", "comm_base"))])
     pend_rows = per_s.select(F.col("student.professor").alias("professor"),
                              F.col("student.participant_name").alias("student"),
                              F.col("total_billed").cast("double").alias("billed"),
@@ -77,27 +82,29 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
                              F.col("n_bookings").alias("classes"), "is_socio")
 
     students = all_paid.groupBy("professor", "student").agg(
-        F.count(F.lit(1)).alias("classes"), F.sum("billed").alias("billed"), F.sum("base").alias("base"),
+        F.count(F.lit(1)).alias("classes"), F.sum("billed").cast("double").alias("billed"), F.sum("base").cast("double").alias("base"),
         F.bool_or("is_socio").alias("is_socio")).withColumn("status", F.lit("paid")) \
         .unionByName(pend_rows.withColumn("status", F.lit("pending")))
 
-    p1 = F.col("__period") == 1
+    p1, none = F.col("__period") == 1, F.lit(0).cast(X.EXACT)
     paid_t = all_paid.groupBy("professor").agg(
         F.sum("billed").alias("paid_billed"), F.sum("base").alias("paid_base"),
-        F.sum(F.when(p1, F.col("billed")).otherwise(0.0)).alias("p1_billed"),
-        F.sum(F.when(p1, F.col("base")).otherwise(0.0)).alias("p1_base"),
-        F.sum(F.when(~p1, F.col("billed")).otherwise(0.0)).alias("p2_billed"),
-        F.sum(F.when(~p1, F.col("base")).otherwise(0.0)).alias("p2_base"))
+        F.sum(F.when(p1, F.col("billed")).otherwise(none)).alias("p1_billed"),
+        F.sum(F.when(p1, F.col("base")).otherwise(none)).alias("p1_base"),
+        F.sum(F.when(~p1, F.col("billed")).otherwise(none)).alias("p2_billed"),
+        F.sum(F.when(~p1, F.col("base")).otherwise(none)).alias("p2_base"))
     pend_t = pend_rows.groupBy("professor").agg(F.sum("billed").alias("pending_billed"),
                                                 F.sum("base").alias("pending_base"))
     out_t = payouts.where(D.in_month("reference_period", m)).groupBy("professor") \
         .agg(F.sum(F.col("amount").cast("decimal(18,2)")).cast("double").alias("paid_out"))
     summary = paid_t.join(pend_t, "professor", "full_outer").join(out_t, "professor", "full_outer")
+    summary = summary.join(pend_p, "professor", "left")
     z = F.lit(0.0)
     summary = summary.select(
-        "professor", *[F.round(F.coalesce(F.col(c), z), 2).alias(c) for c in
+        "professor", *[F.round(F.coalesce(F.col(c).cast("double"), z), 2).alias(c) for c in
                        ("paid_billed", "paid_base", "p1_billed", "p1_base", "p2_billed", "p2_base",
-                        "pending_billed", "pending_base", "paid_out")])
+                        "pending_billed", "pending_base", "pending_p1_billed", "pending_p1_base", "pending_p2_billed",
+                        "pending_p2_base", "paid_out")])
     summary = summary.withColumn("commission", F.round(F.col("paid_base") * r.rate, 2)) \
                      .withColumn("pending_commission", F.round(F.col("pending_base") * r.rate, 2)) \
                      .withColumn("balance", F.round(F.col("commission") - F.col("paid_out"), 2))

@@ -452,9 +452,7 @@ def slot_frequency(spark, d):
     """CL-13, CL-15 and WN-7: weekly slots per user, frequency discount, off-peak count."""
     e = table(spark, d, "events").select("user_id", D.js_dow("ts").alias("dow"), F.hour("ts").alias("h"),
                                          R.is_off_peak("ts", F.hour("ts")).alias("off_peak"))
-    e = W.slots_per(e, "user_id", ["dow", "h"])
-    r = e.groupBy("user_id", "n_slots").agg(F.count(F.lit(1)).alias("n_events"),
-                                            F.sum(F.when(F.col("off_peak"), 1).otherwise(0)).alias("n_off_peak"))
+    r = W.slot_totals(e, "user_id", ["dow", "h"], {"n_events": F.lit(1), "n_off_peak": F.col("off_peak").cast("int")})
     return r.select("user_id", F.col("n_slots").cast("bigint").alias("n_slots"),
                     R.freq_discount("n_slots").alias("freq_discount"), "n_events",
                     F.col("n_off_peak").cast("bigint").alias("n_off_peak"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from ledgerly.functions.num import round2
@@ -300,9 +299,6 @@ def commission_detail(spark, d):
     slot_keys = bk.select("cust_key", "plan_month").distinct()
     un = items.join(slot_keys, ["cust_key", "plan_month"], "left_anti") \
               .withColumn("ship_date", F.to_date("pay_date"))
-    # used twice by the nearest join (its distinct days, and the join back):
-    # kept like a materialised CTE so the lines are read and filtered once
-    un = un.persist(StorageLevel.MEMORY_AND_DISK)
     un = J.nearest(un, bk, ["cust_key"], "ship_date", "booking_date", ["professor"], "booking_id")
     # PJ-2: constant filler columns so the unallocated rows union with the bookings
     un = un.select(F.lit(None).cast("bigint").alias("booking_id"), F.col("ship_date").alias("booking_date"),

@@ -168,7 +168,7 @@ def kpi_history(spark, d):
                    F.max(F.trunc(F.to_date("l_shipdate"), "MM")).alias("hi")) \
               .select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month"))
     cal = W.open_hours(W.calendar(spine), OPEN_HOURS)
-    j = spine.join(cal, "month").join(r, "month", "left").join(h, "month", "left")
+    j = cal.join(r, "month", "left").join(h, "month", "left")  # the calendar has a row for each month of the spine
     hours = F.coalesce("hours", F.lit(0)).cast("bigint")
     return j.select("month", F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue"),
                     F.coalesce("payers", F.lit(0)).cast("bigint").alias("payers"),

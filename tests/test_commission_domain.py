@@ -138,6 +138,7 @@ def test_dashboard_paid_pending_vouchers_and_balance(spark):
     # pending: one DUPLA slot on Wednesdays at 11:00 (5 Wednesdays in July 2026), 2 bookings:
     # 2/5 x 430, off-peak (weekday, 10..15h) so 12% off instead of a frequency discount
     assert s.pending_billed == round(2 / 5 * 430 * 0.88, 2)
+    assert s.pending_p1_billed == s.pending_billed and s.pending_p2_billed == 0.0   # 8 and 15 July
     assert s.commission == 75.0 and s.balance == 55.0
     st = {(x.student, x.status) for x in students.collect()}
     assert ("Bruno Sample", "pending") in st and ("Carla (voucher)", "paid") in st
