@@ -68,7 +68,9 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
     base (RP-15, WN-5); a month with no revenue is all zero.
     """
     spark = items.sparkSession
-    months = spark.range(1).select(F.explode(D.month_sequence(F.lit(first_month), F.lit(last_month))).alias("month"))
+    # from the first paid month on, as the trailing tax base looks back beyond the report
+    since = items.agg(F.least(D.month_start(F.min("pay_date")), F.lit(first_month).cast("date")).alias("lo"))
+    months = since.select(F.explode(D.month_sequence("lo", F.lit(last_month))).alias("month"))
     z = F.lit(0).cast("decimal(18,2)")
 
     it = items.where(F.col("pay_date").isNotNull()).withColumn("month", D.month_start("pay_date"))
@@ -130,6 +132,7 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
                  F.lit(1).alias("__k"))
     s = s.withColumn("base", F.greatest(F.lit(0.0), F.col("gross_revenue") - F.col("commission")))
     s = bracket_tax(s, "base", keys=["__k"], brackets=r.brackets, income_share=r.income_tax_share)
+    s = s.where(F.col("month") >= F.lit(first_month).cast("date"))
     active = F.col("gross_revenue") != 0
     t = (s.withColumn("taxes", F.col("taxes")).withColumn("income_tax", F.col("ir"))
           .withColumn("net_revenue", r2(F.col("gross_revenue") - F.col("taxes")))

@@ -30,7 +30,11 @@ INVESTMENT_CENTRE = "Investimentos"
 
 def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame, items: DataFrame,
                    ledger: DataFrame, schedule: DataFrame, base_month: str, opening: float,
-                   horizon: int = 3, history: int = 6, p: P.ProjectionParams = P.ProjectionParams()) -> DataFrame:
+                   horizon: int = 3, history: int | None = None, p: P.ProjectionParams = P.ProjectionParams()) -> DataFrame:
+    """RP-19 for the club. ``history``: how many months of paid costs up to the
+    base month count, all that the ledger holds if None; their mean is over the
+    months that have any. Unpaid costs of the base month fall due in the first
+    projected month."""
     spark = prices.sparkSession
     base = F.lit(base_month).cast("date")
     in_base = lambda c: D.in_month(c, base)
@@ -53,8 +57,9 @@ def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame,
     led = ledger.withColumn("month", D.month_start("due_date"))
     hist = led.where(F.col("paid") & (F.col("transaction_type") != "revenue")
                      & (F.col("cost_center_descricao") != INVESTMENT_CENTRE)
-                     & (F.col("month") > F.add_months(base, -history)) & (F.col("month") <= base)) \
-              .agg(F.coalesce(F.sum(money("amount")), z).cast("double").alias("roll_sum"))
+                     & (F.lit(history is None) | (F.col("month") > F.add_months(base, -(history or 0)))) & (F.col("month") <= base)) \
+              .agg(F.coalesce(F.sum(money("amount")), z).cast("double").alias("roll_sum"),
+                   F.greatest(F.countDistinct("month"), F.lit(1)).cast("int").alias("roll_cnt"))
     # one-row seeds: all inputs are global aggregates (single rows), combined in-row
     one = spark.range(1).select(F.lit(1).alias("club"))
     for part in (tuition, mix, hours, other, hist):
@@ -63,11 +68,12 @@ def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame,
              .withColumn("static_hours", F.coalesce("static_hours", F.lit(0.0))) \
              .withColumn("pt0", P.r2(F.col("base_tuition") * F.col("r30"))) \
              .withColumn("pv0", P.r2(F.col("other_base") * F.col("r30"))) \
-             .withColumn("roll_cnt", F.lit(history)).withColumn("opening", F.lit(float(opening)))
+             .withColumn("opening", F.lit(float(opening)))
     months = spark.range(1).select(F.explode(F.sequence(F.add_months(base, 1), F.add_months(base, horizon),
                                                         F.expr("interval 1 month"))).alias("month"))
     oh = W.open_hours(W.calendar(months), OPEN_HOURS)
-    due = led.where(~F.col("paid") & (F.col("transaction_type") != "revenue"))
+    due = led.where(~F.col("paid") & (F.col("transaction_type") != "revenue")) \
+             .withColumn("month", F.when(F.col("month") == base, F.add_months(base, 1)).otherwise(F.col("month")))
     inv = F.col("cost_center_descricao") == INVESTMENT_CENTRE
     sched = due.groupBy("month").agg(F.sum(F.when(~inv, money("amount")).otherwise(z)).cast("double").alias("sched_ops"),
                                      F.sum(F.when(inv, money("amount")).otherwise(z)).cast("double").alias("sched_inv"))

@@ -12,8 +12,8 @@ from ledgerly.plans.q_agg import OPEN_HOURS
 from ledgerly.plans.registry import register
 from ledgerly.sources.tables import table
 
-# Fixed values of the test mapping: base month, horizon, history window, scale.
-BASE_MONTH, HORIZON, HISTORY = "1998-07-01", 3, 6
+# Fixed values of the test mapping: base month, horizon, scale. The cost history is all that the data hold.
+BASE_MONTH, HORIZON = "1998-07-01", 3
 SCALE = "0.02"
 
 
@@ -31,6 +31,7 @@ def projection_inputs(spark, d):
     base = F.lit(BASE_MONTH).cast("date")
     z = F.lit(0).cast("decimal(18,4)")
     in_base = F.col("month") == base
+    past_cost = (F.col("month") <= base) & (F.col("o_orderstatus") == "O")
     immediate = F.col("o_orderpriority").isin("3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
     seeds = o.groupBy("nation").agg(
         F.sum(F.when(in_base & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH", "3-MEDIUM"), F.col("v"))
@@ -41,13 +42,12 @@ def projection_inputs(spark, d):
         F.sum(F.when(in_base & immediate, F.col("v")).otherwise(z)).alias("__imm"),
         F.sum(F.when(in_base & ~immediate, F.col("v")).otherwise(z)).alias("__d30"),
         F.sum(F.when(in_base, F.col("v")).otherwise(z)).alias("__tot"),
-        F.sum(F.when((F.col("month") > F.add_months(base, -HISTORY)) & (F.col("month") <= base)
-                     & (F.col("o_orderstatus") == "O"), F.col("v")).otherwise(z)).cast("double").alias("roll_sum"))
+        F.sum(F.when(past_cost, F.col("v")).otherwise(z)).cast("double").alias("roll_sum"),
+        F.greatest(F.countDistinct(F.when(past_cost, F.col("month"))), F.lit(1)).cast("int").alias("roll_cnt"))
     ratio = lambda c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.col("__tot").cast("double")), F.lit(0.0))
     seeds = seeds.withColumn("r0", ratio("__imm")).withColumn("r30", ratio("__d30")) \
                  .withColumn("pt0", P.r2(F.col("base_tuition") * F.col("r30"))) \
-                 .withColumn("pv0", P.r2(F.col("other_base") * F.col("r30"))) \
-                 .withColumn("roll_cnt", F.lit(HISTORY)).drop("__imm", "__d30", "__tot")
+                 .withColumn("pv0", P.r2(F.col("other_base") * F.col("r30"))).drop("__imm", "__d30", "__tot")
     opening = table(spark, d, "customer").groupBy(F.col("c_nationkey").alias("nation")) \
                                          .agg(F.sum(money("c_acctbal")).cast("double").alias("opening"))
     # the horizon's months per nation, with open hours, scheduled costs and imported receipts
@@ -85,8 +85,8 @@ s0 AS (SELECT nation,
               sum(CASE WHEN month = DATE '{BASE_MONTH}' AND pri IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') THEN v ELSE 0 END) AS imm,
               sum(CASE WHEN month = DATE '{BASE_MONTH}' AND pri NOT IN ('3-MEDIUM', '4-NOT SPECIFIED', '5-LOW') THEN v ELSE 0 END) AS d30,
               sum(CASE WHEN month = DATE '{BASE_MONTH}' THEN v ELSE 0 END) AS tot,
-              CAST(sum(CASE WHEN month > DATE '{BASE_MONTH}' - INTERVAL {HISTORY} MONTH AND month <= DATE '{BASE_MONTH}' AND st = 'O'
-                            THEN v ELSE 0 END) AS DOUBLE) AS roll_sum
+              CAST(sum(CASE WHEN month <= DATE '{BASE_MONTH}' AND st = 'O' THEN v ELSE 0 END) AS DOUBLE) AS roll_sum,
+              greatest(count(DISTINCT CASE WHEN month <= DATE '{BASE_MONTH}' AND st = 'O' THEN month END), 1) AS roll_cnt
        FROM o GROUP BY 1),
 s1 AS (SELECT *, coalesce(CASE WHEN CAST(tot AS DOUBLE) <> 0 THEN CAST(imm AS DOUBLE) / CAST(tot AS DOUBLE) END, 0.0) AS r0,
               coalesce(CASE WHEN CAST(tot AS DOUBLE) <> 0 THEN CAST(d30 AS DOUBLE) / CAST(tot AS DOUBLE) END, 0.0) AS r30
@@ -111,7 +111,7 @@ mon AS (SELECT mi.nation, mi.i, mi.month, cal.open_hours, coalesce(sch.sched_ops
                coalesce(sch.sched_inv, 0.0) AS sched_inv, imp.imported
         FROM mi JOIN cal USING (month) LEFT JOIN sch USING (nation, month) LEFT JOIN imp USING (nation, month)),
 rec AS (
-  SELECT nation, 0 AS i, pt0 AS pt, pv0 AS pv, roll_sum AS rs, CAST({HISTORY} AS DOUBLE) AS rc, opening AS bal,
+  SELECT nation, 0 AS i, pt0 AS pt, pv0 AS pv, roll_sum AS rs, CAST(roll_cnt AS DOUBLE) AS rc, opening AS bal,
          1.0::DOUBLE AS f, 1.0::DOUBLE AS fo, NULL::DATE AS month, NULL::DOUBLE AS initial, NULL::DOUBLE AS inflow,
          NULL::DOUBLE AS provision, NULL::DOUBLE AS out_ops, NULL::DOUBLE AS net, NULL::DOUBLE AS final
   FROM seeds

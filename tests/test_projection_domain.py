@@ -27,10 +27,10 @@ def test_project_months_first_month_by_hand(spark):
     assert [str(r.month) for r in rows] == ["2026-08-01", "2026-09-01", "2026-10-01"]
     first = rows[0]
     assert abs(first.inflow - 11362.5) < 0.011
-    assert first.provision == 50.0
-    assert abs(first.out_ops - 690.93) < 0.011
-    assert abs(first.net - 10371.57) < 0.011
-    assert abs(first.final - 20371.57) < 0.011
+    assert first.provision == 100.0   # 10% of the mean past cost: the ledger has one month, of 1000
+    assert abs(first.out_ops - 740.93) < 0.011
+    assert abs(first.net - 10321.57) < 0.011
+    assert abs(first.final - 20321.57) < 0.011
     assert rows[1].initial == first.final   # next month opens where this one closed
 
 
