@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ledgerly.llm import bpe, line_dedup, mixing, quality, simhash
 from ledgerly.llm.common import written
+from ledgerly.session import let_workers_import
 from ledgerly.sources.tables import table
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -46,8 +47,16 @@ def stage_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
         "doc_id", "source", (F.length("ids") / 4).cast("long").alias("n_tokens"), "ids")
 
 
+def _staged(stage):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        let_workers_import(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
 STAGES = [("quality classifier", stage_quality), ("line dedup", stage_lines), ("SimHash near-dedup", stage_near_duplicates),
           ("mixing sources", stage_mix), ("BPE encoding", stage_tokens)]
+STAGES = [(name, _staged(stage)) for name, stage in STAGES]
 
 #: No SQL expresses the line model, the fingerprints or the token ids; tests hold the stages against brute force.
 ORACLE_SQL = None
