@@ -103,3 +103,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared checkpoint folder (never a local one)."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def let_workers_import(spark: SparkSession) -> None:
+    """Put the folder that holds this package on the Python path of workers started from now on.
+
+    For sessions made by a process that found the package through ``sys.path``
+    alone. Where executors do not see that folder, ship the package with
+    ``--py-files``; the path is harmless then.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
