@@ -213,6 +213,7 @@ def flow_class(col: str, mapping: Sequence[tuple] = FLOW_CLASSES) -> Column:
 
 
 # ---------------------------------------------------------------- CL-10
+# Keywords of the hours classes.
 HOURS_RULES = [
     ("maintenance", ("any", [("contains", "kind", "manutenção"), ("contains", "kind", "bloqueio"),
                              ("contains", "kind", "manutencao")])),
