@@ -2,7 +2,8 @@
 
 Every aggregate here is an ordinary ``groupBy``/``agg`` (partial aggregation
 map-side, final after the shuffle) or a window over an already aggregated
-frame. No group is collected into a list; money sums stay DECIMAL.
+frame. No group of rows is collected into a list (only the few provider
+classes of one key are); money sums stay DECIMAL.
 """
 
 from __future__ import annotations
@@ -120,6 +121,57 @@ def capacity(hours: Column, n_units: Column, floor: int) -> Column:
     return F.greatest(n_units, F.lit(floor)) * hours
 
 
+def free_capacity(capacity: Column, *taken: Column) -> Column:
+    """AG-31: hours of a capacity that no other use takes, not below zero; a null use takes none."""
+    left = capacity
+    for hours in taken:
+        left = left - F.coalesce(hours, F.lit(0.0))
+    return F.greatest(F.lit(0.0), left)
+
+
+def rental_projection(free: Column, rented: Column, future_free: Column, ticket: Column, variable: Column, step: Column,
+                      rate_growth: float = 0.05, rate_cap: float = 0.35, default_rate: float = 0.1641,
+                      other_growth: float = 0.0) -> Column:
+    """AG-31: ``struct(rate, rental_hours, rental_revenue, other_revenue, total)`` of a month ``step`` months ahead.
+
+    The base month's share of rented in free hours (``default_rate`` without
+    free hours) grows by ``rate_growth`` a month up to ``rate_cap`` and meets
+    the future free hours at the average ticket. What the base month's
+    variable revenue holds beyond rentals, floored at zero, grows on its own.
+    """
+    base_rate = F.when(free > 0, rented / free).otherwise(F.lit(default_rate))
+    rate = F.least(F.lit(rate_cap), base_rate * F.pow(F.lit(1.0 + rate_growth), step))
+    hours = future_free * rate
+    other = F.greatest(F.lit(0.0), variable - rented * ticket) * F.pow(F.lit(1.0 + other_growth), step)
+    return F.struct(rate.alias("rate"), hours.alias("rental_hours"), (hours * ticket).alias("rental_revenue"),
+                    other.alias("other_revenue"), N.round2(hours * ticket + other).alias("total"))
+
+
+def split_online(payments: DataFrame, online: DataFrame, keys: Sequence[str], method: str, value: str,
+                 online_class: str, amount: str, online_method: str, labels: Sequence[tuple], other: str) -> DataFrame:
+    """RP-5 (CL-8, AG-19): the row of ``online_method`` gives way to one row per class of the provider's payments.
+
+    ``payments`` holds one ``value`` per key and method, ``online`` the
+    provider's payments; each class gets its share of the online value, in
+    cents. Classes without a positive sum have no row; a key whose provider
+    sum is not positive keeps its online value under the label ``other``; an
+    online value of zero or less vanishes. Labels of equal name are not merged.
+    """
+    keys, name = list(keys), F.create_map(*[F.lit(x) for pair in labels for x in pair])
+    per = online.groupBy(*keys, F.col(online_class).alias("__c")).agg(F.sum(amount).alias("__a"))
+    per = per.groupBy(*keys).agg(F.sum("__a").alias("__sum"), F.collect_list(F.struct("__c", "__a")).alias("__parts"))
+    is_online = F.coalesce(F.col(method) == online_method, F.lit(False))
+    rest = payments.where(~is_online).select(*keys, method, F.col(value).cast("double").alias(value))
+    whole = payments.where(is_online & (F.col(value) > 0)).join(per, keys, "left")
+    known = F.coalesce(F.col("__sum"), F.lit(0)) > 0
+    v = F.col(value).cast("double")
+    parts = F.transform(F.filter("__parts", lambda p: p["__a"] > 0), lambda p: F.struct(
+        name[p["__c"]].alias("m"), N.round2(p["__a"].cast("double") * (v / F.col("__sum").cast("double"))).alias("v")))
+    lone = F.array(F.struct(F.lit(other).alias("m"), N.round2(v).alias("v")))
+    x = whole.select(*keys, F.explode(F.when(known, parts).otherwise(lone)).alias("__x"))
+    return rest.unionByName(x.select(*keys, F.col("__x.m").alias(method), F.col("__x.v").alias(value)))
+
+
 def provision(gap: Column, scheduled: Column, rate: float, days: Column) -> Column:
     """AG-33: gap to the base month (not below zero) plus a safety share of the
     scheduled amount and that gap, in cents, spread over the days of the month."""

@@ -171,21 +171,22 @@ REVENUE_CASH = [
                         ("any", [("equals", "category", "locação"), ("contains", "description", "locação"),
                                  ("contains", "description", "reserva")])])),
 ]
+# The operations and goals sets also read the column product.
+MONTHLY_RENTAL = ("any", [("contains", "subcategory", "reserva mensal"), ("contains", "product", "reserva mensal")])
+SINGLE_RENTAL = ("any", [("equals", "category", "locação"), ("contains", "description", "vouchers desconto 1º reserva"),
+                         ("contains", "description", "voucher desconto 1º reserva")])
+LESSON = ("any", [("equals", "category", "aulas"), ("contains", "description", "tênis"), ("contains", "description", "aula"),
+                  ("contains", "description", "kids"), ("contains", "description", "baby")])
 REVENUE_OPS = [
-    ("Locação - Reserva Mensal", ("contains", "subcategory", "reserva mensal")),
-    ("Locação - Quadra Avulsa", ("any", [("equals", "category", "locação"),
-                                         ("contains", "description", "vouchers desconto 1º reserva"),
-                                         ("contains", "description", "voucher desconto 1º reserva")])),
-    ("Aulas - Avulsas", ("all", [("any", [("equals", "category", "aulas"), ("contains", "description", "tênis"),
-                                          ("contains", "description", "aula"), ("contains", "description", "kids"),
-                                          ("contains", "description", "baby")]),
-                                 ("any", [("contains", "description", "avulsa"),
-                                          ("contains", "subcategory", "avulsa")])])),
-    ("Aulas - Regular", ("any", [("equals", "category", "aulas"), ("contains", "description", "tênis"),
-                                 ("contains", "description", "aula"), ("contains", "description", "kids"),
-                                 ("contains", "description", "baby")])),
+    ("Locação - Reserva Mensal", MONTHLY_RENTAL),
+    ("Locação - Quadra Avulsa", SINGLE_RENTAL),
+    ("Aulas - Avulsas", ("all", [LESSON, ("any", [("contains", "description", "avulsa"),
+                                                  ("contains", "subcategory", "avulsa")])])),
+    ("Aulas - Regular", LESSON),
 ]
 REVENUE_OPS_DEFAULT = "Lanchonete"
+REVENUE_GOALS = [("Aulas", LESSON), ("Locação", ("any", [MONTHLY_RENTAL, SINGLE_RENTAL]))]
+REVENUE_GOALS_DEFAULT = "Lanchonete"
 
 
 def revenue_class(ruleset: Sequence[tuple], default: str) -> Column:
@@ -202,6 +203,25 @@ def pay_class(type_col: str, method_col: str) -> Column:
                        (t == "account_money", "balance")], "other")
 
 
+# Names of the payment methods taken at the club, and of the online one.
+LOCAL_PAY_RULES = [
+    ("credit", ("any", [("contains", "pay_method", "credito"), ("contains", "pay_method", "crédito")])),
+    ("card", ("equals", "pay_method", "tarjeta")),
+    ("debit", ("any", [("contains", "pay_method", "debito"), ("contains", "pay_method", "débito")])),
+    ("cash", ("equals", "pay_method", "efectivo")),
+    ("transfer", ("any", [("equals", "pay_method", "transferencia"), ("equals", "pay_method", "pix")])),
+    ("online", ("equals", "pay_method", "pagamento online")),
+]
+ONLINE_METHOD = "Pagamento online"
+ONLINE_LABELS = [("pix", "Mercado Pago - Pix"), ("credit", "Mercado Pago - Cartão Crédito"),
+                 ("balance", "Mercado Pago - Saldo MP"), ("other", "Mercado Pago - Outro")]
+
+
+def local_pay_class(rules: Sequence[tuple] = LOCAL_PAY_RULES) -> Column:
+    """CL-8: class of a payment method's name (column ``pay_method``); null for names outside the rules."""
+    return classify(rules)
+
+
 # ---------------------------------------------------------------- CL-9
 # Cost-centre descriptions of the three cash-flow activities.
 FLOW_CLASSES = [("Operação", "fco"), ("Investimentos", "fci"), ("Sócios", "fcs")]

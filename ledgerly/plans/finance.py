@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
 from ledgerly.functions.num import js_or, money
+from ledgerly.operators import filters as FL
 from ledgerly.operators import joins as J
 from ledgerly.operators import rules as R
 from ledgerly.operators import windows as W
+from ledgerly.operators.common import rule_table
 from ledgerly.operators.projection import r2
 from ledgerly.plans.q_reports import BRACKETS, bracket_tax
 
@@ -38,6 +40,8 @@ class FinanceRules:
                                                         "observacao"])
     commission_rate: float = 0.10
     teacher_rates: list = field(default_factory=list)          # (teacher, rate)
+    # CL-16: (name part 1, name part 2, from date, factor) on the participant name
+    multipliers: list = field(default_factory=list)
     fee_rates: list = field(default_factory=lambda: list(R.FEE_RATES))
     depreciation: float = 0.0                                  # per active month
     brackets: list = field(default_factory=lambda: list(BRACKETS))
@@ -47,6 +51,10 @@ class FinanceRules:
     # cash flow (RP-13)
     flows: list = field(default_factory=lambda: list(R.FLOW_CLASSES))
     transfers_excluded_from: str | None = None
+    # bank side (fixed values: the words and the category): redemptions count as investment inflow from the first month up to, not with, the second
+    redemptions: tuple | None = None
+    redemption_words: list = field(default_factory=lambda: ["resgate", "cdb"])
+    redemption_category: str = "Resgate de Aplicação Financeira (CDB)"
     opening: float = 0.0
     extra_openings: list = field(default_factory=list)         # (from month, amount)
 
@@ -57,15 +65,19 @@ LINES = ["gross_revenue", "taxes", "net_revenue", "cogs", "commission", "energy"
 
 def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, costs: DataFrame,
                      payments: DataFrame, first_month: str, last_month: str,
-                     r: FinanceRules = FinanceRules()) -> DataFrame:
+                     r: FinanceRules = FinanceRules(), vouchers: DataFrame | None = None,
+                     online: DataFrame | None = None) -> DataFrame:
     """RP-14: the monthly statement, long form ``(month, line, value, pct_of_net)``.
 
     Gross revenue by pay month; COGS by the effective-dated cost of each item
     (JN-12, AG-17); commission from paid bookings at the teacher's rate
-    (CL-20, N1 base fall-through); energy and operating expenses from the
-    ledger's operations centre after the exclusions (FL-9) plus accruals
-    (JN-19); card fees by method (CL-19, AG-18); bracket tax on the trailing
-    base (RP-15, WN-5); a month with no revenue is all zero.
+    (CL-20, N1 base fall-through, CL-16 on the participant name) and from
+    valid ``vouchers`` (FL-6: ``description, total, pay_date``); energy and
+    operating expenses from the ledger's operations centre after the
+    exclusions (FL-9) plus accruals (JN-19); card fees by method (CL-19,
+    AG-18) and the provider's own fees (``online``: ``date_approved,
+    fee_amount``); bracket tax on the trailing base (RP-15, WN-5); a month
+    with no revenue is all zero. Sums run on decimals.
     """
     spark = items.sparkSession
     # from the first paid month on, as the trailing tax base looks back beyond the report
@@ -88,9 +100,14 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
                  .withColumn("month", D.month_start(F.coalesce(F.to_date("pay_date"), F.col("booking_date"))))
     base = js_or("booking_commission_base", F.when(F.col("is_socio_benefit"), F.col("booking_value") * 2)
                  .otherwise(js_or("booking_value", 0.0)))
-    rated = R.rate_for(paid, spark.createDataFrame(r.teacher_rates or [("", 0.0)], "p string, r double"),
-                       "professor", r.commission_rate)
-    comm = rated.groupBy("month").agg(F.sum(base * F.col("rate")).alias("commission"))
+    mult = R.dated_multiplier(r.multipliers, "participant_name", "booking_date") if r.multipliers else F.lit(1.0)
+    earned = paid.select("month", "professor", (base * mult).alias("base"))
+    if vouchers is not None:
+        v = FL.valid_vouchers(vouchers, "description", "total", "description")
+        earned = earned.unionAll(v.select(D.month_start("pay_date"), "voucher_name", F.col("total").cast("double")))
+    rates = rule_table(spark, r.teacher_rates or [("", 0.0)], "p string, r double")
+    comm = R.rate_for(earned, rates, "professor", r.commission_rate).groupBy("month").agg(
+        F.sum((F.col("base") * F.col("rate")).cast("decimal(28,8)")).alias("commission"))
 
     led = ledger.where((F.col("cost_center_descricao") == r.ops_centre) & (F.col("transaction_type") != "revenue")) \
                 .withColumn("month", D.month_start("due_date")) \
@@ -108,12 +125,12 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
     exp = led.groupBy("month").agg(F.sum(F.when(is_energy, money("amount")).otherwise(z)).alias("energy"),
                                    F.sum(F.when(~is_energy, money("amount")).otherwise(z)).alias("opex"))
     if r.accruals:
-        acc = spark.createDataFrame([(c, s, e, str(a)) for c, s, e, a in r.accruals],
-                                    "category string, s string, e string, amount string") \
+        acc = rule_table(spark, [(c, s, e, str(a)) for c, s, e, a in r.accruals],
+                         "category string, s string, e string, amount string") \
                    .select("category", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"),
                            F.col("amount").cast("decimal(18,2)").alias("amount"))
         dim = F.dayofmonth(F.last_day("month"))
-        acc_m = months.join(F.broadcast(acc), (F.col("s") <= F.last_day("month"))
+        acc_m = months.join(acc, (F.col("s") <= F.last_day("month"))
                             & (F.col("e").isNull() | (F.col("e") >= F.col("month")))) \
             .select("month", F.when(F.col("s") > F.col("month"),
                                     F.col("amount") * (dim - F.dayofmonth("s") + 1) / dim).otherwise(F.col("amount"))
@@ -121,16 +138,19 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
         exp = exp.join(acc_m.groupBy("month").agg(F.sum("acc").alias("acc")), "month", "full_outer") \
                  .select("month", F.coalesce("energy", z).alias("energy"),
                          (F.coalesce("opex", z) + F.coalesce("acc", z)).alias("opex"))
-    rate = R.fee_rate("pay_method", r.fee_rates)
-    fees = payments.withColumn("month", D.month_start("payment_date")) \
-                   .groupBy("month").agg(F.sum(money("amount").cast("double") * rate).alias("fees"))
+    rate = R.fee_rate("pay_method", r.fee_rates).cast("decimal(6,4)")
+    fee_rows = payments.where(F.coalesce(F.col("pay_method") != R.ONLINE_METHOD, F.lit(True))) \
+        .select(D.month_start("payment_date").alias("month"), (money("amount") * rate).cast("decimal(28,8)").alias("fee"))
+    if online is not None:
+        fee_rows = fee_rows.unionAll(online.select(D.month_start("date_approved"), money("fee_amount").cast("decimal(28,8)")))
+    fees = fee_rows.groupBy("month").agg(F.sum("fee").alias("fees"))
 
     s = months.join(gross, "month", "left").join(cogs, "month", "left").join(comm, "month", "left") \
               .join(exp, "month", "left").join(fees, "month", "left")
     dbl = lambda c: r2(F.coalesce(F.col(c).cast("double"), F.lit(0.0)))
     s = s.select("month", *[dbl(c).alias(c) for c in ("gross_revenue", "cogs", "commission", "energy", "opex", "fees")],
                  F.lit(1).alias("__k"))
-    s = s.withColumn("base", F.greatest(F.lit(0.0), F.col("gross_revenue") - F.col("commission")))
+    s = s.withColumn("base", F.greatest(F.lit(0.0), F.col("gross_revenue") - F.col("commission")).cast("decimal(18,2)"))
     s = bracket_tax(s, "base", keys=["__k"], brackets=r.brackets, income_share=r.income_tax_share)
     s = s.where(F.col("month") >= F.lit(first_month).cast("date"))
     active = F.col("gross_revenue") != 0
@@ -151,8 +171,26 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
     return u.select("month", "line", "value", r2(pct).alias("pct_of_net"))
 
 
-def cash_flow_statement(ledger: DataFrame, first_month: str, last_month: str,
-                        r: FinanceRules = FinanceRules()) -> tuple[DataFrame, DataFrame]:
+def redemptions(bank: DataFrame, r: FinanceRules) -> DataFrame:
+    """Bank side of RP-13 (FL-7): redemptions of investments as ``(month, flow, category, value)``.
+
+    Of the bank's investment moves, those that name a redemption and bring
+    money in, within ``r.redemptions``; later ones move money between own
+    accounts and stay out.
+    """
+    since, until = r.redemptions
+    moves = FL.investment_moves(bank, "tipo_transacao_inter", "INVESTIMENTO", ["descricao", "titulo"],
+                                ["resgate", "cdb", "firf", "aplicação", "aplicacao"])
+    text = F.lower(F.concat_ws(" ", F.coalesce("descricao", F.lit("")), F.coalesce("titulo", F.lit(""))))
+    month = D.month_start("data_movimento")
+    return moves.where(text.rlike("|".join(r.redemption_words)) & (F.col("valor_com_sinal") > 0)
+                       & (month >= F.lit(since).cast("date")) & (month < F.lit(until).cast("date"))) \
+        .select(month.alias("month"), F.lit("fci").alias("flow"), F.lit(r.redemption_category).alias("category"),
+                money("valor_com_sinal").alias("value"))
+
+
+def cash_flow_statement(ledger: DataFrame, first_month: str, last_month: str, r: FinanceRules = FinanceRules(),
+                        bank: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """RP-13: paid ledger rows by month, activity (CL-9) and category, signed
     (PJ-3), long form (AG-11); and per month the three activities with
     opening and closing cash (WN-3) from an opening and dated extra openings."""
@@ -165,6 +203,10 @@ def cash_flow_statement(ledger: DataFrame, first_month: str, last_month: str,
     x = x.withColumn("flow", R.flow_class("cost_center_descricao", r.flows)).where(F.col("flow").isNotNull()) \
          .withColumn("category", F.coalesce("category_name", F.lit("Sem Categoria"))) \
          .withColumn("value", F.when(F.col("transaction_type") == "revenue", money("amount")).otherwise(-money("amount")))
+    x = x.select("month", "flow", "category", "value")
+    if bank is not None and r.redemptions:
+        x = x.unionByName(redemptions(bank, r).where((F.col("month") >= F.lit(first_month).cast("date"))
+                                                     & (F.col("month") <= F.lit(last_month).cast("date"))))
     long = x.groupBy("month", "flow", "category").agg(F.sum("value").alias("net"))
     months = spark.range(1).select(F.explode(D.month_sequence(F.lit(first_month), F.lit(last_month))).alias("month"))
     z = F.lit(0).cast("decimal(18,2)")

@@ -130,8 +130,9 @@ def class_sizes(spark, d):
 @register("revenue_ops", sql="""
 WITH s AS (SELECT CASE l_returnflag WHEN 'A' THEN 'AULA AVULSA avulsa' WHEN 'N' THEN 'AULA AVULSA - GRUPO FIXO' ELSE 'Mensalidade' END AS descr,
                   CASE WHEN l_quantity < 10 THEN 'Aulas' WHEN l_quantity < 40 THEN 'Outros' ELSE 'Bar' END AS cat,
-                  CASE WHEN l_linestatus = 'O' THEN 'Avulsa - Particular' END AS sub, CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem)
-SELECT CASE WHEN contains(lower(coalesce(sub, '')), 'reserva mensal') THEN 'Locação - Reserva Mensal'
+                  CASE WHEN l_linestatus = 'O' THEN 'Avulsa - Particular' END AS sub,
+                  CASE WHEN l_linenumber = 5 THEN 'Reserva Mensal Quadra 1' END AS prod, CAST(l_extendedprice AS DECIMAL(18,2)) AS v FROM lineitem)
+SELECT CASE WHEN contains(lower(coalesce(sub, '')), 'reserva mensal') OR contains(lower(coalesce(prod, '')), 'reserva mensal') THEN 'Locação - Reserva Mensal'
             WHEN lower(cat) = 'locação' THEN 'Locação - Quadra Avulsa'
             WHEN (lower(cat) = 'aulas' OR contains(lower(descr), 'aula')) AND (contains(lower(descr), 'avulsa') OR contains(lower(coalesce(sub, '')), 'avulsa'))
             THEN 'Aulas - Avulsas'
@@ -141,5 +142,6 @@ FROM s GROUP BY 1
 """)
 def revenue_ops(spark, d):
     """CL-6: sale lines by the operational revenue classes."""
-    return sale_lines(spark, d).groupBy(R.revenue_class(R.REVENUE_OPS, R.REVENUE_OPS_DEFAULT).alias("revenue_class")) \
+    lines = sale_lines(spark, d).withColumn("product", F.when(F.col("l_linenumber") == 5, "Reserva Mensal Quadra 1"))
+    return lines.groupBy(R.revenue_class(R.REVENUE_OPS, R.REVENUE_OPS_DEFAULT).alias("revenue_class")) \
         .agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("double").alias("value"))

@@ -208,19 +208,8 @@ def bracket_tax(df, base: str = "base", keys=("nation",), month: str = "month",
                                         else total * OTHER_TAX_SHARE))
 
 
-SQL_STATEMENT = """
-  o AS (SELECT c.c_nationkey AS nation, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
-               CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 AS v, o.o_orderpriority, o.o_orderstatus
-        FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
-  g AS (SELECT nation, month, sum(v) AS gross,
-               sum(CASE WHEN o_orderpriority = '1-URGENT' THEN v * 0.10 ELSE 0 END) AS commission,
-               sum(CASE WHEN o_orderstatus = 'P' THEN v ELSE 0 END) AS opex
-        FROM o GROUP BY 1, 2),
-  b AS (SELECT nation, min(month) AS lo, max(month) AS hi FROM g GROUP BY 1),
-  sp AS (SELECT nation, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
-  s AS (SELECT sp.nation, sp.month, coalesce(g.gross, 0) AS gross, coalesce(g.commission, 0) AS commission,
-               coalesce(g.opex, 0) AS opex, greatest(0, coalesce(g.gross, 0) - coalesce(g.commission, 0)) AS base
-        FROM sp LEFT JOIN g USING (nation, month)),
+#: From s(nation, month, base, ...) to x with the taxes of each month.
+SQL_TAX = """
   t AS (SELECT s.*,
                count(*) OVER (PARTITION BY nation ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS n_prior,
                sum(base) OVER (PARTITION BY nation ORDER BY month ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS s_all,
@@ -238,6 +227,19 @@ SQL_STATEMENT = """
   e AS (SELECT k.*, CASE WHEN rbt12 <= 180000.0 THEN nominal ELSE (rbt12 * nominal - deduct) / rbt12 END AS eff FROM k),
   x AS (SELECT e.*, floor(CAST(base AS DOUBLE) * greatest(0.0, eff) * 0.04 * 100 + 0.5) / 100 AS ir,
                floor(CAST(base AS DOUBLE) * greatest(0.0, eff) * 0.96 * 100 + 0.5) / 100 AS taxes FROM e)"""
+SQL_STATEMENT = """
+  o AS (SELECT c.c_nationkey AS nation, CAST(date_trunc('month', o.o_orderdate) AS DATE) AS month,
+               CAST(o.o_totalprice AS DECIMAL(18,2)) * 0.02 AS v, o.o_orderpriority, o.o_orderstatus
+        FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey),
+  g AS (SELECT nation, month, sum(v) AS gross,
+               sum(CASE WHEN o_orderpriority = '1-URGENT' THEN v * 0.10 ELSE 0 END) AS commission,
+               sum(CASE WHEN o_orderstatus = 'P' THEN v ELSE 0 END) AS opex
+        FROM o GROUP BY 1, 2),
+  b AS (SELECT nation, min(month) AS lo, max(month) AS hi FROM g GROUP BY 1),
+  sp AS (SELECT nation, CAST(unnest(generate_series(lo, hi, INTERVAL 1 MONTH)) AS DATE) AS month FROM b),
+  s AS (SELECT sp.nation, sp.month, coalesce(g.gross, 0) AS gross, coalesce(g.commission, 0) AS commission,
+               coalesce(g.opex, 0) AS opex, greatest(0, coalesce(g.gross, 0) - coalesce(g.commission, 0)) AS base
+        FROM sp LEFT JOIN g USING (nation, month)),""" + SQL_TAX
 
 
 @register("bracket_tax", sql=f"""

@@ -38,4 +38,5 @@ def load_all() -> None:
         q_more,
         q_extra,
         q_lists,
+        q_finance,
     )
