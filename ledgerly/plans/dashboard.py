@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
 from ledgerly.functions.num import js_or
+from ledgerly.operators import agg as G
 from ledgerly.operators import estimate as X
 from ledgerly.operators import filters as FL
 from ledgerly.operators import joins as J
@@ -105,7 +106,34 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
                        ("paid_billed", "paid_base", "p1_billed", "p1_base", "p2_billed", "p2_base",
                         "pending_billed", "pending_base", "pending_p1_billed", "pending_p1_base", "pending_p2_billed",
                         "pending_p2_base", "paid_out")])
-    summary = summary.withColumn("commission", F.round(F.col("paid_base") * r.rate, 2)) \
-                     .withColumn("pending_commission", F.round(F.col("pending_base") * r.rate, 2)) \
+    rate = F.lit(str(r.rate)).cast("decimal(9,6)")
+
+    def share(base):
+        return F.round(F.col(base).cast("decimal(18,2)") * rate, 2).cast("double")
+    summary = summary.withColumn("commission", share("paid_base")).withColumn("pending_commission", share("pending_base")) \
                      .withColumn("balance", F.round(F.col("commission") - F.col("paid_out"), 2))
     return students, summary
+
+
+def teacher_table(detail: DataFrame, vouchers: DataFrame, month: str, r: DashboardRules = DashboardRules(),
+                  unknown: str = "Desconhecido", total: str = "Total Geral") -> DataFrame:
+    """The teacher table of RP-21 (AG-9): classes, billed and commission of what was paid in the month, with a total row.
+
+    Paid classes count whatever their value; valid vouchers (FL-6) paid in the
+    month count as a class of the teacher that they name. Columns ``professor,
+    is_total, classes, billed, commission``.
+    """
+    m = F.lit(month).cast("date")
+    val = js_or("booking_value", 0.0)
+    mult = R.dated_multiplier(r.multipliers, "participant_name", "booking_date") if r.multipliers else F.lit(1.0)
+    paid = detail.where(F.col("is_paid") & D.in_month(F.to_date("pay_date"), m)).select(
+        F.coalesce("professor", F.lit(unknown)).alias("professor"), val.alias("billed"),
+        (js_or("booking_commission_base", val) * mult).alias("base"))
+    vv = FL.valid_vouchers(vouchers, "description", "total", "description").where(D.in_month(F.to_date("pay_date"), m))
+    rows = paid.unionAll(vv.select("voucher_name", F.col("total").cast("double"), F.col("total").cast("double")))
+    rows = rows.withColumns({c: F.col(c).cast(X.EXACT) for c in ("billed", "base")})
+    rate = F.lit(str(r.rate)).cast("decimal(9,6)")
+    t = G.with_total(rows, ["professor"], [F.count(F.lit(1)).alias("classes"), F.sum("billed").alias("billed"),
+                                           F.sum("base").alias("base")], total)
+    return t.select("professor", "is_total", "classes", F.round("billed", 2).cast("double").alias("billed"),
+                    F.round(F.col("base") * rate, 2).cast("double").alias("commission"))

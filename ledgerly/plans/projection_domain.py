@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
 from ledgerly.functions.num import money
+from ledgerly.operators import agg as G
+from ledgerly.operators import joins as J
 from ledgerly.operators import projection as P
 from ledgerly.operators import rules as R
 from ledgerly.operators import windows as W
@@ -91,10 +93,23 @@ def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame,
 DOW_WEIGHTS = [0.5, 1.0, 1.0, 1.0, 1.0, 1.0, 1.0]
 
 
+def overridden(ledger: DataFrame, overrides: DataFrame, month: str) -> DataFrame:
+    """JN-13 on the ledger: edits by id (``custom_due_date, custom_amount, custom_name, custom_flow``), tombstones
+    dropped, and the month's manual rows (``is_manual``, ``month_key``) added as unpaid expenses."""
+    fields = {"due_date": "custom_due_date", "amount": "custom_amount", "name": "custom_name", "cost_center_descricao": "custom_flow"}
+    kinds = dict(ledger.dtypes)
+    manual = overrides.where(F.coalesce("is_manual", F.lit(False)) & ~F.coalesce("is_deleted", F.lit(False))
+                             & (F.col("month_key") == month[:7]))
+    rows = manual.select("id", *[F.col(v).cast(kinds[k]).alias(k) for k, v in fields.items()], F.lit(False).alias("paid"),
+                         F.lit("expense").alias("transaction_type"))
+    return J.apply_overrides(ledger, overrides, "id", fields, "is_deleted", "is_manual", rows)
+
+
 def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str, opening: float,
                  d30_remaining: float, d0_expected: float, commission_p1: float, commission_p2: float,
                  pace: float = 1.0, card_fee: float = 0.025, day_provision: float = 0.0,
-                 period_cut: int = 20) -> DataFrame:
+                 period_cut: int = 20, base_costs: float | None = None, safety: float = 0.05,
+                 overrides: DataFrame | None = None) -> DataFrame:
     """RP-18 for the club: one row per day from ``as_of`` to the month end.
 
     Receipts: the imported schedule's releases of the day when the month has
@@ -104,8 +119,15 @@ def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str,
     provision and fees, ledger items due that day, overdue items (FL-10) on
     the as-of day, commission for the first period on ``period_cut`` and for
     the second on the last day. Running balance from ``opening`` (WN-4).
+
+    With ``base_costs``, the base month's fixed costs, the daily provision is
+    their gap to the month's unpaid operating costs, earlier ones included,
+    plus the ``safety`` share (AG-33); else it is ``day_provision``.
+    ``overrides`` are laid over the ledger first (:func:`overridden`).
     """
     spark = ledger.sparkSession
+    if overrides is not None:
+        ledger = overridden(ledger, overrides, month)
     m = F.lit(month).cast("date")
     a = F.greatest(F.lit(as_of).cast("date"), m)  # CA-6: a later month starts at day 1, an earlier one has no days left
     warr = F.array(*[F.lit(x) for x in DOW_WEIGHTS])
@@ -119,32 +141,39 @@ def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str,
     z = F.lit(0).cast("decimal(18,2)")
     sched = schedule.where(D.in_month("release_date", m)).groupBy(F.col("release_date").alias("day")) \
                     .agg(F.sum(money("value")).cast("double").alias("imported"))
-    has_imp = schedule.where(D.in_month("release_date", m)).limit(1).count() > 0
-    inv = F.col("cost_center_descricao") == INVESTMENT_CENTRE
-    unpaid = ledger.where(~F.col("paid") & (F.col("transaction_type") != "revenue"))
-    due = unpaid.groupBy(F.col("due_date").alias("day")).agg(
-        F.sum(F.when(~inv, money("amount")).otherwise(z)).cast("double").alias("ops"),
-        F.sum(F.when(inv, money("amount")).otherwise(z)).cast("double").alias("inv"))
-    over = unpaid.where(F.col("due_date") < a).agg(
-        F.sum(F.when(~inv, money("amount")).otherwise(z)).cast("double").alias("over_ops"),
-        F.sum(F.when(inv, money("amount")).otherwise(z)).cast("double").alias("over_inv"))
-    got = ledger.where(F.col("paid") & (F.col("transaction_type") == "revenue") & (F.col("due_date") == a)) \
-                .agg(F.sum(money("amount")).cast("double").alias("received"))
-    x = days.join(sched, "day", "left").join(due, "day", "left") \
-            .join(over.withColumn("day", a), "day", "left").join(got.withColumn("day", a), "day", "left")
+    inv = F.coalesce(F.col("cost_center_descricao") == INVESTMENT_CENTRE, F.lit(False))
+    cost = F.col("transaction_type") != "revenue"
+    # one pass over the ledger; what follows reads one row per day of it
+    by_day = ledger.groupBy(F.col("due_date").alias("day")).agg(*[
+        F.sum(F.when(c, money("amount")).otherwise(z)).alias(n) for n, c in (
+            ("ops", ~F.col("paid") & cost & ~inv), ("inv", ~F.col("paid") & cost & inv), ("received", F.col("paid") & ~cost))])
+    early = F.col("day") < a
+    totals = by_day.agg(F.sum(F.when(early, F.col("ops"))).cast("double").alias("over_ops"),
+                        F.sum(F.when(early, F.col("inv"))).cast("double").alias("over_inv"),
+                        F.coalesce(F.sum(F.when(F.col("day") <= F.last_day(m), F.col("ops"))), z).cast("double").alias("scheduled"))
+    n_imp = sched.agg(F.count(F.lit(1)).alias("n_imported"))
+    x = days.withColumn("__k", F.lit(1))
+    for one_row in (totals, n_imp):
+        x = x.join(one_row.withColumn("__k", F.lit(1)), "__k")
+    x = x.join(sched, "day", "left").join(by_day.select("day", *[F.col(c).cast("double").alias(c) for c in ("ops", "inv", "received")]),
+                                          "day", "left")
     r2 = P.r2
-    block1 = F.coalesce("imported", F.lit(0.0)) if has_imp else r2(F.lit(float(d30_remaining)) * (F.col("w") / F.col("rem_w")))
+    block1 = F.when(F.col("n_imported") > 0, F.coalesce("imported", F.lit(0.0))) \
+              .otherwise(r2(F.lit(float(d30_remaining)) * (F.col("w") / F.col("rem_w"))))
     block2 = r2(F.lit(float(d0_expected)) * F.col("w") / F.col("total_w") * F.lit(float(pace)))
     first = F.col("day") == a
     raw = r2(block1 + block2)
     inflow = F.when(first, r2(F.greatest(F.lit(0.0), raw - r2(F.coalesce("received", F.lit(0.0)))))).otherwise(raw)
     last = F.col("day") == F.last_day("day")
-    start_day = int(as_of[-2:])
+    start_day = int(as_of[-2:]) if as_of[:7] == month[:7] else 1
     comm = F.when(F.dayofmonth("day") == period_cut, F.lit(float(commission_p1) if start_day <= period_cut else 0.0)) \
             .otherwise(F.lit(0.0)) \
         + F.when(last, F.lit(float(commission_p2) + (float(commission_p1) if start_day > period_cut else 0.0))) \
            .otherwise(F.lit(0.0))
-    out_ops = r2(r2(F.lit(float(day_provision)) + r2(block1 * F.lit(card_fee))) + F.coalesce("ops", F.lit(0.0))
+    provided = F.lit(float(day_provision))
+    if base_costs is not None:
+        provided = r2(G.provision(F.lit(float(base_costs)) - F.col("scheduled"), F.col("scheduled"), safety, F.dayofmonth(F.last_day(m))))
+    out_ops = r2(r2(provided + r2(block1 * F.lit(card_fee))) + F.coalesce("ops", F.lit(0.0))
                  + F.when(first, F.coalesce("over_ops", F.lit(0.0))).otherwise(F.lit(0.0)) + comm)
     out_inv = r2(F.coalesce("inv", F.lit(0.0)) + F.when(first, F.coalesce("over_inv", F.lit(0.0))).otherwise(F.lit(0.0)))
     y = x.select("day", inflow.alias("inflow"), out_ops.alias("outflow_ops"), out_inv.alias("outflow_inv"),

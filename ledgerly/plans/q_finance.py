@@ -244,7 +244,7 @@ def ledger_rows(spark, d):
     """Orders as ledger rows."""
     o, k = table(spark, d, "orders"), F.col("o_orderkey")
     return o.select(
-        F.to_date("o_orderdate").alias("due_date"), (F.col("o_orderstatus") != "O").alias("paid"),
+        k.alias("id"), F.to_date("o_orderdate").alias("due_date"), (F.col("o_orderstatus") != "O").alias("paid"),
         F.when(F.col("o_orderstatus") == "P", "revenue").otherwise("expense").alias("transaction_type"),
         scaled("o_totalprice", "0.0005").alias("amount"),
         when_chain([(k % 6 == n, F.lit(c).cast("string")) for n, c in enumerate(LEDGER_CATEGORIES)]).alias("category_name"),

@@ -39,4 +39,5 @@ def load_all() -> None:
         q_extra,
         q_lists,
         q_finance,
+        q_teachers,
     )

@@ -15,7 +15,8 @@ from ledgerly.plans import registry
 
 REPORTS = ["commission_dashboard", "paid_dashboard", "operations_kpis", "kpi_history", "revenue_class",
            "payment_breakdown", "mix_vs_target", "court_occupancy", "goals", "cash_flow_statement",
-           "income_statement", "daily_projection", "month_projection", "payables"]
+           "income_statement", "daily_projection", "month_projection", "payables", "teacher_table", "cash_reconciliation",
+           "hourly_rate_vs_plan", "mix_history", "bracket_tax", "roi", "audit_list"]
 
 
 def monthly_report(spark: SparkSession, sf_dir: str, out_dir: str, names=REPORTS) -> dict[str, str]:
