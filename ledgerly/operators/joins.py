@@ -25,6 +25,18 @@ def with_exists(a: DataFrame, b: DataFrame, on: Sequence[str], flag: str) -> Dat
     return a.join(keys, list(on), "left").withColumn(flag, F.coalesce(F.col(flag), F.lit(False)))
 
 
+def unused_flagged(items: DataFrame, key: str | Sequence[str], used: Column) -> DataFrame:
+    """JN-9 / ST-2 where the rows themselves tell whether they are used: rows whose key no row uses.
+
+    Same result as :func:`unused` with the used rows filtered out of ``items``,
+    in one pass: one shuffle on the key, which must be near unique. A null key
+    never survives; a null flag is no use.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    flag = F.bool_or(F.coalesce(used, F.lit(False))).over(Window.partitionBy(*keys))
+    return items.dropna(subset=keys).withColumn("__used", flag).where(~F.col("__used")).drop("__used")
+
+
 def unused(items: DataFrame, key: str | Sequence[str], *used: DataFrame) -> DataFrame:
     """JN-9 / ST-2: rows of ``items`` whose key is in none of ``used``.
 

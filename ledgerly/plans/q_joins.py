@@ -139,11 +139,11 @@ def unused_anti(spark, d):
         F.trunc(F.to_date("l_shipdate"), "MM").alias("ship_month"),
         F.trunc(F.to_date("o_orderdate"), "MM").alias("order_month"),
         "o_orderstatus", F.col("l_extendedprice").alias("value"))
-    matched = x.where((F.col("ship_month") == F.col("order_month")) & (F.col("o_orderstatus") == "F"))
     slots = table(spark, d, "orders").select(F.col("o_custkey").alias("cust_key"),
                                              F.trunc(F.to_date("o_orderdate"), "MM").alias("ship_month")).distinct()
-    allocated = x.join(slots, ["cust_key", "ship_month"], "left_semi")
-    return J.unused(x, "item_key", matched, allocated).select("item_key", "cust_key", "ship_month", "value")
+    x = J.with_exists(x, slots, ["cust_key", "ship_month"], "has_slot")
+    matched = (F.col("ship_month") == F.col("order_month")) & (F.col("o_orderstatus") == "F")
+    return J.unused_flagged(x, "item_key", matched | F.col("has_slot")).select("item_key", "cust_key", "ship_month", "value")
 
 
 @register("contains_join", sql="""
@@ -158,6 +158,18 @@ def contains_join(spark, d):
     return J.contains_join(docs, "doc_id", "text", bench, "item_id", "btext").distinct()
 
 
+@register("contains_names", sql="""
+WITH b AS (SELECT DISTINCT p_name FROM part)
+SELECT p.p_partkey, b.p_name AS name FROM part p JOIN b ON contains(lower(p.p_type || ' Set: ' || p.p_name || ' of ' || p.p_brand), lower(b.p_name))
+""")
+def contains_names(spark, d):
+    """JN-5 with names of two words, most of which share a word with others, as patterns."""
+    p = table(spark, d, "part")
+    texts = p.select("p_partkey", F.concat("p_type", F.lit(" Set: "), "p_name", F.lit(" of "), "p_brand").alias("text"))
+    names = p.select(F.col("p_name").alias("name")).distinct()
+    return J.contains_join(texts, "p_partkey", "text", names, "name", "name")
+
+
 @register("has_any", sql="""
 SELECT c.c_custkey, c.c_mktsegment,
        EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_orderpriority = '1-URGENT') AS has_urgent
