@@ -110,20 +110,20 @@ def verify(distance: int, most: int = MOST):
             starts = np.concatenate([[0], np.flatnonzero((k1[1:] != k1[:-1]) | (k2[1:] != k2[:-1])) + 1])
             sizes = np.diff(np.append(starts, len(fp)))
             prints = fp.view(np.uint64)
-            links, again = [], []
+            crowded = sizes > most
+            crowded[0] |= passing == (k1[0], k2[0])  # the rest of a key that was handed on goes the same way, however short
+            links, again = [], [np.arange(at, at + n) for at, n in zip(starts[crowded].tolist(), sizes[crowded].tolist())]
             if batch is not None:  # the last key may go on in the next batch
                 at = starts[-1]
-                if sizes[-1] > most or passing == (k1[at], k2[at]):
-                    again.append(np.arange(at, len(fp)))
+                if crowded[-1]:
                     passing, at = (k1[at], k2[at]), len(fp)
-                carry, starts, sizes = [c[at:] for c in rows], starts[:-1], sizes[:-1]
-            pairs = starts[sizes == 2]
+                carry, starts, sizes, crowded = [c[at:] for c in rows], starts[:-1], sizes[:-1], crowded[:-1]
+            pairs = starts[(sizes == 2) & ~crowded]
             pairs = pairs[np.bitwise_count(prints[pairs] ^ prints[pairs + 1]) <= distance]
             links.append(np.stack([fp[pairs], fp[pairs + 1]]))
-            for at, n in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist()):
-                if n > most or passing == (k1[at], k2[at]):
-                    again.append(np.arange(at, at + n))
-                elif found := forest(prints[at:at + n], distance):
+            several = (sizes > 2) & ~crowded
+            for at, n in zip(starts[several].tolist(), sizes[several].tolist()):
+                if found := forest(prints[at:at + n], distance):
                     links.append(fp[at + np.array(found).T])
             a, b = np.concatenate(links, axis=1)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)] + [pa.nulls(len(a), t) for t in (

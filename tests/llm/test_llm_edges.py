@@ -116,6 +116,17 @@ def test_simhash_links_under_crowded_keys(spark, most):
     assert groups(edges) == groups(want)
 
 
+@pytest.mark.parametrize("rest", [0, 1, 2, 3])
+def test_all_of_a_crowded_key_goes_on_whatever_the_batches(rest):
+    keys, prints = [5] * 8 + [6, 6], [*range(100, 108), 200, 201]  # key 5 is crowded, 6 is not
+    rows = pa.RecordBatch.from_arrays([pa.array(keys), pa.array([0] * 10), pa.array([32] * 10, pa.int32()), pa.array(prints)],
+                                      names=["k1", "k2", "start", "fp"])
+    out = pa.Table.from_batches(simhash.verify(3, most=4)(iter([rows[:8 - rest], rows[8 - rest:]]))).to_pylist()
+    assert sorted(r["a"] for r in out if r["b"] is None) == prints[:8]
+    assert all((r["k1"], r["k2"], r["start"]) == (5, 0, 32) for r in out if r["b"] is None)
+    assert [(r["a"], r["b"]) for r in out if r["b"] is not None] == [(200, 201)]
+
+
 def test_components_of_a_path_and_a_star(spark):
     edges = [(k, k + 1) for k in range(40)] + [(100, 100 + k) for k in range(1, 30)] + [(7, 7)]
     got = {r.node: r.root for r in components.components(spark.createDataFrame(edges, "u long, v long")).collect()}
