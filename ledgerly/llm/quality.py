@@ -2,39 +2,56 @@
 
 from __future__ import annotations
 
+import warnings
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ledgerly.llm.common import written
 from ledgerly.llm.line_crf import LineCrf, line_features
 
+#: Fixed value: one document gives at most this part of the sample's lines.
+PER_DOCUMENT = 20
+
 
 def fold(row_id: Column, folds: int = 3) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
     return F.crc32(row_id.cast("string")) % folds
 
 
+def usable_labels(labels: DataFrame, held_out: int) -> DataFrame:
+    """id, quality: labels 0 and 1 of ids outside the held-out fold, without contradictions."""
+    return (labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("quality")).dropna()
+            .filter(fold(F.col("id")) != held_out).groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
+            .filter("quality = other and quality in (0, 1)").select("id", "quality"))
+
+
 def training_sample(docs: DataFrame, labels: DataFrame, held_out: int, per_label: int, max_lines: int,
                     id_col: str, text_col: str) -> DataFrame:
     """At most ``per_label`` documents of each label and ``max_lines`` lines in all: doc_id, quality, text.
 
     Rows whose fold is ``held_out`` and ids with contradicting labels are left
     out before anything is drawn. The draw is by a hash of the id, so it is
-    the same in every run.
+    the same in every run, and takes the labels in turn. A document with more
+    than a twentieth of ``max_lines`` lines takes part with its first ones up
+    to that number, so that it shuts out neither itself nor others.
     """
-    known = (labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("quality")).dropna()
-             .filter(fold(F.col("id")) != held_out).groupBy("id").agg(F.min("quality").alias("quality"), F.max("quality").alias("other"))
-             .filter("quality = other and quality in (0, 1)").select("id", "quality", F.xxhash64("id").alias("draw")))
+    known = usable_labels(labels, held_out).withColumn("draw", F.xxhash64("id"))
     drawn = known.filter("quality = 0").orderBy("draw", "id").limit(per_label).unionAll(
         known.filter("quality = 1").orderBy("draw", "id").limit(per_label))
     # drawn has at most 2 x per_label rows
-    texts = (docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-             .join(F.broadcast(drawn), "id").groupBy("id", "quality", "draw").agg(F.min("text").alias("text")))
+    share = max(max_lines // PER_DOCUMENT, 1)
+    text = F.substring_index(F.min("text"), "\n", share)
+    texts = written(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+                    .join(F.broadcast(drawn), "id").groupBy("id", "quality", "draw").agg(text.alias("text")), "labelled")
     lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
-    return texts.withColumn("lines", F.sum(lines).over(W.orderBy("draw", "id"))).filter(F.col("lines") <= max_lines) \
-        .select(F.col("id").alias("doc_id"), "quality", "text")
+    sizes = texts.select("id", "quality", "draw", lines.alias("lines")).withColumn(
+        "turn", F.row_number().over(W.partitionBy("quality").orderBy("draw", "id")))
+    fit = sizes.withColumn("lines", F.sum("lines").over(W.orderBy("turn", "draw", "id"))).filter(F.col("lines") <= max_lines)
+    return texts.join(F.broadcast(fit.select("id")), "id").select(F.col("id").alias("doc_id"), "quality", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, per_label: int = 1500, max_lines: int = 60_000,
@@ -56,6 +73,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, per_label: int
     sample = training_sample(docs, labels, held_out, per_label, max_lines, id_col, text_col)
     rows = sorted(sample.mapInArrow(features, "doc_id long, quality long, x binary, sizes binary").collect())
     if len({r.quality for r in rows}) < 2:
+        if usable_labels(labels, held_out).select("quality").distinct().count() == 2:
+            warnings.warn("labels of both classes, but the sampled documents have not both: every score is 0.5", stacklevel=2)
         return None
     sizes = [np.frombuffer(r.sizes, dtype="<i8") for r in rows]
     x = np.concatenate([np.frombuffer(r.x, dtype="<f4") for r in rows]).reshape(sum(map(len, sizes)), -1).astype(np.float64)

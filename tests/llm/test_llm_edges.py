@@ -143,6 +143,18 @@ def test_quality(spark, docs, none):
     assert quality.classify(none, labels).count() == 0
 
 
+def test_a_very_long_document_shuts_out_no_other(spark):
+    ids = [r.id for r in spark.range(12).orderBy(F.xxhash64("id"), "id").collect()]  # in the order of the draw
+    texts = [(i, "x\n" * 5000 if i == ids[0] else f"text {i}\nmore") for i in ids]
+    df = spark.createDataFrame(texts, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(k < 10)) for k, i in enumerate(ids)], "doc_id long, quality int")
+    rows = {r.doc_id: r for r in quality.training_sample(df, labels, 9, 1500, 1000, "doc_id", "text").collect()}
+    assert rows.keys() == set(ids) and all(rows[i].text == t for i, t in texts if i != ids[0])
+    assert rows[ids[0]].text == "\n".join("x" * 50)
+    few = quality.training_sample(df, labels, 9, 1500, 60, "doc_id", "text").collect()
+    assert {r.quality for r in few} == {0, 1} and sum(r.text.count("\n") + 1 for r in few) <= 60
+
+
 def test_forward_backward_against_all_paths():
     r = np.random.default_rng(1)
     counts = np.array([3, 1, 5, 2])
