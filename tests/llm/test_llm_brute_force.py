@@ -168,3 +168,71 @@ def test_pipeline_stages(spark, con):
     assert len(ids) == len(mixed)
     assert all(np.frombuffer(r.ids, "<u4").tolist() == t.encode(texts[r.doc_id], add_special_tokens=False).ids for r in ids)
     assert {r.doc_id for r in P.run(spark, SF).collect()} == set(want)
+
+
+def plain_print(text):
+    words = re.findall(rb"[^\x20\x09-\x0D]+", text.encode().lower())
+    shingles = [b" ".join(words[i:i + 3]) for i in range(max(1, len(words) - 2))] if words else []
+    ones = Counter(k for s in shingles for k in range(64) if xxhash.xxh64_intdigest(s, 42) >> k & 1)
+    return sum(1 << k for k in range(64) if ones[k] * 2 > len(shingles))
+
+
+def plain_first_of_each(texts):
+    """The smallest id of each component of fingerprints within three bits."""
+    prints, left, first = {d: plain_print(t) for d, t in texts.items()}, set(texts), []
+    while left:
+        first.append(min(left))
+        todo = [first[-1]]
+        left.remove(first[-1])
+        while todo:
+            at = todo.pop()
+            near = {d for d in left if (prints[d] ^ prints[at]).bit_count() <= 3}
+            left -= near
+            todo += near
+    return first
+
+
+def plain_times(docs):
+    """How often a mix with weights 1, 2, 3 and at most three epochs takes each of the documents id -> (text, source)."""
+    size = {d: len(re.findall(r"[^\x20\x09-\x0D]+", t)) for d, (t, _) in docs.items()}
+    names = sorted({s for _, s in docs.values()}, key=lambda s: (s is None, s or ""))
+    total = {s: sum(size[d] for d in docs if docs[d][1] == s) for s in names}
+    weight = {s: (1.0, 2.0, 3.0)[k % 3] for k, s in enumerate(names)}
+    target, rest = {}, float(sum(total.values()))
+    while len(target) < len(names):
+        free = [s for s in names if s not in target]
+        level = rest / sum(weight[s] for s in free)
+        capped = [s for s in free if weight[s] * level > 3 * total[s]]
+        target |= {s: 3.0 * total[s] for s in capped} if capped else {s: weight[s] * level for s in free}
+        rest -= sum(target[s] for s in capped)
+
+    def draw(d):
+        text, source = docs[d]
+        u = (int(hashlib.md5(f"42|{d}|{'-' if source is None else source}|{size[d]}".encode()).hexdigest()[:13], 16) + 0.5) / 2 ** 52
+        return -math.log(u) / (max(len(re.sub(r"[!-@\[-`{-~]", "", text)) / len(text), 0.05) if text else 1.0)
+    times = Counter()
+    for s in names:
+        epochs = min(int(target[s] // total[s]), 3) if total[s] else 0
+        budget, before = target[s] - epochs * total[s], 0
+        for d in sorted((d for d in docs if docs[d][1] == s and size[d]), key=lambda d: (draw(d), d)):
+            times[d] = epochs + (before + size[d] / 2 < budget)
+            before += size[d]
+    return +times
+
+
+def test_pipeline_against_plain_python(spark, con):
+    import corpus_pipeline as P
+    good = {r.doc_id for r in result(spark, "op5_quality") if r.predicted == 1}
+    texts = {d: t for d, t in docs(con).items() if d in good}
+
+    def keys(t):
+        return [k.strip(" \t\n\v\f\r").translate({c: c + 32 for c in range(65, 91)}) for k in t.split("\n")]
+    seen = Counter(k for t in texts.values() for k in set(keys(t)) if k)
+    texts = {d: "\n".join(line for line, k in zip(t.split("\n"), keys(t)) if seen[k] < 10) for d, t in texts.items()}
+    sources = dict(con.execute("SELECT doc_id, source FROM documents").fetchall())
+    times = plain_times({d: (texts[d], sources[d]) for d in plain_first_of_each(texts)})
+    t = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = {d: t.encode(texts[d], add_special_tokens=False).ids for d in times}
+    want = Counter({(d, sources[d], len(ids[d]), np.array(ids[d], "<u4").tobytes()): n for d, n in times.items()})
+    assert len(good) < len(sources) and len(set(times.values())) > 1
+    assert Counter((r.doc_id, r.source, r.n_tokens, bytes(r.ids)) for r in P.run(spark, SF).collect()) == want
