@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerly.llm import ann, bpe, chat, exact_dedup, line_dedup, mixing, quality, simhash, token_files, warc
+from ledgerly.llm import (ann, bpe, chat, exact_dedup, lexical, license_scan, line_dedup, mixing, quality, simhash, token_files,
+                          warc, whitening)
 from ledgerly.llm.common import shared_path
 from ledgerly.sources.tables import table
 
@@ -80,9 +81,32 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ten highest-scoring documents of every benchmark item, through posting lists in geometric blocks."""
+    blocks, n_docs = lexical.index(table(spark, sf_dir, "documents"))
+    return lexical.search(blocks, n_docs, table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
+
+
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding on the four strongest components, scaled to variance one."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License notices, names and hints of every document."""
+    return license_scan.digest(license_scan.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc_salvage, op2_line_dedup, op3_exact_dedup, op4_simhash, op5_quality, op6_token_files, op7_chat, op8_bpe, op9_ann,
-    op10_mixing)}
+    op10_mixing, op11_lexical, op12_whitening, op13_licenses)}
+
+
+def _rules_sql() -> str:
+    """The rules of the license scan as SQL rows."""
+    rows = [(r, base) for base, rules in ((True, license_scan.BASE), (False, license_scan.RULES)) for r in rules]
+    return ",\n".join(f"({r.rule}, '{r.label}', {r.level}, '{r.keyword}', '(?:^| )({r.pattern})(?: |$)', {base})" for r, base in rows)
+
 
 ORACLES: dict[str, str] = {
     "op1_warc_salvage": r"""
@@ -125,4 +149,37 @@ x AS (SELECT e.*, t.source_size, t.target, least(CASE WHEN t.source_size > 0 THE
     FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target,
   (size * (epochs + CASE WHEN size > 0 AND before + size / 2 < target - epochs * source_size THEN 1 ELSE 0 END))::BIGINT AS taken FROM x""",
+    "op11_lexical": r"""
+WITH dt AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),
+lens AS (SELECT rid, doc_id, len(ts)::HUGEINT AS n FROM dt WHERE len(ts) > 0),
+tot AS (SELECT count(*)::HUGEINT AS nd, sum(n)::HUGEINT AS l FROM lens),
+post AS (SELECT rid, t, count(*)::HUGEINT AS tf FROM (SELECT rid, unnest(ts) AS t FROM dt) GROUP BY rid, t),
+it AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM benchmark),
+qt AS (SELECT q, item_id, t, count(*)::HUGEINT AS qtf FROM (SELECT q, item_id, unnest(ts) AS t FROM it) GROUP BY q, item_id, t),
+w AS (SELECT t, floor(1000 * ln((2 * any_value(nd) + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::HUGEINT AS w
+    FROM post CROSS JOIN tot WHERE t IN (SELECT t FROM qt) GROUP BY t),
+s AS (SELECT q, item_id, rid, sum(qtf * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * nd) // l))))::BIGINT AS score, any_value(doc_id) AS doc_id
+    FROM qt JOIN w USING (t) JOIN post USING (t) JOIN lens USING (rid) CROSS JOIN tot GROUP BY q, item_id, rid),
+r AS (SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST)::INT AS rank FROM s WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10""",
+    "op13_licenses": r"""
+WITH rules(rule, label, level, keyword, pattern, base) AS (VALUES
+""" + _rules_sql() + r"""),
+d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
+s AS (SELECT rid, w, p FROM (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d) WHERE w IN (SELECT keyword FROM rules)),
+f AS (SELECT s.rid, s.p - 1 AS at, r.*, regexp_extract(concat_ws(' ', nullif(array_to_string(ws[greatest(1, s.p - 16):s.p - 1], ' '), ''),
+    '<' || array_to_string(ws[s.p:s.p + 24], ' ')), r.pattern, 1) AS m FROM s JOIN d USING (rid) JOIN rules r ON r.keyword = s.w),
+x AS (SELECT rid, rule, label, level, base, at - (length(split_part(m, '<', 1)) - length(replace(split_part(m, '<', 1), ' ', ''))) AS a,
+    length(m) - length(replace(m, ' ', '')) + 1 AS n FROM f WHERE m <> ''),
+i AS (SELECT *, a + n AS b FROM x),
+kept AS (SELECT * FROM i WHERE base OR NOT EXISTS (SELECT 1 FROM i AS o WHERE o.rid = i.rid AND NOT o.base AND o.a <= i.a AND o.b >= i.b
+    AND (o.level < i.level OR o.level = i.level AND (o.n > i.n OR o.rule < i.rule)))),
+g AS (SELECT rid, count(*) FILTER (base) AS n_base, min(a) FILTER (base) AS first_word, max(a) FILTER (base) AS last_word,
+    string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels,
+    max([0.5, 1.0, 0.9, 0.6, 0.3][level + 1]) AS score FROM kept GROUP BY rid)
+SELECT doc_id, len(ws)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
+  coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0)::DOUBLE AS score FROM d LEFT JOIN g USING (rid)""",
 }
