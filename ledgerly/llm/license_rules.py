@@ -188,7 +188,7 @@ artistic-2.0 2 <artistic license( version| v)? v?2( 0)?
 artistic-1.0 2 <artistic license( version| v)? v?1( 0)?
 artistic 3 <artistic licen(s|c)e
 perl 3 same terms as <perl( itself)?
-isc 1 permission to use copy modify and or distribute this software for any purpose with or without fee is hereby <granted
+isc 1 <permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted
 isc 1 spdx license identifier <isc
 isc 3 <isc license(d)?
 zlib 1 spdx license identifier <zlib
