@@ -18,7 +18,7 @@ from collections.abc import Iterator
 from hashlib import sha256
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerly.llm.bpe import vocabulary
@@ -58,6 +58,15 @@ def parse_turns(text: str) -> list[tuple[str, str, int, int]]:
     return out
 
 
+def turn_tokens(role: Column, text: Column, tokenizer: str) -> Column:
+    """Tokens of a turn in the template, marks and escapes included."""
+    @F.arrow_udf("int")
+    def count(roles: pa.Array, texts: pa.Array) -> pa.Array:
+        turns = [format_turn(r, t)[0] for r, t in zip(roles.to_pylist(), texts.to_pylist())]
+        return pa.array([len(ids) for ids in vocabulary(tokenizer).encode_all(pa.array(turns, pa.string()))], pa.int32())
+    return count(role, text)
+
+
 class Windows:
     """Lays out one conversation, turn by turn."""
 
@@ -108,8 +117,10 @@ def format_chats(turns: DataFrame, tokenizer: str, budget: int = 1024, history:
                  turn_col: str = "turn", role_col: str = "role", text_col: str = "text") -> DataFrame:
     """One row per window: conv_id, window, text, targets (spans under the loss mask), repeated (turns repeated at its start).
 
-    A first turn whose role is system opens every window. A window has at
-    least one new turn; a turn longer than the budget has a window of its own
+    A first turn whose role is system opens every window. Turns are counted as
+    the template shows them, marks and escapes included, where they are read,
+    before conversations are brought together; a window's turns add up to the
+    budget at most. A window has at least one new turn; a turn longer than the budget has a window of its own
     beside the system turn, and none is cut. Null roles and texts are empty;
     rows without a conv_id are one conversation; equal turn numbers go by role
     and text, null numbers last, and repeated rows stay. Control strings in
@@ -125,13 +136,12 @@ def format_chats(turns: DataFrame, tokenizer: str, budget: int = 1024, history:
             n += 1
             return {"conv_id": conv, "window": n - 1} | window
         for batch in batches:
-            sizes = [len(i) + 8 for i in vocabulary(tokenizer).encode_all(batch.column("text"))]  # 8: about what the marks take
-            for row, size in zip(batch.to_pylist(), sizes):
+            for row in batch.to_pylist():
                 if windows is None or row["conv_id"] != conv:
                     if windows is not None:
                         out.append(ended(windows.close()))
                     conv, windows, n = row["conv_id"], Windows(budget, history), 0
-                if (window := windows.add(row["role"], row["text"], size)) is not None:
+                if (window := windows.add(row["role"], row["text"], row["tokens"])) is not None:
                     out.append(ended(window))
             if out:
                 yield pa.RecordBatch.from_pylist(out, schema)
@@ -141,8 +151,9 @@ def format_chats(turns: DataFrame, tokenizer: str, budget: int = 1024, history:
 
     rows = turns.select(F.col(conv_col).cast("long").alias("conv_id"), F.col(turn_col).alias("turn"),
                         F.coalesce(F.col(role_col), F.lit("")).alias("role"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = rows.withColumn("tokens", turn_tokens(F.col("role"), F.col("text"), tokenizer))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", F.col("turn").asc_nulls_last(), "role", "text")
-    return dealt.select("conv_id", "role", "text").mapInArrow(
+    return dealt.select("conv_id", "role", "text", "tokens").mapInArrow(
         lay_out, "conv_id long, window int, text string, targets array<struct<start: int, end: int>>, repeated int")
 
 

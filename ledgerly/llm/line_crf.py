@@ -9,6 +9,7 @@ calibrated logistic curve gives the score.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -17,6 +18,8 @@ import numpy as np
 #: The classes of bytes that line features count.
 LETTER, UPPER, DIGIT, BLANK, MARK, SYMBOL, BANG = range(7)
 PLAIN_MARKS = b".,;:'\"?()-"
+#: Lines whose features are held at once.
+MOST_LINES = 1 << 15
 
 
 def _classes() -> np.ndarray:
@@ -67,8 +70,8 @@ def own_features(flat: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     again = np.zeros_like(blank)  # first byte of a word that repeats the one before it
     at, ends = np.flatnonzero(begins), np.flatnonzero(last) + 1
     if len(at) > 1:
-        hashes = word_hashes(flat, at, ends)
-        again[at[1:]] = hashes[1:] == hashes[:-1]
+        hashes, line = word_hashes(flat, at, ends), np.searchsorted(breaks, at)
+        again[at[1:]] = (hashes[1:] == hashes[:-1]) & (line[1:] == line[:-1])  # words of one line only, whatever stands around it
     n, w = np.maximum(sizes, 1), np.maximum(words, 1)
     ascii_letters = np.maximum(total(((flat < 128) & (CLASSES[LETTER][flat] == 1)).astype(np.uint8)), 1)
     own = np.stack([per[LETTER] / n, per[UPPER] / ascii_letters, per[DIGIT] / n, per[BLANK] / n, per[MARK] / n,
@@ -213,24 +216,98 @@ class LineCrf:
         cut = float(np.mean(edges[[best[0], best[-1]]])) if len(best) else 0.5
         self.slope, self.shift = 12.0, -12.0 * min(max(cut, 0.02), 0.98)
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        """Score of every text from 0 to 1; whole texts, a bounded number of lines at a time where texts allow it."""
+    def score(self, texts: list[bytes], most_lines: int = MOST_LINES) -> np.ndarray:
+        """Score of every text from 0 to 1; whole texts, a bounded number of lines at a time."""
         out = []
-        for some in chunks(texts):
-            x, sizes, counts = line_features(some)
-            good = marginals(self.logits(x), counts, self.trans, self.start)
-            out.append(1 / (1 + np.exp(-(self.slope * self.shares(good, sizes, counts) + self.shift))))
+        for some in chunks(texts, most_lines=most_lines):
+            if len(some) == 1 and some[0].count(b"\n") >= most_lines:
+                shares = np.array([self.long_share(some[0], most_lines)])
+            else:
+                x, sizes, counts = line_features(some)
+                shares = self.shares(marginals(self.logits(x), counts, self.trans, self.start), sizes, counts)
+            out.append(1 / (1 + np.exp(-(self.slope * shares + self.shift))))
         return np.concatenate(out) if out else np.empty(0)
 
+    def long_share(self, text: bytes, most_lines: int) -> float:
+        """``shares`` of one text, features and both passes of the chain in blocks of lines.
 
-def chunks(texts: list[bytes], most: int = 1 << 22) -> Iterator[list[bytes]]:
-    """Runs of texts of at most ``most`` bytes, or one longer text."""
-    held, n = [], 0
+        The way forward keeps its state at the start of each block; on the way
+        back a block's features are made again, so only one block is held.
+        """
+        starts, states, state = blocks(text, most_lines), [], None
+        for begin, end in starts:
+            states.append(state)
+            state = self._forward(self._block(text, begin, end)[0], state)[-1]
+        good = total = 0.0
+        after = None  # log-odds that the lines behind give to the state of the block's last line
+        for (begin, end), before in zip(reversed(starts), reversed(states)):
+            logits, sizes = self._block(text, begin, end)
+            ahead = self._forward(logits, before)
+            back = np.empty_like(ahead)
+            now = 0.0 if after is None else after
+            (t00, t01), (t10, t11) = self.trans.tolist()
+            for k in range(len(logits) - 1, -1, -1):
+                back[k] = now
+                y = logits[k] + now
+                now = _log_add(t11 + y, t10) - _log_add(t01 + y, t00)
+            after = now
+            w = np.maximum(sizes, 1)
+            good += float((w / (1 + np.exp(-np.clip(ahead + back, -500, 500)))).sum())
+            total += float(w.sum())
+        return good / total
+
+    def _block(self, text: bytes, begin: int, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """(logits, sizes) of the lines of text[begin:end], which see the lines around the block."""
+        first = text.rfind(b"\n", 0, begin - 1) + 1 if begin else 0
+        last = text.find(b"\n", end)
+        part = text[first:len(text) if last < 0 else last] if end <= len(text) else text[first:]
+        x, sizes, _ = line_features([part])
+        skip, n = int(begin > 0), text.count(b"\n", begin, end) + (end > len(text))
+        return self.logits(x[skip:skip + n]), sizes[skip:skip + n]
+
+    def _forward(self, logits: np.ndarray, state: float | None) -> np.ndarray:
+        """Log-odds of good for each line, given the lines up to it."""
+        out = np.empty(len(logits))
+        (t00, t01), (t10, t11) = self.trans.tolist()
+        for k, e in enumerate(logits.tolist()):
+            state = e + (self.start if state is None else _log_add(state + t11, t01) - _log_add(state + t10, t00))
+            out[k] = state
+        return out
+
+
+def _log_add(a: float, b: float) -> float:
+    return max(a, b) + math.log1p(math.exp(-abs(a - b)))
+
+
+def blocks(text: bytes, most_lines: int, most: int = 1 << 21) -> list[tuple[int, int]]:
+    """(begin, end) of runs of whole lines, breaks included, of at most ``most_lines`` lines and ``most`` bytes or one longer line.
+
+    The last end lies one beyond the text, as if its last line had a break.
+    """
+    out, begin = [], 0
+    while begin <= len(text):
+        end = begin
+        for _ in range(most_lines):
+            stop = text.find(b"\n", end) + 1 or len(text) + 1
+            if end > begin and stop - begin > most:
+                break
+            end = stop
+            if end > len(text):
+                break
+        out.append((begin, end))
+        begin = end
+    return out
+
+
+def chunks(texts: list[bytes], most: int = 1 << 22, most_lines: int = MOST_LINES) -> Iterator[list[bytes]]:
+    """Runs of texts of at most ``most`` bytes and ``most_lines`` lines, or one longer text."""
+    held, n, lines = [], 0, 0
     for t in texts:
-        if held and n + len(t) > most:
+        own = t.count(b"\n") + 1
+        if held and (n + len(t) > most or lines + own > most_lines):
             yield held
-            held, n = [], 0
+            held, n, lines = [], 0, 0
         held.append(t)
-        n += len(t) + 1
+        n, lines = n + len(t) + 1, lines + own
     if held:
         yield held

@@ -70,18 +70,21 @@ def line_dedup(docs: DataFrame, min_docs: int = 10, min_chars: int = 1, id_col:
 
     A line's key is the line stripped of white space at both ends with A-Z
     lower-cased. Keys of at least ``min_chars`` code points that occur in at
-    least ``min_docs`` rows lose all their lines in every row. Null and empty
-    texts are one empty line; null stays null and empty stays empty, as an
-    empty key is shorter than ``min_chars``. A repeated row counts as another
-    document, rows may share an id or have none. All other columns are kept
+    least ``min_docs`` documents lose all their lines in every row. Null and
+    empty texts are one empty line; null stays null and empty stays empty, as
+    an empty key is shorter than ``min_chars``. An id is one document, however
+    many rows have it, and so are all rows without an id. All other columns are kept
     (input columns named n_lines or n_dropped are replaced). An empty table
     gives no rows.
     """
     key = row_key(F.col(id_col), F.col(text_col))
-    lines = written(docs.select(key.alias("row"), F.explode(line_hashes(F.col(text_col), max(1, min_chars))).alias("hash")),
-                    "lines")
-    hot = written(lines.groupBy("hash").count().filter(F.col("count") >= min_docs).select("hash"), "hot")
-    drops = lines.join(hot, "hash").groupBy("row").agg(F.collect_set("hash").alias("hot"))
+    lines = written(docs.select(key.alias("row"), F.col(id_col).alias("id"),
+                                F.explode(line_hashes(F.col(text_col), max(1, min_chars))).alias("hash")), "lines")
+    # rows are at least as many as documents, so the rows of the few hashes left tell the documents
+    often = written(lines.groupBy("hash").count().filter(F.col("count") >= min_docs).select("hash"), "often")
+    shared = written(lines.join(often, "hash"), "shared")
+    hot = written(shared.select("hash", "id").distinct().groupBy("hash").count().filter(F.col("count") >= min_docs).select("hash"), "hot")
+    drops = shared.join(hot, "hash").groupBy("row").agg(F.collect_set("hash").alias("hot"))
     out = docs.select(key.alias("row"), F.struct("*").alias("doc")).join(drops, "row", "left")
     out = out.withColumn("old", F.col(f"doc.`{text_col}`"))
     fixed = without_lines(F.when(F.col("hot").isNotNull(), F.col("old")), F.col("hot"))

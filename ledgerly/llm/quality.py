@@ -9,13 +9,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerly.llm.common import written
 from ledgerly.llm.line_crf import LineCrf, line_features
 
-#: Fixed value: one document gives at most this part of the sample's lines.
-PER_DOCUMENT = 20
-
 
 def fold(row_id: Column, folds: int = 3) -> Column:
     """crc32 of the id as text, modulo ``folds``; null for a null id."""
@@ -29,33 +27,48 @@ def usable_labels(labels: DataFrame, held_out: int) -> DataFrame:
             .filter("quality = other and quality in (0, 1)").select("id", "quality"))
 
 
-def training_sample(docs: DataFrame, labels: DataFrame, held_out: int, per_label: int, max_lines: int,
+def chosen(sizes: list[tuple], max_lines: int, document_lines: int) -> list:
+    """Ids of documents, given as (turn, draw, id, lines), that fill ``max_lines`` as whole ones.
+
+    In the order of the draw, each document of at most ``document_lines`` that
+    still fits is taken and the others are passed over; then longer ones, the
+    shortest first, as far as there is room.
+    """
+    out, room = [], max_lines
+    rows = sorted(sizes)
+    for row in [r for r in rows if r[3] <= document_lines] + sorted((r for r in rows if r[3] > document_lines), key=lambda r: (r[3], r)):
+        if row[3] <= room:
+            out.append(row[2])
+            room -= row[3]
+    return out
+
+
+def training_sample(docs: DataFrame, labels: DataFrame, held_out: int, per_label: int, max_lines: int, document_lines: int,
                     id_col: str, text_col: str) -> DataFrame:
     """At most ``per_label`` documents of each label and ``max_lines`` lines in all: doc_id, quality, text.
 
     Rows whose fold is ``held_out`` and ids with contradicting labels are left
     out before anything is drawn. The draw is by a hash of the id, so it is
-    the same in every run, and takes the labels in turn. A document with more
-    than a twentieth of ``max_lines`` lines takes part with its first ones up
-    to that number, so that it shuts out neither itself nor others.
+    the same in every run, and takes the labels in turn. Documents are taken
+    whole or not at all, see ``chosen``: one of more than ``document_lines``
+    lines cannot shut out others.
     """
     known = usable_labels(labels, held_out).withColumn("draw", F.xxhash64("id"))
     drawn = known.filter("quality = 0").orderBy("draw", "id").limit(per_label).unionAll(
         known.filter("quality = 1").orderBy("draw", "id").limit(per_label))
-    # drawn has at most 2 x per_label rows
-    share = max(max_lines // PER_DOCUMENT, 1)
-    text = F.substring_index(F.min("text"), "\n", share)
+    # drawn has at most 2 x per_label rows, and so have the sizes that come to the driver
     texts = written(docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-                    .join(F.broadcast(drawn), "id").groupBy("id", "quality", "draw").agg(text.alias("text")), "labelled")
+                    .join(F.broadcast(drawn), "id").groupBy("id", "quality", "draw").agg(F.min("text").alias("text")), "labelled")
     lines = F.length("text") - F.length(F.replace(F.col("text"), F.lit("\n"), F.lit(""))) + 1
     sizes = texts.select("id", "quality", "draw", lines.alias("lines")).withColumn(
         "turn", F.row_number().over(W.partitionBy("quality").orderBy("draw", "id")))
-    fit = sizes.withColumn("lines", F.sum("lines").over(W.orderBy("turn", "draw", "id"))).filter(F.col("lines") <= max_lines)
-    return texts.join(F.broadcast(fit.select("id")), "id").select(F.col("id").alias("doc_id"), "quality", "text")
+    ids = chosen([tuple(r) for r in sizes.select("turn", "draw", "id", "lines").collect()], max_lines, document_lines)
+    fit = docs.sparkSession.createDataFrame([(i,) for i in ids], T.StructType([T.StructField("id", texts.schema["id"].dataType)]))
+    return texts.join(F.broadcast(fit), "id").select(F.col("id").alias("doc_id"), "quality", "text")
 
 
 def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, per_label: int = 1500, max_lines: int = 60_000,
-          id_col: str = "doc_id", text_col: str = "text") -> LineCrf | None:
+          document_lines: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> LineCrf | None:
     """The line model learnt from a bounded sample; None if the labels lack one of the two classes.
 
     Only the sample's line features come to the driver, at most ``max_lines``
@@ -70,7 +83,7 @@ def train(docs: DataFrame, labels: DataFrame, held_out: int = 1, per_label: int
                 [batch.column("doc_id").cast(pa.int64()), batch.column("quality").cast(pa.int64()),
                  pa.array([p.astype("<f4").tobytes() for p in np.split(x, cuts)], pa.binary()),
                  pa.array([p.astype("<i8").tobytes() for p in np.split(sizes, cuts)], pa.binary())], ["doc_id", "quality", "x", "sizes"])
-    sample = training_sample(docs, labels, held_out, per_label, max_lines, id_col, text_col)
+    sample = training_sample(docs, labels, held_out, per_label, max_lines, document_lines, id_col, text_col)
     rows = sorted(sample.mapInArrow(features, "doc_id long, quality long, x binary, sizes binary").collect())
     if len({r.quality for r in rows}) < 2:
         if usable_labels(labels, held_out).select("quality").distinct().count() == 2:
@@ -94,15 +107,18 @@ def score_column(text: Column, model: LineCrf | None) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, held_out: int = 1, threshold: float = 0.5, per_label: int = 1500,
-             max_lines: int = 60_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+             max_lines: int = 60_000, document_lines: int = 3000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with held_out, score and predicted added (columns of these names are replaced).
 
     A null text scores as an empty one, which is a document of one empty line.
     Repeated rows score alike; a row without an id is never held out and never
     learnt from. Labels, sources and ids are no inputs of a score. Without
-    labels of both classes every score is 0.5. An empty table gives no rows.
+    labels of both classes every score is 0.5. Texts are scored whole, in
+    blocks of lines, whatever their length; the sample's bounds (per_label,
+    max_lines, document_lines) hold for training alone. An empty table gives
+    no rows.
     """
-    model = train(docs, labels, held_out, per_label, max_lines, id_col, text_col)
+    model = train(docs, labels, held_out, per_label, max_lines, document_lines, id_col, text_col)
     new = ("held_out", "score", "predicted")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in new]
     scored = docs.select(*kept, F.coalesce(fold(F.col(id_col)) == held_out, F.lit(False)).alias("held_out"),

@@ -10,15 +10,23 @@ from pyspark.sql import functions as F
 
 from ledgerly.llm import (ann, bpe, chat, exact_dedup, lexical, license_scan, line_dedup, mixing, quality, simhash, token_files,
                           warc, whitening)
-from ledgerly.llm.common import shared_path
+from ledgerly.llm.common import shared_path, written
 from ledgerly.sources.tables import table
 
 
 def op1_warc_salvage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Pages written as WARC records, payloads once, and read back through the salvage reader."""
+    """Pages written as WARC records, payloads once, with torn records among them, and read back through the salvage reader.
+
+    Members hold four records and every 50th record stands torn before its
+    whole copy, so what comes back went through the search behind failed
+    checks; the log of the quarantined gaps is a table beside the archives.
+    """
     path = shared_path(spark, "warc")
-    warc.write_archives(table(spark, sf_dir, "pages"), path, min_bytes=0)
-    records = warc.read_archives(spark, path).filter("kind = 'record'")
+    warc.write_archives(table(spark, sf_dir, "pages"), path, min_bytes=0, member_records=4, torn_every=50)
+    found = warc.read_archives(spark, path)
+    gaps = ("archive", "kind", "offset", "length", "reason")
+    written(found.filter("kind <> 'record'").select(*gaps), "gaps")
+    records = found.filter("kind = 'record'")
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
@@ -123,7 +131,7 @@ WITH l AS (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS l
     generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS pos FROM documents),
 k AS (SELECT *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l),
-hot AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) >= 10)
+hot AS (SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT doc_id) + max(CASE WHEN doc_id IS NULL THEN 1 ELSE 0 END) >= 10)
 SELECT doc_id, count(*) AS n_lines, count(hot.key) AS n_dropped,
   sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (hot.key IS NULL), '')) AS kept_sha256
 FROM k LEFT JOIN hot USING (key) GROUP BY doc_id""",
@@ -170,9 +178,9 @@ WITH rules(rule, label, level, keyword, pattern, base) AS (VALUES
 d AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents),
 s AS (SELECT rid, w, p FROM (SELECT rid, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM d) WHERE w IN (SELECT keyword FROM rules)),
-f AS (SELECT s.rid, s.p - 1 AS at, r.*, regexp_extract(concat_ws(' ', nullif(array_to_string(ws[greatest(1, s.p - 16):s.p - 1], ' '), ''),
+f AS (SELECT s.rid, s.p - 1 AS place, r.*, regexp_extract(concat_ws(' ', nullif(array_to_string(ws[greatest(1, s.p - 16):s.p - 1], ' '), ''),
     '<' || array_to_string(ws[s.p:s.p + 24], ' ')), r.pattern, 1) AS m FROM s JOIN d USING (rid) JOIN rules r ON r.keyword = s.w),
-x AS (SELECT rid, rule, label, level, base, at - (length(split_part(m, '<', 1)) - length(replace(split_part(m, '<', 1), ' ', ''))) AS a,
+x AS (SELECT rid, rule, label, level, base, place - (length(split_part(m, '<', 1)) - length(replace(split_part(m, '<', 1), ' ', ''))) AS a,
     length(m) - length(replace(m, ' ', '')) + 1 AS n FROM f WHERE m <> ''),
 i AS (SELECT *, a + n AS b FROM x),
 kept AS (SELECT * FROM i WHERE base OR NOT EXISTS (SELECT 1 FROM i AS o WHERE o.rid = i.rid AND NOT o.base AND o.a <= i.a AND o.b >= i.b

@@ -42,6 +42,12 @@ def record_id(page_id) -> str:
     return "<urn:page:none>" if page_id is None else f"<urn:page:{page_id}>"
 
 
+def zip_member(data: bytes) -> bytes:
+    """A gzip member, the same in every run."""
+    made = zlib.compressobj(1, zlib.DEFLATED, 31)
+    return made.compress(data) + made.flush()
+
+
 def _page_of(value: bytes | None):
     found = re.fullmatch(rb"<urn:page:(-?\d+)>", (value or b"").strip())
     return int(found[1]) if found else None
@@ -79,8 +85,12 @@ def with_revisits(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, p
 
 
 def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archive_bytes: int = 8 << 20, id_col: str = "page_id",
-                   url_col: str = "url", payload_col: str = "html") -> None:
-    """Write one record per row of ``pages`` to plain WARC files under ``path``.
+                   url_col: str = "url", payload_col: str = "html", member_records: int = 0, torn_every: int = 0) -> None:
+    """Write one record per row of ``pages`` to WARC files under ``path``, plain or with a gzip member for ``member_records`` records.
+
+    The text writer's line end closes the last record, or follows the last
+    member. With ``torn_every``, the first half of every so many-th record stands once
+    more before it, as an interrupted and resumed writer leaves it.
 
     Of rows with equal payloads of at least ``min_bytes``, those with the
     smallest id are responses and the others revisit it; rows without an id are
@@ -90,14 +100,20 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = 0, archive_byte
     """
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def archive(records):
+            if member_records:
+                members = [zip_member(b"".join(r + END for r in some)) for some in batched(records, member_records)]
+                return pa.RecordBatch.from_arrays([pa.array([b"".join(members)], pa.binary())], ["archive"])
             return pa.RecordBatch.from_arrays([pa.array([END.join(records)], pa.binary())], ["archive"])
         held, size = [], 0
-        for r in (row for batch in batches for row in batch.to_pylist()):
+        for n, r in enumerate(row for batch in batches for row in batch.to_pylist()):
             digest = base64.b32encode(r["sha"]).decode()
             record = make_record(r["page_id"], r["url"], r["payload"], digest, r["size"], r["refers_to"])
             if held and size + len(record) > archive_bytes:
                 yield archive(held)
                 held, size = [], 0
+            if torn_every and n % torn_every == torn_every - 1:
+                held.append(record[:len(record) // 2])
+                size += len(held[-1])
             held.append(record)
             size += len(record)
         if held:
@@ -147,36 +163,75 @@ def parse_record(data: bytes, at: int):
                      "payload_digest": digest or base32_sha1(payload or b""), "payload_bytes": size, "payload": payload}
 
 
-def _member(data: bytes, at: int, max_bytes: int, step: int = 1 << 16):
-    """(end, content) of the gzip member at ``at``, length and checksum checked."""
-    unzip, content, size = zlib.decompressobj(31), [], 0
-    try:
-        while not unzip.eof and at < len(data) and size <= max_bytes:
-            content.append(unzip.decompress(data[at:at + step]))
-            size, at = size + len(content[-1]), at + step
-    except zlib.error as e:
-        raise ValueError(f"gzip: {e}") from None
-    if not unzip.eof:
-        raise ValueError("gzip: member without an end, or too long")
-    return min(at, len(data)) - len(unzip.unused_data), b"".join(content)
+def _member(data: bytes, at: int, max_bytes: int, step: int = 1 << 16) -> tuple[int | None, bytes, str]:
+    """(end, content, fault) of the gzip member at ``at``; the end is None, and the content what came before the fault, if a check fails."""
+    unzip, content, size, fault = zlib.decompressobj(31), [], 0, ""
+    while not unzip.eof and at < len(data) and size <= max_bytes and not fault:
+        # small bites, so that a broken one takes little of the sound content with it
+        for p in range(at, min(at + step, len(data)), 1 << 10):
+            try:
+                content.append(unzip.decompress(data[p:min(p + (1 << 10), at + step)]))
+            except zlib.error as e:
+                fault = f"gzip: {e}"
+                break
+            size += len(content[-1])
+            if unzip.eof:
+                break
+        else:
+            at = min(at + step, len(data))
+            continue
+        at = min(p + (1 << 10), at + step, len(data))
+    if not unzip.eof and not fault:
+        fault = "gzip: member without an end, or too long"
+    return None if fault else at - len(unzip.unused_data), b"".join(content), fault
+
+
+def _inside(content: bytes) -> Iterator[tuple[str, int, int, object]]:
+    """Records and gaps of plain bytes: after a failed check, on from the next version line whose record passes."""
+    at, gap, reason = 0, None, ""
+    while at < len(content):
+        try:
+            end, record = parse_record(content, at)
+        except ValueError as e:
+            if gap is None:
+                gap, reason = at, str(e)
+            following = START.search(content, at + 1)
+            at = following.start() if following else len(content)
+            continue
+        if gap is not None:
+            yield "gap", gap, at - gap, reason
+            gap = None
+        yield "record", at, end - at, record
+        at = end
+    if gap is not None:
+        yield "gap", gap, len(content) - gap, reason
 
 
 def salvage(data: bytes, max_member: int = 1 << 30) -> Iterator[tuple[str, int, int, object]]:
-    """(kind, offset, length, record or reason) for records and gaps, covering every byte once, in order."""
+    """(kind, offset, length, record or reason) for records and gaps.
+
+    Offsets and lengths are bytes of the archive: records and gaps together
+    cover every byte. Records that share a gzip member share its offset and
+    length. Within a member the search goes on as outside: a sound member's
+    faulty bytes are reported as 'inner gap' with the member's place, and of a
+    member that breaks off or is damaged the records before its fault are
+    kept, while its bytes are a gap.
+    """
     at, gap, reason = 0, None, ""
     while at < len(data):
+        zipped = data.startswith(GZIP, at)
         try:
-            if data.startswith(GZIP, at):
-                end, content = _member(data, at, max_member)
-                found, inner = [], 0
-                while inner < len(content):
-                    inner, record = parse_record(content, inner)
-                    found.append(record)
-                if not found:
-                    raise ValueError("gzip: empty member")
+            if zipped:
+                end, content, fault = _member(data, at, max_member)
+                found = [x for x in _inside(content) if x[0] == "record" or not fault]
+                if not any(kind == "record" for kind, *_ in found) or fault:
+                    for _, _, _, record in found if fault else ():
+                        yield "record", at, 0, record
+                    raise ValueError(fault or (found[0][3] if found else "gzip: empty member"))
+                end += len(data[end:end + 4]) - len(data[end:end + 4].lstrip(b"\r\n"))  # line ends behind a member are its own
             else:
                 end, record = parse_record(data, at)
-                found = [record]
+                found = [("record", 0, 0, record)]
         except ValueError as e:
             if gap is None:
                 gap, reason = at, str(e)
@@ -186,18 +241,24 @@ def salvage(data: bytes, max_member: int = 1 << 30) -> Iterator[tuple[str, int,
         if gap is not None:
             yield "gap", gap, at - gap, reason
             gap = None
-        for record in found:
-            yield "record", at, end - at, record
+        for kind, begin, size, what in found:
+            if kind == "record":
+                yield "record", at, end - at, what
+            else:
+                yield "inner gap", at, end - at, f"{size} bytes from {begin} on within the member: {what}"
         at = end
     if gap is not None:
         yield "gap", gap, len(data) - gap, reason
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of RECORDS: kind 'record' for each record that passes its checks, kind 'gap' for quarantined bytes.
+    """Rows of RECORDS: kind 'record' for each record that passes its checks, kinds 'gap' and 'inner gap' for quarantined bytes.
 
     A gap's offset, length and reason say what was skipped and which check
-    failed first; records after it are recovered. Empty files give no rows.
+    failed first; records after it are recovered, within gzip members too (see
+    ``salvage``). Empty files give no rows. Version lines are what the search
+    goes by: a damaged plain record whose payload holds a whole sound record
+    gives that one; members of one record each hide payloads from the search.
     One archive is read whole, so archives should be of bounded size, as
     ``write_archives`` makes them; a gzip member may unfold to 1 GB.
     """
@@ -207,7 +268,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                 for some in batched(salvage(content.as_py()), 256):
                     yield pa.RecordBatch.from_pylist(
                         [{"archive": archive.as_py(), "kind": kind, "offset": offset, "length": length}
-                         | ({"reason": what} if kind == "gap" else what) for kind, offset, length, what in some], RECORDS)
+                         | ({"reason": what} if kind != "record" else what) for kind, offset, length, what in some], RECORDS)
     files = spark.read.format("binaryFile").load(path)
     schema = ", ".join(f"{f.name} {'long' if f.type == pa.int64() else f.type}" for f in RECORDS)
     return files.select("path", "content").mapInArrow(parse, schema)

@@ -4,6 +4,7 @@ import gzip
 import itertools
 import random
 import re
+import tracemalloc
 
 import numpy as np
 import public_tokenizers
@@ -72,6 +73,11 @@ def test_line_dedup(spark, docs, none):
     assert rows[6].n_dropped == 4000 and rows[6].text == "" and rows[7].n_dropped == 4000
     assert rows[9].text == "shared\nown"
     assert line_dedup.line_dedup(none).count() == 0
+    repeated = spark.createDataFrame([(1, "x\ny")] * 9 + [(None, "x")] * 9 + [(2, "y")], "doc_id long, text string")
+    rows = line_dedup.line_dedup(repeated, min_docs=3, min_chars=1).collect()  # two documents have x, two have y
+    assert {(r.doc_id, r.text) for r in rows} == {(1, "x\ny"), (None, "x"), (2, "y")} and len(rows) == 19
+    rows = line_dedup.line_dedup(repeated, min_docs=2, min_chars=1).collect()
+    assert {r.text for r in rows} == {""} and sum(r.n_dropped for r in rows) == 28
     mixed = spark.createDataFrame([(1, "\tHeÉ x \r\nkeep1"), (2, "heÉ X"), (3, "heé x")], "doc_id long, text string")
     rows = {r.doc_id: r.text for r in line_dedup.line_dedup(mixed, min_docs=2).collect()}
     assert rows == {1: "keep1", 2: "", 3: "heé x"}  # only A-Z are folded
@@ -148,11 +154,47 @@ def test_a_very_long_document_shuts_out_no_other(spark):
     texts = [(i, "x\n" * 5000 if i == ids[0] else f"text {i}\nmore") for i in ids]
     df = spark.createDataFrame(texts, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(k < 10)) for k, i in enumerate(ids)], "doc_id long, quality int")
-    rows = {r.doc_id: r for r in quality.training_sample(df, labels, 9, 1500, 1000, "doc_id", "text").collect()}
-    assert rows.keys() == set(ids) and all(rows[i].text == t for i, t in texts if i != ids[0])
-    assert rows[ids[0]].text == "\n".join("x" * 50)
-    few = quality.training_sample(df, labels, 9, 1500, 60, "doc_id", "text").collect()
-    assert {r.quality for r in few} == {0, 1} and sum(r.text.count("\n") + 1 for r in few) <= 60
+
+    def drawn(max_lines, document_lines):
+        return {r.doc_id: r.text for r in quality.training_sample(df, labels, 9, 1500, max_lines, document_lines, "doc_id", "text").collect()}
+    others = {i: t for i, t in texts if i != ids[0]}
+    assert drawn(1000, 50) == others and drawn(5000, 50) == others
+    assert drawn(6000, 50) == dict(texts) and drawn(6000, 6000) == dict(texts)  # whole, and last of all
+    assert len(drawn(7, 50)) == 3 and all(t == others[i] for i, t in drawn(7, 50).items())
+
+
+def test_texts_are_chosen_whole_in_the_order_of_the_draw():
+    rows = [(1, 5, "a", 9), (1, 7, "b", 40), (2, 1, "c", 3), (2, 9, "d", 8), (3, 0, "e", 20)]
+    assert quality.chosen(rows, 12, 30) == ["a", "c"]
+    assert quality.chosen(rows, 20, 30) == ["a", "c", "d"]
+    assert quality.chosen(rows, 80, 5) == ["c", "d", "a", "e", "b"]
+    assert quality.chosen([], 5, 5) == [] and quality.chosen(rows, 2, 5) == []
+
+
+def _model(texts):
+    x, sizes, counts = line_crf.line_features(texts)
+    return line_crf.LineCrf().fit(x, sizes, counts, np.arange(len(texts)) % 2, rounds=1, steps=20)
+
+
+@pytest.mark.parametrize("most_lines", [1, 2, 3, 50])
+def test_scores_do_not_depend_on_blocks_of_lines(most_lines):
+    r = random.Random(most_lines)
+    texts = ["\n".join("".join(r.choices("ab C1!.$ é", k=r.randint(0, 12))) for _ in range(r.choice([1, 2, 50, 333]))).encode() for _ in range(40)]
+    texts += [b"", b"\n", b"\n\n\n", b"same same\nsame", b"same"]
+    model = _model(texts)
+    want = np.concatenate([model.score([t]) for t in texts])
+    assert np.allclose(model.score(texts, most_lines=most_lines), want, atol=1e-12)
+    assert np.allclose(model.score(texts), want, atol=1e-12)
+
+
+def test_a_text_of_line_breaks_is_scored_in_little_memory():
+    model = _model([b"a b\nc", b"$$"])
+    tracemalloc.start()
+    try:
+        model.score([b"\n" * 200_000])
+        assert tracemalloc.get_traced_memory()[1] < 50e6
+    finally:
+        tracemalloc.stop()
 
 
 def test_forward_backward_against_all_paths():
@@ -221,6 +263,48 @@ def test_salvage_recovers_what_follows_damage(zipped):
     assert sum(n for _, _, n, _ in found) == len(broken)  # every byte is a record's or a gap's
 
 
+def _ids(data, **more):
+    return [w["page_id"] for k, _, _, w in warc.salvage(data, **more) if k == "record"]
+
+
+def test_salvage_goes_on_within_a_member():
+    records = _records(100)
+    broken = [r if k != 41 else r[:-30] + b"?" + r[-29:] for k, r in enumerate(records)]
+    found = list(warc.salvage(gzip.compress(b"".join(broken), mtime=0)))
+    assert [w["page_id"] for k, _, _, w in found if k == "record"] == [k for k in range(100) if k != 41]
+    inner = [(o, w) for k, o, _, w in found if k == "inner gap"]
+    assert len(inner) == 1 and inner[0][0] == 0 and inner[0][1].startswith(f"{len(records[41])} bytes from {len(b''.join(records[:41]))} on")
+    last = gzip.compress(b"".join(records[:-1]) + b"WARC/1.1\r\nhalf a record", mtime=0)
+    assert _ids(last) == list(range(99))
+
+
+def test_salvage_keeps_what_a_broken_member_gave():
+    r = random.Random(3)  # payloads that do not compress, so that a fault's place decides what comes before it
+    payloads = [bytes(r.choices(range(256), k=3000)) for _ in range(100)]
+    records = [warc.make_record(k, None, p, warc.base32_sha1(p), len(p)) + warc.END for k, p in enumerate(payloads)]
+    whole = gzip.compress(b"".join(records), mtime=0)
+    assert _ids(whole[:-4]) == list(range(100))  # cut within the checksum
+    cut = list(warc.salvage(whole[:len(whole) // 2] + gzip.compress(records[7], mtime=0)))
+    ids = [w["page_id"] for k, _, _, w in cut if k == "record"]
+    assert ids[-1] == 7 and ids[:-1] == list(range(len(ids) - 1)) and 45 <= len(ids) <= 52
+    assert [(o, n) for k, o, n, _ in cut if k == "gap"] == [(0, len(whole) // 2)]
+    assert sum(n for k, _, n, _ in cut if k != "inner gap") == len(whole) // 2 + len(gzip.compress(records[7], mtime=0))
+
+
+@pytest.mark.parametrize("member_records", [0, 1, 3])
+def test_torn_records_are_gaps_and_nothing_is_lost(spark, member_records):
+    df = spark.createDataFrame([(k, "u", f"payload {k} " * (k % 7)) for k in range(60)] + [(3, "u", "payload 3 " * 3)] * 2,
+                               "page_id long, url string, html string")
+    path = shared_path(spark, "test")
+    warc.write_archives(df, path, member_records=member_records, torn_every=5, archive_bytes=4000)
+    rows = warc.read_archives(spark, path).collect()
+    records = [r for r in rows if r.kind == "record"]
+    assert sorted(r.page_id for r in records) == sorted([*range(60), 3, 3])
+    assert len([r for r in rows if r.kind != "record"]) >= 8
+    assert {r.page_id: r.payload_bytes for r in records} == {k: len(f"payload {k} " * (k % 7)) for k in range(60)}
+    assert len({r.archive for r in rows}) > 1
+
+
 @given(st.binary(max_size=80), st.integers(0, 5), st.integers(0, 200))
 def test_salvage_never_fails(noise, k, at):
     data = b"".join(_records(3))
@@ -299,6 +383,10 @@ def test_chat_windows(spark):
     assert fresh == [(r[2], r[3]) for r in rows[:12]]
     said = [chat.unescape(r.text[t.start:t.end]) for r in one for t in r.targets]
     assert said == [r[3] for r in rows[:12] if r[2] == "assistant"]
+    short = spark.createDataFrame([(1, k, "user" if k % 2 else "assistant", "[/INST]</s> ok") for k in range(400)], "conv_id long, turn long, role string, text string")
+    for budget in (100, 1024):
+        sizes = [len(LIBRARY.encode(r.text, add_special_tokens=False).ids) for r in chat.format_chats(short, BYTE, budget=budget).collect()]
+        assert max(sizes) <= budget and max(sizes) > 0.7 * budget
     path = shared_path(spark, "test")
     chat.write_chats(df, path, BYTE, budget=100, history=45)
     got = {r.conv_id: r for r in chat.read_chats(spark, path).collect()}
