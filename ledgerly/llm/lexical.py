@@ -17,6 +17,7 @@ from __future__ import annotations
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,100 +34,95 @@ TERM_BYTES = bytes(b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <=
 ONE, LENGTH = 1_000_000_000, 75
 #: Dimensions that terms are folded to when documents are compared.
 FOLD = 512
-#: A pivot has at most this many different terms, so that the pivots are bounded.
-PIVOT_TERMS = 2000
+#: A pivot has at most this many characters, so that the pivots are bounded.
+PIVOT_CHARS = 20_000
 
 
 def count_terms(text: str | None) -> Counter:
-    return Counter((text or "").encode().translate(TERM_BYTES).split(b" ")) if text else Counter()
+    """Terms, as bytes, and how often they stand in the text."""
+    counts = Counter((text or "").encode().translate(TERM_BYTES).split(b" "))
+    counts.pop(b"", None)
+    return counts
 
 
-def terms_of(rows: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """id, n (terms with repeats), terms and tfs (one per different term) of every row; null texts have none."""
-    schema = f"id {rows.schema[id_col].dataType.simpleString()}, n long, terms array<string>, tfs array<int>"
+def folded(counts: list[Counter]) -> np.ndarray:
+    """Documents as unit vectors of ``FOLD`` dimensions; repeats of a term count by their logarithm."""
+    out = np.zeros((len(counts), FOLD), dtype=np.float32)
+    rows = np.repeat(np.arange(len(counts)), [len(c) for c in counts])
+    place = np.fromiter((zlib.crc32(t) for c in counts for t in c), dtype=np.int64, count=len(rows))
+    tf = np.fromiter((n for c in counts for n in c.values()), dtype=np.float32, count=len(rows))
+    np.add.at(out, (rows, place % FOLD), np.where(place >> 20 & 1, 1, -1) * (1 + np.log(tf)))
+    return out / np.maximum(np.linalg.norm(out, axis=1), 1e-9)[:, None]
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for p in range(0, batch.num_rows, 256):  # few texts at once: they may be long
-                part = batch.slice(p, 256)
-                ends, terms, tfs, n = [0], [], [], []
-                for text in part.column("text"):
-                    counts = count_terms(text.as_py())
-                    counts.pop(b"", None)
-                    terms += counts.keys()
-                    tfs += counts.values()
-                    n.append(sum(counts.values()))
-                    ends.append(len(terms))
-                ends = pa.array(ends, pa.int32())
-                yield pa.RecordBatch.from_arrays(
-                    [part.column("id"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(ends, pa.array(terms, pa.binary()).cast(pa.string())),
-                     pa.ListArray.from_arrays(ends, pa.array(tfs, pa.int32()))], ["id", "n", "terms", "tfs"])
 
-    return rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
+def pivot_vectors(docs: DataFrame, pivots: int, id_col: str, text_col: str) -> np.ndarray:
+    """At most ``pivots`` documents of at most ``PIVOT_CHARS`` characters, drawn by a hash of the id, as vectors."""
+    drawn = (docs.filter(F.length(text_col).between(1, PIVOT_CHARS)).orderBy(F.xxhash64(F.col(id_col), F.lit(5)), F.col(id_col))
+             .limit(pivots).select(F.col(text_col).alias("text")).collect())
+    return folded([count_terms(r.text) for r in drawn] or [Counter()])
 
 
-def folded(terms: pa.ListArray, tfs: pa.ListArray) -> np.ndarray:
-    """Documents as unit vectors of ``FOLD`` dimensions; repeats of a term count by their logarithm."""
-    rows = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
-    words = terms.flatten().dictionary_encode()
-    place = np.array([zlib.crc32(w.as_py().encode()) for w in words.dictionary], dtype=np.int64)[words.indices.to_numpy()] if len(rows) else rows
-    out = np.zeros((len(terms), FOLD), dtype=np.float32)
-    np.add.at(out, (rows, place % FOLD), np.where(place >> 20 & 1, 1, -1) * (1 + np.log(tfs.flatten().to_numpy())))
-    return out / np.maximum(np.linalg.norm(out, axis=1), 1e-9)[:, None]
+#: A document's terms joined by spaces, which no term holds, and how often each stands in it, as 32-bit integers.
+VECTOR = "id {kind}, n long, terms string, tfs binary, cell long"
 
 
-def blocked(vectors: DataFrame, block_docs: int, pivots: int) -> DataFrame:
-    """``vectors`` with ``block``: the two nearest pivots, and a part by hash where they draw more than ``block_docs``."""
-    drawn = vectors.filter(F.size("terms") <= PIVOT_TERMS).orderBy(F.xxhash64("rid", F.lit(5))).limit(pivots).select("terms", "tfs").toArrow()
-    centres = folded(*[drawn.column(c).combine_chunks() for c in ("terms", "tfs")]) if drawn.num_rows else np.zeros((1, FOLD), np.float32)
+def vectors_of(rows: DataFrame, id_col: str, text_col: str, pivots: np.ndarray | None = None) -> DataFrame:
+    """``VECTOR`` of every row; ``cell`` tells the two nearest pivots (0 without pivots). Null texts have no terms."""
+    schema = VECTOR.format(kind=rows.schema[id_col].dataType.simpleString())
 
-    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            first, second = [], []
-            for p in range(0, batch.num_rows, 1024):
-                part = batch.slice(p, 1024)
-                like = folded(part.column("terms"), part.column("tfs")) @ centres.T
-                best = like.argmax(axis=1)
-                like[np.arange(len(like)), best] = -2
-                first.append(best)
-                second.append(like.argmax(axis=1))
-            cell = np.concatenate(first or [np.empty(0, np.int64)]) * len(centres) + np.concatenate(second or [np.empty(0, np.int64)])
-            yield pa.RecordBatch.from_arrays([batch.column("rid"), pa.array(cell.astype(np.int64))], ["rid", "cell"])
+            for p in range(0, batch.num_rows, 512):  # few texts at once: they may be long
+                part = batch.slice(p, 512)
+                counts = [count_terms(t.as_py()) for t in part.column("text")]
+                cells = np.zeros(len(counts), dtype=np.int64)
+                if pivots is not None:
+                    like = folded(counts) @ pivots.T
+                    best = like.argmax(axis=1)
+                    like[np.arange(len(like)), best] = -2
+                    cells = best * len(pivots) + like.argmax(axis=1)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), pa.array([sum(c.values()) for c in counts], pa.int64()), pa.array([b" ".join(c) for c in counts], pa.binary()).cast(pa.string()),
+                     pa.array([np.fromiter(c.values(), "<u4", len(c)).tobytes() for c in counts], pa.binary()), pa.array(cells)],
+                    ["id", "n", "terms", "tfs", "cell"])
 
-    cells = written(vectors.mapInArrow(near, "rid long, cell long"), "cells")
-    sizes = cells.groupBy("cell").agg(F.ceil(F.count("*") / block_docs).alias("parts"))
-    placed = cells.join(sizes, "cell").select(
-        "rid", F.xxhash64("cell", F.expr("pmod(xxhash64(rid), parts)")).alias("block"))
-    return vectors.join(placed, "rid")
+    return rows.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(run, schema)
 
 
-BLOCK = "block long, ids array<{kind}>, terms array<string>, maxima array<int>, starts array<int>, members array<int>, values array<int>"
+#: Per block: its documents and their lengths; its terms, joined as above, and of each list the greatest value and where it
+#: starts; of all lists the members' places, as 16-bit integers (32 where a block is larger), and term counts, as 32-bit ones.
+BLOCK = "block long, ids array<{kind}>, lengths array<long>, terms string, maxima array<int>, starts array<int>, members binary, tfs binary"
 
 
-def block_rows(docs: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
-    """One row per block: its documents, and for each of its terms the list's members, their values and the greatest one.
+def values_of(tfs: np.ndarray, lengths: np.ndarray, n_docs: int, n_terms: int) -> np.ndarray:
+    """(10^9 tf) div (1000 tf + 8 m), m the document's length in hundredths of the mean; the term's weight is left to the query."""
+    if LENGTH * int(lengths.max(initial=0)) * n_docs < 1 << 62:
+        m = 100 - LENGTH + LENGTH * lengths * n_docs // n_terms
+    else:
+        m = np.array([100 - LENGTH + LENGTH * int(n) * n_docs // n_terms for n in lengths], dtype=np.int64)
+    return ONE * tfs // (1000 * tfs + 8 * m)
 
-    A value is (10^9 tf) div (1000 tf + 8 m), m the document's length in
-    hundredths of the mean, as the score asks for; the term's weight is left
-    to the query.
-    """
+
+def block_rows(docs: DataFrame, n_docs: int, n_terms: int) -> DataFrame:
+    """One row per block, see ``BLOCK``."""
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        terms = table.column("terms").combine_chunks()
-        tf = table.column("tfs").combine_chunks().flatten().to_numpy().astype(np.int64)
-        length = np.array([100 - LENGTH + LENGTH * int(n) * n_docs // n_terms for n in table.column("n").to_pylist()], dtype=np.int64)
-        member = np.repeat(np.arange(len(terms)), np.diff(terms.offsets.to_numpy()))
-        value = ONE * tf // (1000 * tf + 8 * length[member])
-        words = terms.flatten().dictionary_encode()
+        names = [t.split(" ") for t in table.column("terms").to_pylist()]
+        member = np.repeat(np.arange(len(names)), [len(t) for t in names])
+        words = pa.array([w for t in names for w in t], pa.string()).dictionary_encode()
+        tf = np.frombuffer(b"".join(table.column("tfs").to_pylist()), "<u4").astype(np.int64)
+        value = values_of(tf, table.column("n").to_numpy()[member], n_docs, n_terms)
         place = words.indices.to_numpy()
         order = np.lexsort((member, place))
         starts = np.searchsorted(place[order], np.arange(len(words.dictionary) + 1))
-        maxima = np.maximum.reduceat(value[order], starts[:-1]) if len(order) else value
-        lists = [table.column("id").combine_chunks(), words.dictionary, *[pa.array(x.astype(np.int32)) for x in (maxima, starts, member[order], value[order])]]
-        return pa.Table.from_arrays([pa.array([key[0].as_py()], pa.int64()), *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in lists]],
-                                    ["block", "ids", "terms", "maxima", "starts", "members", "values"])
+        lists = lambda x, kind: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), pa.array(x, kind))
+        return pa.Table.from_arrays(
+            [pa.array([key[0].as_py()], pa.int64()), lists(table.column("id").combine_chunks(), None), lists(table.column("n").to_numpy(), pa.int64()),
+             pa.array([" ".join(words.dictionary.to_pylist())]), lists(np.maximum.reduceat(value[order], starts[:-1]), pa.int32()), lists(starts, pa.int32()),
+             pa.array([member[order].astype("<u2" if len(names) <= 1 << 16 else "<u4").tobytes()]), pa.array([tf[order].astype("<u4").tobytes()])],
+            ["block", "ids", "lengths", "terms", "maxima", "starts", "members", "tfs"])
 
     return docs.select("block", "id", "n", "terms", "tfs").groupBy("block").applyInArrow(run, BLOCK.format(kind=kind))
 
@@ -162,26 +158,35 @@ def walk(weights: np.ndarray, maxima: np.ndarray, values: np.ndarray, least: np.
 CELLS = 2_000_000
 
 
-def scored(hits: DataFrame, pairs: DataFrame, blocks: DataFrame, k: int, chunks: int) -> DataFrame:
+class Index(NamedTuple):
+    blocks: DataFrame
+    n_docs: int
+    n_terms: int
+
+
+def scored(hits: DataFrame, pairs: DataFrame, index: Index, k: int, chunks: int) -> DataFrame:
     """q, id, score: the k best documents of each (query, block) of ``pairs`` that reach the pair's ``least``."""
+    blocks, n_docs, n_terms = index
     kind = blocks.schema["ids"].dataType.elementType.simpleString()
-    pairs = pairs.select("q", "block", "least", F.expr(f"pmod(xxhash64(q), {chunks})").alias("chunk"))
+    pairs = pairs.select("q", "block", "least", F.expr(f"pmod(xxhash64(q), {chunks})").cast("int").alias("chunk"))
     asked = hits.join(pairs, ["q", "block"]).select("block", "chunk", "q", "place", "weight", "least")
-    wanted = pairs.select("block", "chunk").distinct().join(blocks, "block").select(
-        F.col("block").alias("of"), F.col("chunk").alias("part"), "ids", "maxima", "starts", "members", "values")
+    wanted = blocks.select(F.col("block").alias("of"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("part"),
+                           "ids", "lengths", "maxima", "starts", "members", "tfs")
 
     def run(asked: pa.Table, block: pa.Table) -> pa.Table:
         found: list[tuple[np.ndarray, ...]] = []
         ids = block.column("ids")[0].values if block.num_rows else pa.array([], pa.int64())
         if block.num_rows and asked.num_rows:
-            maxima, starts, members, values = (np.asarray(block.column(c)[0].values, dtype=np.int64) for c in ("maxima", "starts", "members", "values"))
+            lengths, maxima, starts = (np.asarray(block.column(c)[0].values, dtype=np.int64) for c in ("lengths", "maxima", "starts"))
+            tfs = np.frombuffer(block.column("tfs")[0].as_py(), "<u4").astype(np.int64)
+            members = np.frombuffer(block.column("members")[0].as_py(), "<u2" if len(ids) <= 1 << 16 else "<u4")
             by_id = np.argsort(pc.sort_indices(ids, null_placement="at_end").to_numpy())
             q, place, weight, least = (asked.column(c).to_numpy() for c in ("q", "place", "weight", "least"))
             lists, column = np.unique(place, return_inverse=True)
             sizes = starts[lists + 1] - starts[lists]
             at = np.arange(sizes.sum()) + np.repeat(starts[lists] - np.cumsum(sizes) + sizes, sizes)
             dense = np.zeros((len(lists), len(ids)), dtype=np.int64)
-            dense[np.repeat(np.arange(len(lists)), sizes), members[at]] = values[at]
+            dense[np.repeat(np.arange(len(lists)), sizes), members[at]] = values_of(tfs[at], lengths[members[at]], n_docs, n_terms)
             queries, first, row = np.unique(q, return_index=True, return_inverse=True)
             step = max(1, CELLS // max(len(lists), len(ids)))
             for p in range(0, len(queries), step):
@@ -205,18 +210,22 @@ def top(rows: DataFrame, k: int) -> DataFrame:
     return rows.withColumn("rank", rank).filter(F.col("rank") <= k)
 
 
-def index(docs: DataFrame, block_docs: int = 64, pivots: int = 64, id_col: str = "doc_id", text_col: str = "text"):
-    """(table of blocks, number of documents with a term) over every row; see ``block_rows``.
+def index(docs: DataFrame, block_docs: int = 64, pivots: int = 64, id_col: str = "doc_id", text_col: str = "text") -> Index:
+    """The blocks of every row that has a term, texts whole, and how many documents and terms there are.
 
-    The pivots are at most ``pivots`` documents, drawn by hash; they shape the
-    blocks alone and change no result. Texts are indexed whole.
+    ``pivots`` bounds the documents that blocks form around; they shape the
+    blocks alone and change no result. A cell of more than ``block_docs``
+    documents is dealt out by hash, whatever its documents have in common.
     """
-    vectors = written(terms_of(docs, id_col, text_col).filter("n > 0").withColumn("rid", F.monotonically_increasing_id()), "terms")
+    vectors = written(vectors_of(docs, id_col, text_col, pivot_vectors(docs, pivots, id_col, text_col)).filter("n > 0")
+                      .withColumn("rid", F.monotonically_increasing_id()), "terms", "zstd")
     n_docs, n_terms = vectors.agg(F.count("*"), F.sum("n")).first()
-    return written(block_rows(blocked(vectors, block_docs, pivots), n_docs, n_terms or 1), "blocks"), n_docs
+    parts = written(vectors.groupBy("cell").agg(F.ceil(F.count("*") / block_docs).alias("parts")), "cells")
+    placed = vectors.join(parts, "cell").withColumn("block", F.xxhash64("cell", F.expr("pmod(xxhash64(rid), parts)")))
+    return Index(written(block_rows(placed, n_docs, n_terms or 1), "blocks", "zstd"), n_docs, n_terms or 1)
 
 
-def search(blocks: DataFrame, n_docs: int, items: DataFrame, k: int = 10, seeds: int = 4, item_chunk: int = 4096,
+def search(index: Index, items: DataFrame, k: int = 10, seeds: int = 4, item_chunk: int = 4096,
            id_col: str = "doc_id", item_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """item id, rank, document id, score: each item's k documents of the highest score above 0.
 
@@ -229,24 +238,28 @@ def search(blocks: DataFrame, n_docs: int, items: DataFrame, k: int = 10, seeds:
     best score found there is what other blocks must reach. Items are dealt
     to tasks ``item_chunk`` at a time.
     """
-    asked = written(terms_of(items, item_col, text_col).withColumn("q", F.monotonically_increasing_id()), "items")
-    words = asked.select("q", F.explode(F.arrays_zip("terms", "tfs")).alias("t")).select("q", F.col("t.terms").alias("term"), F.col("t.tfs").alias("times"))
-    zipped = F.arrays_zip("terms", "maxima", F.slice("starts", F.lit(1), F.size("terms")).alias("a"), F.slice("starts", F.lit(2), F.size("terms")).alias("b"))
-    lists = (blocks.select("block", F.posexplode(zipped).alias("place", "l"))
-             .select("block", "place", F.col("l.terms").alias("term"), F.col("l.maxima").alias("most"), (F.col("l.b") - F.col("l.a")).alias("n"))
-             .join(words.select("term").distinct(), "term", "left_semi"))
+    asked = written(vectors_of(items, item_col, text_col).withColumn("q", F.monotonically_increasing_id()), "items")
+    times = F.transform(F.sequence(F.lit(0), F.size("names") - 1), lambda k: F.conv(F.hex(F.reverse(F.substring("tfs", k * 4 + 1, F.lit(4)))), 16, 10).cast("long"))
+    words = asked.filter("n > 0").select("q", F.split("terms", " ").alias("names"), "tfs")
+    words = words.select("q", F.explode(F.arrays_zip("names", times.alias("times"))).alias("t")).select("q", F.col("t.names").alias("term"), "t.times")
+    lists = index.blocks.select("block", F.split("terms", " ").alias("names"), "maxima", "starts")
+    zipped = F.arrays_zip("names", "maxima", F.slice("starts", F.lit(1), F.size("names")).alias("a"), F.slice("starts", F.lit(2), F.size("names")).alias("b"))
+    lists = (lists.select("block", F.posexplode(zipped).alias("place", "l"))
+             .select("block", "place", F.col("l.names").alias("term"), F.col("l.maxima").alias("most"), (F.col("l.b") - F.col("l.a")).alias("n"))
+             .join(written(words.select("term").distinct(), "asked"), "term", "left_semi"))
     lists = written(lists, "lists")
-    weights = lists.groupBy("term").agg(weight(n_docs, F.sum("n")).alias("weight"))
+    weights = lists.groupBy("term").agg(weight(index.n_docs, F.sum("n")).alias("weight"))
     weighted = words.join(weights, "term").select("q", "term", (F.col("times") * F.col("weight")).alias("weight")).filter("weight > 0")
     hits = weighted.join(lists, "term").select("q", "block", "place", "weight", "most")
     pairs = written(hits.groupBy("q", "block").agg(F.sum(F.col("weight") * F.col("most")).alias("bound")), "bounds")
     chunks = max(1, -(-asked.count() // item_chunk))
     place = F.row_number().over(W.partitionBy("q").orderBy(F.col("bound").desc(), "block"))
     first = written(pairs.withColumn("seed", place).filter(F.col("seed") <= seeds).select("q", "block", F.lit(0).cast("long").alias("least")), "seeds")
-    known = written(top(scored(hits, first, blocks, k, chunks), k), "known")
+    seeded = index._replace(blocks=index.blocks.join(first.select("block").distinct(), "block", "left_semi"))
+    known = written(top(scored(hits, first, seeded, k, chunks), k), "known")
     least = known.groupBy("q").agg(F.when(F.count("*") >= k, F.min("score")).otherwise(F.lit(0)).cast("long").alias("least"))
     rest = written(pairs.join(first.select("q", "block"), ["q", "block"], "left_anti").join(least, "q")
                    .filter(F.col("bound") >= F.col("least")).select("q", "block", "least"), "rest")
-    best = top(known.select("q", "id", "score").unionAll(scored(hits, rest, blocks, k, chunks)), k)
+    best = top(known.select("q", "id", "score").unionAll(scored(hits, rest, index, k, chunks)), k)
     return best.join(asked.select("q", F.col("id").alias("item")), "q").select(
         F.col("item").alias(item_col), "rank", F.col("id").alias(id_col), "score")

@@ -2,8 +2,10 @@
 
 Efraimidis and Spirakis: a row of weight w gets the key -ln(u) / w with u
 uniform; taking rows by ascending key draws them one by one in proportion to
-their weights. Whole epochs of a source come first; the rest of its budget is
-filled with the rows of smallest key until their sizes reach it.
+their weights. Whole epochs of a source come first. What is left of its budget
+is filled in rounds: rows go by ascending key while they fit, and a row that
+does not fit is passed over for those behind it that do; at last, one row more
+if that brings the source closer to its target.
 """
 
 from __future__ import annotations
@@ -14,8 +16,12 @@ from pyspark.sql import functions as F
 
 from ledgerly.llm.common import row_key, word_count, written
 
-#: Keys are dealt to this many ranges per source, so that no window holds more than a sliver of one source.
-RANGES = 4096
+#: Keys are dealt to this many ranges per source, of about as many rows each; only the one range that a budget ends in is sorted.
+RANGES = 1024
+#: Coarse steps that a row's range is looked up in before the fine ones.
+COARSE = 32
+#: Rounds of filling: all rows, those that fit the rest, and two more passes over those, for sources whose long rows do not fit.
+ROUNDS = 4
 #: Fixed value: punctuation and digits that lower a document's quality weight.
 NOISE = r"[!-@\[-`{-~]"
 
@@ -58,40 +64,99 @@ def targets(sizes: DataFrame, weights: list[float], max_epochs: float) -> DataFr
         .select("key", "source_size", "target")
 
 
+def ranged(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``range``: their place among ``RANGES`` quantiles of the source's keys, so ranges are even for any weights."""
+    shares = [k / RANGES for k in range(1, RANGES)]
+    cuts = rows.groupBy("key").agg(F.percentile_approx("draw", shares, 20 * RANGES).alias("cuts"))
+    step = RANGES // COARSE
+    coarse = F.transform(F.sequence(F.lit(step - 1), F.lit(RANGES - 2), F.lit(step)), lambda k: F.get("cuts", k))
+    cuts = written(cuts.withColumn("coarse", coarse), "cuts")
+    below = lambda array: F.size(F.filter(array, lambda c: c < F.col("draw")))
+    found = rows.join(cuts, "key").withColumn("step", below(F.col("coarse")) * step)
+    return found.withColumn("range", F.col("step") + below(F.slice("cuts", F.col("step") + 1, F.lit(step)))).drop("cuts", "coarse", "step")
+
+
+#: Order of the rows of a source; ``at`` tells repeated rows apart.
+ORDER = ("draw", "none", "id", "size", "at")
+
+
+def place() -> Column:
+    return F.struct("range", *ORDER)
+
+
+def fill(rows: DataFrame, state: DataFrame, max_epochs: int, number: int) -> tuple[DataFrame, DataFrame]:
+    """One round: (rows with those taken counted in ``times``, state with what is then left of each budget).
+
+    ``state``: key and ``rest``, a row per source. Rows that fit the rest and
+    have epochs left (in the second round, also were not taken in the first)
+    go by ascending key up to the first that is too much. Ranges below that
+    one are taken by their sums, so one range per source is sorted, and all
+    that the rows need to know is the last place taken.
+    """
+    open_rows = (F.col("size") > 0) & (F.col("size") <= F.col("rest")) & (F.col("times") < max_epochs)
+    if number < 2:
+        open_rows &= F.col("times") == F.col("epochs")
+    if number == 0:
+        open_rows = (F.col("size") > 0) & (F.col("times") < max_epochs)
+    here = rows.join(state, "key").filter(open_rows).select("key", place().alias("place"), "rest")
+    sums = here.groupBy("key", F.col("place.range").alias("range"), "rest").agg(F.sum("place.size").alias("sum"))
+    upto = F.sum("sum").over(W.partitionBy("key").orderBy("range"))
+    sums = written(sums.withColumn("upto", upto), f"ranges{number}")
+    whole = sums.filter("upto <= rest").groupBy("key").agg(F.max("range").alias("full"), F.max("upto").alias("sure"))
+    edges = written(sums.filter("upto > rest").groupBy("key").agg(F.min("range").alias("edge")).join(whole, "key", "full_outer"), f"edges{number}")
+    within = F.sum("place.size").over(W.partitionBy("key").orderBy("place").rowsBetween(W.unboundedPreceding, 0))
+    ends = (here.join(edges.select("key", "edge", F.coalesce("sure", F.lit(0)).alias("sure")), "key").filter("place.range = edge")
+            .withColumn("upto", within + F.col("sure")).filter("upto <= rest")
+            .groupBy("key").agg(F.max("place").alias("last"), F.max("upto").alias("more")))
+    bounds = edges.join(ends, "key", "left").select(
+        "key", F.coalesce("full", F.lit(-1)).alias("full"), "last", F.coalesce("more", "sure", F.lit(0)).alias("got"))
+    bounds = written(state.join(bounds, "key", "left").withColumn("got", F.coalesce("got", F.lit(0))), f"bounds{number}")
+    taken = open_rows & ((F.col("range") <= F.col("full")) | F.coalesce(place() <= F.col("last"), F.lit(False)))
+    out = rows.join(bounds, "key").withColumn("times", F.col("times") + F.coalesce(taken, F.lit(False)).cast("int")).drop("rest", "full", "last", "got")
+    return out, bounds.select("key", (F.col("rest") - F.col("got")).alias("rest"))
+
+
+def top_up(rows: DataFrame, state: DataFrame, max_epochs: int) -> DataFrame:
+    """One row more of each source, the one that comes closest to the rest of its budget, if that is closer than none."""
+    off = F.abs(F.col("rest") - F.col("size"))
+    best = (rows.join(state, "key").filter((F.col("size") > 0) & (F.col("times") < max_epochs) & (off < F.col("rest")))
+            .groupBy("key").agg(F.min(F.struct(off.alias("off"), place().alias("place")))["place"].alias("best")))
+    out = rows.join(written(best, "best"), "key", "left")
+    return out.withColumn("times", F.col("times") + F.coalesce(place() == F.col("best"), F.lit(False)).cast("int")).drop("best")
+
+
 def mix(docs: DataFrame, weights: list[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 42,
-        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+        id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", quality: Column | None = None) -> DataFrame:
     """One row per input row: id, source, row (a digest of id and text), size, source_size, target, epochs, selected, taken.
 
     Sizes are words. Sources in code-point order (null last) take the weights
-    in turn. ``taken`` is size x (epochs + selected), at most ``max_epochs``
-    times the size; ``selected`` rows are those whose middle lies below the
-    rest of the budget in key order, so a source misses its target by half a
-    document at most. Null or empty texts have size 0 and take 0; ties of keys
-    go by id; repeated rows share a key and are taken one after another. A
-    null source is a source of its own. Other columns are not read. An empty
-    table gives no rows.
+    in turn. ``quality`` is a row's weight in the draw, for example a score
+    of the quality classifier (at least 0.05 is taken; null counts as 1); without
+    it, see ``quality_weight``. ``taken`` is size x (epochs + selected), at most
+    ``max_epochs`` times the size, where ``epochs`` are whole passes over the
+    source and ``selected`` how often the rounds of ``fill`` and ``top_up`` took
+    the row beyond them. Null or empty texts have size 0 and take 0; ties of
+    keys go by id, null ids last; repeated rows share a key and are taken one
+    after another. A null source is a source of its own. Other columns are not
+    read. An empty table gives no rows.
     """
     size = word_count(F.col(text_col))
     key = F.struct(F.col(source_col).isNull().alias("none"), F.coalesce(F.col(source_col), F.lit("")).alias("name"))
-    draw = -F.log(uniform(seed, F.col(id_col), F.col(source_col), size)) / quality_weight(F.col(text_col))
-    rows = written(docs.select(F.col(id_col).alias("id"), row_key(F.col(id_col), F.col(text_col)).alias("row"), key.alias("key"), size.alias("size"), draw.alias("draw"))
-                   .withColumn("range", (RANGES - 1 - F.floor(F.exp(-F.col("draw")) * (RANGES - 1))).cast("int")), "sizes")
-    per_range = rows.groupBy("key", "range").agg(F.sum("size").alias("range_size"))
-    sources = written(targets(per_range.groupBy("key").agg(F.sum("range_size").alias("source_size")), list(weights), max_epochs),
-                      "targets")
-    ahead = F.sum("range_size").over(W.partitionBy("key").orderBy("range")) - F.col("range_size")
-    ranges = per_range.select("key", "range", ahead.alias("ahead")).join(sources, "key")
-    within = W.partitionBy("key", "range").orderBy("draw", F.col("id").asc_nulls_last(), "size")
-    before = F.sum("size").over(within.rowsBetween(W.unboundedPreceding, 0)) - F.col("size")
+    weight = quality_weight(F.col(text_col)) if quality is None else F.greatest(F.coalesce(quality.cast("double"), F.lit(1.0)), F.lit(0.05))
+    draw = -F.log(uniform(seed, F.col(id_col), F.col(source_col), size)) / weight
+    rows = written(docs.select(F.col(id_col).alias("id"), F.col(id_col).isNull().alias("none"), row_key(F.col(id_col), F.col(text_col)).alias("row"),
+                               key.alias("key"), size.alias("size"), draw.alias("draw"), F.monotonically_increasing_id().alias("at")), "sizes")
+    sources = written(targets(rows.groupBy("key").agg(F.sum("size").alias("source_size")), list(weights), max_epochs), "targets")
     epochs = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
-    out = (rows.withColumn("before", before).join(ranges, ["key", "range"])
-           .withColumn("epochs", F.least(epochs, F.lit(int(max_epochs))))
-           .withColumn("budget", F.col("target") - F.col("epochs") * F.col("source_size"))
-           .withColumn("selected", (F.col("ahead") + F.col("before") + F.col("size") / 2 < F.col("budget")) & (F.col("size") > 0)))
-    return out.select(F.col("id").alias(id_col),
-                      F.when(~F.col("key.none"), F.col("key.name")).alias(source_col), "row", "size", "source_size", "target",
-                      F.col("epochs").cast("int").alias("epochs"), "selected",
-                      (F.col("size") * (F.col("epochs") + F.col("selected").cast("int"))).cast("long").alias("taken"))
+    state = sources.select("key", F.least(epochs, F.lit(int(max_epochs))).cast("int").alias("epochs"), "source_size", "target")
+    rows = written(ranged(rows).join(state.select("key", "epochs"), "key").withColumn("times", F.col("epochs")), "ranged")
+    rest = written(state.select("key", (F.col("target") - F.col("epochs") * F.col("source_size")).alias("rest")), "rest")
+    for number in range(ROUNDS):
+        rows, rest = fill(rows, rest, int(max_epochs), number)
+    out = top_up(rows, rest, int(max_epochs)).join(sources, "key")
+    return out.select(F.col("id").alias(id_col), F.when(~F.col("key.none"), F.col("key.name")).alias(source_col), "row", "size",
+                      "source_size", "target", "epochs", (F.col("times") - F.col("epochs")).alias("selected"),
+                      (F.col("size") * F.col("times")).cast("long").alias("taken"))
 
 
 def take(docs: DataFrame, weights: list[float] = (1.0, 2.0, 3.0), max_epochs: float = 3.0, seed: int = 42,
@@ -103,7 +168,7 @@ def take(docs: DataFrame, weights: list[float] = (1.0, 2.0, 3.0), max_epochs: fl
     words to take and are left out.
     """
     number = F.row_number().over(W.partitionBy("row").orderBy(F.lit(0)))
-    times = (F.col("epochs") + F.col("selected").cast("int")) * (F.col("size") > 0).cast("int")
+    times = (F.col("epochs") + F.col("selected")) * (F.col("size") > 0).cast("int")
     chosen = (mix(docs, weights, max_epochs, seed, id_col, text_col, source_col).select("row", times.alias("times"))
               .withColumn("number", F.row_number().over(W.partitionBy("row").orderBy("times"))).filter("times > 0"))
     rows = docs.select(row_key(F.col(id_col), F.col(text_col)).alias("row"), F.struct("*").alias("doc")).withColumn("number", number)

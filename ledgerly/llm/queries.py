@@ -91,8 +91,8 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten highest-scoring documents of every benchmark item, through posting lists in geometric blocks."""
-    blocks, n_docs = lexical.index(table(spark, sf_dir, "documents"))
-    return lexical.search(blocks, n_docs, table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
+    index = lexical.index(table(spark, sf_dir, "documents"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark"), k=10).select("item_id", "rank", "doc_id", "score")
 
 
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -152,11 +152,18 @@ c AS (SELECT *, 3.0::DOUBLE * source_size AS cap, 3.0::DOUBLE * source_size / w
 v AS (SELECT *, (sum(source_size) OVER () - (sum(cap) OVER o - cap)) / (sum(w) OVER () - sum(w) OVER o + w) AS level
     FROM c WINDOW o AS (ORDER BY ratio, source NULLS LAST)),
 t AS (SELECT source, source_size, least(cap, w * (SELECT arg_min(level, ratio) FROM v WHERE level <= ratio)) AS target FROM v),
-x AS (SELECT e.*, t.source_size, t.target, least(CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END, 3) AS epochs,
-    sum(size) OVER (PARTITION BY e.source ORDER BY draw, doc_id ROWS UNBOUNDED PRECEDING) - size AS before
-    FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source)
+x0 AS (SELECT e.*, t.source_size, t.target, least(CASE WHEN t.source_size > 0 THEN floor(t.target / t.source_size) ELSE 0 END, 3)::INT AS epochs,
+    epochs AS times, t.target - epochs * t.source_size AS rest FROM e JOIN t ON e.source IS NOT DISTINCT FROM t.source),
+""" + "".join(f"""
+p{k} AS (SELECT *, size > 0 AND times < 3 AND {cond} AS fits, sum(CASE WHEN size > 0 AND times < 3 AND {cond} THEN size ELSE 0 END)
+    OVER (PARTITION BY source ORDER BY draw, doc_id NULLS LAST, size ROWS UNBOUNDED PRECEDING) AS upto FROM x{k}),
+x{k + 1} AS (SELECT * EXCLUDE (times, rest, fits, upto), times + CASE WHEN fits AND upto <= rest THEN 1 ELSE 0 END AS times,
+    rest - coalesce(sum(CASE WHEN fits AND upto <= rest THEN size END) OVER (PARTITION BY source), 0) AS rest FROM p{k}),"""
+    for k, cond in enumerate(("times = epochs", "times = epochs AND size <= rest", "size <= rest", "size <= rest"))) + r"""
+z AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY CASE WHEN size > 0 AND times < 3 AND abs(rest - size) < rest THEN abs(rest - size) END
+    NULLS LAST, draw, doc_id NULLS LAST, size) AS k FROM x4)
 SELECT doc_id, size, source_size, target,
-  (size * (epochs + CASE WHEN size > 0 AND before + size / 2 < target - epochs * source_size THEN 1 ELSE 0 END))::BIGINT AS taken FROM x""",
+  (size * (times + CASE WHEN k = 1 AND size > 0 AND times < 3 AND abs(rest - size) < rest THEN 1 ELSE 0 END))::BIGINT AS taken FROM z""",
     "op11_lexical": r"""
 WITH dt AS (SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS ts FROM documents),

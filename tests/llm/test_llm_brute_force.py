@@ -213,10 +213,19 @@ def plain_times(docs):
     times = Counter()
     for s in names:
         epochs = min(int(target[s] // total[s]), 3) if total[s] else 0
-        budget, before = target[s] - epochs * total[s], 0
-        for d in sorted((d for d in docs if docs[d][1] == s and size[d]), key=lambda d: (draw(d), d)):
-            times[d] = epochs + (before + size[d] / 2 < budget)
-            before += size[d]
+        rest, own = target[s] - epochs * total[s], sorted((d for d in docs if docs[d][1] == s and size[d]), key=lambda d: (draw(d), d))
+        times.update({d: epochs for d in own})
+        for number in range(4):
+            left = rest
+            for d in own:
+                if times[d] < 3 and (number > 1 or times[d] == epochs) and (number == 0 or size[d] <= left):
+                    if size[d] > rest:
+                        break
+                    times[d] += 1
+                    rest -= size[d]
+        best = min((d for d in own if times[d] < 3), key=lambda d: (abs(rest - size[d]), draw(d), d), default=None)
+        if best is not None and abs(rest - size[best]) < rest:
+            times[best] += 1
     return +times
 
 

@@ -425,6 +425,45 @@ def test_mixing(spark, docs, none):
     assert mixing.mix(none).count() == 0 and mixing.take(none).count() == 0
 
 
+def taken_of(rows):
+    return sum(r.taken for r in rows)
+
+
+def test_a_long_document_shuts_out_no_other_from_the_mix(spark):
+    short = [(k, "w " * (100 + k), "s") for k in range(100)]
+    for long in (80_000, 30_000):
+        df = spark.createDataFrame([*short, (1000, "w " * long, "s"), (2000, "w " * 60_000, "t")], "doc_id long, text string, source string")
+        rows = [r for r in mixing.mix(df, weights=[1.0, 1.5]).collect() if r.source == "s"]
+        assert abs(taken_of(rows) - rows[0].target) <= 0.28 * rows[0].target and all(r.taken <= 3 * r.size for r in rows)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_a_mix_comes_near_its_targets(spark, seed):
+    r = random.Random(seed)
+    rows = [(k, "w " * min(int(r.paretovariate(0.8) * 5), 20_000), r.choice("abcd")) for k in range(2000)]
+    rows += [rows[5]] * 500 + [(None, "w w", "a")] * 20
+    got = mixing.mix(spark.createDataFrame(rows, "doc_id long, text string, source string"), seed=seed).collect()
+    for s in "abcd":
+        own = [g for g in got if g.source == s]
+        assert abs(taken_of(own) - own[0].target) <= max(5, 0.001 * own[0].target)
+        assert all(g.taken == g.size * (g.epochs + g.selected) <= 3 * g.size and g.selected >= 0 for g in own)
+
+
+def test_ranges_are_even_for_any_weights(spark):
+    df = spark.range(60_000).selectExpr("id as doc_id", "'a b' as text", "if(id % 3 = 0, 'x', 'y') as source", "if(id % 10 < 4, 0.05, 1.0) as q")
+    keyed = mixing.ranged(df.select(F.struct(F.lit(False).alias("none"), F.col("source").alias("name")).alias("key"),
+                                    (-F.log(mixing.uniform(1, F.col("doc_id"))) / F.col("q")).alias("draw")))
+    sizes = [r["count"] / (20 if r.key.name == "x" else 40) for r in keyed.groupBy("key", "range").count().collect()]
+    assert max(sizes) < 2 * 1000 / mixing.RANGES
+
+
+def test_a_row_of_more_quality_is_drawn_more_often(spark):
+    df = spark.range(4000).selectExpr("id as doc_id", "'a b' as text", "if(id % 2 = 0, 'x', 'y') as source", "if(id % 4 < 2, 0.1, 1.0) as q")
+    drawn = {r.q: r.n for r in mixing.mix(df, weights=[1.0, 3.0], quality=F.col("q")).filter("source = 'x' and selected > 0").join(
+        df.select("doc_id", "q"), "doc_id").groupBy("q").agg(F.count("*").alias("n")).collect()}
+    assert 3 * drawn[0.1] < drawn[1.0] and sum(drawn.values()) == 1000
+
+
 def test_targets_reshare_what_capped_sources_leave(spark):
     sizes = spark.createDataFrame([((False, c), n) for c, n in (("a", 100), ("b", 1), ("c", 10), ("d", 40))],
                                   "key struct<none: boolean, name: string>, source_size long")

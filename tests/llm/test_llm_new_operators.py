@@ -46,9 +46,9 @@ def ranked(docs, items, k):
 
 
 def found(spark, docs, items, **more):
-    blocks, n = lexical.index(docs, **{k: v for k, v in more.items() if k in ("block_docs", "pivots")})
+    index = lexical.index(docs, **{k: v for k, v in more.items() if k in ("block_docs", "pivots")})
     items = spark.createDataFrame(items, "item_id long, text string").withColumn("score", F.lit("clash")).withColumn("block", F.lit(1))
-    rows = lexical.search(blocks, n, items, **{k: v for k, v in more.items() if k not in ("block_docs", "pivots")})
+    rows = lexical.search(index, items, **{k: v for k, v in more.items() if k not in ("block_docs", "pivots")})
     assert rows.columns == ["item_id", "rank", "doc_id", "score"]
     return [tuple(r) for r in rows.collect()]
 
@@ -74,15 +74,18 @@ def test_search_over_nothing(spark):
 
 def test_blocks_hold_every_posting_and_its_maximum(spark):
     rows = [(i, f"a b{i % 3} c{i}") for i in range(30)]
-    blocks, n = lexical.index(docs_of(spark, rows), block_docs=5, pivots=3)
-    assert n == 30
-    seen = Counter()
-    for b in blocks.collect():
-        for place, term in enumerate(b.terms):
-            own = b["values"][b.starts[place]:b.starts[place + 1]]
-            assert max(own) == b.maxima[place]
-            seen.update((b.ids[m], term) for m in b.members[b.starts[place]:b.starts[place + 1]])
-    assert seen == Counter((i, t) for i, text in rows for t in terms(text))
+    index = lexical.index(docs_of(spark, rows), block_docs=5, pivots=3)
+    assert index.n_docs == 30 and index.n_terms == 90
+    seen, sizes = Counter(), []
+    for b in index.blocks.collect():
+        members, tfs = np.frombuffer(b.members, "<u2"), np.frombuffer(b.tfs, "<u4").astype(np.int64)
+        values = lexical.values_of(tfs, np.array(b.lengths)[members], 30, 90)
+        sizes.append(len(b.ids))
+        for place, term in enumerate(b.terms.split(" ")):
+            own = slice(b.starts[place], b.starts[place + 1])
+            assert values[own].max() == b.maxima[place]
+            seen.update((b.ids[m], term) for m in members[own])
+    assert seen == Counter((i, t) for i, text in rows for t in terms(text)) and max(sizes) < 20
 
 
 def test_a_list_is_skipped_only_below_the_bound():
