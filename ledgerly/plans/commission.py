@@ -6,7 +6,12 @@ library's operators, on the reference's own table shapes (see FIXTURES.md):
 ``clients``. Every club-specific constant (people, customer codes, words,
 prices, weights, split rules) is a parameter in :class:`CommissionRules`.
 
-Steps (one function each, in plan order):
+The sale lines joined to their sales, the active bookings with their
+participants, the loose matches and the resolved items are stage tables:
+each is computed once, written to the shared checkpoint folder, and read by
+all branches, so every input table is scanned once.
+
+Steps (in plan order):
 
 1. unique participants by name (AG-1) and first payment per booking (AG-2);
 2. single lessons matched to sale items by date-and-time text or a payment
@@ -99,15 +104,16 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
         .groupBy("participant_name").agg(F.min("customer_code").alias("customer_code"))
     first_pay = booking_payments.groupBy("booking_id").agg(F.min("payment_date").alias("min_payment_date"))
 
-    # like NOT ILIKE, a null text drops the row
-    not_denied = F.col("description").isNotNull() & ~_any("description", r.deny_patterns)
-    active = (F.col("status") == r.active_status) & not_denied
-    pb = participants.select("booking_id", "customer_code", "participant_name") \
-        .join(bookings, "booking_id").where(active)
+    # every active booking of a participant is a stage table; like NOT ILIKE, a
+    # null text drops the row (N3) from all but the nearest-booking candidates
+    booked = cut_lineage(participants.select("booking_id", "customer_code", "participant_name")
+                         .join(bookings, "booking_id").where(F.col("status") == r.active_status))
+    pb = booked.where(F.col("description").isNotNull() & ~_any("description", r.deny_patterns))
 
     # 2. loose matches of single lessons (JN-4)
-    si = items.join(sales.select(F.col("external_id").alias("venda_external_id"), "customer_code", "paid",
-                                 F.col("is_canceled").alias("sale_canceled"), "pay_date"), "venda_external_id")
+    si = cut_lineage(items.join(sales.select(
+        F.col("external_id").alias("venda_external_id"), "customer_code", "paid", F.col("is_canceled").alias("sale_canceled"),
+        "pay_date", F.col("tipo").alias("sale_type"), "data_venda"), "venda_external_id"))
     lesson_items = si.where((F.col("is_canceled") == F.lit(False)) & (F.col("sale_canceled") == F.lit(False))
                             & (F.col("valor_faturamento") > 0) & F.col("categoria").isin(r.lesson_categories))
     singles = pb.where(F.col("booking_type") == r.single_type)
@@ -127,14 +133,12 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
 
     # 3. resolved items: customer by participant-name containment (JN-5), flags (CL-18)
     lesson_like = _lesson_line(r)
-    texts = si.where(lesson_like).select("item_key", "description")
+    texts = si.where(lesson_like & F.col("description").isNotNull()).select("description").distinct()
     names = uniq.select(F.col("participant_name").alias("pname"), F.col("customer_code").alias("pcust"))
-    hit = J.contains_join(texts, "item_key", "description", names, "pname", "pname") \
-           .join(names, "pname").groupBy("item_key").agg(F.min_by("pcust", F.col("pname")).alias("pcust"))
+    hit = J.contains_join(texts, "description", "description", names, "pname", "pname") \
+           .join(names, "pname").groupBy("description").agg(F.min_by("pcust", F.col("pname")).alias("pcust"))
     single, fixed = R.line_flags("description", "subcategoria")
-    rf = si.join(sales.select(F.col("external_id").alias("venda_external_id"), F.col("tipo").alias("sale_type"),
-                              "data_venda"), "venda_external_id") \
-           .join(hit, "item_key", "left") \
+    rf = si.join(hit, "description", "left") \
            .withColumn("customer_code", F.when(lesson_like, F.coalesce("pcust", "customer_code"))
                        .otherwise(F.col("customer_code"))) \
            .withColumn("is_avulsa", single).withColumn("is_avulsa_grupo_fixo", fixed).drop("pcust")
@@ -153,8 +157,10 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
     pi = pi.select("item_key", "customer_code", "plan_month", "paid", "pay_date", "plan_class_type",
                    "is_avulsa", "is_avulsa_grupo_fixo", (member | double).alias("is_socio"),
                    F.col("valor_faturamento").alias("v"),
-                   F.when(double, F.col("valor_faturamento") * 2).otherwise(gross).alias("b"))
-    pi = pi.withColumn("base", F.when(F.col("is_socio"), F.col("b")).otherwise(F.col("v")))
+                   F.when(double, F.col("valor_faturamento") * 2).otherwise(gross).alias("b"), gross.alias("g"))
+    # the monthly base takes a sponsor line once, the commission base twice (PJ-1)
+    pi = pi.withColumn("base", F.when(F.col("is_socio"), F.col("b")).otherwise(F.col("v"))) \
+           .withColumn("monthly", F.when(F.col("is_socio"), F.col("g")).otherwise(F.col("v")))
 
     # 5. weekly slots of group classes (AG-3, CL-2, CL-1) and weights (AL-1)
     cls = R.capacity_class("description", "booking_type", r.single_type)
@@ -173,7 +179,7 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
     # 6. three-tier allocation (AL-2)
     st = A.allocate(slots, pi, ["customer_code", "plan_month"],
                     ["day_of_week", "start_time", "professor", "booking_class_type", "bookings_count"],
-                    "booking_class_type", "plan_class_type", "w", ["v", "base"], carry=["paid"],
+                    "booking_class_type", "plan_class_type", "w", ["v", "base", "monthly"], carry=["paid"],
                     date_col="pay_date", flags=["is_socio", "is_avulsa", "is_avulsa_grupo_fixo"])
 
     # 7. bookings with their values (JN-8 with N4, AL-3) and the split (ST-5)
@@ -187,7 +193,7 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
                  ["booking_id", "customer_code"], "left")
     stg = st.select("customer_code", "plan_month", "day_of_week", "start_time", "booking_class_type",
                     F.col("professor").alias("__tb"), "bookings_count", F.col("paid").alias("__spaid"),
-                    F.col("v").alias("__sv"), F.col("base").alias("__sb"), F.col("pay_date").alias("__spay"),
+                    F.col("v").alias("__sv"), F.col("base").alias("__sb"), F.col("monthly").alias("__sm"), F.col("pay_date").alias("__spay"),
                     F.col("is_socio").alias("__ss"), F.col("is_avulsa").alias("__sa"),
                     F.col("is_avulsa_grupo_fixo").alias("__sf"), F.lit(True).alias("__grp"))
     fb = fb.withColumn("__grp", F.col("booking_type") == r.group_type)
@@ -208,7 +214,7 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
          .alias("is_paid"),
         F.when(is_single, F.col("__lpay")).otherwise(F.col("__spay")).alias("pay_date"),
         F.when(~is_single, per("__sv")).otherwise(F.lit(0.0)).alias("booking_value_monthly"),
-        F.when(~is_single, per("__sb")).otherwise(F.lit(0.0)).alias("booking_commission_base_monthly"),
+        F.when(~is_single, per("__sm")).otherwise(F.lit(0.0)).alias("booking_commission_base_monthly"),
         F.when(is_single, F.lit(True)).otherwise(F.coalesce("__sa", F.lit(False))).alias("is_avulsa"),
         F.when(~is_single, F.lit(False)).otherwise(F.coalesce("__sf", F.lit(False))).alias("is_avulsa_grupo_fixo"))
     measures = ["booking_value", "booking_commission_base", "booking_value_monthly", "booking_commission_base_monthly"]
@@ -222,7 +228,8 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
                         "left_semi").select("item_key")
     un = J.unused(rf, "item_key", lcm.select("item_key"), allocated) \
           .withColumn("__d", F.to_date(F.coalesce(F.col("pay_date"), F.col("data_venda").cast("timestamp"))))
-    near_src = pb.where(F.col("booking_type") == r.group_type).select(
+    # candidates go by status and type alone: a booking without a text, or a denied one, may be the nearest
+    near_src = booked.where(F.col("booking_type") == r.group_type).select(
         "customer_code", "booking_date", "booking_id",
         F.coalesce(_teacher(r.booking_teacher_rules, "description"), F.lit(r.no_teacher)).alias("__np"))
     un = J.nearest(un, near_src, ["customer_code"], "__d", "booking_date", ["__np"], "booking_id")

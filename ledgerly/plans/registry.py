@@ -40,4 +40,5 @@ def load_all() -> None:
         q_lists,
         q_finance,
         q_teachers,
+        q_commission,
     )

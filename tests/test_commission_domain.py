@@ -153,3 +153,27 @@ def test_pending_slots_are_keyed_by_start_time_and_take_the_multiplier(spark):
     _, per = X.estimate_pending(b)
     got = {r.student: r for r in per.collect()}
     assert got["a"].n_slots == 2 and got["b"].n_slots == 1 and got["b"].total_billed > 0
+
+
+def test_nearest_booking_may_be_denied_or_without_text(spark):
+    participants, bookings, pays, sales, items, clients = _tables(spark)
+    more = spark.createDataFrame([
+        (7, dt.date(2026, 8, 1), "18:00", "ACTIVE", "clase_colectiva", "RESERVA MENSAL Prof: Zoe", "club", "Court 1"),
+        (8, dt.date(2026, 9, 1), "18:00", "ACTIVE", "clase_colectiva", None, "club", "Court 1")], bookings.schema)
+    booked = spark.createDataFrame([(7, "C1", "Alice Example"), (8, "C2", "Bruno Sample")], participants.schema)
+    late = spark.createDataFrame([("V5", "C1", True, False, "sale", dt.datetime(2026, 8, 3), dt.date(2026, 8, 3)),
+                                  ("V6", "C2", True, False, "sale", dt.datetime(2026, 9, 3), dt.date(2026, 9, 3))], sales.schema)
+    sold = spark.createDataFrame([("I7", "V5", "Mensalidade agosto 26 GRUPO", "Aulas", None, Decimal("10.00"), None, False),
+                                  ("I8", "V6", "Mensalidade setembro 26 GRUPO", "Aulas", None, Decimal("20.00"), None, False)], items.schema)
+    rows = commission_detail(participants.unionAll(booked), bookings.unionAll(more), pays, sales.unionAll(late), items.unionAll(sold), clients).collect()
+    un = {r.booking_value: r.professor for r in rows if r.booking_type == "unallocated_payment"}
+    assert un[10.0] == "Zoe" and un[20.0] == "Sem professor"  # the booking without a text names nobody
+    assert 7 not in {r.booking_id for r in rows}
+
+
+def test_sponsor_lines_count_twice_in_the_commission_base_only(spark):
+    participants, bookings, pays, sales, items, clients = _tables(spark)
+    items = items.withColumn("description", F.when(F.col("item_key") == "I1", "Patrocínio GRUPO julho 26").otherwise(F.col("description")))
+    rows = commission_detail(participants, bookings, pays, sales, items, clients, CommissionRules(double_patterns=["Patrocínio"])).collect()
+    own = [r for r in rows if r.booking_id in (1, 2)]
+    assert {(r.booking_value, r.booking_commission_base, r.booking_commission_base_monthly) for r in own} == {(150.0, 300.0, 167.5)}
