@@ -8,12 +8,17 @@ range match) would otherwise become a nested loop or an all-pairs group.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import heapq
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerly.functions import text as T
+from ledgerly.operators.common import fits_broadcast
+from ledgerly.session import cut_lineage
 
 
 def with_exists(a: DataFrame, b: DataFrame, on: Sequence[str], flag: str) -> DataFrame:
@@ -111,56 +116,149 @@ def nearest(a: DataFrame, b: DataFrame, on: Sequence[str], a_date: str, b_date:
     return aa.join(res, on + ["__qd"], "left").drop("__qd")
 
 
+def _sortable(v):
+    """A value of any column type as Python can compare it, in Spark's order (nulls first)."""
+    if v is None:
+        return (0,)
+    return (1, tuple(map(_sortable, v.values())) if isinstance(v, dict) else v)
+
+
+class _Sweep:
+    """Turns the ranges of one key, fed by rising start, into disjoint segments.
+
+    Only the ranges that are open at the current day are held: a heap with the
+    lowest ordinal on top, cleared of ended ranges when they come up.
+    """
+
+    def __init__(self):
+        self.heap: list[tuple] = []      # (place in the order, end, number, values)
+        self.segments: list[tuple] = []  # (first day, number of the range that wins, or None, its values)
+        self.number = 0
+
+    def _show(self, day: int) -> None:
+        number, values = self.heap[0][2:] if self.heap else (None, None)
+        if self.segments and self.segments[-1][0] == day:
+            self.segments.pop()
+        if (self.segments[-1][1] if self.segments else None) != number:
+            self.segments.append((day, number, values))
+
+    def upto(self, day: int) -> None:
+        """Close the ranges that end before ``day``."""
+        while self.heap and self.heap[0][1] < day:
+            ended = self.heap[0][1]
+            while self.heap and self.heap[0][1] <= ended:
+                heapq.heappop(self.heap)
+            self._show(ended + 1)
+
+    def add(self, start: int, end: int, values: tuple) -> None:
+        """``values``: the ordinal first."""
+        self.upto(start)
+        self.number += 1
+        heapq.heappush(self.heap, (_sortable(values[0]), end, self.number, values))
+        self._show(start)
+
+
+#: Days that no date reaches: an open start and an open end.
+FIRST_DAY, LAST_DAY = -(1 << 31), (1 << 31) - 1
+
+
+def disjoint_ranges(ranges: DataFrame, keys: Sequence[str], start: str, end: str, ordinal: str, cols: Sequence[str]) -> DataFrame:
+    """Overlapping ranges of days -> for each key the days on which the winner changes.
+
+    One row per change: ``keys``, ``__from`` (first day, as days since 1970),
+    ``ordinal`` and ``cols`` of the range with the lowest ordinal from that day
+    on, null where no range is open. Starts and ends are days since 1970, ends
+    included; ranges that end before they start are none. The ranges are
+    shuffled once by key and sorted by start; a key's open ranges are held, not
+    its rows.
+    """
+    keys, cols = list(keys), list(cols)
+    kept = ranges.select(*keys, F.col(start).alias("__s"), F.col(end).alias("__e"), F.col(ordinal).alias(ordinal), *cols) \
+        .where((F.col("__s") <= F.col("__e")) & F.col(ordinal).isNotNull())
+    schema = kept.select(*keys, F.col("__s").alias("__from"), ordinal, *cols).schema
+
+    def sweep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, now, held = None, _Sweep(), []
+
+        def ended() -> None:
+            now.upto(LAST_DAY)
+            held.extend((*key, day, *(values or (None,) * (len(cols) + 1))) for day, _, values in now.segments)
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                own, (s, e), values = row[:len(keys)], row[len(keys):len(keys) + 2], row[len(keys) + 2:]
+                if own != key:
+                    if key is not None:
+                        ended()
+                    key, now = own, _Sweep()
+                now.add(s, e, values)
+            if len(held) > 10_000:
+                yield _rows(held, schema)
+                held = []
+        if key is not None:
+            ended()
+        if held:
+            yield _rows(held, schema)
+
+    return kept.repartition(*keys).sortWithinPartitions(*keys, "__s", ordinal).mapInArrow(sweep, schema)
+
+
+def _rows(rows: list[tuple], schema) -> pa.RecordBatch:
+    kinds = to_arrow_schema(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), kinds)], schema=kinds)
+
+
 def effective_lookup(facts: DataFrame, costs: DataFrame, fact_code: str, fact_text: str,
                      fact_date: str, cost_code: str, cost_text: str, start: str, end: str,
-                     ordinal: str, cost_cols: Sequence[str]) -> DataFrame:
+                     ordinal: str, cost_cols: Sequence[str], default_start: str | None = None) -> DataFrame:
     """JN-12: effective-dated lookup with two match rules.
 
     A cost row matches a fact when its code equals the fact's code once
-    spaces around it and leading zeros are dropped, **or** its normalised text
-    equals the fact's normalised text (null and empty codes and texts match
-    nothing), and the fact's date is within ``[start, end]`` (open
-    ends allowed). The cost row with the lowest ``ordinal`` wins.
-
-    Plan: the facts are reduced to distinct (code, text, date) first; the
-    two matches run as equi-joins with a range filter on that reduced set;
-    the winner per key joins back to the facts. The work that meets the cost
-    table grows with the number of distinct products and days, not with the
-    number of fact rows.
+    spaces around it and leading zeros are dropped, **or** its text equals the
+    fact's text, both in lower case with runs of spaces collapsed (accents
+    count; null and empty codes and texts match nothing), and the fact's date
+    is within ``[start, end]`` (an open start begins at ``default_start``, if
+    one is given). The cost row with the lowest ``ordinal`` wins. Adds
+    ``cost_ordinal`` and ``cost_cols``.
+
+    Plan: the ranges of each match key become disjoint segments
+    (:func:`disjoint_ranges`) and then one row per key that holds them in
+    order, so a fact meets one row for its code and one for its text, by plain
+    equality, and looks its day up in it: no range condition, no fan-out, and
+    a popular product's facts can be split wherever they are too many.
     """
     def ncode(c):
         return F.nullif(F.regexp_replace(F.trim(F.col(c).cast("string")), "^0+", ""), F.lit(""))
 
     def ntext(c):
-        return F.nullif(T.norm_name(T.squeeze_spaces(F.col(c))), F.lit(""))
-
-    keys = facts.select(ncode(fact_code).alias("__code"), ntext(fact_text).alias("__text"),
-                        F.to_date(fact_date).alias("__d")).distinct()
-    # Rows sharing a match key and a validity range collapse to their lowest
-    # ordinal first (exact: the winner over a set of equal ranges is its
-    # minimum), so a popular name meets a handful of ranges, not every row.
-    c_code = costs.groupBy(F.lit("c").alias("__kind"), ncode(cost_code).alias("__m"), F.col(start).alias("__s"),
-                           F.col(end).alias("__e")).agg(F.min(ordinal).alias("__ord"))
-    c_text = costs.groupBy(F.lit("t").alias("__kind"), ntext(cost_text).alias("__m"), F.col(start).alias("__s"),
-                           F.col(end).alias("__e")).agg(F.min(ordinal).alias("__ord"))
-    # Both match rules in one equi-join: each fact key appears once per rule.
-    k2 = keys.select("*", F.explode(F.array(F.struct(F.lit("c").alias("k"), F.col("__code").alias("m")),
-                                            F.struct(F.lit("t").alias("k"), F.col("__text").alias("m")))).alias("__x")) \
-             .select("__code", "__text", "__d", F.col("__x.k").alias("__kind"), F.col("__x.m").alias("__m")) \
-             .where(F.col("__m").isNotNull())
-    in_range = (F.col("__s").isNull() | (F.col("__d") >= F.col("__s"))) & \
-               (F.col("__e").isNull() | (F.col("__d") <= F.col("__e")))
-    hits = k2.join(c_code.unionByName(c_text), ["__kind", "__m"], "inner").where(in_range)
-    win = hits.groupBy("__code", "__text", "__d").agg(F.min("__ord").alias("__ord"))
-    win = win.join(costs.select(F.col(ordinal).alias("__ord"), *cost_cols), "__ord", "left")
-    f = facts.withColumn("__code", ncode(fact_code)).withColumn("__text", ntext(fact_text)) \
-             .withColumn("__d", F.to_date(fact_date))
-    # a fact that lacks one of the three still finds its winner by the others
-    win = win.withColumnsRenamed({"__code": "__wcode", "__text": "__wtext", "__d": "__wd"})
-    same = F.col("__code").eqNullSafe(F.col("__wcode")) & F.col("__text").eqNullSafe(F.col("__wtext")) & \
-        F.col("__d").eqNullSafe(F.col("__wd"))
-    return f.join(win, same, "left") \
-            .withColumnRenamed("__ord", "cost_ordinal").drop("__code", "__text", "__d", "__wcode", "__wtext", "__wd")
+        return F.nullif(F.lower(T.squeeze_spaces(F.col(c))), F.lit(""))
+
+    cols = list(cost_cols)
+    opens = F.lit(FIRST_DAY) if default_start is None else F.unix_date(F.lit(default_start).cast("date"))
+    ranges = costs.select(
+        F.explode(F.array(F.struct(F.lit("c").alias("k"), ncode(cost_code).alias("m")),
+                          F.struct(F.lit("t").alias("k"), ntext(cost_text).alias("m")))).alias("__x"),
+        F.coalesce(F.unix_date(F.to_date(start)), opens).alias("__s"),
+        F.coalesce(F.unix_date(F.to_date(end)), F.lit(LAST_DAY)).alias("__e"), F.col(ordinal).alias("__ord"), *cols) \
+        .select(F.col("__x.k").alias("__kind"), F.col("__x.m").alias("__m"), "__s", "__e", "__ord", *cols).where(F.col("__m").isNotNull())
+    # equal ranges of one key collapse to their lowest ordinal before anything is sorted
+    ranges = ranges.groupBy("__kind", "__m", "__s", "__e").agg(F.min(F.struct("__ord", *cols)).alias("__w")) \
+        .select("__kind", "__m", "__s", "__e", "__w.*")
+    segments = disjoint_ranges(ranges, ["__kind", "__m"], "__s", "__e", "__ord", cols)
+    by_key = cut_lineage(segments.groupBy("__kind", "__m").agg(
+        F.array_sort(F.collect_list(F.struct("__from", "__ord", *cols))).alias("__segs")))
+    small = fits_broadcast(by_key, max_rows=100_000)
+    out = facts.withColumn("__code", ncode(fact_code)).withColumn("__text", ntext(fact_text)) \
+               .withColumn("__d", F.unix_date(F.to_date(fact_date)))
+    for kind, key in (("c", "__code"), ("t", "__text")):
+        side = by_key.where(F.col("__kind") == kind).select(F.col("__m").alias(key), F.col("__segs").alias(f"__{kind}"))
+        out = out.join(F.broadcast(side) if small else side, key, "left")
+        past = F.filter(f"__{kind}", lambda x: x["__from"] <= F.col("__d"))
+        hit = F.try_element_at(past, F.lit(-1))
+        out = out.withColumn(f"__{kind}", F.when(hit["__ord"].isNotNull(), F.struct(hit["__ord"].alias("__ord"), *[hit[c].alias(c) for c in cols])))
+    first = F.when(F.col("__t").isNull() | (F.col("__c.__ord") <= F.col("__t.__ord")), F.col("__c")).otherwise(F.col("__t"))
+    out = out.withColumn("__win", first)
+    return out.select(*[F.col(c) for c in facts.columns], F.col("__win.__ord").alias("cost_ordinal"), *[F.col(f"__win.{c}").alias(c) for c in cols])
 
 
 def apply_overrides(base: DataFrame, ov: DataFrame, key: str, fields: dict[str, str],

@@ -30,6 +30,7 @@ from ledgerly.plans.q_reports import BRACKETS, bracket_tax
 
 @dataclass
 class FinanceRules:
+    cost_since: str | None = "2026-01-01"   # where a cost row without a start begins
     ops_centre: str = "Operação"
     energy_category: str = "Energia Elétrica"
     skip_categories: list = field(default_factory=lambda: ["Estoque Bar/Lanchonete", "Simples - Imposto"])
@@ -91,7 +92,7 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
     # values, compared as a struct — no global row numbering
     c2 = costs.withColumn("__ord", F.struct("sku", "description", "data_inicio", "data_fim", "custo_unitario"))
     priced = J.effective_lookup(it, c2, "sku", "item_description", "pay_date", "sku", "description",
-                                "data_inicio", "data_fim", "__ord", ["custo_unitario"])
+                                "data_inicio", "data_fim", "__ord", ["custo_unitario"], default_start=r.cost_since)
     qty = F.coalesce(F.nullif(money("quantity"), z), F.lit(1).cast("decimal(18,2)"))
     cogs = priced.groupBy("month").agg(F.sum(F.coalesce(F.col("custo_unitario").cast("decimal(18,2)") * qty, z))
                                        .alias("cogs"))

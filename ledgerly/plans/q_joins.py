@@ -73,8 +73,7 @@ f AS (SELECT row_number() OVER () AS rid, l.l_partkey, l.l_shipdate, l.l_quantit
       FROM lineitem l JOIN part p ON p.p_partkey = l.l_partkey),
 m AS (SELECT f.rid, min(c.ord) AS ord FROM f JOIN costs c
         ON (ltrim(c.sku, '0') = ltrim(CAST(f.l_partkey AS VARCHAR), '0')
-            OR upper(strip_accents(trim(regexp_replace(c.descr, '\\s+', ' ', 'g'))))
-               = upper(strip_accents(trim(regexp_replace(f.p_name, '\\s+', ' ', 'g')))))
+            OR lower(trim(regexp_replace(c.descr, '\\s+', ' ', 'g'))) = lower(trim(regexp_replace(f.p_name, '\\s+', ' ', 'g'))))
        AND (c.s IS NULL OR CAST(f.l_shipdate AS DATE) >= c.s)
        AND (c.e IS NULL OR CAST(f.l_shipdate AS DATE) <= c.e)
       GROUP BY f.rid)

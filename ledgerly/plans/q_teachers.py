@@ -33,9 +33,9 @@ def lessons(spark, d):
 
 
 def lesson_vouchers(spark, d):
-    """Every 97th event as a voucher; every second of them of nobody's or voided."""
+    """Error events as vouchers; some of nobody's, some voided."""
     n = F.col("event_id")
-    e = table(spark, d, "events").where(n % 97 == 0)
+    e = table(spark, d, "events").where(F.col("event_type") == "error")
     return e.select(F.concat(F.lit("Intensivo - 5 aulas - PROF "), (n % 7).cast("string"), F.when(n % 4 == 0, " anulado").otherwise(""))
                     .alias("description"), money("value").alias("total"), F.to_date("ts").alias("pay_date"),
                     F.when(n % 3 != 0, F.concat(F.lit("C"), n.cast("string"))).alias("customer_name"))
@@ -51,7 +51,7 @@ les AS (SELECT pc.*, 'Prof ' || (student % 5) AS professor, event_type = 'purcha
 paid AS (SELECT professor, booking_date, val, CAST(CASE WHEN own_base <> 0 THEN own_base ELSE val END * mult AS DECIMAL(24,6)) AS base FROM les
          WHERE is_paid AND pay_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31'),
 vou AS (SELECT event_id % 7 AS n, CAST(ts AS DATE) AS day, CAST(value AS DECIMAL(18,2)) AS v FROM events
-        WHERE event_id % 97 = 0 AND event_id % 4 <> 0 AND CAST(value AS DECIMAL(18,2)) > 0)"""
+        WHERE event_type = 'error' AND event_id % 4 <> 0 AND CAST(value AS DECIMAL(18,2)) > 0)"""
 
 
 @register("teacher_table", sql=f"""
@@ -125,15 +125,15 @@ DAYS_ARGS = dict(opening=1000.0, d30_remaining=2200.0, d0_expected=1500.0, commi
 
 
 def ledger_overrides(spark, d):
-    """Edits and tombstones of every seventh order, and a manual row for every thirteenth."""
+    """Edits and tombstones of the orders of medium priority, and a manual row for each of low priority."""
     o, k = table(spark, d, "orders"), F.col("o_orderkey")
     day = F.to_date("o_orderdate")
-    edits = o.where(k % 7 == 0).select(
+    edits = o.where(F.col("o_orderpriority") == "3-MEDIUM").select(
         k.alias("id"), F.when(k % 3 == 0, F.date_add(day, 3)).alias("custom_due_date"),
         F.when(k % 2 == 0, scaled("o_totalprice", "0.001")).alias("custom_amount"), F.lit(None).cast("string").alias("custom_name"),
         F.when(k % 5 == 0, "Investimentos").alias("custom_flow"), (k % 11 == 0).alias("is_deleted"), F.lit(False).alias("is_manual"),
         F.lit(None).cast("string").alias("month_key"))
-    manual = o.where(k % 13 == 0).select(
+    manual = o.where(F.col("o_orderpriority") == "5-LOW").select(
         -k, day, scaled("o_totalprice", "0.0001"), F.lit("manual"), F.when(k % 2 == 0, "Investimentos").otherwise("Operação"),
         k % 3 == 0, F.lit(True), F.date_format(day, "yyyy-MM"))
     return edits.unionAll(manual)
@@ -142,13 +142,13 @@ def ledger_overrides(spark, d):
 @register("daily_cash", sql=f"""
 WITH {SQL_LEDGER},
 mon(m, a) AS (VALUES (DATE '1998-07-01', NULL), (DATE '1998-08-01', DATE '1998-08-10'), (DATE '1998-09-01', DATE '1998-09-01')),
-base AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS due, o_orderstatus AS st, o_orderpriority = '2-HIGH' AS inv,
+base AS (SELECT o_orderkey AS k, CAST(o_orderdate AS DATE) AS due, o_orderstatus AS st, o_orderpriority = '2-HIGH' AS inv, o_orderpriority = '3-MEDIUM' AS ed, o_orderpriority = '5-LOW' AS man,
                 CAST(o_totalprice AS DECIMAL(18,2)) AS v FROM orders),
-rows AS (SELECT CASE WHEN k % 21 = 0 THEN due + 3 ELSE due END AS due, st,
-                CAST(CASE WHEN k % 14 = 0 THEN v * 0.001 ELSE v * 0.0005 END AS DECIMAL(18,2)) AS amount, inv OR k % 35 = 0 AS inv, NULL::DATE AS sole
-         FROM base WHERE k % 77 <> 0
+rows AS (SELECT CASE WHEN ed AND k % 3 = 0 THEN due + 3 ELSE due END AS due, st,
+                CAST(CASE WHEN ed AND k % 2 = 0 THEN v * 0.001 ELSE v * 0.0005 END AS DECIMAL(18,2)) AS amount, inv OR ed AND k % 5 = 0 AS inv, NULL::DATE AS sole
+         FROM base WHERE NOT (ed AND k % 11 = 0)
          UNION ALL SELECT due, 'O', CAST(v * 0.0001 AS DECIMAL(18,2)), k % 2 = 0, CAST(date_trunc('month', due) AS DATE)
-         FROM base WHERE k % 13 = 0 AND k % 3 <> 0),
+         FROM base WHERE man AND k % 3 <> 0),
 per AS (SELECT mon.m, mon.a, rows.* FROM mon JOIN rows ON (sole IS NULL OR sole = mon.m) WHERE mon.a IS NOT NULL),
 tot AS (SELECT m, coalesce(sum(CASE WHEN st = 'O' AND due < a AND NOT inv THEN amount END), 0)::DOUBLE AS over_ops,
                coalesce(sum(CASE WHEN st = 'O' AND due < a AND inv THEN amount END), 0)::DOUBLE AS over_inv,

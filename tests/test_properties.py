@@ -157,6 +157,45 @@ def test_null_keys_never_allocate(spark):
     assert got == {1: (9, 2), 2: (None, None), 3: (None, None)}
 
 
+def test_effective_lookup_against_the_first_row_found(spark):
+    """JN-12: overlapping, open, empty and equal ranges, both rules, accents, a default start; the first cost row that fits wins."""
+    import datetime as dt
+    import random
+    import re
+
+    from ledgerly.operators import joins as JJ
+    r = random.Random(12)
+    day = lambda k: dt.date(2026, 1, 1) + dt.timedelta(days=k)
+    codes, texts = ["7", "007", " 8", "0", "", None], ["Café curto", "cafe  curto", "CAFÉ\tcurto ", "Chá", "", None]
+    costs = [(i, r.choice(codes), r.choice(texts), r.choice([None, day(r.randint(-9, 40))]), r.choice([None, day(r.randint(-9, 40))]), float(i)) for i in range(120)]
+    facts = [(i, r.choice(codes), r.choice(texts), None if i % 50 == 0 else day(r.randint(-15, 50))) for i in range(400)]
+    clean = lambda c: (c or "").strip().lstrip("0")
+    plain = lambda t: re.sub(r"\s+", " ", (t or "").lower().strip())
+
+    def first(code, text, d, since):
+        for o, sku, descr, s, e, c in costs:
+            if d and (s or since) <= d <= (e or dt.date(9999, 12, 31)) and (
+                    clean(code) and clean(code) == clean(sku) or plain(text) and plain(text) == plain(descr)):
+                return o, c
+        return None, None
+    a = spark.createDataFrame(facts, "id int, code string, txt string, d date").withColumn("c", F.lit("kept"))
+    b = spark.createDataFrame(costs, "ord int, sku string, descr string, s date, e date, unit double")
+    for default, since in ((None, dt.date(1, 1, 1)), ("2026-01-10", dt.date(2026, 1, 10))):
+        got = JJ.effective_lookup(a, b, "code", "txt", "d", "sku", "descr", "s", "e", "ord", ["unit"], default_start=default)
+        assert got.columns == ["id", "code", "txt", "d", "c", "cost_ordinal", "unit"]
+        assert {x.id: (x.cost_ordinal, x.unit) for x in got.collect()} == {i: first(k, t, d, since) for i, k, t, d in facts}
+        assert JJ.effective_lookup(a, b.limit(0), "code", "txt", "d", "sku", "descr", "s", "e", "ord", ["unit"]).where("unit is not null").count() == 0
+
+
+def test_disjoint_ranges_of_one_popular_key(spark):
+    from ledgerly.operators import joins as JJ
+    rows = [("k", k % 500, k % 500 + 1 + k % 7, 5000 - k) for k in range(5000)]
+    df = spark.createDataFrame(rows, "k string, s int, e int, o int")
+    got = [(r["__from"], r.o) for r in JJ.disjoint_ranges(df, ["k"], "s", "e", "o", []).orderBy("__from").collect()]
+    best = {d: min((o for _, s, e, o in rows if s <= d <= e), default=None) for d in range(510)}
+    assert got == [(d, best[d]) for d in range(510) if d == 0 or best[d] != best[d - 1]]
+
+
 def test_running_cash_takes_the_extra_opening_once(spark):
     """RP-13: three months after the extra opening, a month without rows between them."""
     from ledgerly.plans.finance import FinanceRules, cash_flow_statement
