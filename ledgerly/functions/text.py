@@ -7,13 +7,30 @@ whole-stage codegen.
 
 from __future__ import annotations
 
+import unicodedata
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Accented Latin letters and their unaccented letters, in the same
-# order (what an NFD decomposition followed by dropping combining marks gives).
-ACCENTED = "ÀÁÂÃÄÅàáâãäåÈÉÊËèéêëÌÍÎÏìíîïÒÓÔÕÖòóôõöÙÚÛÜùúûüÇçÑñÝýÿ"
-UNACCENTED = "AAAAAAaaaaaaEEEEeeeeIIIIiiiiOOOOOoooooUUUUuuuuCcNnYyy"
+#: The combining marks that folding drops.
+MARKS = range(0x300, 0x370)
+
+
+@lru_cache(maxsize=1)
+def _accents() -> tuple[str, str]:
+    """(characters, what they become): a canonical decomposition with the marks dropped.
+
+    Every character of the basic plane whose decomposition leaves one
+    character once its marks are gone becomes that one; the marks themselves
+    come last and so have no counterpart, which drops them.
+    """
+    table = {}
+    for code in (c for c in range(0x80, 0x10000) if not 0xD800 <= c < 0xE000):
+        bare = "".join(x for x in unicodedata.normalize("NFD", chr(code)) if ord(x) not in MARKS)
+        if len(bare) == 1 and bare != chr(code):
+            table[chr(code)] = bare
+    return "".join(table) + "".join(map(chr, MARKS)), "".join(table.values())
 
 
 def _c(c) -> Column:
@@ -21,7 +38,12 @@ def _c(c) -> Column:
 
 
 def strip_accents(c) -> Column:
-    return F.translate(_c(c), ACCENTED, UNACCENTED)
+    """Combining marks off, in composed and in decomposed letters; a text of ASCII alone is passed on as it is.
+
+    Letters that decompose into several others (Hangul syllables) stay composed.
+    """
+    c = _c(c)
+    return F.when(F.octet_length(c) == F.length(c), c).otherwise(F.translate(c, *_accents()))
 
 
 def fold(c) -> Column:

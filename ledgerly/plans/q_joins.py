@@ -98,11 +98,12 @@ def effective_cost(spark, d):
 
 
 # Names looked up both ways in part names (test mapping of JN-14).
-FUZZY_NAMES = [("Red",), ("hot plate",), ("Small Ring Deluxe",), ("GEAR",), ("Ólder Rod",), ("",)]
+FUZZY_NAMES = [("Red",), ("hot plate",), ("Small Ring Deluxe",), ("GEAR",), ("Ólder Rod",), ("",),
+               ("Řed bolţ",), ("bl\u0301u\u0308e",), ("Ťǻble Ẅidget",), ("ĸolt",)]
 
 
 @register("fuzzy_contains", sql="""
-WITH w(name) AS (VALUES ('Red'), ('hot plate'), ('Small Ring Deluxe'), ('GEAR'), ('Ólder Rod'), ('')),
+WITH w(name) AS (VALUES ('Red'), ('hot plate'), ('Small Ring Deluxe'), ('GEAR'), ('Ólder Rod'), (''), ('Řed bolţ'), ('bl\u0301u\u0308e'), ('Ťǻble Ẅidget'), ('ĸolt')),
 p AS (SELECT p_partkey, p_name, upper(trim(strip_accents(coalesce(p_name, '')))) AS a FROM part),
 n AS (SELECT name, upper(trim(strip_accents(coalesce(name, '')))) AS b FROM w)
 SELECT p.p_partkey, p.p_name, n.name

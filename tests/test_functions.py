@@ -134,3 +134,17 @@ def test_bracket_rate_continuity_at_edges(spark):
     for edge in (180000.0, 360000.0, 720000.0):
         assert abs(eff(edge) - eff(edge + 0.01)) < 1e-6
     assert eff(1800000.01) < eff(1800000.0) and eff(3600000.01) < eff(3600000.0)
+
+
+def test_accents_go_as_a_decomposition_drops_them(spark):
+    import re
+    import unicodedata
+
+    from ledgerly.functions import text as T
+    words = ["plain", "", None, "Ação", "Ãção", "Řeďţ Ǻ Ẅ ở", "й ё Ώ", "ｱ①", "́", "ǖ ẋ̣", "straße", "naïve 日本"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r.x for r in df.select(T.strip_accents("w").alias("x")).collect()]
+    want = [None if w is None else unicodedata.normalize("NFC", re.sub("[̀-ͯ]", "", unicodedata.normalize("NFD", w))) for w in words]
+    assert got == want
+    names = [r.x for r in df.select(T.norm_name("w").alias("x")).collect()]
+    assert names[3] == names[4] == "ACAO" and names[2] == ""
