@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from ledgerly.functions import text as T
-from ledgerly.operators.common import fits_broadcast
+from ledgerly.operators.common import checked_broadcast, fits_broadcast
 from ledgerly.session import cut_lineage
 
 
@@ -302,78 +302,93 @@ def merge_overrides(current: DataFrame, delta: DataFrame, key: str, ts: str,
 
 # Lengths of the substrings that key short texts, longest first.
 GRAMS = (8, 5, 3, 2, 1)
+# Candidate keys of one pattern, and letters of a neighbouring word that a key of three-word patterns takes.
+CANDIDATES, EDGE = 8, 3
+# Texts of one key that meet its patterns in one task.
+SPLIT = 200_000
 
 # A token pair starting at a token boundary (overlapping matches).
 PAIR_RE = r"(?<![^ ])(?=([^ ]+ [^ ]+))"
 
 
-def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str, b_text: str) -> DataFrame:
+def _grams(text: Column, k: int) -> Column:
+    return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % k), 1)
+
+
+def _tagged(tag: str, keys: Column) -> Column:
+    return F.transform(keys, lambda k: F.concat(F.lit(tag), k))
+
+
+def _pattern_keys(text: Column, words: Column) -> Column:
+    """Keys that every text holding the pattern must emit, at most ``CANDIDATES``, tagged by kind."""
+    n = F.size(words)
+    interior = F.slice(words, 2, n - 2)
+    pairs = F.transform(F.sequence(F.lit(1), F.size(interior) - 1),
+                        lambda i: F.concat_ws(" ", F.try_element_at(interior, i), F.try_element_at(interior, i + 1)))
+    longest = F.slice(F.sort_array(F.transform(F.array_distinct(pairs), lambda p: F.struct(F.length(p).alias("n"), p.alias("p"))), False), 1, CANDIDATES)
+    first, middle, last = (F.try_element_at(words, F.lit(i)) for i in (1, 2, 3))
+    three = F.filter(F.array(
+        F.concat(F.lit("w"), middle),
+        F.when(F.length(last) >= EDGE, F.concat(F.lit("f"), middle, F.lit(" "), F.left(last, F.lit(EDGE)))),
+        F.when(F.length(first) >= EDGE, F.concat(F.lit("s"), F.right(first, F.lit(EDGE)), F.lit(" "), middle))), lambda k: k.isNotNull())
+    short = None
+    for k in GRAMS:
+        own = F.slice(F.array_distinct(_tagged(str(k), _grams(text, k))), 1, CANDIDATES)
+        short = F.when(F.length(text) >= k, own) if short is None else short.when(F.length(text) >= k, own)
+    return F.when(n >= 4, F.transform(longest, lambda x: F.concat(F.lit("p"), x["p"]))).when(n == 3, three).otherwise(short)
+
+
+def _text_keys(text: Column, kinds: Sequence[str]) -> Column:
+    """All distinct keys of the kinds in use that a text emits."""
+    pairs = F.regexp_extract_all(text, F.lit(PAIR_RE), 1)
+    cut = lambda p: F.instr(p, " ")
+    emit = {"p": lambda: _tagged("p", pairs), "w": lambda: _tagged("w", F.split(text, " ")),
+            "f": lambda: F.transform(pairs, lambda p: F.concat(F.lit("f"), F.left(p, cut(p) + EDGE))),
+            "s": lambda: F.transform(pairs, lambda p: F.concat(F.lit("s"), F.right(F.left(p, cut(p) - 1), F.lit(EDGE)), F.substr(p, cut(p))))}
+    return F.array_distinct(F.concat(*[emit[k]() if k in emit else _tagged(k, _grams(text, int(k))) for k in kinds]))
+
+
+def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str, b_text: str, split: int = SPLIT) -> DataFrame:
     """JN-5: pairs ``(a_id, b_id)`` where b's folded text is a substring of a's
     folded text (lower case, whitespace runs collapsed) — plain substring
     semantics, like ``ILIKE '%' || b || '%'``.
 
-    Plan (all equi-joins, exact):
-
-    * b of three or more words: its interior words sit between two spaces, so
-      each is a whole token of any text that contains b, and two adjacent
-      interior words are adjacent tokens there. b of four or more words is
-      keyed by its longest interior word pair; b of three words by its
-      middle word; a emits its distinct tokens and token pairs. Candidates
-      are verified with ``contains`` on the whole texts.
-    * shorter b (one or two words): keyed by one of its substrings of 1, 2, 3,
-      5 or 8 characters, the longest that fits it, and of these the one that
-      the fewest b share, so that a common first name is no hot key; a emits
-      its distinct substrings of the lengths in use. This branch runs only
-      when such b texts exist.
-
-    Only ids travel through the candidate joins; each text is joined back
-    once for verification. Whole texts are used; nothing is truncated.
+    Plan (all equi-joins, exact). A pattern has a few candidate keys that every
+    text holding it must show:
+
+    * four or more words: its interior words sit between two spaces, so two
+      adjacent ones are adjacent tokens of the text; its longest such pairs;
+    * three words: the middle word, alone and with the next word's first or the
+      last word's letters before it;
+    * one or two words: substrings of one length.
+
+    Texts emit only keys that some pattern has as a candidate (a semi join, a
+    broadcast one where the candidates are few). Each pattern is then keyed by
+    the candidate that the fewest **texts** show; a pattern with a candidate
+    that no text shows matches nothing and drops out. A key that is still
+    shown by more than ``split`` texts is salted: its texts are dealt to
+    several parts by hash, its patterns go to each. Candidates carry ids only
+    and are verified with ``contains`` on the whole texts, which are joined
+    back once; nothing is truncated.
     """
     fa = a.select(F.col(a_id).alias("__a"), T.fold_spaces(a_text).alias("__fa"))
-    fb = b.select(F.col(b_id).alias("__b"), T.fold_spaces(b_text).alias("__fb")) \
-          .where(F.length("__fb") > 0).withColumn("__bw", F.split("__fb", " "))
-    interior = F.slice("__bw", 2, F.size("__bw") - 2)
-    pairs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(interior) - 1, F.lit(1))),
-                        lambda i: F.concat_ws(" ", F.try_element_at(interior, i), F.try_element_at(interior, i + 1)))
-    longest_pair = F.array_max(F.transform(pairs, lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
-    b3 = fb.where(F.size("__bw") == 3).select("__b", F.element_at("__bw", 2).alias("__key"))
-    b4 = fb.where(F.size("__bw") >= 4).select("__b", longest_pair.alias("__key"))
-    # which key kinds are in use: one small aggregate over the pattern side
-    flags = fb.agg(F.max(F.size("__bw") == 3).alias("k3"), F.max(F.size("__bw") >= 4).alias("k4"),
-                   F.max(F.size("__bw") < 3).alias("ks")).first()
-    kinds = []
-    if flags["k3"]:
-        kinds.append(F.split("__fa", " "))
-    if flags["k4"]:
-        # every adjacent token pair, as overlapping regex matches (one native call per text)
-        kinds.append(F.regexp_extract_all("__fa", F.lit(PAIR_RE), 1))
-    cand = None
-    if kinds:
-        grams = kinds[0] if len(kinds) == 1 else F.concat(kinds[0], kinds[1])
-        tokens = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
-        cand = tokens.join(b3.unionByName(b4), "__key", "inner").select("__a", "__b")
-
-    if flags["ks"]:
-        def grams_of(text, k):
-            return F.regexp_extract_all(text, F.lit("(?s)(?=(.{%d}))" % k), 1)
-        fits = None
-        for k in GRAMS:
-            fits = F.when(F.length("__fb") >= k, F.lit(k)) if fits is None else fits.when(F.length("__fb") >= k, F.lit(k))
-        short_b = fb.where(F.size("__bw") < 3).withColumn("__k", fits)
-        own = None
-        for k in GRAMS:
-            own = F.when(F.col("__k") == k, grams_of("__fb", k)) if own is None else own.when(F.col("__k") == k, grams_of("__fb", k))
-        keys = short_b.select("__b", F.explode(F.array_distinct(own)).alias("__key"))
-        shared = keys.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
-        sb = keys.join(shared, "__key").groupBy("__b").agg(F.min(F.struct("__n", "__key"))["__key"].alias("__key"))
-        used = [r["__k"] for r in short_b.select("__k").distinct().collect()]  # at most five lengths
-        grams = F.concat(*[grams_of("__fa", k) for k in sorted(used)])
-        subs = fa.select("__a", F.explode(F.array_distinct(grams)).alias("__key"))
-        short_cand = subs.join(sb, "__key", "inner").select("__a", "__b")
-        cand = short_cand if cand is None else cand.unionByName(short_cand)
-    if cand is None:
+    fb = cut_lineage(b.select(F.col(b_id).alias("__b"), T.fold_spaces(b_text).alias("__fb")).where(F.length("__fb") > 0)
+                     .withColumn("__keys", _pattern_keys(F.col("__fb"), F.split("__fb", " "))))
+    cands = fb.select("__b", F.explode("__keys").alias("__key"))
+    kinds = sorted(r.k for r in cands.select(F.left("__key", F.lit(1)).alias("k")).distinct().collect())  # at most nine
+    if not kinds:
         return a.sparkSession.createDataFrame([], f"{a_id} {a.schema[a_id].dataType.simpleString()}, "
                                                   f"{b_id} {b.schema[b_id].dataType.simpleString()}")
+    wanted = checked_broadcast(cands.select("__key").distinct(), max_rows=100_000)
+    shown = cut_lineage(fa.select("__a", F.explode(_text_keys(F.col("__fa"), kinds)).alias("__key")).join(wanted, "__key", "left_semi"))
+    often = shown.groupBy("__key").agg(F.count(F.lit(1)).alias("__n"))
+    best = F.min(F.struct(F.coalesce("__n", F.lit(0)).alias("n"), F.col("__key").alias("key")))
+    chosen = cands.join(often, "__key", "left").groupBy("__b").agg(best.alias("__best")).where("__best.n > 0") \
+        .select("__b", F.col("__best.key").alias("__key"), F.ceil(F.col("__best.n") / split).cast("int").alias("__parts"))
+    hot = checked_broadcast(often.where(F.col("__n") > split).select("__key", F.ceil(F.col("__n") / split).cast("int").alias("__hot")))
+    dealt = shown.join(hot, "__key", "left").withColumn("__part", F.expr("cast(pmod(xxhash64(__a), coalesce(__hot, 1)) as int)"))
+    keyed = chosen.withColumn("__part", F.explode(F.sequence(F.lit(0), F.col("__parts") - 1)))
+    cand = dealt.join(keyed, ["__key", "__part"]).select("__a", "__b")
     # verification folds only the candidate texts (joined back by id)
     raw = a.select(F.col(a_id).alias("__a"), F.col(a_text).alias("__raw"))
     hits = cand.join(raw, "__a").join(fb.select("__b", "__fb"), "__b") \

@@ -141,6 +141,39 @@ def test_short_names_with_a_common_first_name_are_no_hot_key(spark):
     assert got == sorted((i, j) for i, t in texts for j, n in names if n in t)
 
 
+def test_containment_under_hot_words(spark):
+    """JN-5: patterns of every length over few words, one of them in nearly all texts, with keys split into parts."""
+    import random
+
+    from ledgerly.operators import joins as JJ
+    r = random.Random(5)
+    words = ["com", "maria", "ana", "da", "silva", "é", "x", "aula", "marias"]
+    say = lambda n: " ".join(r.choices(words, [20, 3, 2, 2, 2, 1, 1, 1, 1], k=n))
+    texts = [(k, say(r.randint(1, 14)).replace("aula", "AULA\t ")) for k in range(400)] + [(900, ""), (901, None), (902, " ")]
+    pats = [(k, say(1 + k % 7)) for k in range(120)] + [(500, "aria si"), (501, "om da s"), (502, "nowhere to be found"), (503, ""), (504, None), (505, "a")]
+    a = spark.createDataFrame(texts, "id int, t string")
+    b = spark.createDataFrame(pats, "pid int, p string")
+    flat = lambda t: " ".join((t or "").lower().split())
+    want = sorted((i, j) for i, t in texts for j, p in pats if flat(p) and t is not None and flat(p) in flat(t))
+    for split in (7, 200_000):
+        got = [(x.id, x.pid) for x in JJ.contains_join(a, "id", "t", b, "pid", "p", split=split).collect()]
+        assert sorted(got) == want
+
+
+def test_a_hot_middle_word_makes_no_large_task(spark):
+    """JN-5: a third of the texts hold the patterns' middle word; keys by frequency, and parts of a hot key, keep tasks even."""
+    from ledgerly.operators import joins as JJ
+    texts = spark.range(9000).selectExpr("id", "if(id % 3 = 0, concat('aula com ', chr(97 + id % 26), 'ana'), concat('outra ', id)) as t")
+    pats = spark.createDataFrame([(k, f"aula com {chr(97 + k)}ana") for k in range(26)], "pid int, p string")
+    found = JJ.contains_join(texts, "id", "t", pats, "pid", "p", split=50)
+    assert found.count() == 3000
+    per_key = found.groupBy("pid").count().collect()
+    assert len(per_key) == 26 and max(r["count"] for r in per_key) <= 120
+    # the middle word alone would have made 26 x 3000 candidates; the keys in use show each text to one pattern
+    keys = JJ._pattern_keys(F.col("p"), F.split("p", " "))
+    assert {len(r.k) for r in pats.select(keys.alias("k")).collect()} == {3}
+
+
 def test_null_keys_never_allocate(spark):
     """AL-2 / JN-10 / JN-12: null keys meet nothing; a null code keeps its match by text; empty codes match nothing."""
     from ledgerly.operators import joins as JJ
