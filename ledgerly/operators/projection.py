@@ -13,11 +13,14 @@ arithmetic is written in one fixed order.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerly.operators.joins import with_exists
+
 
 def r2(c: Column) -> Column:
     return (F.floor(c * 100 + 0.5) / 100).cast("double")
@@ -34,6 +37,7 @@ class ProjectionParams:
     occupancy_cap: float = 0.35     # occupancy cap
     ticket: float = 100.0           # average rental ticket per hour
     card_fee: float = 0.025         # fee on 30-day receipts
+    debit_fee: float = 0.0099       # fee on same-day tuition of customers who pay by debit card
     tuition_share: float = 0.84     # tuition share of imported receipts when nothing is planned
 
 
@@ -44,6 +48,19 @@ def split_by_plan(total: Column, planned_t: Column, planned_v: Column, default_s
     return r2(total * share), r2(total * (F.lit(1.0) - share))
 
 
+def debit_base(prices: DataFrame, payments: DataFrame, keys: Sequence[str], growth: float,
+               customer: str = "customer_code", method: str = "pay_method", debit: str = "cartão débito") -> DataFrame:
+    """Per ``keys``, the grown monthly prices of the slots whose customer has ever paid by debit card (JN-15).
+
+    Each slot's price is grown by one month and rounded on its own, as the
+    projection charges it; customers without a name match nobody.
+    """
+    paid = payments.where(F.lower(method) == debit).select(customer)
+    flagged = with_exists(prices, paid, [customer], "__debit")
+    value = F.when(F.col("__debit"), r2(F.col("monthly_price") * F.lit(1.0 + growth))).otherwise(F.lit(0.0))
+    return flagged.groupBy(*keys).agg(F.sum(value.cast("decimal(28,2)")).cast("double").alias("debit_base"))
+
+
 def month_projection(entities: DataFrame, key: str, p: ProjectionParams = ProjectionParams(),
                      static_hours: str | None = None) -> DataFrame:
     """RP-19: fold each entity's months.
@@ -51,9 +68,11 @@ def month_projection(entities: DataFrame, key: str, p: ProjectionParams = Projec
     ``entities`` columns: ``key``, ``base_tuition``, ``other_base``,
     ``fixed_hours``, ``r0``, ``r30``, ``pt0``, ``pv0``, ``roll_sum``,
     ``roll_cnt``, ``opening`` (doubles) and ``months``: array of structs
-    ``(month, open_hours, sched_ops, sched_inv, imported)`` in month order.
-    Returns one row per entity and month.
+    ``(month, open_hours, sched_ops, sched_inv, imported)`` in month order;
+    with ``debit_base`` (:func:`debit_base`) the debit-card fee on its same-day
+    share is part of each month's fees. Returns one row per entity and month.
     """
+    debit = F.col("debit_base") * F.col("r0") * F.lit(p.debit_fee) if "debit_base" in entities.columns else F.lit(0.0)
     acc0 = F.struct(F.col("pt0").alias("pt"), F.col("pv0").alias("pv"), F.col("roll_sum").alias("rs"),
                     F.col("roll_cnt").cast("double").alias("rc"), F.col("opening").alias("bal"),
                     F.lit(1.0).alias("f"), F.lit(1.0).alias("fo"),
@@ -80,7 +99,7 @@ def month_projection(entities: DataFrame, key: str, p: ProjectionParams = Projec
         ops, inv = r2(m["sched_ops"]), r2(m["sched_inv"])
         prov = r2(F.greatest(ops, acc["rs"] / acc["rc"]) * F.lit(p.safety))
         comm = r2(tuition * F.lit(p.commission))
-        fees = r2(trec * F.lit(p.card_fee) + vrec * F.lit(p.card_fee))
+        fees = r2((trec * F.lit(p.card_fee) + debit) + vrec * F.lit(p.card_fee))
         out_ops = r2(ops + prov + comm + fees)
         net = r2(r2(inflow - out_ops) - inv)
         final = r2(acc["bal"] + net)

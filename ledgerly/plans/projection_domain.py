@@ -1,8 +1,9 @@
 """RP-19 on the domain tables: the three-month cash projection of the club.
 
 Seeds come from the reference's table shapes: recurring monthly prices
-(AL-10 output: ``student, monthly_price``), payments (``payment_date,
-pay_method, amount``) for the settlement mix (AG-20), occupancy rows
+(AL-10 output, a row per slot: ``monthly_price`` and, for the debit-card fee,
+``customer_code``), payments (``payment_date, pay_method, amount`` and
+``customer_code``) for the settlement mix (AG-20), occupancy rows
 (``month, kind, hours``) classified by CL-10, paid sale items (``pay_date,
 valor_faturamento, category, description``, classed by CL-5) for the other variable
 revenue, the ledger (``due_date, paid, transaction_type, amount,
@@ -13,7 +14,7 @@ in :func:`ledgerly.operators.projection.month_projection`.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
@@ -30,13 +31,81 @@ IMMEDIATE_METHODS = ["pix", "Pix", "Dinheiro", "Cartão Débito"]
 INVESTMENT_CENTRE = "Investimentos"
 
 
+def in_investments(ledger: DataFrame) -> Column:
+    """Whether a row belongs to the investment centre, by whichever of its two names the ledger has."""
+    out = F.lit(False)
+    for c in ("cost_center_name", "cost_center_descricao"):
+        if c in ledger.columns:
+            out = out | F.coalesce(F.col(c) == INVESTMENT_CENTRE, F.lit(False))
+    return out
+
+
+#: Words of a bank row's text or title that make it an investment move.
+INVESTMENT_WORDS = ["resgate", "cdb", "firf", "aplicação", "aplicacao"]
+
+
+def investment_account(bank: DataFrame, opening: str, since: str, upto: str | None = None) -> DataFrame:
+    """One row, ``balance``: ``opening`` plus applications less redemptions from ``since`` on (to ``upto``)."""
+    low = lambda c: F.lower(F.coalesce(F.col(c), F.lit("")))
+    is_inv = F.coalesce(F.col("tipo_transacao_inter") == "INVESTIMENTO", F.lit(False))
+    for w in INVESTMENT_WORDS:
+        is_inv = is_inv | F.contains(low("descricao"), F.lit(w)) | F.contains(low("titulo"), F.lit(w))
+    v = F.coalesce(money("valor_com_sinal"), F.lit(0).cast("decimal(18,2)"))
+    credit = v > 0
+    if "tipo_movimento" in bank.columns:
+        credit = credit | F.coalesce(F.col("tipo_movimento") == "entrada", F.lit(False))
+    rows = bank.where(is_inv & (F.col("data_movimento") >= F.lit(since).cast("date")))
+    if upto is not None:
+        rows = rows.where(F.col("data_movimento") <= F.lit(upto).cast("date"))
+    moved = F.coalesce(F.sum(F.when(credit, -F.abs(v)).otherwise(F.abs(v))), F.lit(0).cast("decimal(18,2)"))
+    return rows.agg((F.lit(opening).cast("decimal(18,2)") + moved).alias("balance"))
+
+
+def days_opening(ledger: DataFrame, bank: DataFrame, month: str, as_of: str, month_opening: float, default_balance: float,
+                 investments: str, since: str) -> DataFrame:
+    """RP-18's opening cash, one row ``opening`` (AG-26, AG-27).
+
+    In the as-of month itself, the bank balance of the row synced last
+    (``synced_at``, ``bank_account_balance_cents``; ties by the larger balance;
+    ``default_balance`` without any), and from the month of ``since`` on the
+    investment account with it. In another month, ``month_opening`` with the
+    month's paid rows before the as-of day, transfers out from ``since`` on;
+    before ``since`` redemptions of the bank count as receipts.
+    """
+    consolidated = month[:7] >= since[:7]
+    if month[:7] == as_of[:7]:
+        cents = F.max_by("bank_account_balance_cents", F.struct(F.coalesce("synced_at", F.lit("")), "bank_account_balance_cents"))
+        out = ledger.agg(F.coalesce(cents / 100, F.lit(float(default_balance))).cast("decimal(18,2)").alias("cash"))
+        if consolidated:
+            inv = investment_account(bank, investments, since)
+            out = out.withColumn("__k", F.lit(1)).join(inv.withColumn("__k", F.lit(1)), "__k").withColumn("cash", F.col("cash") + F.col("balance"))
+        return out.select(F.col("cash").cast("double").alias("opening"))
+    m, a = F.lit(month).cast("date"), F.lit(as_of).cast("date")
+    z = F.lit(0).cast("decimal(18,2)")
+    paid = F.col("paid") & D.in_month("due_date", m) & (F.col("due_date") < a)
+    if consolidated:
+        paid = paid & (F.coalesce(F.col("transaction_type"), F.lit("")) != "transfer")
+    signed = F.when(F.col("transaction_type") == "revenue", money("amount")).otherwise(-money("amount"))
+    out = ledger.agg(F.coalesce(F.sum(F.when(paid, signed)), z).alias("moved")).withColumn("__k", F.lit(1))
+    if consolidated:
+        back = ledger.sparkSession.range(1).select(z.alias("redeemed"))
+    else:
+        d, t = (F.lower(F.coalesce(F.col(c), F.lit(""))) for c in ("descricao", "titulo"))
+        redeemed = (F.contains(d, F.lit("resgate")) | F.contains(d, F.lit("cdb")) | F.contains(t, F.lit("resgate"))) \
+            & D.in_month("data_movimento", m) & (F.col("data_movimento") < a)
+        back = bank.agg(F.coalesce(F.sum(F.when(redeemed, F.abs(money("valor_com_sinal")))), z).alias("redeemed"))
+    out = out.join(back.withColumn("__k", F.lit(1)), "__k")
+    return out.select((F.lit(month_opening).cast("decimal(18,2)") + F.col("moved") + F.col("redeemed")).cast("double").alias("opening"))
+
+
 def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame, items: DataFrame,
                    ledger: DataFrame, schedule: DataFrame, base_month: str, opening: float,
                    horizon: int = 3, history: int | None = None, p: P.ProjectionParams = P.ProjectionParams()) -> DataFrame:
     """RP-19 for the club. ``history``: how many months of paid costs up to the
     base month count, all that the ledger holds if None; their mean is over the
     months that have any. Unpaid costs of the base month fall due in the first
-    projected month."""
+    projected month. Where prices name their customer, slots of customers who
+    have paid by debit card bear its fee."""
     spark = prices.sparkSession
     base = F.lit(base_month).cast("date")
     in_base = lambda c: D.in_month(c, base)
@@ -58,13 +127,16 @@ def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame,
                       .alias("other_base"))
     led = ledger.withColumn("month", D.month_start("due_date"))
     hist = led.where(F.col("paid") & (F.col("transaction_type") != "revenue")
-                     & (F.col("cost_center_descricao") != INVESTMENT_CENTRE)
+                     & ~in_investments(led)
                      & (F.lit(history is None) | (F.col("month") > F.add_months(base, -(history or 0)))) & (F.col("month") <= base)) \
               .agg(F.coalesce(F.sum(money("amount")), z).cast("double").alias("roll_sum"),
                    F.greatest(F.countDistinct("month"), F.lit(1)).cast("int").alias("roll_cnt"))
     # one-row seeds: all inputs are global aggregates (single rows), combined in-row
     one = spark.range(1).select(F.lit(1).alias("club"))
-    for part in (tuition, mix, hours, other, hist):
+    debit = []
+    if "customer_code" in prices.columns:
+        debit = [P.debit_base(prices, payments, [], p.growth).select(F.coalesce("debit_base", F.lit(0.0)).alias("debit_base"))]
+    for part in (tuition, mix, hours, other, hist, *debit):
         one = one.join(part.withColumn("club", F.lit(1)), "club")
     one = one.withColumn("fixed_hours", F.coalesce("fixed_hours", F.lit(0.0))) \
              .withColumn("static_hours", F.coalesce("static_hours", F.lit(0.0))) \
@@ -76,7 +148,7 @@ def project_months(prices: DataFrame, payments: DataFrame, occupancy: DataFrame,
     oh = W.open_hours(W.calendar(months), OPEN_HOURS)
     due = led.where(~F.col("paid") & (F.col("transaction_type") != "revenue")) \
              .withColumn("month", F.when(F.col("month") == base, F.add_months(base, 1)).otherwise(F.col("month")))
-    inv = F.col("cost_center_descricao") == INVESTMENT_CENTRE
+    inv = in_investments(led)
     sched = due.groupBy("month").agg(F.sum(F.when(~inv, money("amount")).otherwise(z)).cast("double").alias("sched_ops"),
                                      F.sum(F.when(inv, money("amount")).otherwise(z)).cast("double").alias("sched_inv"))
     imp = schedule.groupBy(D.month_start("release_date").alias("month")) \
@@ -105,7 +177,7 @@ def overridden(ledger: DataFrame, overrides: DataFrame, month: str) -> DataFrame
     return J.apply_overrides(ledger, overrides, "id", fields, "is_deleted", "is_manual", rows)
 
 
-def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str, opening: float,
+def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str, opening: float | DataFrame,
                  d30_remaining: float, d0_expected: float, commission_p1: float, commission_p2: float,
                  pace: float = 1.0, card_fee: float = 0.025, day_provision: float = 0.0,
                  period_cut: int = 20, base_costs: float | None = None, safety: float = 0.05,
@@ -118,7 +190,8 @@ def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str,
     and pace; the as-of day nets what was already received. Outflows: daily
     provision and fees, ledger items due that day, overdue items (FL-10) on
     the as-of day, commission for the first period on ``period_cut`` and for
-    the second on the last day. Running balance from ``opening`` (WN-4).
+    the second on the last day. Running balance from ``opening`` (WN-4), a
+    number or the one row of :func:`days_opening`.
 
     With ``base_costs``, the base month's fixed costs, the daily provision is
     their gap to the month's unpaid operating costs, earlier ones included,
@@ -141,7 +214,7 @@ def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str,
     z = F.lit(0).cast("decimal(18,2)")
     sched = schedule.where(D.in_month("release_date", m)).groupBy(F.col("release_date").alias("day")) \
                     .agg(F.sum(money("value")).cast("double").alias("imported"))
-    inv = F.coalesce(F.col("cost_center_descricao") == INVESTMENT_CENTRE, F.lit(False))
+    inv = in_investments(ledger)
     cost = F.col("transaction_type") != "revenue"
     # one pass over the ledger; what follows reads one row per day of it
     by_day = ledger.groupBy(F.col("due_date").alias("day")).agg(*[
@@ -177,6 +250,8 @@ def project_days(ledger: DataFrame, schedule: DataFrame, month: str, as_of: str,
                  + F.when(first, F.coalesce("over_ops", F.lit(0.0))).otherwise(F.lit(0.0)) + comm)
     out_inv = r2(F.coalesce("inv", F.lit(0.0)) + F.when(first, F.coalesce("over_inv", F.lit(0.0))).otherwise(F.lit(0.0)))
     y = x.select("day", inflow.alias("inflow"), out_ops.alias("outflow_ops"), out_inv.alias("outflow_inv"),
-                 F.lit(1).alias("__k"), F.lit(float(opening)).alias("opening"))
+                 F.lit(1).alias("__k"), *([] if isinstance(opening, DataFrame) else [F.lit(float(opening)).alias("opening")]))
+    if isinstance(opening, DataFrame):
+        y = y.join(opening.withColumn("__k", F.lit(1)), "__k")
     y = y.withColumn("receipts", F.col("inflow")).withColumn("outflows", F.col("outflow_ops") + F.col("outflow_inv"))
     return P.daily_projection(y, "__k", "opening").drop("__k", "receipts", "outflows")

@@ -249,7 +249,8 @@ def ledger_rows(spark, d):
         scaled("o_totalprice", "0.0005").alias("amount"),
         when_chain([(k % 6 == n, F.lit(c).cast("string")) for n, c in enumerate(LEDGER_CATEGORIES)]).alias("category_name"),
         F.when(F.col("o_orderpriority") == "2-HIGH", "Investimentos").otherwise("Operação").alias("cost_center_descricao"),
-        F.when(F.col("o_custkey") % 10 == 0, "Zeta Payroll").otherwise("x").alias("name"))
+        F.when(F.col("o_custkey") % 10 == 0, "Zeta Payroll").otherwise("x").alias("name"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("synced_at"), (money("o_totalprice") * 100).cast("bigint").alias("bank_account_balance_cents"))
 
 
 SQL_LEDGER = """

@@ -9,7 +9,7 @@ from ledgerly.functions.num import money
 from ledgerly.plans import dashboard
 from ledgerly.plans import projection_domain as PD
 from ledgerly.plans.q_estimates import SQL_EVENT_BOOKINGS, event_bookings
-from ledgerly.plans.q_finance import SQL_LEDGER, ledger_rows, scaled
+from ledgerly.plans.q_finance import SQL_LEDGER, bank_rows, ledger_rows, scaled
 from ledgerly.plans.registry import register
 from ledgerly.sources.tables import table
 
@@ -120,7 +120,8 @@ def teacher_balances(spark, d):
 
 # Fixed values of the test mapping: day of the report, money that does not come from the tables.
 DAYS_AS_OF, DAYS_MONTHS = "1998-08-10", ["1998-07-01", "1998-08-01", "1998-09-01"]
-DAYS_ARGS = dict(opening=1000.0, d30_remaining=2200.0, d0_expected=1500.0, commission_p1=50.0, commission_p2=70.0,
+DAYS_OPENING = dict(month_opening=1000.0, default_balance=17.0, investments="111.79", since="1998-07-01")
+DAYS_ARGS = dict(d30_remaining=2200.0, d0_expected=1500.0, commission_p1=50.0, commission_p2=70.0,
                  pace=1.158, card_fee=0.025, base_costs=9000.0, safety=0.05)
 
 
@@ -175,15 +176,20 @@ i AS (SELECT m AS month, day, CASE WHEN day = a THEN floor(greatest(0.0, raw - f
              floor((inv + CASE WHEN day = a THEN over_inv ELSE 0.0 END) * 100 + 0.5) / 100 AS outflow_inv FROM h),
 n AS (SELECT *, floor((inflow - (outflow_ops + outflow_inv)) * 100 + 0.5) / 100 AS net FROM i)
 SELECT month, day, inflow, outflow_ops, outflow_inv, net,
-       1000.0 + CAST(sum(CAST(net AS DECIMAL(18,2))) OVER (PARTITION BY month ORDER BY day) AS DOUBLE) AS closing FROM n
+       CASE WHEN month = DATE '1998-08-01' THEN (SELECT CAST(arg_max(CAST(o_totalprice AS DECIMAL(18,2)), (o_orderdate, CAST(o_totalprice AS DECIMAL(18,2)))) AS DOUBLE) FROM orders)
+         + (SELECT CAST(111.79 + sum(CASE WHEN l_linestatus = 'O' THEN 1 ELSE -1 END * CAST(CAST(l_extendedprice AS DECIMAL(18,2)) * 0.0001 AS DECIMAL(18,2))) AS DOUBLE)
+            FROM lineitem WHERE l_shipdate >= DATE '1998-07-01' AND (l_returnflag = 'A' OR l_linenumber IN (1, 2, 6, 7)))
+       ELSE 1000.0::DOUBLE END + CAST(sum(CAST(net AS DECIMAL(18,2))) OVER (PARTITION BY month ORDER BY day) AS DOUBLE) AS closing FROM n
 """)
 def daily_cash(spark, d):
-    """RP-18 (JN-13, AG-33, CA-6): a past, the current and a later month day by day, with provisions and overrides."""
+    """RP-18 (JN-13, AG-26, AG-27, AG-33, CA-6): a past, the current and a later month day by day, with provisions and
+    overrides, from the opening that the bank's and the ledger's rows give."""
     li = table(spark, d, "lineitem").where((F.col("l_returnflag") == "A") & (F.to_date("l_shipdate") < F.lit("1998-09-01").cast("date")))
     schedule = li.select(F.to_date("l_shipdate").alias("release_date"), scaled("l_extendedprice", "0.0001").alias("value"))
     out = None
     for month in DAYS_MONTHS:
-        rows = PD.project_days(ledger_rows(spark, d), schedule, month, DAYS_AS_OF, overrides=ledger_overrides(spark, d), **DAYS_ARGS)
+        opening = PD.days_opening(ledger_rows(spark, d), bank_rows(spark, d), month, DAYS_AS_OF, **DAYS_OPENING)
+        rows = PD.project_days(ledger_rows(spark, d), schedule, month, DAYS_AS_OF, opening, overrides=ledger_overrides(spark, d), **DAYS_ARGS)
         rows = rows.select(F.lit(month).cast("date").alias("month"), "day", "inflow", "outflow_ops", "outflow_inv", "net", "closing")
         out = rows if out is None else out.unionByName(rows)
     return out

@@ -41,4 +41,5 @@ def load_all() -> None:
         q_finance,
         q_teachers,
         q_commission,
+        q_club,
     )

@@ -54,3 +54,42 @@ def test_project_days_balance_and_first_day_items(spark):
     last = rows[-1]
     assert last.outflow_ops == 70.0
     assert abs(last.closing - (1000.0 + sum(r.net for r in rows))) < 0.01
+
+
+def test_debit_card_fee_per_slot_of_customers_who_ever_paid_by_debit(spark):
+    from ledgerly.operators import projection as P
+    prices = spark.createDataFrame([("a", 100.333), ("a", 50.126), ("b", 70.0), (None, 9.0)], "customer_code string, monthly_price double")
+    pays = spark.createDataFrame([("a", "CARTÃO DÉBITO"), ("a", "pix"), ("a", "Cartão Débito"), ("b", "pix"), (None, "Cartão Débito"), ("c", None)],
+                                 "customer_code string, pay_method string")
+    got = P.debit_base(prices, pays, [], 0.02).first().debit_base
+    assert got == round(round(100.333 * 1.02, 2) + round(50.126 * 1.02, 2), 2)  # each slot rounded, each counted once
+    entity = spark.createDataFrame([(1, 0.0, 0.0, 0.0, 0.5, 0.5, 0.0, 0.0, 0.0, 1.0, 0.0, got)], "k int, base_tuition double, other_base double, "
+                                   "fixed_hours double, r0 double, r30 double, pt0 double, pv0 double, roll_sum double, roll_cnt double, opening double, debit_base double")
+    entity = entity.selectExpr("*", "array(struct(date'2026-08-01' as month, 0d as open_hours, 0d as sched_ops, 0d as sched_inv, cast(null as double) as imported)) as months")
+    row = P.month_projection(entity, "k").first()
+    assert row.out_ops == round(got * 0.5 * 0.0099, 2) and P.month_projection(entity.drop("debit_base"), "k").first().out_ops == 0.0
+
+
+def test_opening_of_the_days_from_bank_and_ledger(spark):
+    from ledgerly.plans.projection_domain import days_opening, in_investments
+    ledger = spark.createDataFrame([
+        (dt.date(2026, 7, 3), True, "revenue", Decimal("100"), "Operação", None, "2026-07-29T10", 500_00),
+        (dt.date(2026, 7, 4), True, "expense", Decimal("30"), "Operação", "Investimentos", "2026-07-30T09", 700_00),
+        (dt.date(2026, 7, 5), True, "transfer", Decimal("7"), "Operação", None, "2026-07-30T09", 650_00),
+        (dt.date(2026, 7, 20), True, "revenue", Decimal("1"), "Operação", None, None, 900_00),      # not before the as-of day
+        (dt.date(2026, 7, 6), False, "revenue", Decimal("2"), "Operação", None, None, None),        # not paid
+    ], "due_date date, paid boolean, transaction_type string, amount decimal(18,2), cost_center_descricao string, cost_center_name string, "
+       "synced_at string, bank_account_balance_cents long")
+    bank = spark.createDataFrame([
+        (dt.date(2026, 7, 2), None, "Aplicação CDB", None, Decimal("-40")), (dt.date(2026, 7, 8), "INVESTIMENTO", None, None, Decimal("15")),
+        (dt.date(2026, 6, 9), None, "Resgate", None, Decimal("11")), (dt.date(2026, 7, 9), "PIX", "Padaria", None, Decimal("3"))],
+        "data_movimento date, tipo_transacao_inter string, descricao string, titulo string, valor_com_sinal decimal(18,2)")
+    args = dict(month_opening=1000.0, default_balance=17.0, investments="111.79")
+    opening = lambda month, as_of, since, led=ledger: days_opening(led, bank, month, as_of, since=since, **args).first().opening
+    assert opening("2026-07-01", "2026-07-15", "2026-07-01") == 700.0 + 111.79 + 40 - 15   # latest sync, larger of two, with investments
+    assert opening("2026-07-01", "2026-07-15", "2026-08-01") == 700.0                      # not yet consolidated
+    assert opening("2026-07-01", "2026-07-15", "2026-08-01", ledger.limit(0)) == 17.0
+    assert opening("2026-07-01", "2026-08-15", "2026-07-01") == 1000.0 + 100 - 30 + 1       # a past month; transfers stay out
+    assert opening("2026-07-01", "2026-07-15", "2026-07-01", ledger.limit(0)) == 17.0 + 111.79 + 25
+    assert opening("2026-06-01", "2026-07-15", "2026-07-01") == 1000.0 + 11                 # before: redemptions are receipts
+    assert [r.x for r in ledger.select(in_investments(ledger).alias("x")).collect()] == [False, True, False, False, False]
