@@ -291,12 +291,16 @@ def merge_overrides(current: DataFrame, delta: DataFrame, key: str, ts: str,
 
     An edit replaces every column, so it can clear one. A tombstone
     (``deleted`` true) carries few columns: those of the latest version that
-    was no tombstone stay. One shuffle on the key.
+    was no tombstone stay. Of two versions of one time the delta's counts, so
+    the same delta again changes nothing. One shuffle on the key.
     """
-    u = current.select(key, ts, deleted, *cols).unionByName(delta.select(key, ts, deleted, *cols))
+    new = F.lit(True).alias("__new")
+    u = current.select(key, ts, deleted, *cols, ~new).toDF(key, ts, deleted, *cols, "__new") \
+        .unionByName(delta.select(key, ts, deleted, *cols, new))
     live = ~F.coalesce(F.col(deleted), F.lit(False))
-    row = F.max_by(F.struct(*cols), F.struct(live, F.col(ts))).alias("__row")
-    u = u.groupBy(key).agg(row, F.max_by(F.col(deleted), F.col(ts)).alias(deleted), F.max(ts).alias(ts))
+    # a tombstone's columns are those of what it buried, which the current rows keep
+    row = F.max_by(F.struct(*cols), F.struct(live, F.col(ts), F.col("__new") == live)).alias("__row")
+    u = u.groupBy(key).agg(row, F.max_by(F.col(deleted), F.struct(ts, "__new")).alias(deleted), F.max(ts).alias(ts))
     return u.select(key, *[F.col("__row")[c].alias(c) for c in cols], deleted, ts)
 
 

@@ -115,6 +115,31 @@ def commission_dashboard(detail: DataFrame, vouchers: DataFrame, payouts: DataFr
     return students, summary
 
 
+#: Sections of the student table.
+MEMBERS, REGULARS = "Sócios", "Regulares"
+
+
+def student_table(students: DataFrame) -> DataFrame:
+    """The student rows of RP-2 with their totals (AG-8, AG-10), in one ``GROUPING SETS`` pass.
+
+    ``students``: the first result of :func:`commission_dashboard`. Rows of
+    ``level`` student (per teacher, section, student and status), section
+    (members or regular students of a teacher), teacher and total; what a row
+    sums over is null. Columns ``level, professor, section, student, status,
+    classes, billed, base``.
+    """
+    rows = students.select("professor", F.when(F.col("is_socio"), MEMBERS).otherwise(REGULARS).alias("section"), "student", "status",
+                           "classes", *[F.col(c).cast(X.EXACT).alias(c) for c in ("billed", "base")])
+    sets = [["professor", "section", "student", "status"], ["professor", "section"], ["professor"], []]
+    by = [F.col(c) for c in sets[0]]
+    out = rows.groupingSets([[F.col(c) for c in s] for s in sets], *by).agg(
+        F.grouping("student").alias("__s"), F.grouping("section").alias("__c"), F.grouping("professor").alias("__p"),
+        F.sum("classes").alias("classes"), F.round(F.sum("billed"), 2).cast("double").alias("billed"),
+        F.round(F.sum("base"), 2).cast("double").alias("base"))
+    level = F.when(F.col("__s") == 0, "student").when(F.col("__c") == 0, "section").when(F.col("__p") == 0, "teacher").otherwise("total")
+    return out.select(level.alias("level"), *sets[0], "classes", "billed", "base")
+
+
 def teacher_table(detail: DataFrame, vouchers: DataFrame, month: str, r: DashboardRules = DashboardRules(),
                   unknown: str = "Desconhecido", total: str = "Total Geral") -> DataFrame:
     """The teacher table of RP-21 (AG-9): classes, billed and commission of what was paid in the month, with a total row.

@@ -118,6 +118,45 @@ def teacher_balances(spark, d):
     return summary
 
 
+@register("student_balances", sql=f"""
+WITH {SQL_LESSONS},
+pt AS (SELECT professor, 'S' || student AS student, is_socio, CAST(val AS DECIMAL(24,6)) AS v,
+              CAST(CASE WHEN own_base <> 0 THEN own_base ELSE val END * mult AS DECIMAL(24,6)) AS base FROM les
+       WHERE is_paid AND pay_date BETWEEN DATE '2024-01-01' AND DATE '2024-01-31' AND val > 0
+       UNION ALL SELECT 'Prof ' || (event_id % 7), CASE WHEN event_id % 3 <> 0 THEN 'C' || event_id ELSE 'Voucher' END || ' (voucher)', false,
+                        CAST(value AS DECIMAL(18,2)), CAST(value AS DECIMAL(18,2)) FROM events
+       WHERE event_type = 'error' AND event_id % 4 <> 0 AND event_id % 7 < 5 AND CAST(value AS DECIMAL(18,2)) > 0 AND date_trunc('month', ts) = DATE '2024-01-01'),
+b AS (SELECT * FROM les WHERE NOT is_paid),
+s AS (SELECT student, month, dow, start_time, hour, category, unit_price, is_monthly, count(*) AS n FROM b WHERE NOT is_free GROUP BY ALL),
+ns AS (SELECT student, month, count(*) AS n_slots FROM s GROUP BY 1, 2),
+cal AS (SELECT month, dayofweek(day) AS dow, count(*) AS occ
+        FROM (SELECT month, CAST(unnest(generate_series(month, last_day(month), INTERVAL 1 DAY)) AS DATE) AS day
+              FROM (SELECT DISTINCT month FROM s)) GROUP BY 1, 2),
+f AS (SELECT s.*, CASE WHEN is_monthly THEN n / cal.occ * unit_price ELSE n * unit_price END
+             * CASE WHEN dow BETWEEN 1 AND 5 AND hour BETWEEN 10 AND 15 THEN 0.88::DOUBLE
+                    ELSE 1.0::DOUBLE - CASE WHEN n_slots = 2 THEN 0.05 WHEN n_slots >= 3 THEN 0.07 ELSE 0.0 END::DOUBLE END AS slot_value
+      FROM s JOIN ns USING (student, month) JOIN cal USING (month, dow)),
+e0 AS (SELECT b.professor, b.student, b.booking_date, b.is_free, b.own_base, b.mult, b.is_socio,
+              CASE WHEN b.is_free THEN 0.0 ELSE f.slot_value / f.n END AS est
+       FROM b LEFT JOIN f ON f.student = b.student AND f.month = b.month AND f.dow = b.dow AND f.start_time = b.start_time AND f.category = b.category),
+e AS (SELECT *, CAST(CASE WHEN own_base <> 0 THEN CAST(own_base AS DOUBLE) WHEN is_socio THEN est * 2 ELSE est END * CAST(mult AS DOUBLE) AS DECIMAL(24,6)) AS cb FROM e0),
+st AS (SELECT professor, student, sum(cb) AS cb FROM e GROUP BY 1, 2),
+bl AS (SELECT student, sum(CAST(slot_value AS DECIMAL(24,6))) AS billed FROM f GROUP BY 1),
+rows AS (SELECT professor, student, 'paid' AS status, count(*) AS classes, sum(v) AS billed, sum(base) AS base, bool_or(is_socio) AS is_socio FROM pt GROUP BY 1, 2
+         UNION ALL SELECT professor, 'S' || student, 'pending', n, coalesce(billed, 0), CASE WHEN cb = 0 THEN coalesce(billed, 0) ELSE cb END, member
+         FROM st JOIN (SELECT student, count(*) AS n, bool_or(is_socio) AS member FROM b GROUP BY 1) USING (student) LEFT JOIN bl USING (student)),
+t AS (SELECT *, CASE WHEN is_socio THEN 'Sócios' ELSE 'Regulares' END AS section FROM rows)
+SELECT CASE WHEN GROUPING(student) = 0 THEN 'student' WHEN GROUPING(section) = 0 THEN 'section' WHEN GROUPING(professor) = 0 THEN 'teacher' ELSE 'total' END AS level,
+       professor, section, student, status, CAST(sum(classes) AS BIGINT) AS classes, CAST(round(sum(CAST(billed AS DECIMAL(24,6))), 2) AS DOUBLE) AS billed,
+       CAST(round(sum(CAST(base AS DECIMAL(24,6))), 2) AS DOUBLE) AS base
+FROM t GROUP BY GROUPING SETS ((professor, section, student, status), (professor, section), (professor), ())
+""")
+def student_balances(spark, d):
+    """RP-2 at student level (AG-8, AG-10): paid and pending rows of every student with section, teacher and grand totals."""
+    students, _ = dashboard.commission_dashboard(lessons(spark, d), lesson_vouchers(spark, d), payouts(spark, d), TEACHER_MONTH, TEACHER_RULES)
+    return dashboard.student_table(students)
+
+
 # Fixed values of the test mapping: day of the report, money that does not come from the tables.
 DAYS_AS_OF, DAYS_MONTHS = "1998-08-10", ["1998-07-01", "1998-08-01", "1998-09-01"]
 DAYS_OPENING = dict(month_opening=1000.0, default_balance=17.0, investments="111.79", since="1998-07-01")

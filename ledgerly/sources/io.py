@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerly.functions import text as T
+from ledgerly.operators.joins import merge_overrides
+from ledgerly.session import cut_lineage
 
 
 def read_table(spark: SparkSession, path: str, cols: Sequence[str] | None = None,
@@ -106,22 +108,49 @@ def schedule_lines(spark: SparkSession, glob: str) -> DataFrame:
     return files.select("file", "changed", F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
 
 
+def schedule_days(lines: DataFrame, acquirer: str, **kw) -> DataFrame:
+    """Numbered lines of schedule files -> release_date, acquirer, value, source_file, changed, month.
+
+    Duplicate dates are summed within a file (AG-29). Of several files with
+    rows of one month the newest counts (by change time, then name).
+    """
+    rows = parse_schedule_lines(lines, **kw)
+    month = F.date_format("release_date", "yyyy-MM").alias("month")
+    days = rows.groupBy("file", "release_date", month).agg(F.round(F.sum("value"), 2).alias("value")) \
+               .join(lines.select("file", "changed").distinct(), "file")
+    newest = days.groupBy("month").agg(F.max(F.struct("changed", "file"))["file"].alias("file"))
+    return days.join(newest, ["month", "file"]).select("release_date", F.lit(acquirer).alias("acquirer"), "value",
+                                                       F.col("file").alias("source_file"), "changed", "month")
+
+
 def ingest_schedule(spark: SparkSession, glob: str, acquirer: str, **kw) -> DataFrame:
     """SR-4: schedule CSVs -> (release_date, acquirer, value, source_file).
 
-    Duplicate dates are summed within a file (AG-29). A file replaces the
-    whole months that it holds, so of several files with rows of one month the
-    newest counts (by change time, then name), whatever order they came in.
+    A file replaces the whole months that it holds, so of several files with
+    rows of one month the newest counts, whatever order they came in.
     """
-    lines = schedule_lines(spark, glob)
-    rows = parse_schedule_lines(lines, **kw)
-    month = F.trunc("release_date", "MM").alias("__m")
-    days = rows.groupBy("file", "release_date", month).agg(F.round(F.sum("value"), 2).alias("value"))
-    changed = lines.select("file", "changed").distinct()
-    newest = days.select("file", "__m").distinct().join(changed, "file").groupBy("__m") \
-                 .agg(F.max(F.struct("changed", "file"))["file"].alias("file"))
-    return days.join(newest, ["__m", "file"]).select("release_date", F.lit(acquirer).alias("acquirer"), "value",
-                                                     F.col("file").alias("source_file"))
+    return schedule_days(schedule_lines(spark, glob), acquirer, **kw).drop("changed", "month")
+
+
+SCHEDULE = "release_date date, acquirer string, value double, source_file string, changed timestamp, month string"
+
+
+def merge_schedule(spark: SparkSession, new: DataFrame, path: str) -> None:
+    """SK-1 with the newest file per month as its state: ``new`` (:func:`schedule_days`) into the table at ``path``.
+
+    The table itself tells which file each of its months came from, so only
+    the partitions of the months in ``new`` are read, and only those are
+    written that a newer file (or the same one again) replaces. Months in
+    ``new`` are calendar months, few enough to be named in the filter.
+    """
+    new = cut_lineage(new)
+    months = [r.month for r in new.select("month").distinct().collect()]
+    if not months:
+        return
+    held = read_or_empty(spark, path, SCHEDULE).where(F.col("month").isin(months)) \
+        .groupBy("month").agg(F.max(F.struct("changed", "source_file")).alias("held"))
+    fresh = new.join(held, "month", "left").where(F.col("held").isNull() | (F.struct("changed", "source_file") >= F.col("held"))).drop("held")
+    (fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("month").parquet(path))
 
 
 def rejected_files(spark: SparkSession, glob: str, max_header_row: int = 15, sep: str = ";") -> DataFrame:
@@ -147,14 +176,65 @@ def replace_months(df: DataFrame, path: str, date_col: str, keys: Sequence[str],
         .partitionBy("month").parquet(path))
 
 
-def append(df: DataFrame, path: str) -> None:
-    """SK-2: append rows (e.g. one payout)."""
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, batch: str) -> None:
+    """SK-2: append rows (e.g. one payout), once.
 
+    ``batch`` names what is appended. Its rows are a partition of their own,
+    which a retried job replaces instead of adding them again. Read the table
+    with :func:`appended`.
+    """
+    (df.withColumn("batch", F.lit(batch)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy("batch").parquet(path))
 
-def delete_where(spark: SparkSession, path: str, pred: Column, out_path: str) -> DataFrame:
-    """SK-3: delete by predicate. Parquet files are immutable, so the kept
-    rows are written to ``out_path`` (a new version) and returned."""
-    kept = spark.read.parquet(path).where(~F.coalesce(pred, F.lit(False)))
-    kept.write.mode("overwrite").parquet(out_path)
-    return spark.read.parquet(out_path)
+
+def appended(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all batches."""
+    return spark.read.parquet(path).drop("batch")
+
+
+def rewrite_partitions(spark: SparkSession, path: str, by: str, names: Sequence, kept: DataFrame) -> None:
+    """Copy-on-write: the partitions ``names`` of the table at ``path`` become what ``kept`` has of them.
+
+    All other files stay as they are. A partition that loses its last row is
+    removed after the others have been written, so a job that dies in between
+    leaves whole partitions, old or new, and can simply be run again.
+    """
+    fresh = cut_lineage(kept)
+    left = {r[0] for r in fresh.select(by).distinct().collect()}  # at most ``names``
+    fresh.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path)
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    for name in names:
+        if name not in left:
+            folder = jvm.org.apache.hadoop.fs.Path(f"{path}/{by}={name}")
+            folder.getFileSystem(conf).delete(folder, True)
+
+
+def delete_where(spark: SparkSession, path: str, pred: Column, by: str) -> int:
+    """SK-3: delete by predicate from a table partitioned by ``by``; how many partitions were rewritten.
+
+    Rows for which the predicate is null stay. Only partitions that hold a row
+    to delete are read again and written.
+    """
+    table, gone = spark.read.parquet(path), F.coalesce(pred, F.lit(False))
+    names = [r[0] for r in table.where(gone).select(by).distinct().collect()]  # partitions, not rows
+    if names:
+        rewrite_partitions(spark, path, by, names, table.where(F.col(by).isin(names) & ~gone))
+    return len(names)
+
+
+def upsert(spark: SparkSession, path: str, delta: DataFrame, key: str, ts: str, cols: Sequence[str],
+           deleted: str = "is_deleted", buckets: int = 64) -> None:
+    """SK-4: merge override rows into the table at ``path``, partitioned by a hash bucket of the key.
+
+    Rows merge as :func:`ledgerly.operators.joins.merge_overrides` says; only
+    the buckets of the delta's keys are read and written. The same delta again
+    changes nothing.
+    """
+    place = F.expr(f"cast(pmod(xxhash64(`{key}`), {buckets}) as int)")
+    delta = cut_lineage(delta.select(key, ts, deleted, *cols))
+    names = [r[0] for r in delta.select(place.alias("bucket")).distinct().collect()]  # at most ``buckets``
+    if not names:
+        return
+    held = read_or_empty(spark, path, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in delta.schema) + ", bucket int")
+    merged = merge_overrides(held.where(F.col("bucket").isin(names)), delta, key, ts, cols, deleted)
+    rewrite_partitions(spark, path, "bucket", names, merged.withColumn("bucket", place))

@@ -1,12 +1,13 @@
 """Structured Streaming form of the schedule upload (SR-4 + SK-1).
 
-The reference uploads receivables schedules one file at a time and replaces
-the months they cover. Here a folder is watched as a file stream; each
-micro-batch of new files names the months it touches, and these are built anew
-from all files of the folder, newest first, and written with the
-month-replacing sink inside ``foreachBatch``. The result does not depend on
-how files are spread over micro-batches, and a repeated batch writes the same.
-The checkpoint lives in the shared checkpoint folder of the session.
+A folder of receivables schedules is watched as a file stream. Each micro-batch
+parses its own new files and no others; the state, which file each month came
+from, is kept in the table itself, of which only the touched months are read
+(:func:`ledgerly.sources.io.merge_schedule`). A file that comes late does not
+undo a newer one, the result does not depend on how files are spread over
+micro-batches, and a repeated batch writes the same. The work of a batch does
+not grow with the folder. The checkpoint lives in the shared checkpoint folder
+of the session.
 """
 
 from __future__ import annotations
@@ -22,14 +23,11 @@ def start_schedule_stream(spark: SparkSession, in_dir: str, out_path: str, acqui
                           name: str = "schedule_ingest"):
     """Start the stream; returns the ``StreamingQuery``."""
     files = (spark.readStream.format("text").option("wholetext", "true").load(in_dir)
-                  .withColumn("file", F.input_file_name()))
+                  .select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_modification_time").alias("changed")))
 
     def write_batch(batch, batch_id):
-        lines = batch.select("file", F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
-        months = io.parse_schedule_lines(lines).select(F.trunc("release_date", "MM").alias("m")).distinct()
-        rows = io.ingest_schedule(spark, in_dir, acquirer).withColumn("m", F.trunc("release_date", "MM")) \
-                 .join(months, "m", "left_semi")
-        io.replace_months(rows, out_path, "release_date", ["release_date", "acquirer"], "value")
+        lines = batch.select("file", "changed", F.posexplode(F.split(F.col("value"), r"\r?\n")).alias("pos", "line"))
+        io.merge_schedule(batch.sparkSession, io.schedule_days(lines, acquirer), out_path)
 
     ckpt = f"{checkpoint_dir(spark).rstrip('/')}/{name}"
     return (files.writeStream.foreachBatch(write_batch)

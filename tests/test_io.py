@@ -52,18 +52,57 @@ def test_schedule_aliases_quotes_and_replacement(spark):
     assert bad == {"c.csv": io.NO_HEADER, "e.csv": io.NO_ROWS}
 
 
-def test_append_delete_and_optional_source(spark):
+def _files(path):
+    return {os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+
+def test_append_twice_and_optional_source(spark):
     base = tempfile.mkdtemp(prefix="ledgerly-sk-")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    io.append(df, base + "/t")
-    io.append(df.where("id = 1"), base + "/t")
-    assert spark.read.parquet(base + "/t").count() == 3
-    kept = io.delete_where(spark, base + "/t", F.col("id") == 1, base + "/t2")
-    assert [r.id for r in kept.collect()] == [2]
+    io.append(df, base + "/t", "first")
+    io.append(df.where("id = 1"), base + "/t", "second")
+    io.append(df.where("id = 1"), base + "/t", "second")  # the job is retried
+    assert sorted(r.id for r in io.appended(spark, base + "/t").collect()) == [1, 1, 2] and io.appended(spark, base + "/t").columns == ["id", "v"]
     empty = io.read_or_empty(spark, base + "/missing", "id int, v string")
     assert empty.count() == 0 and empty.columns == ["id", "v"]
 
 
+def test_delete_rewrites_touched_partitions_only(spark):
+    path = tempfile.mkdtemp(prefix="ledgerly-del-") + "/t"
+    rows = [(k, f"2026-{1 + k % 4:02d}", None if k == 9 else k % 5) for k in range(40)] + [(99, "2026-12", 99)]
+    spark.createDataFrame(rows, "id int, month string, v int").write.partitionBy("month").parquet(path)
+    before = _files(path)
+    assert io.delete_where(spark, path, F.col("v") == 99, "month") == 1
+    assert before - _files(path) == {f for f in before if "2026-12" in f} and not os.path.exists(path + "/month=2026-12")
+    assert io.delete_where(spark, path, (F.col("v") == 3) & (F.col("month") == "2026-02"), "month") == 1
+    assert {f for f in before & _files(path)} == {f for f in before if "2026-12" not in f and "2026-02" not in f}
+    left = {(r.id, r.month) for r in spark.read.parquet(path).collect()}
+    assert left == {(k, m) for k, m, v in rows if v != 99 and not (v == 3 and m == "2026-02")}
+    assert io.delete_where(spark, path, F.col("v") == 1000, "month") == 0
+
+
+def test_a_delete_that_died_between_partitions_is_run_again(spark):
+    path = tempfile.mkdtemp(prefix="ledgerly-del-") + "/t"
+    spark.createDataFrame([(k, k % 3) for k in range(30)], "id int, p int").write.partitionBy("p").parquet(path)
+    table, gone = spark.read.parquet(path), F.col("id") < 15
+    io.rewrite_partitions(spark, path, "p", [0], table.where((F.col("p") == 0) & ~gone))  # one of three was done
+    assert io.delete_where(spark, path, F.col("id") < 15, "p") == 2
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(15, 30))
+
+
+def test_upsert_of_overrides_touches_their_buckets(spark):
+    path = tempfile.mkdtemp(prefix="ledgerly-up-") + "/t"
+    schema = "k int, ts int, is_deleted boolean, amt double"
+    io.upsert(spark, path, spark.createDataFrame([(k, 1, False, float(k)) for k in range(50)], schema), "k", "ts", ["amt"], buckets=16)
+    before, delta = _files(path), spark.createDataFrame([(3, 2, False, None), (7, 2, True, None), (60, 1, False, 6.0), (4, 0, False, 99.0)], schema)
+    for _ in range(2):  # the same again changes nothing
+        io.upsert(spark, path, delta, "k", "ts", ["amt"], buckets=16)
+        rows = {r.k: (r.ts, r.is_deleted, r.amt) for r in spark.read.parquet(path).collect()}
+        assert len(rows) == 51 and rows[3] == (2, False, None) and rows[7] == (2, True, 7.0) and rows[60] == (1, False, 6.0) and rows[4] == (1, False, 4.0)
+    assert len(before & _files(path)) >= len(before) - 4
+    io.upsert(spark, path, delta.limit(0), "k", "ts", ["amt"], buckets=16)
+
+
 def test_merge_overrides_tombstone_keeps_fields(spark):
     cur = spark.createDataFrame([(1, 1, False, 10.0, "x")], "k int, ts int, is_deleted boolean, amt double, name string")
     delta = spark.createDataFrame([(1, 2, True, None, None), (2, 1, False, 5.0, "y")],
@@ -98,6 +137,39 @@ def test_schedule_stream(spark):
     assert got == [("2026-07-05", 1244.56), ("2026-08-01", 5.0)]
 
 
+def test_stream_reads_its_own_files_and_late_ones_undo_nothing(spark, monkeypatch):
+    from ledgerly.streaming.ingest import start_schedule_stream
+    d, out = tempfile.mkdtemp(prefix="ledgerly-stream-in-"), tempfile.mkdtemp(prefix="ledgerly-stream-out-") + "/sched"
+    name = "sched_late_" + os.path.basename(d).replace("-", "_")
+    seen, days = [], io.schedule_days
+    monkeypatch.setattr(io, "schedule_days", lambda lines, *a, **b: seen.append(sorted(
+        os.path.basename(r.file) for r in lines.select("file").distinct().collect())) or days(lines, *a, **b))
+
+    def run():  # each time a restart from the checkpoint
+        q = start_schedule_stream(spark, d, out, "acq", name=name)
+        try:
+            q.processAllAvailable()
+        finally:
+            q.stop()
+        return sorted((str(r.release_date), r.value) for r in spark.read.parquet(out).collect())
+
+    def put(file, at, text):
+        tmp = tempfile.mkdtemp(prefix="ledgerly-tmp-") + "/" + file
+        with open(tmp, "w") as f:
+            f.write(text)
+        os.utime(tmp, (at, at))
+        os.rename(tmp, os.path.join(d, file))
+    put("b.csv", 2000, "Data;Valor\n05/07/2026;7\n06/07/2026;1\n01/08/2026;5\n")
+    assert run() == [("2026-07-05", 7.0), ("2026-07-06", 1.0), ("2026-08-01", 5.0)]
+    august = _files(out + "/month=2026-08")
+    put("a.csv", 1000, "Data;Valor\n05/07/2026;99\n01/09/2026;3\n")   # older, but its September is new
+    put("c.csv", 3000, "Data;Valor\n09/07/2026;4\n")                    # newer: July as a whole
+    assert run() == [("2026-07-09", 4.0), ("2026-08-01", 5.0), ("2026-09-01", 3.0)]
+    put("e.csv", 4000, "no;header\n1;2\n")
+    assert run() == [("2026-07-09", 4.0), ("2026-08-01", 5.0), ("2026-09-01", 3.0)]
+    assert _files(out + "/month=2026-08") == august and seen == [["b.csv"], ["a.csv", "c.csv"], ["e.csv"]]
+
+
 def test_monthly_report_writes_each_report(spark):
     from ledgerly.plans.report import monthly_report
     out = tempfile.mkdtemp(prefix="ledgerly-report-")

@@ -86,10 +86,10 @@ def test_opening_of_the_days_from_bank_and_ledger(spark):
         "data_movimento date, tipo_transacao_inter string, descricao string, titulo string, valor_com_sinal decimal(18,2)")
     args = dict(month_opening=1000.0, default_balance=17.0, investments="111.79")
     opening = lambda month, as_of, since, led=ledger: days_opening(led, bank, month, as_of, since=since, **args).first().opening
-    assert opening("2026-07-01", "2026-07-15", "2026-07-01") == 700.0 + 111.79 + 40 - 15   # latest sync, larger of two, with investments
+    assert opening("2026-07-01", "2026-07-15", "2026-07-01") == 836.79   # latest sync, larger of two, with investments
     assert opening("2026-07-01", "2026-07-15", "2026-08-01") == 700.0                      # not yet consolidated
     assert opening("2026-07-01", "2026-07-15", "2026-08-01", ledger.limit(0)) == 17.0
     assert opening("2026-07-01", "2026-08-15", "2026-07-01") == 1000.0 + 100 - 30 + 1       # a past month; transfers stay out
-    assert opening("2026-07-01", "2026-07-15", "2026-07-01", ledger.limit(0)) == 17.0 + 111.79 + 25
+    assert opening("2026-07-01", "2026-07-15", "2026-07-01", ledger.limit(0)) == 153.79
     assert opening("2026-06-01", "2026-07-15", "2026-07-01") == 1000.0 + 11                 # before: redemptions are receipts
     assert [r.x for r in ledger.select(in_investments(ledger).alias("x")).collect()] == [False, True, False, False, False]
