@@ -89,6 +89,52 @@ def classify_by_table(df: DataFrame, text_col: str, rules: DataFrame, key_cols:
     return res
 
 
+#: One condition of a rule a row. Conditions of one (ruleset, priority) must all hold; the date range is that of the rule.
+RULES_SCHEMA = ("ruleset string, priority int, column string, predicate string, pattern string, date_from date, date_to date, label string")
+
+
+def label_by_rules(df: DataFrame, rules: DataFrame, columns: Sequence[str], date_col: str | None, rulesets: Sequence[str]) -> DataFrame:
+    """CL-1 from a table of rules: one column per ruleset with the label of its first rule that holds, else null.
+
+    ``rules`` (``RULES_SCHEMA``) may be any size. ``predicate`` is equals,
+    contains or starts, case folded, on one of ``columns``, or always (with no
+    column). A rule with a date range holds only on dates within it, ends
+    included, an open end being null; a null value or pattern meets nothing.
+    Of rules with one priority the smallest label counts.
+
+    Plan: rows are reduced to their distinct values; values meet the patterns
+    by equality or in the keyed containment join; the conditions that hold are
+    counted per rule, the winner is ``min_by(label, priority)``, and labels come
+    back to the rows by their values. No rule is evaluated per row.
+    """
+    from ledgerly.operators.joins import contains_join
+    day = F.to_date(date_col) if date_col else F.lit(None).cast("date")
+    keyed = df.withColumn("__k", F.struct(*[F.lower(F.col(c).cast("string")).alias(c) for c in columns], day.alias("__d")))
+    rows = keyed.select("__k").distinct()
+    vals = rows.select("__k", F.explode(F.array(
+        F.struct(F.lit("*").alias("c"), F.lit("").alias("v")), *[F.struct(F.lit(c).alias("c"), F.col("__k")[c].alias("v")) for c in columns])).alias("x")) \
+        .select("__k", F.col("x.c").alias("__c"), F.col("x.v").alias("__v")).where(F.col("__v").isNotNull())
+    always = F.col("predicate") == "always"
+    conds = rules.where(F.col("ruleset").isin(list(rulesets))).select(
+        "ruleset", "priority", "predicate", "date_from", "date_to", "label", F.when(always, "*").otherwise(F.col("column")).alias("__c"),
+        F.when(always, "").otherwise(F.lower("pattern")).alias("__p"))
+    texts = vals.where(F.col("__c") != "*").select("__v").distinct()
+    pats = conds.where(F.col("predicate").isin("contains", "starts") & (F.length("__p") > 0)).select("__p").distinct()
+    found = contains_join(texts, "__v", "__v", pats, "__p", "__p").where(F.contains("__v", "__p"))
+    part = found.join(conds.where(F.col("predicate").isin("contains", "starts")), "__p") \
+        .where((F.col("predicate") == "contains") | F.startswith("__v", "__p"))
+    equal = conds.where(F.col("predicate").isin("equals", "always")).withColumn("__v", F.col("__p"))
+    held = vals.join(part.unionByName(equal), ["__c", "__v"]) \
+        .where((F.col("date_from").isNull() | (F.col("__k.__d") >= F.col("date_from"))) & (F.col("date_to").isNull() | (F.col("__k.__d") <= F.col("date_to"))))
+    one = F.struct("__c", "predicate", "__p")
+    need = conds.groupBy("ruleset", "priority").agg(F.countDistinct(one).alias("__need"))
+    whole = held.groupBy("__k", "ruleset", "priority").agg(F.countDistinct(one).alias("__held"), F.min("label").alias("label")) \
+        .join(need, ["ruleset", "priority"]).where("__held = __need")
+    best = whole.groupBy("__k").agg(*[F.min_by(F.when(F.col("ruleset") == r, F.col("label")), F.when(F.col("ruleset") == r, F.col("priority"))).alias(r)
+                                      for r in rulesets])
+    return keyed.join(best, "__k", "left").drop("__k")
+
+
 # ---------------------------------------------------------------- CL-1
 def resolve_label(rules: Sequence[tuple], fallback_col: str | None = None,
                   fallback_re: str | None = None, default: str | None = None) -> Column:

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerly.functions.num import money, round2
+from ledgerly.operators.common import rule_table
+from ledgerly.operators.rules import RULES_SCHEMA, label_by_rules
 from ledgerly.plans.commission import CommissionRules, commission_detail
 from ledgerly.plans.registry import register
 from ledgerly.session import cut_lineage
@@ -205,3 +209,58 @@ def commission_view(spark, d):
     for c in ("booking_value", "booking_commission_base", "booking_value_monthly", "booking_commission_base_monthly"):
         out = out.withColumn(c, round2(c))
     return out
+
+
+# Fixed values of the test mapping: the five orders in which the commission view names a teacher, as five rulesets of one
+# table. A rule of several conditions takes several rows.
+_PEOPLE = [("Rui", "patrocínio"), ("Dan", "aula avulsa"), ("Gus", "trio"), ("Eve Two", "dupla"), ("Ida", "grupo")]
+_DATED = [("customer_code", "equals", "000100", "1997-07-01", "1998-06-30"), ("customer_code", "starts", "0002", "1999-01-01", None)]
+
+
+def _ruleset(name, order, *first):
+    rows = [(name, p, *cond) for p, conds in enumerate(first) for cond in conds]
+    return rows + [(name, 10 + p, "description", "contains", word, None, None, who) for p, (who, word) in enumerate(order)]
+
+
+TEACHER_RULES = [
+    # lessons matched to a line: a customer in a period, or one line's text; then people
+    *_ruleset("loose", _PEOPLE, [(*_DATED[0], "Joe")], [("description", "starts", "sócio patrocínio", None, None, "Joe")]),
+    # weekly slots: the same customer, and a text with a period; people in another order
+    *_ruleset("schedule", _PEOPLE[::-1], [(*_DATED[0], "Joe")], [(*_DATED[1], "Joe"), ("description", "contains", "plano", "1999-01-01", None, "Joe")]),
+    # bookings: a period alone comes after the people
+    *_ruleset("booking", _PEOPLE, [(*_DATED[1], "Joe"), ("description", "contains", "mensalidade", None, None, "Joe")]),
+    ("booking", 90, None, "always", None, "2000-01-01", "2000-03-31", "Pat"),
+    # lines used nowhere: one more spelling
+    *_ruleset("unallocated", [*_PEOPLE[2:], ("Dan", "avulsa"), ("Rui", "patrocínio")], [(*_DATED[0], "Joe")]),
+    # the nearest booking: the customer in the period, then people
+    *_ruleset("nearest", [_PEOPLE[3], _PEOPLE[0]], [(*_DATED[0], "Joe")]),
+    ("nearest", 99, None, "always", None, None, None, "Sem professor"),
+]
+
+
+def _rules_sql(name: str) -> str:
+    """The ruleset as one CASE."""
+    rules: dict = {}
+    for _, p, column, predicate, pattern, since, upto, label in (r for r in TEACHER_RULES if r[0] == name):
+        test = {"equals": f"{column} = '{pattern}'", "contains": f"contains(lower({column}), '{pattern}')",
+                "starts": f"starts_with(lower({column}), '{pattern}')", "always": "true"}[predicate]
+        test += f" AND day >= DATE '{since}'" if since else ""
+        test += f" AND day <= DATE '{upto}'" if upto else ""
+        rules.setdefault(p, (label, []))[1].append(test)
+    return "CASE " + " ".join(f"WHEN {' AND '.join(t)} THEN '{who}'" for _, (who, t) in sorted(rules.items())) + " END"
+
+
+RULESETS = ["loose", "schedule", "booking", "unallocated", "nearest"]
+
+
+@register("teacher_rules", sql=SQL[:SQL.index("booked AS (")].rstrip().rstrip(",") + f"""
+SELECT sale_customer AS customer_code, description, day, count(*) AS n, {", ".join(f"{_rules_sql(r)} AS {r}" for r in RULESETS)}
+FROM (SELECT *, sale_customer AS customer_code, pay_date::DATE AS day FROM li) GROUP BY sale_customer, customer_code, description, day
+""")
+def teacher_rules(spark, d):
+    """CL-1: the five orders of the commission view as rulesets of one dated table over two columns of the sale lines."""
+    _, _, _, sales, items, _ = club_tables(spark, d)
+    lines = items.join(sales.select(F.col("external_id").alias("item_key"), "customer_code", "pay_date"), "item_key") \
+        .groupBy("customer_code", "description", F.to_date("pay_date").alias("day")).agg(F.count(F.lit(1)).alias("n"))
+    rules = rule_table(spark, [(*r[:5], *[x and dt.date.fromisoformat(x) for x in r[5:7]], r[7]) for r in TEACHER_RULES], RULES_SCHEMA)
+    return label_by_rules(lines, rules, ["customer_code", "description"], "day", RULESETS)

@@ -265,3 +265,34 @@ def test_open_days_of_past_current_and_later_months(spark):
         .select(D.open_days(F.col("m").cast("date"), F.lit("2026-07-30")).alias("days")).collect()
     assert [[str(d) for d in r["days"][:2]] for r in rows] == [[], ["2026-07-30", "2026-07-31"], ["2026-09-01", "2026-09-02"]]
     assert [len(r["days"]) for r in rows] == [0, 2, 30]
+
+
+def test_labels_by_a_table_of_rules(spark):
+    """CL-1: several conditions, dates, nulls and ties; every row against a plain evaluation of the table."""
+    from ledgerly.operators import rules as RR
+    r = random.Random(8)
+    day = lambda k: dt.date(2026, 1, 1) + dt.timedelta(days=k)
+    rules = [("a", 1, "x", "equals", "Ana", None, day(10), "one"), ("a", 1, "y", "contains", "VI", None, None, "one"),
+             ("a", 2, "y", "starts", "da", day(3), None, "two"), ("a", 2, "y", "starts", "da", day(3), None, "also"),
+             ("a", 3, "x", "contains", None, None, None, "never"), ("a", 9, None, "always", None, day(15), None, "late"),
+             ("b", 5, "y", "contains", "a", None, None, "b5"), ("b", 4, "x", "equals", "bob", day(0), day(20), "b4"), ("c", 1, None, "always", None, None, None, "c")]
+    rows = [(i, r.choice(["ana", "Bob", "", None]), r.choice(["Davi", "vida", "da vi", None, "x"]), r.choice([None, *map(day, range(25))])) for i in range(300)]
+
+    def holds(rule, x, y, d):
+        _, _, c, predicate, p, since, upto, _ = rule
+        v = {"x": x, "y": y}.get(c)
+        if (since or upto) and d is None or since and d < since or upto and d > upto:
+            return False
+        return predicate == "always" or v is not None and p is not None and {
+            "equals": v.lower() == p.lower(), "contains": p.lower() in v.lower(), "starts": v.lower().startswith(p.lower())}[predicate]
+
+    def label(name, x, y, d):
+        for p in sorted({k[1] for k in rules if k[0] == name}):
+            own = [k for k in rules if k[:2] == (name, p)]
+            if all(holds(k, x, y, d) for k in own):
+                return min(k[7] for k in own)
+        return None
+    df = spark.createDataFrame(rows, "id int, x string, y string, d date")
+    table = spark.createDataFrame(rules, RR.RULES_SCHEMA)
+    got = {g.id: (g.a, g.b, g.c) for g in RR.label_by_rules(df, table, ["x", "y"], "d", ["a", "b", "c"]).collect()}
+    assert got == {i: tuple(label(n, x, y, d) for n in "abc") for i, x, y, d in rows}
