@@ -13,6 +13,7 @@ from ledgerly.operators import rules as R
 from ledgerly.operators import windows as W
 from ledgerly.operators.common import rule_table
 from ledgerly.plans.registry import register
+from ledgerly.sources import io
 from ledgerly.sources.tables import table
 
 
@@ -186,3 +187,42 @@ def future_plan(spark, d):
     x = FL.future_plan(t, "ref", "txt", words)
     name = F.regexp_extract(F.lower("txt"), "(" + "|".join(words) + ")", 1)
     return x.groupBy(name.alias("month_name")).agg(F.count(F.lit(1)).alias("n"), F.sum("v").cast("double").alias("value"))
+
+
+# Fixed value of the test mapping: the header line of the schedule files.
+SCHEDULE_HEADER = 'Bandeira;"Data prevista";Valor líquido'
+
+
+def schedule_text(spark, d):
+    """Orders as numbered lines of schedule files, one file per priority and year.
+
+    Dates are written by status: day first, ISO, or as a spreadsheet's serial
+    number. Amounts are in local form, quoted or plain by priority; every
+    priority 5 line of status O has no amount.
+    """
+    o = table(spark, d, "orders")
+    day, v = F.to_date("o_orderdate"), F.col("o_totalprice").cast("decimal(18,2)")
+    local = F.translate(F.format_number(v, 2), ",.", ".,")
+    digit = F.substring("o_orderpriority", 1, 1).cast("int")
+    text = F.when(F.col("o_orderstatus") == "F", F.date_format(day, "dd/MM/yyyy")).when(F.col("o_orderstatus") == "O", F.date_format(day, "yyyy-MM-dd")) \
+        .otherwise(F.datediff(day, F.lit("1899-12-30").cast("date")).cast("string"))
+    amount = F.when(digit == 1, F.concat(F.lit("R$ "), local)).when(digit == 2, F.concat(F.lit('"'), local, F.lit('"'))) \
+        .when((digit == 5) & (F.col("o_orderstatus") == "O"), "").otherwise(v.cast("string"))
+    file = F.concat("o_orderpriority", F.lit("-"), F.year(day).cast("string"))
+    changed = F.date_add(F.lit("2020-01-01").cast("date"), (F.year(day) * 7 + digit * 3) % 11).cast("timestamp")
+    rows = o.select(file.alias("file"), changed.alias("changed"), (F.col("o_orderkey") + 1).cast("int").alias("pos"),
+                    F.concat_ws(";", F.lit("visa"), text, amount).alias("line"))
+    heads = rows.select("file", "changed").distinct().select("file", "changed", F.lit(0).alias("pos"), F.lit(SCHEDULE_HEADER).alias("line"))
+    return rows.unionByName(heads)
+
+
+@register("schedule_days", sql="""
+WITH o AS (SELECT o_orderpriority || '-' || year(o_orderdate) AS file, CAST(o_orderdate AS DATE) AS day, CAST(date_trunc('month', o_orderdate) AS DATE) AS month,
+                  CAST(o_totalprice AS DECIMAL(18,2)) AS v, (year(o_orderdate) * 7 + CAST(o_orderpriority[1] AS INTEGER) * 3) % 11 AS changed
+           FROM orders WHERE NOT (o_orderpriority = '5-LOW' AND o_orderstatus = 'O')),
+newest AS (SELECT month, arg_max(file, (changed, file)) AS file FROM o GROUP BY 1)
+SELECT day AS release_date, 'acq' AS acquirer, CAST(sum(v) AS DOUBLE) AS value, file AS source_file FROM o JOIN newest USING (month, file) GROUP BY day, file
+""")
+def schedule_days(spark, d):
+    """SR-4 with AG-29, F-money and F-mixed date: text lines to days, the newest file of each month."""
+    return io.schedule_days(schedule_text(spark, d), "acq").drop("changed", "month")

@@ -170,13 +170,23 @@ def test_stream_reads_its_own_files_and_late_ones_undo_nothing(spark, monkeypatc
     assert _files(out + "/month=2026-08") == august and seen == [["b.csv"], ["a.csv", "c.csv"], ["e.csv"]]
 
 
-def test_monthly_report_writes_each_report(spark):
-    from ledgerly.plans.report import monthly_report
-    out = tempfile.mkdtemp(prefix="ledgerly-report-")
-    paths = monthly_report(spark, "/root/testdata/sf0.001", out,
-                           ["operations_kpis", "goals", "payables", "commission_dashboard", "paid_dashboard"])
-    for p in paths.values():
-        assert spark.read.parquet(p).count() > 0
+def test_monthly_report_equals_the_single_queries(spark):
+    from ledgerly.plans import registry
+    from ledgerly.plans.report import INPUTS, REPORTS, monthly_report
+    from ledgerly.sources import tables
+    out, sf, read = tempfile.mkdtemp(prefix="ledgerly-report-"), "/root/testdata/sf0.001", []
+    names = ["operations_kpis", "goals", "payables", "commission_dashboard", "paid_dashboard", "teacher_balances", "statement_lines", "daily_cash"]
+    import ledgerly.plans.report as report
+    keep = report.table
+    report.table = lambda s, d, n: read.append((d, n)) or tables.table(s, d, n)
+    try:
+        paths = monthly_report(spark, sf, out, names)
+    finally:
+        report.table = keep
+    assert sorted(read) == sorted((sf, n) for n in INPUTS)  # each input once
+    assert set(names) <= set(REPORTS) <= set(registry.QUERIES)
+    for n, p in paths.items():
+        assert sorted(map(repr, spark.read.parquet(p).collect())) == sorted(map(repr, registry.QUERIES[n](spark, sf).collect())), n
 
 
 def test_read_table_prunes_and_pushes_down(spark):
