@@ -48,12 +48,24 @@ def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[n
     return np.packbits(turned > 0, axis=1), length, np.abs(turned).sum(axis=1) / np.sqrt(vectors.shape[1])
 
 
-def estimate(bits: np.ndarray, length: np.ndarray, fit: np.ndarray, queries: np.ndarray, centre: np.ndarray,
-             turn: np.ndarray, epsilon: float) -> tuple[np.ndarray, np.ndarray]:
-    """(estimated inner products, error bounds), vectors by queries."""
+#: The signs that the eight bits of each byte stand for, highest bit first.
+SIGNS = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.float32) * 2 - 1)
+
+
+def byte_tables(queries: np.ndarray, turn: np.ndarray) -> np.ndarray:
+    """For each byte of a code and each of its 256 values, what it adds to the product with each rotated query."""
+    turned = (queries @ turn.T).astype(np.float32)
+    turned = np.pad(turned, ((0, 0), (0, -turned.shape[1] % 8)))  # the bits beyond the last dimension add nothing
+    return np.stack([SIGNS @ turned[:, p:p + 8].T for p in range(0, turned.shape[1], 8)])
+
+
+def estimate(bits: np.ndarray, length: np.ndarray, fit: np.ndarray, tables: np.ndarray, queries: np.ndarray, centre: np.ndarray,
+             epsilon: float) -> tuple[np.ndarray, np.ndarray]:
+    """(estimated inner products, error bounds), vectors by queries; codes are read as packed bytes, see ``byte_tables``."""
     dim = len(centre)
-    signs = np.unpackbits(bits, axis=1, count=dim).astype(np.float32) * 2 - 1
-    products = signs @ (queries @ turn.T).astype(np.float32).T
+    products = tables[0][bits[:, 0]]
+    for p in range(1, bits.shape[1]):
+        products += tables[p][bits[:, p]]
     fit = np.where(fit == 0, 1, fit)
     guess = products * (length / fit / np.sqrt(dim)).astype(np.float32)[:, None] + (queries @ centre).astype(np.float32)
     lost = np.sqrt(np.maximum(1 - fit * fit, 0)) / fit * length * epsilon / np.sqrt(max(dim - 1, 1))
@@ -65,13 +77,13 @@ class Block:
 
     def __init__(self, ids: np.ndarray, queries: np.ndarray, k: int, centre: np.ndarray, seed: int, epsilon: float):
         self.ids, self.queries, self.k, self.epsilon = ids, queries, k, epsilon
-        self.turn = rotation(queries.shape[1], seed)
+        self.tables = byte_tables(queries, rotation(queries.shape[1], seed))
         self.centre = centre if len(centre) == queries.shape[1] else np.zeros(queries.shape[1])
         self.found = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0)  # query, vec_id, score
         self.least = np.full(len(ids), -np.inf)
 
     def add(self, ids: np.ndarray, vectors: np.ndarray, bits: np.ndarray, length: np.ndarray, fit: np.ndarray) -> None:
-        guess, error = estimate(bits, length, fit, self.queries, self.centre, self.turn, self.epsilon)
+        guess, error = estimate(bits, length, fit, self.tables, self.queries, self.centre, self.epsilon)
         least = self.least
         if np.isinf(least).any() and len(ids) > self.k:  # before k are known, the k-th best lower bound serves; one more for the query itself
             lower = np.partition(guess - error, len(ids) - self.k - 1, axis=0)[len(ids) - self.k - 1]

@@ -395,6 +395,20 @@ def test_chat_windows(spark):
     assert chat.format_chats(df.limit(0), BYTE).count() == 0
 
 
+@pytest.mark.parametrize("dim", [1, 8, 13, 64])
+def test_estimates_from_packed_bits(dim):
+    r = np.random.default_rng(dim)
+    vectors, queries = r.standard_normal((300, dim)), r.standard_normal((40, dim))
+    centre, turn = vectors.mean(axis=0), ann.rotation(dim, 7)
+    bits, length, fit = ann.encode(vectors, centre, turn)
+    guess, error = ann.estimate(bits, length, fit, ann.byte_tables(queries, turn), queries, centre, 2.2)
+    signs = np.sign((vectors - centre) @ turn.T)
+    code = signs / np.sqrt(dim)
+    want = (code @ (queries @ turn.T).T) * (length / fit)[:, None] + queries @ centre
+    assert np.abs(guess - want).max() < 1e-4
+    assert (np.abs(guess - vectors @ queries.T) <= error + 1e-4).mean() > 0.9
+
+
 def test_ann(spark):
     inf, nan = float("inf"), float("nan")
     vectors = [(0, [1.0, 0.0]), (1, [2.0, 0.0]), (2, [2.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [nan, 1.0]), (6, [inf, 1.0]), (7, [None, 1.0]),
