@@ -76,10 +76,9 @@ def valid_vouchers(df: DataFrame, desc: str, total: str, canceled_text: str | No
 
 def investment_moves(df: DataFrame, type_col: str, type_value: str, text_cols: Sequence[str],
                      words: Sequence[str]) -> DataFrame:
-    """FL-7: movement flagged by type or by any keyword in the text columns."""
-    txt = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols]))
-    pat = "|".join(words)
-    return df.where((F.col(type_col) == type_value) | txt.rlike(pat))
+    """FL-7: movement flagged by type or by any keyword, taken as it is written, in the text columns."""
+    txt = F.concat_ws(" ", *[F.coalesce(F.col(c), F.lit("")) for c in text_cols])
+    return df.where(F.coalesce(F.col(type_col) == type_value, F.lit(False)) | T.ilike_any(txt, words))
 
 
 def productive(df: DataFrame, kind: str, pattern: str = "(?i)manuten|bloqueio") -> DataFrame:
@@ -87,12 +86,21 @@ def productive(df: DataFrame, kind: str, pattern: str = "(?i)manuten|bloqueio")
     return df.where(~F.coalesce(F.col(kind).rlike(pattern), F.lit(False)))
 
 
-def expense_lines(df: DataFrame, rules: Sequence[tuple]) -> DataFrame:
+def expense_lines(df: DataFrame, rules: Sequence[tuple], text_columns: Sequence[str] = ()) -> DataFrame:
     """FL-9: statement exclusions. ``rules`` = ``[(column, value, from_date|None, date_col|None)]``;
-    a row matching any rule (on or after its date) is excluded."""
+    a row matching any rule (on or after its date) is excluded. A rule without
+    a column (None) holds where any of ``text_columns`` has the value as a part
+    of its text, case folded; with a column and a value in a one-element list,
+    where that column has it."""
     drop = F.lit(False)
+    texts = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in text_columns if c in df.columns]
     for col, value, since, dcol in rules:
-        c = F.coalesce(F.col(col) == value, F.lit(False))
+        if col is None:
+            c = T.ilike_any(F.concat_ws(" ", *texts), [value])
+        elif isinstance(value, (list, tuple)):
+            c = F.coalesce(T.ilike_any(F.col(col), list(value)), F.lit(False))
+        else:
+            c = F.coalesce(F.col(col) == value, F.lit(False))
         if since is not None:
             c = c & (F.col(dcol) >= F.lit(since).cast("date"))
         drop = drop | c
@@ -112,8 +120,7 @@ def due_buckets(df: DataFrame, due: str, paid: str, as_of, month) -> DataFrame:
 
 def future_plan(df: DataFrame, ref_col: str, text_col: str, month_words: Sequence[str]) -> DataFrame:
     """FL-11: plan lines with no booking reference that name a month."""
-    pat = "(?i)(" + "|".join(month_words) + ")"
-    return df.where(F.col(ref_col).isNull() & F.coalesce(F.col(text_col).rlike(pat), F.lit(False)))
+    return df.where(F.col(ref_col).isNull() & F.coalesce(T.ilike_any(F.col(text_col), month_words), F.lit(False)))
 
 
 def members(col: str, values: Sequence) -> Column:

@@ -449,27 +449,27 @@ def match_payments(bookings: DataFrame, items: DataFrame, pays: DataFrame, b_id:
     a payment row of the booking has the item's pay date and amount.
 
     Plan: instead of testing every booking of a customer against every item
-    (``LIKE`` under ``OR``), the text branch extracts every date and time
-    token of the item text (overlapping matches, so containment is exact)
-    and equi-joins on (customer, date, time); the payment branch gives each
-    payment its booking's customer and equi-joins items on (customer, date,
-    amount). The union is made distinct.
+    (``LIKE`` under ``OR``), both ways become keys of one equi-join. An item
+    gives a key for every date and time token of its text (overlapping
+    matches, so containment is exact) and one for its pay date and amount; a
+    booking gives its own date and time, each of its payments, with the
+    booking's customer, its date and amount. Items are read once. Amounts meet
+    as doubles, whatever their scale. The result is distinct.
     """
+    def key(kind: str, day=None, time=None, paid=None, amount=None) -> Column:
+        return F.struct(F.lit(kind).alias("k"), *[(F.lit(None) if c is None else c).cast(t).alias(n) for n, c, t in (
+            ("d", day, "string"), ("t", time, "string"), ("p", paid, "timestamp"), ("a", amount, "double"))])
+
     b = bookings.select(F.col(b_id).alias("__b"), F.col(b_cust).alias("__c"),
                         F.date_format(F.col(b_date), "dd/MM/yyyy").alias("__dt"), F.col(b_time).alias("__tm"))
-    t = items.select(F.col(i_key).alias("__i"), F.col(i_cust).alias("__c"), F.col(i_text).alias("__txt"))
-    t = t.select("__i", "__c", "__txt",
-                 F.explode(F.array_distinct(F.regexp_extract_all("__txt", F.lit(DATE_TOKEN_RE), 1))).alias("__dt"))
-    t = t.select("__i", "__c", "__dt",
-                 F.explode(F.array_distinct(F.regexp_extract_all("__txt", F.lit(TIME_TOKEN_RE), 1))).alias("__tm"))
-    by_text = t.join(b, ["__c", "__dt", "__tm"]).select("__b", "__i", "__c")
-    iv = items.select(F.col(i_key).alias("__i"), F.col(i_cust).alias("__c"), F.col(i_paydate).alias("__pd"),
-                      F.col(i_value).alias("__v"))
-    # payments take their booking's customer first, so the item join is on
-    # (customer, date, amount): items of the same price on the same day from
-    # different customers never pair up
-    pv = pays.select(F.col(p_booking).alias("__b"), F.col(p_date).alias("__pd"), F.col(p_amount).alias("__v")) \
-             .join(b.select("__b", "__c"), "__b")
-    by_pay = iv.join(pv, ["__c", "__pd", "__v"]).select("__b", "__i", "__c")
-    return by_text.unionByName(by_pay).distinct() \
-                  .select(F.col("__b").alias(b_id), F.col("__i").alias(i_key), F.col("__c").alias(i_cust))
+    paid = pays.select(F.col(p_booking).alias("__b"), F.col(p_date).alias("__pd"), F.col(p_amount).alias("__v")) \
+               .dropna().join(b.select("__b", "__c"), "__b")
+    asked = b.dropna(subset=["__dt", "__tm"]).select("__b", "__c", key("text", F.col("__dt"), F.col("__tm")).alias("__key")) \
+        .unionByName(paid.select("__b", "__c", key("pay", paid=F.col("__pd"), amount=F.col("__v")).alias("__key")))
+    tokens = lambda pattern: F.array_distinct(F.regexp_extract_all(F.coalesce(F.col(i_text), F.lit("")), F.lit(pattern), 1))
+    texts = F.flatten(F.transform(tokens(DATE_TOKEN_RE), lambda d: F.transform(tokens(TIME_TOKEN_RE), lambda t: key("text", d, t))))
+    money = F.when(F.col(i_paydate).isNotNull() & F.col(i_value).isNotNull(), F.array(key("pay", paid=F.col(i_paydate), amount=F.col(i_value)))) \
+        .otherwise(F.array().cast("array<struct<k:string,d:string,t:string,p:timestamp,a:double>>"))
+    shown = items.select(F.col(i_key).alias("__i"), F.col(i_cust).alias("__c"), F.explode(F.concat(texts, money)).alias("__key"))
+    return shown.join(asked, ["__c", "__key"]).select("__b", "__i", "__c").distinct() \
+                .select(F.col("__b").alias(b_id), F.col("__i").alias(i_key), F.col("__c").alias(i_cust))

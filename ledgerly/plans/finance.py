@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerly.functions import dates as D
+from ledgerly.functions import text as T
 from ledgerly.functions.num import js_or, money
 from ledgerly.operators import filters as FL
 from ledgerly.operators import joins as J
@@ -113,14 +114,8 @@ def income_statement(items: DataFrame, detail: DataFrame, ledger: DataFrame, cos
     led = ledger.where((F.col("cost_center_descricao") == r.ops_centre) & (F.col("transaction_type") != "revenue")) \
                 .withColumn("month", D.month_start("due_date")) \
                 .withColumn("category", F.coalesce("category_name", F.lit("Outras Despesas")))
-    txt = F.lower(F.concat_ws(" ", *[F.coalesce(F.col(c).cast("string"), F.lit(""))
-                                     for c in r.text_columns if c in ledger.columns]))
-    drop = F.lit(False)
-    for word, since in r.text_exclusions:
-        drop = drop | (F.contains(txt, F.lit(word.lower())) & (F.col("month") >= F.lit(since).cast("date")))
-    for w in r.commission_words:
-        drop = drop | F.contains(F.lower("category"), F.lit(w))
-    led = led.where(~drop)
+    led = FL.expense_lines(led, [(None, word, since, "month") for word, since in r.text_exclusions]
+                           + [("category", [w], None, None) for w in r.commission_words], r.text_columns)
     is_energy = F.col("category") == r.energy_category
     led = led.where(is_energy | ~F.col("category").isin(r.skip_categories))
     exp = led.groupBy("month").agg(F.sum(F.when(is_energy, money("amount")).otherwise(z)).alias("energy"),
@@ -182,9 +177,9 @@ def redemptions(bank: DataFrame, r: FinanceRules) -> DataFrame:
     since, until = r.redemptions
     moves = FL.investment_moves(bank, "tipo_transacao_inter", "INVESTIMENTO", ["descricao", "titulo"],
                                 ["resgate", "cdb", "firf", "aplicação", "aplicacao"])
-    text = F.lower(F.concat_ws(" ", F.coalesce("descricao", F.lit("")), F.coalesce("titulo", F.lit(""))))
+    text = F.concat_ws(" ", F.coalesce("descricao", F.lit("")), F.coalesce("titulo", F.lit("")))
     month = D.month_start("data_movimento")
-    return moves.where(text.rlike("|".join(r.redemption_words)) & (F.col("valor_com_sinal") > 0)
+    return moves.where(T.ilike_any(text, r.redemption_words) & (F.col("valor_com_sinal") > 0)
                        & (month >= F.lit(since).cast("date")) & (month < F.lit(until).cast("date"))) \
         .select(month.alias("month"), F.lit("fci").alias("flow"), F.lit(r.redemption_category).alias("category"),
                 money("valor_com_sinal").alias("value"))

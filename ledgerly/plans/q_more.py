@@ -109,7 +109,7 @@ def accruals(spark, d):
         .select("category", F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"),
                 F.col("amount").cast("decimal(18,2)").alias("amount"))
     # range join against a size-checked parameter table (broadcast)
-    j = months.join(F.broadcast(costs), (F.col("s") <= F.last_day("month"))
+    j = months.join(costs, (F.col("s") <= F.last_day("month"))
                     & (F.col("e").isNull() | (F.col("e") >= F.col("month"))), "inner")
     dim = F.dayofmonth(F.last_day("month"))
     part = round2(F.col("amount").cast("double") * (dim - F.dayofmonth("s") + 1) / dim)
@@ -164,11 +164,15 @@ def kpi_history(spark, d):
     from ledgerly.operators.filters import productive
     h = productive(h, "kind").groupBy(F.trunc(F.to_date("o_orderdate"), "MM").alias("month")) \
                              .agg(F.count(F.lit(1)).alias("hours"))
-    spine = li.agg(F.min(F.trunc(F.to_date("l_shipdate"), "MM")).alias("lo"),
-                   F.max(F.trunc(F.to_date("l_shipdate"), "MM")).alias("hi")) \
-              .select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month"))
-    cal = W.open_hours(W.calendar(spine), OPEN_HOURS)
-    j = cal.join(r, "month", "left").join(h, "month", "left")  # the calendar has a row for each month of the spine
+    # the few months come back as one row, which gives the spine and each month's sums: the lines are read once
+    whole = r.agg(F.min("month").alias("lo"), F.max("month").alias("hi"), F.map_from_entries(F.collect_list(
+        F.struct("month", F.struct("revenue", "payers")))).alias("by")).where("lo is not null")
+    spine = whole.select("by", F.explode(F.sequence("lo", "hi", F.expr("interval 1 month"))).alias("month"))
+    spine = spine.select("month", F.try_element_at("by", F.col("month")).alias("m")).select("month", "m.*")
+    days = F.sequence("month", F.last_day("month"))
+    hours_of = F.create_map(*[F.lit(x) for dow, n in OPEN_HOURS for x in (dow, float(n))])
+    open_hours = F.aggregate(F.transform(days, lambda c: F.element_at(hours_of, F.dayofweek(c) - 1)), F.lit(0.0), lambda x, y: x + y)
+    j = spine.withColumn("open_hours", open_hours).join(h, "month", "left")
     hours = F.coalesce("hours", F.lit(0)).cast("bigint")
     return j.select("month", F.coalesce(F.col("revenue").cast("double"), F.lit(0.0)).alias("revenue"),
                     F.coalesce("payers", F.lit(0)).cast("bigint").alias("payers"),
@@ -271,7 +275,7 @@ def goals(spark, d):
         .select(F.col("s").cast("date").alias("s"), F.col("e").cast("date").alias("e"), "cls",
                 F.col("target").cast("decimal(18,2)").alias("target"))
     m = a.select("month").distinct()
-    mt = m.join(F.broadcast(t), (F.col("s") <= F.col("month")) & (F.col("e").isNull() | (F.col("e") >= F.col("month"))))
+    mt = m.join(t, (F.col("s") <= F.col("month")) & (F.col("e").isNull() | (F.col("e") >= F.col("month"))))
     j = mt.select("month", "cls", "target").join(a, ["month", "cls"], "left")
     act = F.coalesce("actual", F.lit(0).cast("decimal(18,2)"))
     return j.select("month", "cls", F.col("target").cast("double").alias("target"), act.cast("double").alias("actual"),
@@ -397,7 +401,7 @@ def override_items(spark, d):
     ov = rule_table(spark, ITEM_OVERRIDES, "nation int, period int, is_deleted boolean, amount string") \
         .select(F.col("nation").alias("ov_nation"), F.col("period").alias("ov_period"), "is_deleted",
                 F.col("amount").cast("decimal(18,2)").alias("ov_amount"))
-    j = g.join(F.broadcast(ov), (g.nation == F.col("ov_nation")) & (g.period == F.col("ov_period")), "left")
+    j = g.join(ov, (g.nation == F.col("ov_nation")) & (g.period == F.col("ov_period")), "left")
     amt = F.when(F.coalesce("is_deleted", F.lit(False)), F.lit(0.0)) \
            .otherwise(F.round(F.coalesce(F.col("ov_amount"), F.col("amount")), 2).cast("double"))
     return j.select("nation", "period", amt.alias("amount"))

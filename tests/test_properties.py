@@ -296,3 +296,16 @@ def test_labels_by_a_table_of_rules(spark):
     table = spark.createDataFrame(rules, RR.RULES_SCHEMA)
     got = {g.id: (g.a, g.b, g.c) for g in RR.label_by_rules(df, table, ["x", "y"], "d", ["a", "b", "c"]).collect()}
     assert got == {i: tuple(label(n, x, y, d) for n in "abc") for i, x, y, d in rows}
+
+
+def test_keywords_are_taken_as_they_are_written(spark):
+    """FL-7, FL-9, FL-11: words with signs that a pattern would read otherwise; text rules over several columns."""
+    from ledgerly.operators import filters as FF
+    df = spark.createDataFrame([(1, "x", "Fundo C.D.B.", None), (2, "x", "fundo cxdxb", "(a"), (3, "INV", None, None), (4, None, "b", "C.d.b. (x)")],
+                               "id int, kind string, t string, u string")
+    ids = lambda d: sorted(r.id for r in d.collect())
+    assert ids(FF.investment_moves(df, "kind", "INV", ["t", "u"], ["c.d.b"])) == [1, 3, 4]
+    assert ids(FF.investment_moves(df, "kind", "INV", ["t", "u"], ["("])) == [2, 3, 4]
+    assert ids(FF.future_plan(df, "kind", "u", ["(x"])) == [4]
+    assert ids(FF.expense_lines(df, [(None, "c.d.b", None, None)], ["t", "u", "absent"])) == [2, 3]
+    assert ids(FF.expense_lines(df, [("t", ["FUNDO"], None, None), ("kind", "INV", None, None)])) == [4]
