@@ -3,8 +3,9 @@
 Every line is good or bad. Its features describe its own characters and those
 of the lines before and after it; the chain adds how states follow each other.
 Forward-backward gives each line's probability of being good; their mean,
-weighted by line length, is the document's share of good text, from which a
-calibrated logistic curve gives the score.
+weighted by line length, is the document's share of good text; the score is a
+logistic curve of a fixed slope over it, whose middle is the share that parts
+the labels with the fewest errors.
 """
 
 from __future__ import annotations

@@ -29,13 +29,25 @@ from ledgerly.llm.pieces import Units, gather, rounds
 JOINED, MARK = 2_000, "\x00"
 
 
+#: Fixed value: the splitter's pattern that cuts words as ``PieceEncoder`` does, white space being dropped.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def by_words(config: dict) -> bool:
+    """Whether a tokenizer lower-cases, drops white space, never joins what it separates, and cuts letters from punctuation."""
+    steps = (config.get("normalizer") or {}).get("normalizers") or []
+    cut = ((config.get("pre_tokenizer") or {}).get("pretokenizers") or [{}])[0]
+    return ([n["type"] for n in steps] == ["NFC", "Replace", "Lowercase"] and steps[1]["pattern"] == {"Regex": r"\s+"} and steps[1]["content"] == " "
+            and cut.get("type") == "Split" and cut["behavior"] == "Removed" and cut["invert"] and cut["pattern"] == {"Regex": WORDS}
+            and config.get("post_processor") is None)
+
+
 class PieceEncoder:
     """Encodes texts by the words of their space-separated pieces; each distinct word of a round goes to the tokenizer once.
 
-    For tokenizers that lower case, drop white space, never join what it
-    separates, and cut between letters and punctuation. The first ``most``
-    words are remembered, later ones for one round only, so memory stays
-    bounded.
+    That holds for tokenizers that ``by_words`` knows; with any other, whole
+    texts go to the tokenizer. The first ``most`` words are remembered, later
+    ones for one round only, so memory stays bounded.
     """
 
     def __init__(self, path: str, most: int = 800_000):
@@ -45,6 +57,7 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.dtype = np.dtype("<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4")
+        self.by_words = by_words(json.loads(self.tokenizer.to_str()))
         self.mark = self._ids(MARK)
         self.most, self.memo = most, {"": b""}
 
@@ -66,6 +79,9 @@ class PieceEncoder:
 
     def encode(self, texts: pa.Array) -> Iterator[bytes]:
         """The ids of each text as packed integers of ``dtype``; null is empty."""
+        if not self.by_words:
+            yield from (self._ids(t.as_py() or "").tobytes() for t in texts)
+            return
         for some in rounds(texts):
             units = Units(pc.replace_substring(some, "\n", " "), lower=True)
             words, memo = units.heads + units.tails, self.memo

@@ -73,11 +73,13 @@ def with_revisits(pages: DataFrame, min_bytes: int, id_col: str, url_col: str, p
     """page_id, url, payload, refers_to: the response for revisits, whose payload is dropped before records are made."""
     payload = F.coalesce(F.col(payload_col), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload"))
-    digest = F.unhex(F.sha1("payload"))
-    firsts = (rows.filter(F.length("payload") >= min_bytes).groupBy(digest.alias("sha"))
-              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select("sha", "first"))
+    # equal payloads are those of one length and two digests: SHA-1 alone can be made to collide
+    marks = {"sha": F.unhex(F.sha1("payload")), "md5": F.unhex(F.md5("payload")), "bytes": F.length("payload")}
+    rows = rows.withColumns(marks)
+    firsts = (rows.filter(F.col("bytes") >= min_bytes).groupBy(*marks)
+              .agg(F.min("page_id").alias("first"), F.count("*").alias("n")).filter("n > 1").select(*marks, "first"))
     # as a table its size is known: few copies are broadcast, and payloads then stay where they are read
-    joined = rows.withColumn("sha", digest).join(written(firsts, "firsts"), "sha", "left")
+    joined = rows.join(written(firsts, "firsts"), list(marks), "left")
     again = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first")) & (F.length("payload") >= min_bytes)
     return joined.select("page_id", "url", F.length("payload").cast("long").alias("size"), "sha",
                          F.when(again, F.col("first")).alias("refers_to"),

@@ -313,6 +313,15 @@ def test_salvage_never_fails(noise, k, at):
     assert sum(n for _, n in spans) == len(data)
 
 
+@pytest.mark.parametrize("path", [WORD, BYTE])
+def test_piece_encoder_with_any_tokenizer(path):
+    texts = [r[1] for r in ROWS] + ["Don't  SAY\tit's  <|endoftext|>", "ÀÉ e\u0301 1234 ...!", " lead", "x" * 300]
+    made, t = token_files.PieceEncoder(path), Tokenizer.from_file(path)
+    assert made.by_words == (path == WORD)
+    got = [np.frombuffer(b, made.dtype).tolist() for b in made.encode(pa.array(texts, pa.string()))]
+    assert got == [t.encode(x or "", add_special_tokens=False).ids for x in texts]
+
+
 def test_token_files(spark, docs, none, tmp_path):
     path = shared_path(spark, "test")
     token_files.write_tokens(docs, path, WORD, length=16, rows=4, file_tokens=100)
