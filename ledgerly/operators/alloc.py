@@ -93,12 +93,10 @@ def allocate(slots: DataFrame, items: DataFrame, keys: Sequence[str], slot_cols:
     by_key = Window.partitionBy(*keys)
     by_type = Window.partitionBy(*keys, "__type")
     is_slot = F.col("__kind") == 0
-    u = (u.withColumn("__w_total", F.sum("__w").over(by_key))
-          .withColumn("__has_slot", F.max(is_slot).over(by_type))            # WN-2 / JN-6
-          .withColumn("__has_item", F.max(~is_slot).over(by_type))
-          .withColumn("__w_type", F.sum("__w").over(by_type))                # WN-1
-          .withColumn("__w_unc", F.sum(F.when(is_slot & ~F.col("__has_item"), F.col("__w"))
-                                        .otherwise(F.lit(0))).over(by_key)))
+    # one sort by key and type; a pass over the types, then one over the keys
+    u = u.withColumns({"__has_slot": F.max(is_slot).over(by_type),            # WN-2 / JN-6
+                       "__has_item": F.max(~is_slot).over(by_type),
+                       "__w_type": F.sum("__w").over(by_type)})               # WN-1
 
     # 3. pairs of one key (JN-7). A key's item groups are at most
     #    (item types x carried values), so each slot row takes them as a
@@ -106,7 +104,9 @@ def allocate(slots: DataFrame, items: DataFrame, keys: Sequence[str], slot_cols:
     #    and the union above is computed once.
     info = F.when(~is_slot, F.struct(F.col("__type").alias("t"), F.col("__has_slot").alias("hm"),
                                      F.col("__item").alias("i")))
-    u = u.withColumn("__items", F.collect_list(info).over(by_key))
+    open_weight = F.when(is_slot & ~F.col("__has_item"), F.col("__w")).otherwise(F.lit(0))
+    u = u.withColumns({"__w_total": F.sum("__w").over(by_key), "__w_unc": F.sum(open_weight).over(by_key),
+                       "__items": F.collect_list(info).over(by_key)})
     p = (u.where(is_slot)
           .select(*keys, F.col("__type").alias("__stype"), "__w", "__slot", "__w_total", "__w_type",
                   "__w_unc", F.col("__has_item").alias("__covered"), F.explode("__items").alias("__x"))
