@@ -481,7 +481,7 @@ def test_ranges_are_even_for_any_weights(spark):
 
 
 def test_a_row_of_more_quality_is_drawn_more_often(spark):
-    df = spark.range(4000).selectExpr("id as doc_id", "'a b' as text", "if(id % 2 = 0, 'x', 'y') as source", "if(id % 4 < 2, 0.1, 1.0) as q")
+    df = spark.range(4000).selectExpr("id as doc_id", "'a b' as text", "if(id % 2 = 0, 'x', 'y') as source", "if(id % 4 < 2, 0.1d, 1.0d) as q")
     drawn = {r.q: r.n for r in mixing.mix(df, weights=[1.0, 3.0], quality=F.col("q")).filter("source = 'x' and selected > 0").join(
         df.select("doc_id", "q"), "doc_id").groupBy("q").agg(F.count("*").alias("n")).collect()}
     assert 3 * drawn[0.1] < drawn[1.0] and sum(drawn.values()) == 1000
