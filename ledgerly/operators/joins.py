@@ -344,12 +344,17 @@ def _pattern_keys(text: Column, words: Column) -> Column:
 
 def _text_keys(text: Column, kinds: Sequence[str]) -> Column:
     """All distinct keys of the kinds in use that a text emits."""
-    pairs = F.regexp_extract_all(text, F.lit(PAIR_RE), 1)
     cut = lambda p: F.instr(p, " ")
-    emit = {"p": lambda: _tagged("p", pairs), "w": lambda: _tagged("w", F.split(text, " ")),
-            "f": lambda: F.transform(pairs, lambda p: F.concat(F.lit("f"), F.left(p, cut(p) + EDGE))),
-            "s": lambda: F.transform(pairs, lambda p: F.concat(F.lit("s"), F.right(F.left(p, cut(p) - 1), F.lit(EDGE)), F.substr(p, cut(p))))}
-    return F.array_distinct(F.concat(*[emit[k]() if k in emit else _tagged(k, _grams(text, int(k))) for k in kinds]))
+
+    def emitted(pairs: Column) -> Column:
+        emit = {"p": lambda: _tagged("p", pairs), "w": lambda: _tagged("w", F.split(text, " ")),
+                "f": lambda: F.transform(pairs, lambda p: F.concat(F.lit("f"), F.left(p, cut(p) + EDGE))),
+                "s": lambda: F.transform(pairs, lambda p: F.concat(F.lit("s"), F.right(F.left(p, cut(p) - 1), F.lit(EDGE)), F.substr(p, cut(p))))}
+        return F.array_distinct(F.concat(*[emit[k]() if k in emit else _tagged(k, _grams(text, int(k))) for k in kinds]))
+    if not {"p", "f", "s"} & set(kinds):
+        return emitted(F.lit(None))
+    # the pairs are found once and bound to a name, whichever kinds read them
+    return F.get(F.transform(F.array(F.regexp_extract_all(text, F.lit(PAIR_RE), 1)), emitted), 0)
 
 
 def contains_join(a: DataFrame, a_id: str, a_text: str, b: DataFrame, b_id: str, b_text: str, split: int = SPLIT) -> DataFrame:
