@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ledgerly.functions import dates as D
 from ledgerly.functions import text as T
 from ledgerly.operators.common import MAX_RULE_ROWS, checked_broadcast, when_chain
+from ledgerly.session import stage
 
 
 def _low(col: str) -> Column:
@@ -102,37 +103,59 @@ def label_by_rules(df: DataFrame, rules: DataFrame, columns: Sequence[str], date
     included, an open end being null; a null value or pattern meets nothing.
     Of rules with one priority the smallest label counts.
 
-    Plan: rows are reduced to their distinct values; values meet the patterns
-    by equality or in the keyed containment join; the conditions that hold are
-    counted per rule, the winner is ``min_by(label, priority)``, and labels come
-    back to the rows by their values. No rule is evaluated per row.
+    Plan: the distinct values of the columns meet the patterns by equality or in
+    the keyed containment join, and values that meet the same conditions share
+    one profile. A row is then known by the profiles of its values and the first
+    day of its period (no rule begins or ends within one), so rules are met by
+    the few distinct sets of these: the conditions that hold are counted per
+    rule, the winner is ``min_by(label, priority)``, and labels come back to the
+    rows. Rows are shuffled only to meet the profiles of a column with many
+    values; no rule is evaluated per row.
     """
     from ledgerly.operators.joins import contains_join
-    day = F.to_date(date_col) if date_col else F.lit(None).cast("date")
-    keyed = df.withColumn("__k", F.struct(*[F.lower(F.col(c).cast("string")).alias(c) for c in columns], day.alias("__d")))
-    rows = keyed.select("__k").distinct()
-    vals = rows.select("__k", F.explode(F.array(
-        F.struct(F.lit("*").alias("c"), F.lit("").alias("v")), *[F.struct(F.lit(c).alias("c"), F.col("__k")[c].alias("v")) for c in columns])).alias("x")) \
-        .select("__k", F.col("x.c").alias("__c"), F.col("x.v").alias("__v")).where(F.col("__v").isNotNull())
+    df = stage(df)  # read for its values, its days and its rows
+    value = {c: F.lower(F.col(c).cast("string")) for c in columns}
+    texts = df.select(F.explode(F.array_distinct(F.array(*value.values()))).alias("__v")).where(F.col("__v").isNotNull()).distinct()
     always = F.col("predicate") == "always"
-    conds = rules.where(F.col("ruleset").isin(list(rulesets))).select(
+    conds = stage(rules.where(F.col("ruleset").isin(list(rulesets))).select(
         "ruleset", "priority", "predicate", "date_from", "date_to", "label", F.when(always, "*").otherwise(F.col("column")).alias("__c"),
-        F.when(always, "").otherwise(F.lower("pattern")).alias("__p"))
-    texts = vals.where(F.col("__c") != "*").select("__v").distinct()
+        F.when(always, "").otherwise(F.lower("pattern")).alias("__p"), F.monotonically_increasing_id().alias("__id")))
+
+    # the profile of a value: the conditions that it meets; that of no value, those that always hold
     pats = conds.where(F.col("predicate").isin("contains", "starts") & (F.length("__p") > 0)).select("__p").distinct()
     found = contains_join(texts, "__v", "__v", pats, "__p", "__p").where(F.contains("__v", "__p"))
-    part = found.join(conds.where(F.col("predicate").isin("contains", "starts")), "__p") \
-        .where((F.col("predicate") == "contains") | F.startswith("__v", "__p"))
-    equal = conds.where(F.col("predicate").isin("equals", "always")).withColumn("__v", F.col("__p"))
-    held = vals.join(part.unionByName(equal), ["__c", "__v"]) \
-        .where((F.col("date_from").isNull() | (F.col("__k.__d") >= F.col("date_from"))) & (F.col("date_to").isNull() | (F.col("__k.__d") <= F.col("date_to"))))
+    part = found.join(checked_broadcast(conds.where(F.col("predicate").isin("contains", "starts"))), "__p") \
+        .where((F.col("predicate") == "contains") | F.startswith("__v", "__p")).select("__c", "__v", "__id")
+    equal = conds.where(F.col("predicate").isin("equals", "always")).select("__c", F.col("__p").alias("__v"), "__id")
+    met = stage(part.unionByName(equal).groupBy("__c", "__v").agg(F.array_sort(F.collect_set("__id")).alias("__ids")))
+    profiles = stage(met.select("__ids").distinct().withColumn("__profile", F.monotonically_increasing_id()))
+    met = stage(met.join(checked_broadcast(profiles), "__ids").select("__c", "__v", "__profile"))
+
+    # a day's period begins at the last day on which a rule began or had just ended
+    bounds = conds.select(F.explode(F.array("date_from", F.date_add("date_to", 1))).alias("b")).agg(F.collect_set("b").alias("__bounds"))
+    day = F.to_date(date_col) if date_col else F.lit(None).cast("date")
+    period = F.coalesce(F.array_max(F.filter("__bounds", lambda b: b <= F.col("__day"))), F.date_sub(F.array_min("__bounds"), 1), F.lit("1970-01-01").cast("date"))
+    periods = df.select(day.alias("__day")).where(F.col("__day").isNotNull()).distinct().crossJoin(F.broadcast(bounds)).select("__day", period.alias("__period"))
+    keyed = df.withColumn("__day", day).join(checked_broadcast(periods), "__day", "left")
+    for i, c in enumerate(columns):
+        own = met.where(F.col("__c") == c).select(F.col("__v").alias(f"__v{i}"), F.col("__profile").alias(f"__p{i}"))
+        keyed = keyed.withColumn(f"__v{i}", value[c]).join(checked_broadcast(own), f"__v{i}", "left").drop(f"__v{i}")
+    held_by = [f"__p{i}" for i in range(len(columns))]
+    keyed = stage(keyed.select(*df.columns, F.struct(F.array(*held_by).alias("p"), F.col("__period").alias("d")).alias("__k")))
+
+    sets = keyed.select("__k").distinct()
+    open_ = met.where(F.col("__c") == "*").agg(F.min("__profile").alias("__always"))
+    met_by = profiles.select("__profile", F.explode("__ids").alias("__id")).join(checked_broadcast(conds), "__id")
+    held = sets.crossJoin(F.broadcast(open_)).select("__k", F.explode(F.array_append("__k.p", F.col("__always"))).alias("__profile")) \
+        .join(checked_broadcast(met_by), "__profile") \
+        .where((F.col("date_from").isNull() | (F.col("__k.d") >= F.col("date_from"))) & (F.col("date_to").isNull() | (F.col("__k.d") <= F.col("date_to"))))
     one = F.struct("__c", "predicate", "__p")
     need = conds.groupBy("ruleset", "priority").agg(F.countDistinct(one).alias("__need"))
     whole = held.groupBy("__k", "ruleset", "priority").agg(F.countDistinct(one).alias("__held"), F.min("label").alias("label")) \
         .join(need, ["ruleset", "priority"]).where("__held = __need")
     best = whole.groupBy("__k").agg(*[F.min_by(F.when(F.col("ruleset") == r, F.col("label")), F.when(F.col("ruleset") == r, F.col("priority"))).alias(r)
                                       for r in rulesets])
-    return keyed.join(best, "__k", "left").drop("__k")
+    return keyed.join(checked_broadcast(stage(best)), "__k", "left").drop("__k")
 
 
 # ---------------------------------------------------------------- CL-1
