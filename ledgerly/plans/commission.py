@@ -38,7 +38,7 @@ from ledgerly.functions import dates as D
 from ledgerly.operators import alloc as A
 from ledgerly.operators import joins as J
 from ledgerly.operators import rules as R
-from ledgerly.session import cut_lineage
+from ledgerly.session import stage
 
 
 @dataclass
@@ -106,12 +106,12 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
 
     # every active booking of a participant is a stage table; like NOT ILIKE, a
     # null text drops the row (N3) from all but the nearest-booking candidates
-    booked = cut_lineage(participants.select("booking_id", "customer_code", "participant_name")
+    booked = stage(participants.select("booking_id", "customer_code", "participant_name")
                          .join(bookings, "booking_id").where(F.col("status") == r.active_status))
     pb = booked.where(F.col("description").isNotNull() & ~_any("description", r.deny_patterns))
 
     # 2. loose matches of single lessons (JN-4)
-    si = cut_lineage(items.join(sales.select(
+    si = stage(items.join(sales.select(
         F.col("external_id").alias("venda_external_id"), "customer_code", "paid", F.col("is_canceled").alias("sale_canceled"),
         "pay_date", F.col("tipo").alias("sale_type"), "data_venda"), "venda_external_id"))
     lesson_items = si.where((F.col("is_canceled") == F.lit(False)) & (F.col("sale_canceled") == F.lit(False))
@@ -122,7 +122,7 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
                          "booking_id", "payment_date", "amount")
     member = _any("description", r.member_patterns)
     double = _any("description", r.double_patterns)
-    lcm = cut_lineage(m.join(lesson_items.drop("customer_code"), "item_key").join(first_pay, "booking_id", "left").select(
+    lcm = stage(m.join(lesson_items.drop("customer_code"), "item_key").join(first_pay, "booking_id", "left").select(
         "booking_id", "customer_code", "item_key",
         F.col("valor_faturamento").alias("payment_value"),
         F.when(member, F.coalesce("valor_bruto", "valor_faturamento"))
@@ -145,7 +145,7 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
     valid = ((F.col("is_canceled") == F.lit(False)) & (F.col("sale_canceled") == F.lit(False))
              & (F.coalesce(F.col("sale_type"), F.lit("")) != "refund") & (F.col("valor_faturamento") > 0)
              & (F.col("subcategoria").isNull() | (F.col("subcategoria") != r.excluded_sub)) & lesson_like)
-    rf = cut_lineage(rf.where(valid))  # read by several branches
+    rf = stage(rf.where(valid))  # read by several branches
 
     # 4. plan items (AL-7, AL-8, AL-5, CL-3)
     gross = F.coalesce("valor_bruto", "valor_faturamento")

@@ -12,7 +12,7 @@ from ledgerly.operators.common import rule_table
 from ledgerly.operators.rules import RULES_SCHEMA, label_by_rules
 from ledgerly.plans.commission import CommissionRules, commission_detail
 from ledgerly.plans.registry import register
-from ledgerly.session import cut_lineage
+from ledgerly.session import stage
 from ledgerly.sources.tables import table
 
 # Fixed values of the test mapping: order priority -> (start time, booking text).
@@ -66,7 +66,7 @@ def club_tables(spark: SparkSession, d: str) -> tuple[DataFrame, ...]:
                     F.when(F.col("l_quantity") == 7, "Tênis adulto ").otherwise(""), plain,
                     F.when(F.col("l_quantity") >= 48, F.concat(F.lit(" - Customer#"), F.lpad(F.col("l_suppkey").cast("string"), 9, "0"))).otherwise(""))
     # one stage table of lines: sales, items and payments are views of it
-    lines = cut_lineage(li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
+    lines = stage(li.join(o, F.col("l_orderkey") == F.col("o_orderkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", v).alias("item_key"), "l_orderkey", "l_returnflag",
         code("o_custkey").alias("customer_code"), (F.col("l_linestatus") == "F").alias("paid"),
         F.when(F.col("l_discount") == 0, F.col("l_quantity") == 2).otherwise(F.lit(False)).alias("sale_canceled"),
