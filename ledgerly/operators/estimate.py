@@ -16,6 +16,7 @@ from ledgerly.functions import dates as D
 from ledgerly.functions.num import js_or
 from ledgerly.operators import rules as R
 from ledgerly.operators import windows as W
+from ledgerly.session import stage
 
 # The off-peak rate that replaces the frequency discount.
 OFF_PEAK_RATE = 0.88
@@ -49,7 +50,7 @@ def estimate_pending(bookings: DataFrame) -> tuple[DataFrame, DataFrame]:
 
     Returns (per booking, per student-month).
     """
-    b = _prepared(bookings)
+    b = stage(_prepared(bookings))  # texts and prices are read once, by slots, bookings and students
     paying = b.where(~F.col("is_free"))
     slots = paying.groupBy("student", "month", "dow", "start_time", "hour", F.col("price.category").alias("category"),
                            F.col("price.price").alias("unit_price"),

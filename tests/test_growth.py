@@ -51,3 +51,12 @@ def test_nearest_leaves_out_rows_with_a_row_in_their_month(spark):
     want = sorted(map(str, J.nearest(left, b, ["k"], "d", "bd", ["v"], "v").select("id", "k", "d", "v", "nearest_days").collect()))
     got = J.nearest(a, b, ["k"], "d", "bd", ["v"], "v", apart="MM").select("id", "k", "d", "v", "nearest_days").collect()
     assert sorted(map(str, got)) == want and 0 < len(want) < 200
+
+
+def test_pending_bookings_are_priced_once(spark):
+    """AL-9: texts are read before the stage table, not by each of its readers."""
+    rows = spark.createDataFrame([("s", k, "Aula (1 / 2)", "clase_colectiva", "10:00", False) for k in range(4)],
+                                 "student string, booking_id int, description string, booking_type string, start_time string, is_socio boolean")
+    per_b, per_s = X.estimate_pending(rows.withColumn("booking_date", F.date_add(F.lit("2024-01-01"), F.col("booking_id"))))
+    assert per_b.count() == 4 and per_s.count() == 1
+    assert "regexp" not in plan(per_s).lower() and "(1 / 2)" not in plan(per_s)
