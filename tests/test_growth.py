@@ -60,3 +60,17 @@ def test_pending_bookings_are_priced_once(spark):
     per_b, per_s = X.estimate_pending(rows.withColumn("booking_date", F.date_add(F.lit("2024-01-01"), F.col("booking_id"))))
     assert per_b.count() == 4 and per_s.count() == 1
     assert "regexp" not in plan(per_s).lower() and "(1 / 2)" not in plan(per_s)
+
+
+def test_facts_are_not_sorted_to_meet_dated_costs(spark, monkeypatch):
+    """JN-12: many keys are the hashed side of a join; few texts are broadcast, however many the codes."""
+    facts = spark.createDataFrame([(k, str(k % 50), "ball", "2024-01-02") for k in range(100)], "id int, code string, txt string, d string")
+    costs = spark.createDataFrame([(k, str(k), "ball", float(k)) for k in range(50)], "ord int, sku string, descr string, c double") \
+        .selectExpr("*", "cast(null as date) as s", "cast(null as date) as e")
+    sizes = []
+    monkeypatch.setattr(J, "fits_broadcast", lambda df, max_rows: sizes.append(df.count()) or sizes[-1] < 10)
+    out = J.effective_lookup(facts, costs, "code", "txt", "d", "sku", "descr", "s", "e", "ord", ["c"])
+    p = plan(out)
+    assert sizes == [49, 1]  # codes without zeros, and texts
+    assert "ShuffledHashJoin" in p and "BroadcastHashJoin" in p and "SortMergeJoin" not in p
+    assert {r.id: r.c for r in out.collect()} == {k: 0.0 for k in range(100)}
