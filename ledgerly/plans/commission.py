@@ -6,21 +6,24 @@ library's operators, on the reference's own table shapes (see FIXTURES.md):
 ``clients``. Every club-specific constant (people, customer codes, words,
 prices, weights, split rules) is a parameter in :class:`CommissionRules`.
 
-The sale lines joined to their sales, the active bookings with their
-participants, the loose matches and the resolved items are stage tables:
-each is computed once, written to the shared checkpoint folder, and read by
-all branches, so every input table is scanned once.
+The active bookings with their participants, the names found in texts, the
+lesson lines joined to their sales and the loose matches are stage tables: each
+is computed once, written to the shared checkpoint folder, and read by all
+branches. Items are read twice, for their texts and as rows. A line is shuffled
+whole with its sale and, if it stays unused, to meet the bookings of its
+customer; elsewhere only the lines that may meet something are
+(:func:`ledgerly.operators.joins.may_meet`).
 
 Steps (in plan order):
 
 1. unique participants by name (AG-1) and first payment per booking (AG-2);
-2. single lessons matched to sale items by date-and-time text or a payment
+2. the customer an item's text names, by participant-name containment (JN-5);
+   lesson lines with their flags (CL-18) and period (AL-8);
+3. single lessons matched to sale items by date-and-time text or a payment
    row (JN-4), with the commission base (PJ-1) and a teacher (CL-1);
-3. sale items with their customer resolved by participant-name containment
-   (JN-5) and their flags (CL-18);
-4. plan items: valid lines (FL-2), period (AL-8), plan type by keyword or by
-   price (CL-3, AL-5, AL-7);
-5. weekly slots of group classes (AG-3, CL-2, CL-1) with weights (AL-1);
+4. weekly slots of group classes (AG-3, CL-2, CL-1) with weights (AL-1);
+5. plan items: valid lines (FL-2), plan type by keyword or by price (CL-3,
+   AL-5, AL-7);
 6. the three-tier allocation (AL-2);
 7. bookings with their values (JN-8, AL-3) and the share split (ST-5);
 8. items used by neither path (JN-9) labelled by rule, else by the nearest
@@ -110,19 +113,36 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
                          .join(bookings, "booking_id").where(F.col("status") == r.active_status))
     pb = booked.where(F.col("description").isNotNull() & ~_any("description", r.deny_patterns))
 
-    # 2. loose matches of single lessons (JN-4)
-    si = stage(items.join(sales.select(
-        F.col("external_id").alias("venda_external_id"), "customer_code", "paid", F.col("is_canceled").alias("sale_canceled"),
-        "pay_date", F.col("tipo").alias("sale_type"), "data_venda"), "venda_external_id"))
-    lesson_items = si.where((F.col("is_canceled") == F.lit(False)) & (F.col("sale_canceled") == F.lit(False))
-                            & (F.col("valor_faturamento") > 0) & F.col("categoria").isin(r.lesson_categories))
+    # 2. names in the texts of items (JN-5): the customer a text names
+    lesson_like = _lesson_line(r)
+    texts = items.where(lesson_like & F.col("description").isNotNull()).select("description").distinct()
+    names = uniq.select(F.col("participant_name").alias("pname"), F.col("customer_code").alias("pcust"))
+    hit = stage(J.contains_join(texts, "description", "description", names, "pname", "pname")
+                 .join(names, "pname").groupBy("description").agg(F.min_by("pcust", F.col("pname")).alias("pcust")))
+
+    # lesson lines with their sales are a stage table, with their flags (CL-18) and month (AL-8) instead of what these are read from
+    member = _any("description", r.member_patterns)
+    double = _any("description", r.double_patterns)
+    avulsa, fixed = R.line_flags("description", "subcategoria")
+    plain = F.col("subcategoria").isNull() | (F.col("subcategoria") != r.excluded_sub)
+    lines = items.where((F.col("is_canceled") == F.lit(False)) & (F.col("valor_faturamento") > 0) & F.col("categoria").isin(r.lesson_categories)) \
+        .select("item_key", "venda_external_id", "description", "valor_faturamento", "valor_bruto", avulsa.alias("is_avulsa"),
+                fixed.alias("is_avulsa_grupo_fixo"), (lesson_like & plain).alias("__valid"))
+    sold = J.left_join_met(lines, hit, ["description"]).join(
+        sales.where(F.col("is_canceled") == F.lit(False)).select(
+            F.col("external_id").alias("venda_external_id"), "customer_code", "paid", "pay_date", "data_venda",
+            (F.coalesce(F.col("tipo"), F.lit("")) != "refund").alias("__sold")), "venda_external_id")
+    lesson_items = stage(A.item_period(sold, "description", "pay_date", "data_venda").withColumn("__valid", F.col("__valid") & F.col("__sold"))
+                          .drop("venda_external_id", "__sold", "item_start", "item_end"))
+
+    # 3. loose matches of single lessons (JN-4)
     singles = pb.where(F.col("booking_type") == r.single_type)
     m = J.match_payments(singles, lesson_items, booking_payments, "booking_id", "customer_code", "booking_date",
                          "start_time", "item_key", "customer_code", "description", "pay_date", "valor_faturamento",
                          "booking_id", "payment_date", "amount")
-    member = _any("description", r.member_patterns)
-    double = _any("description", r.double_patterns)
-    lcm = stage(m.join(lesson_items.drop("customer_code"), "item_key").join(first_pay, "booking_id", "left").select(
+    m = stage(m.join(first_pay, "booking_id", "left"))
+    matched = J.may_meet(lesson_items.drop("customer_code"), m, ["item_key"]).where("__may").drop("__may")
+    lcm = stage(m.join(matched, "item_key").select(
         "booking_id", "customer_code", "item_key",
         F.col("valor_faturamento").alias("payment_value"),
         F.when(member, F.coalesce("valor_bruto", "valor_faturamento"))
@@ -131,38 +151,10 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
         F.coalesce("min_payment_date", "pay_date").alias("pay_date"),
         _teacher(r.item_teacher_rules, None).alias("professor")))
 
-    # 3. resolved items: customer by participant-name containment (JN-5), flags (CL-18)
-    lesson_like = _lesson_line(r)
-    texts = si.where(lesson_like & F.col("description").isNotNull()).select("description").distinct()
-    names = uniq.select(F.col("participant_name").alias("pname"), F.col("customer_code").alias("pcust"))
-    hit = J.contains_join(texts, "description", "description", names, "pname", "pname") \
-           .join(names, "pname").groupBy("description").agg(F.min_by("pcust", F.col("pname")).alias("pcust"))
-    single, fixed = R.line_flags("description", "subcategoria")
-    rf = si.join(hit, "description", "left") \
-           .withColumn("customer_code", F.when(lesson_like, F.coalesce("pcust", "customer_code"))
-                       .otherwise(F.col("customer_code"))) \
-           .withColumn("is_avulsa", single).withColumn("is_avulsa_grupo_fixo", fixed).drop("pcust")
-    valid = ((F.col("is_canceled") == F.lit(False)) & (F.col("sale_canceled") == F.lit(False))
-             & (F.coalesce(F.col("sale_type"), F.lit("")) != "refund") & (F.col("valor_faturamento") > 0)
-             & (F.col("subcategoria").isNull() | (F.col("subcategoria") != r.excluded_sub)) & lesson_like)
-    rf = stage(rf.where(valid))  # read by several branches
-
-    # 4. plan items (AL-7, AL-8, AL-5, CL-3)
-    gross = F.coalesce("valor_bruto", "valor_faturamento")
-    pi = rf.where(~F.col("is_avulsa"))
-    pi = A.to_full_month(pi.withColumn("__gross", gross), "__gross", "description", "__full")
-    kw = R.classify([(k, ("contains", "description", w)) for w, k in r.plan_keywords])
-    pi = pi.withColumn("plan_class_type", F.coalesce(kw, A.infer_plan("__full", r.prices), F.lit(r.default_plan)))
-    pi = A.item_period(pi, "description", "pay_date", "data_venda")
-    pi = pi.select("item_key", "customer_code", "plan_month", "paid", "pay_date", "plan_class_type",
-                   "is_avulsa", "is_avulsa_grupo_fixo", (member | double).alias("is_socio"),
-                   F.col("valor_faturamento").alias("v"),
-                   F.when(double, F.col("valor_faturamento") * 2).otherwise(gross).alias("b"), gross.alias("g"))
-    # the monthly base takes a sponsor line once, the commission base twice (PJ-1)
-    pi = pi.withColumn("base", F.when(F.col("is_socio"), F.col("b")).otherwise(F.col("v"))) \
-           .withColumn("monthly", F.when(F.col("is_socio"), F.col("g")).otherwise(F.col("v")))
+    # valid lines (FL-2) under the customer that their text names, else their sale's
+    rf = lesson_items.where("__valid").withColumn("customer_code", F.coalesce("pcust", "customer_code")).drop("pcust", "__valid")
 
-    # 5. weekly slots of group classes (AG-3, CL-2, CL-1) and weights (AL-1)
+    # 4. weekly slots of group classes (AG-3, CL-2, CL-1) and weights (AL-1)
     cls = R.capacity_class("description", "booking_type", r.single_type)
     teacher_b = _teacher(r.booking_teacher_rules, "description")
     groups = pb.where(F.col("booking_type") == r.group_type).select(
@@ -175,6 +167,21 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
     slots = A.with_weight(slots, "booking_class_type", weights, "bookings_count",
                           F.col("customer_code").isin(r.count_weighted_customers) if r.count_weighted_customers
                           else F.lit(False), "w", r.default_weight)
+    months = stage(slots.select("customer_code", "plan_month").distinct())
+
+    # 5. plan items (AL-7, AL-5, CL-3) of the months in which their customer has slots
+    gross = F.coalesce("valor_bruto", "valor_faturamento")
+    pi = J.may_meet(rf.where(~F.col("is_avulsa")), months, ["customer_code", "plan_month"]).where("__may").drop("__may")
+    pi = A.to_full_month(pi.withColumn("__gross", gross), "__gross", "description", "__full")
+    kw = R.classify([(k, ("contains", "description", w)) for w, k in r.plan_keywords])
+    pi = pi.withColumn("plan_class_type", F.coalesce(kw, A.infer_plan("__full", r.prices), F.lit(r.default_plan)))
+    pi = pi.select("item_key", "customer_code", "plan_month", "paid", "pay_date", "plan_class_type",
+                   "is_avulsa", "is_avulsa_grupo_fixo", (member | double).alias("is_socio"),
+                   F.col("valor_faturamento").alias("v"),
+                   F.when(double, F.col("valor_faturamento") * 2).otherwise(gross).alias("b"), gross.alias("g"))
+    # the monthly base takes a sponsor line once, the commission base twice (PJ-1)
+    pi = pi.withColumn("base", F.when(F.col("is_socio"), F.col("b")).otherwise(F.col("v"))) \
+           .withColumn("monthly", F.when(F.col("is_socio"), F.col("g")).otherwise(F.col("v")))
 
     # 6. three-tier allocation (AL-2)
     st = A.allocate(slots, pi, ["customer_code", "plan_month"],
@@ -188,17 +195,18 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
         "customer_code", "participant_name",
         F.trunc("booking_date", "MM").alias("plan_month"), D.isodow("booking_date").alias("day_of_week"),
         cls.alias("booking_class_type"), teacher_b.alias("__tb"))
-    fb = fb.join(lcm.withColumnRenamed("professor", "__lp").withColumnRenamed("pay_date", "__lpay")
-                   .withColumnRenamed("is_socio", "__ls").withColumnRenamed("is_paid", "__lpaid").drop("item_key"),
-                 ["booking_id", "customer_code"], "left")
+    fb = J.left_join_met(fb, lcm.withColumnRenamed("professor", "__lp").withColumnRenamed("pay_date", "__lpay")
+                                .withColumnRenamed("is_socio", "__ls").withColumnRenamed("is_paid", "__lpaid").drop("item_key"),
+                         ["booking_id", "customer_code"])
     stg = st.select("customer_code", "plan_month", "day_of_week", "start_time", "booking_class_type",
                     F.col("professor").alias("__tb"), "bookings_count", F.col("paid").alias("__spaid"),
                     F.col("v").alias("__sv"), F.col("base").alias("__sb"), F.col("monthly").alias("__sm"), F.col("pay_date").alias("__spay"),
                     F.col("is_socio").alias("__ss"), F.col("is_avulsa").alias("__sa"),
-                    F.col("is_avulsa_grupo_fixo").alias("__sf"), F.lit(True).alias("__grp"))
-    fb = fb.withColumn("__grp", F.col("booking_type") == r.group_type)
-    fb = fb.join(stg, ["__grp", "customer_code", "plan_month", "day_of_week", "start_time", "booking_class_type", "__tb"],
-                 "left")
+                    F.col("is_avulsa_grupo_fixo").alias("__sf"))
+    # only group bookings have slots to meet
+    grouped = F.col("booking_type") == r.group_type
+    fb = fb.where(grouped).join(stg, ["customer_code", "plan_month", "day_of_week", "start_time", "booking_class_type", "__tb"], "left") \
+           .unionByName(fb.where(~grouped), allowMissingColumns=True)
     is_single = F.col("booking_type") == r.single_type
     per = lambda c: F.coalesce(F.try_divide(F.col(c).cast("double"), F.nullif(F.col("bookings_count"), F.lit(0))),
                                F.lit(0.0))
@@ -224,9 +232,8 @@ def commission_detail(participants: DataFrame, bookings: DataFrame, booking_paym
 
     # 8. unallocated items (JN-9, AL-4): rule, else sentinel for single lessons,
     #    else the nearest group booking of the customer (JN-10), else sentinel
-    allocated = pi.join(slots.select("customer_code", "plan_month").distinct(), ["customer_code", "plan_month"],
-                        "left_semi").select("item_key")
-    un = J.unused(rf, "item_key", lcm.select("item_key"), allocated) \
+    allocated = pi.join(months, ["customer_code", "plan_month"], "left_semi").select("item_key")
+    un = J.unused(rf.drop("plan_month"), "item_key", lcm.select("item_key"), allocated) \
           .withColumn("__d", F.to_date(F.coalesce(F.col("pay_date"), F.col("data_venda").cast("timestamp"))))
     # candidates go by status and type alone: a booking without a text, or a denied one, may be the nearest
     near_src = booked.where(F.col("booking_type") == r.group_type).select(
